@@ -9,7 +9,7 @@ executor never restarts the loop.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from meldstone.functions.text import cleanse_name
@@ -34,9 +34,18 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return relinked.unionByName(smallest.select("u", F.col("m").alias("v")))
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges as a written table and a fingerprint of them, from the same job."""
+    seen = Observation()
     h = F.xxhash64("u", "v")
-    return tuple(edges.agg(F.count("*"), F.bit_xor(h), F.sum(h.cast("decimal(20,0)"))).first())
+    watched = edges.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.bit_xor(h).alias("mixed"),
+        F.sum(h.cast("decimal(20,0)")).alias("total"),
+    )
+    table = materialise(watched, "edges")
+    return table, tuple(seen.get[name] for name in ("rows", "mixed", "total"))
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
@@ -45,17 +54,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     ``edges`` has columns id_a and id_b. The number of rounds grows with the
     logarithm of the edge count.
     """
-    current = materialise(
-        edges.select(F.col("id_a").alias("u"), F.col("id_b").alias("v")).where(F.col("u") != F.col("v")).distinct(),
-        "edges",
-    )
-    seen = _fingerprint(current)
+    pairs = edges.select(F.col("id_a").alias("u"), F.col("id_b").alias("v")).where(F.col("u") != F.col("v"))
+    current, before = _written(pairs.distinct())
     for _ in range(max_rounds):
-        current = materialise(_small_star(_large_star(current)).distinct(), "edges")
-        now = _fingerprint(current)
-        if now == seen:
+        current, now = _written(_small_star(_large_star(current)).distinct())
+        if now == before:
             break
-        seen = now
+        before = now
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     members = current.groupBy("u").agg(F.min("v").alias("cluster_id")).withColumnRenamed("u", "id")

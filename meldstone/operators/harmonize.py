@@ -34,45 +34,52 @@ def union_sources(supply: DataFrame, financial: DataFrame) -> DataFrame:
     """Both sources in one layout of 13 columns.
 
     Financial rows take id and place from the supply row of the same seller; a
-    seller without one keeps NULLs.
+    seller without one keeps NULLs. The sources meet in a single join whose rows
+    are then split in two, so neither is computed twice.
     """
-    keyed = keyed_supply(supply)
-    left = keyed.select(
-        "seller_id",
-        "corporate_id",
-        "corporate_name",
-        "address",
-        "city",
-        "state",
-        "activity_places",
-        "top_suppliers",
-        F.lit(None).cast("string").alias("main_customers"),
-        F.lit(None).cast("double").alias("revenue"),
-        F.lit(None).cast("double").alias("profit"),
-        F.lit(None).cast("int").alias("transaction_count"),
-        F.lit(SUPPLY).alias("source_system"),
+    supply_row = {
+        "seller_id": F.col("seller_id"),
+        "corporate_id": F.col("corporate_id"),
+        "corporate_name": F.col("corporate_name"),
+        "address": F.col("address"),
+        "city": F.col("city"),
+        "state": F.col("state"),
+        "activity_places": F.col("activity_places"),
+        "top_suppliers": F.col("top_suppliers"),
+        "main_customers": F.lit(None).cast("string"),
+        "revenue": F.lit(None).cast("double"),
+        "profit": F.lit(None).cast("double"),
+        "transaction_count": F.lit(None).cast("int"),
+        "source_system": F.lit(SUPPLY),
+    }
+    financial_row = supply_row | {
+        "seller_id": F.col("fin_seller_id"),
+        "corporate_name": cleanse_name(F.concat(F.lit("seller "), F.col("fin_seller_id"))),
+        "activity_places": F.lit(None).cast("int"),
+        "top_suppliers": F.lit(None).cast("string"),
+        "revenue": F.col("revenue"),
+        "profit": F.col("profit"),
+        "transaction_count": F.col("transaction_count"),
+        "source_system": F.lit(FINANCIAL),
+    }
+
+    def row(values: dict[str, Column]) -> Column:
+        return F.struct(*[value.alias(name) for name, value in values.items()])
+
+    metrics = financial.select(
+        F.col("seller_id").alias("fin_seller_id"),
+        F.lit(True).alias("in_financial"),
+        F.col("revenue").cast("double").alias("revenue"),
+        F.col("profit").cast("double").alias("profit"),
+        F.col("transaction_count").cast("int").alias("transaction_count"),
     )
-    id_map = keyed.select("seller_id", "corporate_id", "address", "city", "state").alias("map")
-    right = (
-        financial.alias("fin")
-        .join(id_map, F.col("fin.seller_id") == F.col("map.seller_id"), "left")
-        .select(
-            F.col("fin.seller_id").alias("seller_id"),
-            F.col("map.corporate_id").alias("corporate_id"),
-            cleanse_name(F.concat(F.lit("seller "), F.col("fin.seller_id"))).alias("corporate_name"),
-            F.col("map.address").alias("address"),
-            F.col("map.city").alias("city"),
-            F.col("map.state").alias("state"),
-            F.lit(None).cast("int").alias("activity_places"),
-            F.lit(None).cast("string").alias("top_suppliers"),
-            F.lit(None).cast("string").alias("main_customers"),
-            F.col("fin.revenue").cast("double").alias("revenue"),
-            F.col("fin.profit").cast("double").alias("profit"),
-            F.col("fin.transaction_count").cast("int").alias("transaction_count"),
-            F.lit(FINANCIAL).alias("source_system"),
-        )
+    joined = (
+        keyed_supply(supply)
+        .withColumn("in_supply", F.lit(True))
+        .join(metrics, F.col("seller_id") == F.col("fin_seller_id"), "full_outer")
     )
-    return left.unionByName(right)
+    rows = F.array(F.when(F.col("in_supply"), row(supply_row)), F.when(F.col("in_financial"), row(financial_row)))
+    return joined.select(F.inline(F.array_compact(rows)))
 
 
 def first_by_priority(value: str) -> Column:

@@ -53,11 +53,12 @@ def product_breadth(items: DataFrame, top: int = TOP_PRODUCTS) -> DataFrame:
     """
     pairs = seller_products(items)
     counts = pairs.groupBy("seller_id").agg(F.count("product_id").cast("int").alias("activity_places"))
-    by_product = Window.partitionBy("seller_id").orderBy("product_id")
+    # NULLs rank last and are dropped after the limit, so that both branches read
+    # the same exchange of distinct pairs.
+    by_product = Window.partitionBy("seller_id").orderBy(F.asc_nulls_last("product_id"))
     first = (
-        pairs.where(F.col("product_id").isNotNull())
-        .withColumn("position", F.row_number().over(by_product))
-        .where(F.col("position") <= top)
+        pairs.withColumn("position", F.row_number().over(by_product))
+        .where((F.col("position") <= top) & F.col("product_id").isNotNull())
         .groupBy("seller_id")
         .agg(F.concat_ws(",", F.array_sort(F.collect_list("product_id"))).alias("top_suppliers"))
     )
@@ -113,6 +114,18 @@ def prepare_financial(items: DataFrame, sellers: DataFrame, margin: float = DEFA
     )
 
 
+def prepare_sources(
+    items: DataFrame, sellers: DataFrame, margin: float = DEFAULT_MARGIN
+) -> tuple[DataFrame, DataFrame]:
+    """(supply, financial) from raw items and sellers.
+
+    The financial source takes its places from the raw sellers: they are those of
+    the supply source, without its item aggregation.
+    """
+    places = sellers.select("seller_id", F.col("seller_city").alias("city"), F.col("seller_state").alias("state"))
+    return build_supply(items, sellers), prepare_financial(items, places, margin)
+
+
 def item_supply(items: DataFrame, sellers: DataFrame) -> DataFrame:
     """Item-level supply source, one output row per item."""
     place = sellers.select("seller_id", "seller_city", "seller_state")

@@ -8,20 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meldstone.functions.sql_functions import register_sql_functions
 from meldstone.operators.harmonize import harmonize
-from meldstone.operators.prepare import DEFAULT_MARGIN, build_supply, prepare_financial
+from meldstone.operators.prepare import prepare_sources
 from meldstone.operators.registry import merge_statement, registry_staging
 from meldstone.sources.readers import read_raw_sources
 from meldstone.sources.registry_store import RegistryStore
 from meldstone.sources.writers import create_database, create_partitioned_table, write_prepared
 
 
-def prepare_sources(
-    items: DataFrame, sellers: DataFrame, margin: float = DEFAULT_MARGIN
-) -> tuple[DataFrame, DataFrame]:
-    supply = build_supply(items, sellers)
-    return supply, prepare_financial(items, supply, margin)
-
-
 def run_etl(spark: SparkSession, source: str, target: str, loaded_at: datetime | None = None) -> DataFrame:
     """Read raw CSV files below ``source``, write prepared sources and the registry below ``target``.
 

@@ -12,10 +12,9 @@ from meldstone.operators.harmonize import harmonize
 from meldstone.operators.prepare import (
     FINANCIAL_SUMMARY,
     FINANCIAL_SUMMARY_MARGIN,
-    build_supply,
     margin_share,
     payment_totals,
-    prepare_financial,
+    prepare_sources,
 )
 from meldstone.operators.registry import registry_staging
 from meldstone.sources import tables
@@ -34,9 +33,7 @@ BETWEEN_LOADS = datetime(2025, 12, 1)
 
 def sources(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """(supply, financial) of the whole tables."""
-    items, sellers = tables.order_items(spark, sf), tables.sellers(spark, sf)
-    supply = build_supply(items, sellers)
-    return supply, prepare_financial(items, supply)
+    return prepare_sources(tables.order_items(spark, sf), tables.sellers(spark, sf))
 
 
 def harmonized(spark: SparkSession, sf: str) -> DataFrame:
@@ -51,10 +48,7 @@ def _load(spark: SparkSession, sf: str, first: bool) -> DataFrame:
     early = F.col("shipping_limit_date") < F.lit(CUTOFF)
     items = tables.order_items(spark, sf).where(early if first else ~early)
     sellers = tables.sellers(spark, sf).where(F.col("seller_state") != ("EU" if first else "AF"))
-    supply = build_supply(items, sellers)
-    return registry_staging(
-        harmonize(supply, prepare_financial(items, supply)), FIRST_LOAD if first else SECOND_LOAD
-    )
+    return registry_staging(harmonize(*prepare_sources(items, sellers)), FIRST_LOAD if first else SECOND_LOAD)
 
 
 def first_load(spark: SparkSession, sf: str) -> DataFrame:

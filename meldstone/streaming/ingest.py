@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meldstone.operators.harmonize import harmonize
-from meldstone.operators.prepare import build_supply, prepare_financial
+from meldstone.operators.prepare import prepare_sources
 from meldstone.operators.registry import registry_staging
 from meldstone.sources.registry_store import RegistryStore
 
@@ -56,8 +56,7 @@ class RegistryIngest:
         items = self._stored_items(batch_id).join(touched, "seller_id", "left_semi")
         # The first batch also brings in sellers that have no items yet.
         sellers = self.sellers if batch_id == 0 else self.sellers.join(touched, "seller_id", "left_semi")
-        supply = build_supply(items, sellers)
-        staged = registry_staging(harmonize(supply, prepare_financial(items, supply)), moment)
+        staged = registry_staging(harmonize(*prepare_sources(items, sellers)), moment)
         self.store.load_once(staged, moment)
 
     def run(self, files_per_batch: int = 1000) -> None:
