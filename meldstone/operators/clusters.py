@@ -9,7 +9,7 @@ executor never restarts the loop.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meldstone.functions.text import cleanse_name
@@ -35,17 +35,11 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
-    """The edges as a written table and a fingerprint of them, from the same job."""
-    seen = Observation()
+    """The edges as a written table, and a fingerprint to tell whether they changed."""
+    table = materialise(edges, "edges")
     h = F.xxhash64("u", "v")
-    watched = edges.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows"),
-        F.bit_xor(h).alias("mixed"),
-        F.sum(h.cast("decimal(20,0)")).alias("total"),
-    )
-    table = materialise(watched, "edges")
-    return table, tuple(seen.get[name] for name in ("rows", "mixed", "total"))
+    row = table.agg(F.count("*"), F.bit_xor(h), F.sum(h.cast("decimal(20,0)"))).first()
+    return table, tuple(row)
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:

@@ -102,10 +102,11 @@ def merge_entities(unioned: DataFrame, metric_merge: str = "max") -> DataFrame:
     ``metric_merge`` is "max" or "sum".
     """
     combine = {"max": F.max, "sum": F.sum}[metric_merge]
+    types = {f.name: f.dataType for f in unioned.schema.fields}
     merged = unioned.groupBy("corporate_id").agg(
         *[first_by_priority(c).alias(c) for c in SURVIVING],
         F.max("activity_places").alias("activity_places"),
-        *[combine(c).cast(unioned.schema[c].dataType).alias(c) for c in METRICS],
+        *[combine(c).cast(types[c]).alias(c) for c in METRICS],
         source_tags().alias("source_system"),
     )
     return merged.select(

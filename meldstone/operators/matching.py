@@ -124,7 +124,8 @@ def _short_pairs(reps: DataFrame) -> DataFrame:
     )
     a = signed.select("sig", F.col("id").alias("id_a"), F.col("longest").alias("longest_a"))
     b = signed.select("sig", F.col("id").alias("id_b"), F.col("longest").alias("longest_b"))
-    met = a.join(b, "sig").where((F.col("id_a") < F.col("id_b")) & (F.col("longest_a") | F.col("longest_b")))
+    # The size estimate ignores the expansion above, so broadcasting is ruled out.
+    met = a.join(b.hint("merge"), "sig").where((F.col("id_a") < F.col("id_b")) & (F.col("longest_a") | F.col("longest_b")))
     return met.select("id_a", "id_b")
 
 
@@ -191,6 +192,7 @@ def _selective_index(reps: DataFrame, common: int) -> tuple[DataFrame, Column]:
     options = F.array(*[F.lit(m) for m in range(1, MAX_EXTRA_SEGMENTS + 1)])
     index = _segment_index(reps, options)
     frequent = index.groupBy("sig").agg(F.count("*").alias("n")).where(F.col("n") > common)
+    # Each common segment stands for more than ``common`` rows of the index.
     marked = index.join(frequent, "sig", "left").withColumn("is_common", F.col("n").isNotNull())
     usable = (
         marked.groupBy("id", "l", "m")
@@ -213,7 +215,7 @@ def _long_pairs(reps: DataFrame, common: int) -> DataFrame:
     index, extra = _selective_index(reps, common)
     shorter = index.select("sig", F.col("id").alias("id_s"))
     longer = _segment_probe(reps, extra).select("sig", F.col("id").alias("id_t"))
-    met = shorter.join(longer, "sig").where(F.col("id_s") != F.col("id_t"))
+    met = shorter.join(longer.hint("merge"), "sig").where(F.col("id_s") != F.col("id_t"))
     return met.select(F.least("id_s", "id_t").alias("id_a"), F.greatest("id_s", "id_t").alias("id_b"))
 
 

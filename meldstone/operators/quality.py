@@ -76,13 +76,32 @@ def _comparable(df: DataFrame) -> list[Column]:
     return keys
 
 
+def _repeats(df: DataFrame) -> DataFrame:
+    """One row with ``duplicate_count``: rows that repeat an earlier one.
+
+    Only a hash of each row is exchanged at first. Rows whose hash occurs once
+    cannot repeat; the others are compared in full.
+    """
+    keys = df.select(*_comparable(df))
+    hashed = keys.withColumn("_hash", F.xxhash64(*keys.columns))
+    shared = hashed.groupBy("_hash").agg(F.count("*").alias("_rows")).where(F.col("_rows") > 1).select("_hash")
+    groups = (
+        hashed.join(shared, "_hash", "left_semi")
+        .groupBy("_hash", *keys.columns)
+        .agg(F.count("*").alias("_copies"))
+    )
+    return groups.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_count"))
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Number of rows that repeat an earlier one; NULL equals NULL and NaN equals NaN."""
-    groups = df.groupBy(*_comparable(df)).agg(F.count("*").alias("_copies"))
-    return groups.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("total_records"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_count"),
-    )
+    total = df.agg(F.count("*").alias("total_records"))
+    return _side_by_side(total, _repeats(df))
+
+
+def _side_by_side(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Two one-row frames as one row."""
+    return left.withColumn("_one", F.lit(1)).join(right.withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 
 def key_uniqueness(df: DataFrame, key: str) -> DataFrame:
@@ -120,21 +139,13 @@ def schema_differences(df: DataFrame, expected: StructType) -> DataFrame:
 def quality_tier(df: DataFrame, tier: str) -> DataFrame:
     """Quality metrics of a frame, judged for one tier.
 
-    Missing cells and repeated rows come from a single grouping: a group with a
-    missing cell has it once per copy.
+    Missing cells of all columns come from one scan without an exchange.
     """
     if tier not in TIERS:
         raise ValueError(f"unknown tier {tier!r}")
-    groups = df.groupBy(*_comparable(df)).agg(F.count("*").alias("_copies"))
-    per_column = [
-        F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("_copies"))), F.lit(0)).alias(f"_missing_{i}")
-        for i, c in enumerate(df.columns)
-    ]
-    totals = groups.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("total_records"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_count"),
-        *per_column,
-    )
+    missing = [F.count(F.when(is_missing(df, c), 1)).alias(f"_missing_{i}") for i, c in enumerate(df.columns)]
+    counted = df.agg(F.count("*").alias("total_records"), *missing)
+    totals = _side_by_side(counted, _repeats(df))
     rows = F.col("total_records")
     counts = [F.col(f"_missing_{i}") for i in range(len(df.columns))]
     null_pct = percent(sum(counts, F.lit(0)), rows * len(df.columns))

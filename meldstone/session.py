@@ -17,6 +17,8 @@ def build_session(app_name: str = "meldstone", master: str | None = None, **conf
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Joins whose partitions turn out small hash them instead of sorting.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
     )
     if master:
         builder = builder.master(master)

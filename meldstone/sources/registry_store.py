@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from meldstone.operators.registry import repeated_keys, upsert
 from meldstone.sources import schemas
-from meldstone.sources.storage import list_folders, path_exists
+from meldstone.sources.storage import list_folders, materialise, path_exists
 
 _FORMAT = "%Y%m%dT%H%M%S"
 _PREFIX = "commit_ts="
@@ -69,7 +69,12 @@ class RegistryStore:
         return self._read(self.path, schema).where(F.col("commit_ts").isin(self.versions()))
 
     def load(self, staging: DataFrame, moment: datetime) -> DataFrame:
-        """Create the registry or upsert into it; returns the quarantined rows."""
+        """Create the registry or upsert into it; returns the quarantined rows.
+
+        Staging is written down first, so that checking and merging it do not
+        compute it twice.
+        """
+        staging = materialise(staging, "staging")
         repeated = repeated_keys(staging).head(5)
         if repeated:
             raise ValueError(f"staging repeats keys, for example {[r[0] for r in repeated]}")

@@ -13,6 +13,7 @@ _TYPES = {
     "timestamp": T.TimestampType(),
     "timestamp_ntz": T.TimestampNTZType(),
     "money": T.DecimalType(18, 2),
+    "floats": T.ArrayType(T.FloatType()),
 }
 
 
@@ -46,3 +47,34 @@ REGISTRY = _struct(
 
 JOB_LOG = _struct("run_id string, seq bigint, ts timestamp_ntz, message string")
 RUN_RECORD = _struct("run_id string, run_name string, ts timestamp, kind string, key string, value string")
+
+# The shared test tables. Declared schemas spare a footer read per table.
+TABLES = {
+    "region": _struct("r_regionkey int, r_name string"),
+    "nation": _struct("n_nationkey int, n_name string, n_regionkey int"),
+    "supplier": _struct("s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"),
+    "customer": _struct(
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "part": _struct(
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    ),
+    "orders": _struct(
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": _struct(
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": _struct(
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+    "documents": _struct("doc_id bigint, text string, lang string, source string, n_chars bigint"),
+    "embeddings": _struct("vec_id bigint, embedding floats, label int"),
+    "pages": _struct("page_id bigint, url string, html string"),
+    "benchmark": _struct("item_id bigint, text string"),
+    "labels": _struct("doc_id bigint, quality int, toxic int"),
+    "conversations": _struct("conv_id bigint, turn bigint, role string, text string"),
+}
