@@ -1,0 +1,165 @@
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+
+from meldstone.operators import registry as reg
+from meldstone.plans.etl import run_etl
+from meldstone.sources import readers, schemas
+from meldstone.sources.registry_store import RegistryStore
+from meldstone.sources.storage import scratch_path
+from meldstone.sources.writers import create_database, create_partitioned_table, register_views
+
+NOVEMBER, DECEMBER = datetime(2025, 11, 15, 10), datetime(2025, 12, 17, 10)
+HARMONISED = (
+    "corporate_id string, corporate_name string, address string, city string, state string, activity_places int, "
+    "top_suppliers string, main_customers string, revenue double, profit double, source_system string"
+)
+
+
+def staged(spark, rows, moment):
+    full = [(k, name, "addr", "city", "SP", places, None, None, revenue, 1.0, "financial") for k, name, places, revenue in rows]
+    return reg.registry_staging(spark.createDataFrame(full, HARMONISED), moment)
+
+
+@pytest.fixture
+def store(spark):
+    return RegistryStore(spark, scratch_path(spark, "test-registry"))
+
+
+def test_staging_has_the_declared_layout(spark):
+    rows = staged(spark, [("a", "A", 3, 10.005), ("b", "B", None, 1e300)], DECEMBER)
+    assert [(f.name, f.dataType) for f in rows.schema.fields] == [(f.name, f.dataType) for f in schemas.REGISTRY.fields]
+    first, second = rows.orderBy("corporate_id").collect()
+    assert (first.year, first.month, first._data_contract_version) == (2025, 12, "1.0")
+    assert first.load_date == first._etl_processed_dttm == DECEMBER
+    assert first.revenue == Decimal("10.01") and second.revenue is None
+
+
+def test_upsert(spark):
+    target = staged(spark, [("a", "A", 3, 10.0), ("b", "B", 5, 20.0), (None, "lost", 1, 1.0)], NOVEMBER)
+    new = staged(spark, [("b", None, None, 25.0), ("c", "C", 1, 7.0), (None, "x", 1, 1.0), (None, "y", 1, 1.0)], DECEMBER)
+    merged, quarantined = reg.upsert(target, new)
+    rows = {r.corporate_id: r for r in merged.collect()}
+    assert merged.count() == 4 and quarantined.count() == 2
+    assert (rows["a"].revenue, rows["a"].month, rows["a"].load_date) == (Decimal("10.00"), 11, NOVEMBER)
+    assert (rows["b"].corporate_name, rows["b"].activity_places, rows["b"].revenue) == ("B", 5, Decimal("25.00"))
+    assert (rows["b"].month, rows["b"].load_date) == (12, DECEMBER)
+    assert rows["c"].month == 12 and rows[None].corporate_name == "lost"
+    again, _ = reg.upsert(merged, new)
+    assert sorted(map(str, again.collect())) == sorted(map(str, merged.collect()))
+
+
+def test_repeated_keys_are_refused(spark, store):
+    assert reg.repeated_keys(staged(spark, [(None, "x", 1, 1.0)] * 2, NOVEMBER)).count() == 0
+    with pytest.raises(ValueError, match="repeats keys"):
+        store.load(staged(spark, [("a", "x", 1, 1.0)] * 2, NOVEMBER), NOVEMBER)
+    assert store.versions() == [] and store.read() is None
+
+
+def test_versions_as_of_and_history(spark, store):
+    store.load(staged(spark, [("a", "A", 3, 10.0), ("b", "B", 5, 20.0)], NOVEMBER), NOVEMBER)
+    lost = store.load(staged(spark, [("b", "B", 5, 25.0), ("c", "C", 1, 7.0), (None, "x", 1, 1.0)], DECEMBER), DECEMBER)
+    assert lost.count() == 1
+    assert store.versions() == ["20251115T100000", "20251217T100000"]
+    assert {r.corporate_id for r in store.read().collect()} == {"a", "b", "c"}
+    early = store.read(as_of=datetime(2025, 12, 1))
+    assert {r.corporate_id: r.revenue for r in early.collect()} == {"a": Decimal("10.00"), "b": Decimal("20.00")}
+    assert store.read(as_of=datetime(2025, 1, 1)) is None
+    history = {r.commit_ts: (r.total_records, r.changed_records) for r in reg.history(store.snapshots()).collect()}
+    assert history == {"20251115T100000": (2, 2), "20251217T100000": (3, 2)}
+    with pytest.raises(ValueError, match="already exists"):
+        store.load(staged(spark, [("a", "A", 1, 1.0)], DECEMBER), DECEMBER)
+    store.load_once(staged(spark, [("a", "A", 1, 1.0)], DECEMBER), DECEMBER)
+    assert store.read().where("corporate_id = 'a'").first().activity_places == 3
+
+
+def test_unfinished_snapshot_is_ignored(spark, store):
+    store.load(staged(spark, [("a", "A", 3, 10.0)], NOVEMBER), NOVEMBER)
+    staged(spark, [("z", "Z", 1, 1.0)], DECEMBER).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
+    ).partitionBy("year", "month").parquet(f"{store.path}/commit_ts=20251217T100000")
+    assert store.versions() == ["20251115T100000"]
+    assert {r.corporate_id for r in store.read().collect()} == {"a"}
+    assert store.snapshots().count() == 1
+
+
+def test_month_scan_reads_only_its_folder(spark, store):
+    store.load(staged(spark, [("a", "A", 3, 10.0), ("b", "B", 5, 20.0)], NOVEMBER), NOVEMBER)
+    store.load(staged(spark, [("b", "B", 5, 25.0)], DECEMBER), DECEMBER)
+    scan = readers.registry_partition(store.read(), 2025, 12)
+    assert [r.corporate_id for r in scan.collect()] == ["b"]
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+
+
+def test_training_scan_pushes_its_filter(spark, store):
+    store.load(staged(spark, [("a", None, 3, 10.0), ("b", "B", 5, 1e300)], NOVEMBER), NOVEMBER)
+    scan = readers.registry_training_scan(store.read())
+    rows = scan.collect()
+    assert [(r.corporate_id, r.top_suppliers) for r in rows] == [("a", "")]
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(revenue), IsNotNull(profit)" in plan
+    assert "corporate_name" not in plan.split("ReadSchema")[1]
+
+
+def test_merge_statement_parses(spark):
+    text = reg.merge_statement("db.registry", "staged")
+    assert "t.city = coalesce(s.city, t.city)" in text and "t.month = s.month" in text
+    spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
+
+
+def test_tables_and_views(spark):
+    create_database(spark, "registry_db")
+    rows = staged(spark, [("a", "A", 3, 10.0)], NOVEMBER)
+    assert not spark.catalog.tableExists("registry_db.corporate_registry")
+    create_partitioned_table(rows, "registry_db.corporate_registry")
+    assert spark.catalog.tableExists("registry_db.corporate_registry")
+    assert spark.table("registry_db.corporate_registry").where("year = 2025 AND month = 11").count() == 1
+    register_views({"staged_view": rows})
+    assert spark.sql("SELECT count(*) AS n FROM staged_view").first().n == 1
+    spark.sql("DROP TABLE registry_db.corporate_registry")
+
+
+def write_raw(base, seller_rows):
+    (base / "source_supply").mkdir(parents=True)
+    (base / "source_financial").mkdir()
+    files = {
+        "items": (
+            "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"
+            "o1,1,p1,s1,2018-01-01 00:00:00,100.00,10.00\no2,1,p2,s1,2018-01-02 00:00:00,150.00,12.00\n"
+            "o3,1,p1,ghost,2018-01-02 00:00:00,1.00,1.00\n"
+        ),
+        "sellers": "seller_id,seller_zip_code_prefix,seller_city,seller_state\n" + seller_rows,
+        "payments": "order_id,payment_sequential,payment_type,payment_installments,payment_value\no1,1,card,1,110.00\n",
+    }
+    for name, text in files.items():
+        (base / readers.RAW_FILES[name]).write_text(text)
+
+
+def test_etl_from_files(spark, tmp_path):
+    write_raw(tmp_path / "raw", "s1,01037,sao paulo,SP\ns2,22000,rio,RJ\n")
+    quarantined = run_etl(spark, str(tmp_path / "raw"), str(tmp_path / "out"), NOVEMBER)
+    assert [r.corporate_name for r in quarantined.collect()] == ["seller ghost"]
+    rows = {r.city: r for r in RegistryStore(spark, str(tmp_path / "out/corporate_registry")).read().collect()}
+    assert rows["sao paulo"].revenue == Decimal("272.00") and rows["sao paulo"].profit == Decimal("48.96")
+    assert rows["sao paulo"].top_suppliers == "p1,p2" and rows["rio"].revenue is None
+    assert spark.read.parquet(str(tmp_path / "out/prepared_sources/source1_supply")).count() == 2
+
+
+def test_declared_schema_keeps_leading_zeros(spark, tmp_path):
+    write_raw(tmp_path / "raw", "s1,01037,sao paulo,SP\n")
+    _, declared, _ = readers.read_raw_sources(spark, str(tmp_path / "raw"))
+    _, inferred, _ = readers.read_raw_sources(spark, str(tmp_path / "raw"), infer=True)
+    assert declared.first().seller_zip_code_prefix == "01037"
+    assert inferred.first().seller_zip_code_prefix == 1037
+    counts = readers.row_counts({"sellers": declared}).first()
+    assert (counts.dataset, counts.total_records, counts.column_count) == ("sellers", 1, 4)
+
+
+def test_hash_changes_with_data_only(spark):
+    rows = staged(spark, [("a", "A", 3, 10.0)], NOVEMBER)
+    later = staged(spark, [("a", "A", 3, 10.0)], DECEMBER)
+    other = staged(spark, [("a", "A", 4, 10.0)], DECEMBER)
+    hashes = [reg.with_entity_hash(x).first().entity_hash for x in (rows, later, other)]
+    assert hashes[0] == hashes[1] != hashes[2]
