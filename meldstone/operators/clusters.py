@@ -14,24 +14,35 @@ from pyspark.sql import functions as F
 
 from meldstone.functions.text import cleanse_name
 from meldstone.operators.matching import THRESHOLD, similarity
+from meldstone.operators.skew import HEAVY_KEY_ROWS, join_lookup
 from meldstone.sources.storage import materialise
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_smallest(edges: DataFrame, total: int) -> DataFrame:
+    """Edges with ``m``, the smallest v of their u.
+
+    A hub may own a large share of all edges; below HEAVY_KEY_ROWS edges none can
+    be heavy and a plain join does.
+    """
+    smallest = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
+    if total <= HEAVY_KEY_ROWS:
+        return edges.join(smallest.drop("degree"), "u")
+    return join_lookup(edges, smallest, "u", "degree").drop("degree")
+
+
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    smallest = both.groupBy("u").agg(F.min("v").alias("n")).select("u", F.least("u", "n").alias("m"))
-    return both.where(F.col("v") > F.col("u")).join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    linked = _with_smallest(both, 2 * total).where(F.col("v") > F.col("u"))
+    return linked.select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where(F.col("u") != F.col("v"))
-    smallest = down.groupBy("u").agg(F.min("v").alias("m"))
-    relinked = (
-        down.join(smallest, "u")
-        .where(F.col("v") != F.col("m"))
-        .select(F.col("v").alias("u"), F.col("m").alias("v"))
+    linked = _with_smallest(down, total)
+    # An edge to the smallest neighbour itself stays; the others are moved to it.
+    return linked.select(
+        F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")
     )
-    return relinked.unionByName(smallest.select("u", F.col("m").alias("v")))
 
 
 def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
@@ -51,7 +62,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     pairs = edges.select(F.col("id_a").alias("u"), F.col("id_b").alias("v")).where(F.col("u") != F.col("v"))
     current, before = _written(pairs.distinct())
     for _ in range(max_rounds):
-        current, now = _written(_small_star(_large_star(current)).distinct())
+        total = before[0]
+        current, now = _written(_small_star(_large_star(current, total), total).distinct())
         if now == before:
             break
         before = now
@@ -72,7 +84,7 @@ def entity_clusters(records: DataFrame, matches: DataFrame) -> DataFrame:
     labels = connected_components(matches)
     sizes = labels.groupBy("cluster_id").agg(F.count("*").alias("cluster_size"))
     heads = named.select(F.col("id").alias("cluster_id"), F.col("name").alias("head_name"))
-    headed = labels.join(sizes.join(heads, "cluster_id"), "cluster_id")
+    headed = join_lookup(labels, sizes.join(heads, "cluster_id"), "cluster_id", "cluster_size")
     longer = F.greatest(F.length("name"), F.length("head_name"))
     distance = F.levenshtein("name", "head_name")
     rep_similarity = F.when(F.col("cluster_id").isNull(), F.lit(1.0)).otherwise(similarity(distance, longer))

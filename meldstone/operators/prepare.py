@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from meldstone.functions.numbers import MONEY, money
 from meldstone.operators.sequence import sequential_ids
+from meldstone.operators.skew import join_lookup
 
 # Source tags of the prepared sources.
 SUPPLY = "supply_chain"
@@ -196,11 +197,11 @@ def seller_supply_summary(
     product and bounds what a single task has to hold.
     """
     pairs = seller_products(items)
-    parts = F.greatest(F.lit(1), F.ceil(F.count("product_id") / products_per_row))
-    sizes = pairs.groupBy(F.col("seller_id").alias("sized_id")).agg(parts.alias("parts"))
+    sizes = pairs.groupBy("seller_id").agg(F.count("*").alias("n_products"))
+    parts = F.ceil(F.col("n_products") / products_per_row)
     lists = (
-        pairs.join(sizes, F.col("seller_id").eqNullSafe(F.col("sized_id")))
-        .withColumn("list_part", F.pmod(F.xxhash64("product_id"), F.col("parts")).cast("int"))
+        join_lookup(pairs, sizes, "seller_id", "n_products")
+        .withColumn("list_part", F.pmod(F.xxhash64("product_id"), parts).cast("int"))
         .groupBy(F.col("seller_id").alias("listed_id"), "list_part")
         .agg(F.sort_array(F.collect_list("product_id")).alias("top_suppliers"))
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from meldstone.functions.numbers import is_missing, percent
+from meldstone.sources.storage import materialise
 
 TIERS = ("bronze", "silver", "gold")
 
@@ -80,16 +81,14 @@ def _repeats(df: DataFrame) -> DataFrame:
     """One row with ``duplicate_count``: rows that repeat an earlier one.
 
     Only a hash of each row is exchanged at first. Rows whose hash occurs once
-    cannot repeat; the others are compared in full.
+    cannot repeat. The hashes that occur more often are written down, so that their
+    size is known when the rows carrying them are picked out and compared in full.
     """
     keys = df.select(*_comparable(df))
     hashed = keys.withColumn("_hash", F.xxhash64(*keys.columns))
     shared = hashed.groupBy("_hash").agg(F.count("*").alias("_rows")).where(F.col("_rows") > 1).select("_hash")
-    groups = (
-        hashed.join(shared, "_hash", "left_semi")
-        .groupBy("_hash", *keys.columns)
-        .agg(F.count("*").alias("_copies"))
-    )
+    suspects = hashed.join(materialise(shared, "hashes"), "_hash", "left_semi")
+    groups = suspects.groupBy(*keys.columns).agg(F.count("*").alias("_copies"))
     return groups.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_count"))
 
 
@@ -203,7 +202,8 @@ def enforce_gate(gate: DataFrame) -> None:
 
 def key_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Keys found on one side only: (key, side) with side 'missing' or 'extra' seen from ``left``."""
-    left_keys, right_keys = left.select(key), right.select(key)
-    missing = left_keys.join(right_keys, key, "left_anti").distinct().withColumn("side", F.lit("missing"))
-    extra = right_keys.join(left_keys, key, "left_anti").distinct().withColumn("side", F.lit("extra"))
+    # Distinct first: a key held by many rows then reaches the join once.
+    left_keys, right_keys = left.select(key).distinct(), right.select(key).distinct()
+    missing = left_keys.join(right_keys, key, "left_anti").withColumn("side", F.lit("missing"))
+    extra = right_keys.join(left_keys, key, "left_anti").withColumn("side", F.lit("extra"))
     return missing.unionByName(extra)

@@ -1,0 +1,27 @@
+"""Joins that stay parallel when one key holds a large share of all rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Keys with more rows than this are looked up by broadcast. A table of n rows has
+# fewer than n / HEAVY_KEY_ROWS of them: below a million even for 10^13 rows.
+HEAVY_KEY_ROWS = 10_000_000
+
+
+def join_lookup(
+    rows: DataFrame, lookup: DataFrame, key: str, weight: str, heavy_rows: int = HEAVY_KEY_ROWS
+) -> DataFrame:
+    """Inner join of ``rows`` to ``lookup``, which has one row per key (NULL included).
+
+    ``weight`` names the lookup column that counts the rows of a key. Heavy keys are
+    joined where their rows already are; only the others are exchanged by key.
+    """
+    is_heavy = F.col(weight) > heavy_rows
+    heavy = lookup.where(is_heavy).withColumnRenamed(key, "_key")
+    light = lookup.where(~is_heavy).withColumnRenamed(key, "_key")
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    spread = rows.join(F.broadcast(heavy), same)
+    others = rows.join(F.broadcast(heavy.select("_key")), same, "left_anti").join(light, same)
+    return spread.unionByName(others).drop("_key")

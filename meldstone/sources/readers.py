@@ -8,11 +8,11 @@ from pyspark.sql.types import StructType
 
 from meldstone.sources import schemas
 
-# Relative locations of the raw files.
+# Relative locations of the raw files; any prefix or suffix of the file names will do.
 RAW_FILES = {
-    "items": "source_supply/olist_order_items_dataset.csv",
-    "sellers": "source_supply/olist_sellers_dataset.csv",
-    "payments": "source_financial/olist_order_payments_dataset.csv",
+    "items": "source_supply/*order_items*.csv",
+    "sellers": "source_supply/*sellers*.csv",
+    "payments": "source_financial/*order_payments*.csv",
 }
 
 RAW_SCHEMAS = {

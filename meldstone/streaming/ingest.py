@@ -18,6 +18,7 @@ from meldstone.operators.harmonize import harmonize
 from meldstone.operators.prepare import prepare_sources
 from meldstone.operators.registry import registry_staging
 from meldstone.sources.registry_store import RegistryStore
+from meldstone.sources.storage import materialise
 
 
 class RegistryIngest:
@@ -52,8 +53,10 @@ class RegistryIngest:
         moment = self.started + timedelta(seconds=batch_id)
         batch.write.mode("overwrite").parquet(f"{self.items_path}/batch_id={batch_id}")
         written = self.spark.read.schema(self.schema).parquet(f"{self.items_path}/batch_id={batch_id}")
-        touched = written.select("seller_id").distinct()
-        items = self._stored_items(batch_id).join(touched, "seller_id", "left_semi")
+        # Both are written down: the joins below then know their sizes, and the two
+        # aggregations of the items start from files that no key has partitioned.
+        touched = materialise(written.select("seller_id").distinct(), "touched")
+        items = materialise(self._stored_items(batch_id).join(touched, "seller_id", "left_semi"), "items")
         # The first batch also brings in sellers that have no items yet.
         sellers = self.sellers if batch_id == 0 else self.sellers.join(touched, "seller_id", "left_semi")
         staged = registry_staging(harmonize(*prepare_sources(items, sellers)), moment)

@@ -134,7 +134,7 @@ def write_raw(base, seller_rows):
         "payments": "order_id,payment_sequential,payment_type,payment_installments,payment_value\no1,1,card,1,110.00\n",
     }
     for name, text in files.items():
-        (base / readers.RAW_FILES[name]).write_text(text)
+        (base / readers.RAW_FILES[name].replace("*", "x_")).write_text(text)
 
 
 def test_etl_from_files(spark, tmp_path):
