@@ -9,7 +9,7 @@ executor never restarts the loop.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meldstone.functions.text import cleanse_name
@@ -21,12 +21,12 @@ from meldstone.sources.storage import materialise
 def _with_smallest(edges: DataFrame, total: int) -> DataFrame:
     """Edges with ``m``, the smallest v of their u.
 
-    A hub may own a large share of all edges; below HEAVY_KEY_ROWS edges none can
-    be heavy and a plain join does.
+    Few edges need one exchange for it. Among many, a hub may own a large share, so
+    its minimum is aggregated and looked up instead.
     """
-    smallest = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
     if total <= HEAVY_KEY_ROWS:
-        return edges.join(smallest.drop("degree"), "u")
+        return edges.withColumn("m", F.min("v").over(Window.partitionBy("u")))
+    smallest = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
     return join_lookup(edges, smallest, "u", "degree").drop("degree")
 
 
@@ -81,10 +81,12 @@ def entity_clusters(records: DataFrame, matches: DataFrame) -> DataFrame:
     is_chained marks members that reach it only through others.
     """
     named = records.select("id", cleanse_name(F.col("name")).alias("name"))
-    labels = connected_components(matches)
+    labels = materialise(connected_components(matches), "labels")
     sizes = labels.groupBy("cluster_id").agg(F.count("*").alias("cluster_size"))
     heads = named.select(F.col("id").alias("cluster_id"), F.col("name").alias("head_name"))
-    headed = join_lookup(labels, sizes.join(heads, "cluster_id"), "cluster_id", "cluster_size")
+    headed = join_lookup(
+        labels, sizes.join(heads, "cluster_id"), "cluster_id", "cluster_size", HEAVY_KEY_ROWS, labels.count()
+    )
     longer = F.greatest(F.length("name"), F.length("head_name"))
     distance = F.levenshtein("name", "head_name")
     rep_similarity = F.when(F.col("cluster_id").isNull(), F.lit(1.0)).otherwise(similarity(distance, longer))

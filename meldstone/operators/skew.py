@@ -11,17 +11,25 @@ HEAVY_KEY_ROWS = 10_000_000
 
 
 def join_lookup(
-    rows: DataFrame, lookup: DataFrame, key: str, weight: str, heavy_rows: int = HEAVY_KEY_ROWS
+    rows: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    weight: str,
+    heavy_rows: int = HEAVY_KEY_ROWS,
+    total: int | None = None,
 ) -> DataFrame:
     """Inner join of ``rows`` to ``lookup``, which has one row per key (NULL included).
 
     ``weight`` names the lookup column that counts the rows of a key. Heavy keys are
-    joined where their rows already are; only the others are exchanged by key.
+    joined where their rows already are; only the others are exchanged by key. Where
+    ``total``, the number of rows, is known and small, no key can be heavy.
     """
-    is_heavy = F.col(weight) > heavy_rows
-    heavy = lookup.where(is_heavy).withColumnRenamed(key, "_key")
-    light = lookup.where(~is_heavy).withColumnRenamed(key, "_key")
+    keyed = lookup.withColumnRenamed(key, "_key")
     same = F.col(key).eqNullSafe(F.col("_key"))
+    if total is not None and total <= heavy_rows:
+        return rows.join(keyed, same).drop("_key")
+    is_heavy = F.col(weight) > heavy_rows
+    heavy, light = keyed.where(is_heavy), keyed.where(~is_heavy)
     spread = rows.join(F.broadcast(heavy), same)
     others = rows.join(F.broadcast(heavy.select("_key")), same, "left_anti").join(light, same)
     return spread.unionByName(others).drop("_key")

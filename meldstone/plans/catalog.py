@@ -20,7 +20,7 @@ from meldstone.plans import inputs, training
 from meldstone.plans import oracle as o
 from meldstone.sources import readers, tables
 from meldstone.sources.registry_store import RegistryStore
-from meldstone.sources.storage import scratch_path
+from meldstone.sources.storage import materialise, scratch_path
 from meldstone.streaming.ingest import RegistryIngest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -769,7 +769,11 @@ def transformation_rules(spark, sf):
 
 
 def _training(spark, sf, threshold=features.PROFIT_THRESHOLD) -> DataFrame:
-    return training.training_features(inputs.training_registry(spark, sf), threshold)
+    registry = inputs.training_registry(spark, sf)
+    if threshold == "median":
+        # Read several times, and a stored table in a real run.
+        registry = materialise(registry, "registry")
+    return training.training_features(registry, threshold)
 
 
 @register("high_profit_label", f"{o.TRAINING} SELECT corporate_id, profit, high_profit_label FROM features")

@@ -18,6 +18,7 @@ def test_lookup_equals_plain_join(spark, heavy_rows):
 
 def test_heavy_hub_in_components(spark, monkeypatch):
     monkeypatch.setattr(clusters, "HEAVY_KEY_ROWS", 0)
+    monkeypatch.setattr(clusters, "join_lookup", lambda *a: join_lookup(*a, heavy_rows=20))
     edges = spark.range(1, 200).select(F.lit(0).cast("bigint").alias("id_a"), F.col("id").alias("id_b"))
     edges = edges.union(spark.createDataFrame([(500, 501), (502, 501)], "id_a bigint, id_b bigint"))
     got = {r.id: r.cluster_id for r in clusters.connected_components(edges).collect()}
