@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
+from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from meldstone.functions.numbers import profit_margin
 
@@ -134,12 +134,10 @@ def _broken(df: DataFrame, rule: Field) -> Column:
     checks: list[tuple[str, Column]] = []
     if rule.required:
         checks.append(("required", value.isNull()))
-    if rule.type == "int" and isinstance(data_type, NumericType) and not isinstance(data_type, type(None)):
-        if isinstance(data_type, (FloatType, DoubleType)):
-            checks.append(("integer", F.isnan(value) | (value != F.floor(value))))
-    if isinstance(data_type, (FloatType, DoubleType)) and any(
-        bound is not None for bound in (rule.above, rule.minimum, rule.maximum)
-    ):
+    is_float = isinstance(data_type, (FloatType, DoubleType))
+    if rule.type == "int" and is_float:
+        checks.append(("integer", F.isnan(value) | (value != F.floor(value))))
+    if is_float and any(bound is not None for bound in (rule.above, rule.minimum, rule.maximum)):
         # Spark orders NaN above every number, so bounds alone would let it pass.
         checks.append(("not_a_number", F.isnan(value)))
     if rule.above is not None:

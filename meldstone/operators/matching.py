@@ -184,15 +184,19 @@ def _segment_probe(reps: DataFrame, extra: Column) -> DataFrame:
 
 def _selective_index(reps: DataFrame, common: int) -> tuple[DataFrame, Column]:
     """Index rows worth joining on, and the extra counts in use."""
+
+    def frequent_in(index: DataFrame) -> DataFrame:
+        # Written down, since the planner's estimate ignores the expansion into segments.
+        counted = index.groupBy("sig").agg(F.count("*").alias("n")).where(F.col("n") > common)
+        return materialise(counted, "segments")
+
     plain = F.array(F.lit(1))
     index = _segment_index(reps, plain)
-    frequent = index.groupBy("sig").agg(F.count("*").alias("n")).where(F.col("n") > common)
-    if frequent.isEmpty():
+    if frequent_in(index).isEmpty():
         return index, plain
     options = F.array(*[F.lit(m) for m in range(1, MAX_EXTRA_SEGMENTS + 1)])
     index = _segment_index(reps, options)
-    frequent = index.groupBy("sig").agg(F.count("*").alias("n")).where(F.col("n") > common)
-    # Each common segment stands for more than ``common`` rows of the index.
+    frequent = frequent_in(index)
     marked = index.join(frequent, "sig", "left").withColumn("is_common", F.col("n").isNotNull())
     usable = (
         marked.groupBy("id", "l", "m")
@@ -203,7 +207,7 @@ def _selective_index(reps: DataFrame, common: int) -> tuple[DataFrame, Column]:
     )
     # A name whose segments are common under every cut keeps all of them.
     kept = (
-        marked.join(usable, ["id", "l"], "left")
+        marked.join(usable.hint("merge"), ["id", "l"], "left")
         .where(F.col("m") == F.coalesce("best", F.lit(1)))
         .where(~F.col("is_common") | F.col("best").isNull())
         .select(*index.columns)

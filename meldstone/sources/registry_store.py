@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meldstone.operators.registry import repeated_keys, upsert
+from meldstone.operators.registry import KEY, repeated_keys, upsert
 from meldstone.sources import schemas
 from meldstone.sources.storage import list_folders, materialise, path_exists
 
@@ -86,6 +86,14 @@ class RegistryStore:
         return quarantined
 
     def load_once(self, staging: DataFrame, moment: datetime) -> None:
-        """Load unless this moment's version is already there, as after a replay."""
-        if _version(moment) not in self.versions():
-            self.load(staging, moment)
+        """Load unless this moment's version is already there, as after a replay.
+
+        Rows without a key are kept next to the registry, in <path>_quarantine.
+        """
+        version = _version(moment)
+        if version in self.versions():
+            return
+        staging = materialise(staging, "staging")
+        lost = staging.where(F.col(KEY).isNull())
+        lost.write.mode("overwrite").parquet(f"{self.path}_quarantine/{_PREFIX}{version}")
+        self.load(staging.where(F.col(KEY).isNotNull()), moment)

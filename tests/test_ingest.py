@@ -41,6 +41,9 @@ def test_batches_equal_a_full_rebuild(spark):
     got, want = data_columns(store.read()), data_columns(rebuilt)
     assert got.count() == 7 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
+    lost = spark.read.parquet(f"{store.path}_quarantine")
+    assert {r.corporate_name for r in lost.collect()} == {"seller ghost"}
+
     before = store.versions()
     ingest.run()
     assert store.versions() == before
