@@ -179,10 +179,12 @@ def redacted(text: str | None, spans: list[Span]) -> str | None:
     return "".join([*parts, text[done:]])
 
 
-FOUND = "array<struct<kind:string,start:bigint,end:bigint,score:double>>"
+FOUND = (
+    "spans array<struct<kind:string,start:bigint,end:bigint,score:double>>, "
+    "redacted string, span_text string, base_sha256 string"
+)
 
 
-@F.pandas_udf(f"spans {FOUND}, redacted string, span_text string, base_sha256 string")
 def _find(texts: pd.Series) -> pd.DataFrame:
     rows = []
     for text in texts:
@@ -202,7 +204,7 @@ def _find(texts: pd.Series) -> pd.DataFrame:
 def find_pii(docs: DataFrame, text: str = "text", result: str = "pii") -> DataFrame:
     """``docs`` with ``result``: spans, the redacted text and digests of the span list."""
     share_package(docs.sparkSession)
-    return docs.withColumn(result, _find(F.col(text)))
+    return docs.withColumn(result, F.pandas_udf(_find, FOUND)(F.col(text)))
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
