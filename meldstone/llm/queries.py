@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from meldstone.llm import pii
+import public_tokenizers
+
+from meldstone.llm import bpe, pii
 from meldstone.llm.common import table
 
+RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def _op7(spark, sf_dir):
+    tokenizer = bpe.Tokenizer(spark, RANK_FILE, public_tokenizers.PATTERN)
+    return bpe.token_report(table(spark, sf_dir, "documents"), tokenizer)
+
+
 QUERIES = {
+    "op7_bpe": _op7,
     "op10_pii": lambda spark, sf_dir: pii.pii_report(table(spark, sf_dir, "documents")),
 }
 
