@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from meldstone.llm import bpe, pii
+from meldstone.llm import bpe, language_id, pii
 from meldstone.llm.common import table
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -16,6 +16,7 @@ def _op7(spark, sf_dir):
 
 
 QUERIES = {
+    "op3_language_id": lambda spark, sf_dir: language_id.language_report(table(spark, sf_dir, "documents")),
     "op7_bpe": _op7,
     "op10_pii": lambda spark, sf_dir: pii.pii_report(table(spark, sf_dir, "documents")),
 }
