@@ -21,7 +21,7 @@ import base64
 import hashlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -32,12 +32,12 @@ from pyspark.sql import functions as F
 from meldstone.llm.common import share_package
 
 #: Bytes of distinct words replayed together.
-BLOCK_BYTES = 2_000_000
-#: Words whose ids a Python worker remembers, and pairs whose ranks it remembers.
-KEPT_WORDS = 300_000
-KEPT_PAIRS = 1_000_000
+BLOCK_BYTES = 4_000_000
+#: Words whose ids a Python worker remembers.
+KEPT_WORDS = 600_000
 
-_END = -1
+# No pair, no symbol: above every rank.
+_NONE = 1 << 30
 
 
 class Vocabulary:
@@ -47,12 +47,19 @@ class Vocabulary:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
-        self.word_ids: dict[str, bytes] = {}
-        self.pairs: dict[int, int] = {}
+        # Two generations: words not met again while the newer one fills are forgotten.
+        self.newer: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
-        self.byte_pairs = np.array(
-            [ranks.get(bytes([a, b]), _END) for a in range(256) for b in range(256)], dtype=np.int64
-        )
+        pairs = {
+            ranks[token[:cut]] << 32 | ranks[token[cut:]]: rank
+            for token, rank in ranks.items()
+            for cut in range(1, len(token))
+            if token[:cut] in ranks and token[cut:] in ranks
+        }
+        # A last key beyond all others, so that every search ends at an entry.
+        self.pair_keys = np.array([*sorted(pairs), np.iinfo(np.int64).max])
+        self.pair_ranks = np.array([*(pairs[k] for k in self.pair_keys[:-1].tolist()), _NONE])
 
     @classmethod
     def parse(cls, content: bytes, pattern: str) -> Vocabulary:
@@ -60,120 +67,154 @@ class Vocabulary:
         lines = (line.split() for line in content.splitlines() if line.strip())
         return cls({base64.b64decode(token): int(rank) for token, rank in lines}, pattern)
 
-    def pair_rank(self, left: int, right: int) -> int:
-        key = left << 32 | right
-        rank = self.pairs.get(key)
-        if rank is None:
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
-            rank = self.pairs[key] = self.ranks.get(self.tokens[left] + self.tokens[right], _END)
-        return rank
+    def merge_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank at which each pair of symbols merges, _NONE if it never does."""
+        keys = left << 32 | right
+        at = np.searchsorted(self.pair_keys, keys)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], _NONE)
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.word_ids) > KEPT_WORDS:
-            self.word_ids.clear()
-        known = self.word_ids
-        encoded = []
-        block, size = [], 0
-        split = [self.pattern.findall(text) for text in texts]
-        for word in {w for found in split for w in found if w not in known}:
-            raw = word.encode("utf-8", "surrogatepass")
-            whole = self.ranks.get(raw)
-            if whole is not None:
-                known[word] = whole.to_bytes(4, "little")
-                continue
-            block.append((word, raw))
-            size += len(raw)
-            if size >= BLOCK_BYTES:
-                self._remember(block)
-                block, size = [], 0
-        self._remember(block)
-        for found in split:
-            encoded.append(b"".join([known[w] for w in found]))
-        return encoded
-
-    def _remember(self, block: list[tuple[str, bytes]]) -> None:
-        ids = replay([raw for _, raw in block], self)
-        self.word_ids.update(zip((word for word, _ in block), ids, strict=True))
+        numbers: defaultdict[str, int] = defaultdict()
+        numbers.default_factory = numbers.__len__
+        split = []
+        for text in texts:
+            found = self.pattern.findall(text)
+            split.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
+        ids = self._ids(list(numbers))
+        return [b"".join([ids[n] for n in found.tolist()]) for found in split]
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        ids: list[bytes | None] = []
+        places, block, size = [], [], 0
+        for place, word in enumerate(words):
+            known = self.newer.get(word) or self.older.get(word)
+            if known is None:
+                raw = word.encode("utf-8", "surrogatepass")
+                whole = self.ranks.get(raw)
+                if whole is not None:
+                    known = whole.to_bytes(4, "little")
+                else:
+                    places.append(place)
+                    block.append(raw)
+                    size += len(raw)
+            ids.append(known)
+            if block and (size >= BLOCK_BYTES or place + 1 == len(words)):
+                for at, found in zip(places, replay(block, self), strict=True):
+                    ids[at] = found
+                places, block, size = [], [], 0
+        self._keep(words, ids)
+        return ids
+
+    def _keep(self, words: list[str], ids: list[bytes]) -> None:
+        for word, found in zip(words, ids, strict=True):
+            if len(self.newer) >= KEPT_WORDS // 2:
+                self.newer, self.older = {}, self.newer
+            self.newer[word] = found
 
     def decode(self, ids: bytes) -> bytes:
         tokens = self.tokens
         return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
+def _leftmost(places: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """Sorted places without those whose left symbol the place before would take."""
+    taken = np.zeros(len(places), dtype=bool)
+    taken[1:] = following[places[:-1]] == places[1:]
+    if not taken.any():
+        return places
+    # In a run of touching places every second one stays, from the first on.
+    order = np.arange(len(places))
+    run_start = np.maximum.accumulate(np.where(taken, 0, order))
+    return places[(order - run_start) % 2 == 0]
+
+
 def replay(words: list[bytes], vocabulary: Vocabulary) -> list[bytes]:
     """Ids of every word after all merges, each as packed 32-bit integers."""
-    if not words:
-        return []
     lengths = np.array([len(w) for w in words])
     ends = np.cumsum(lengths)
     starts = ends - lengths
-    raw = np.frombuffer(b"".join(words), dtype=np.uint8).astype(np.int64)
-    total = len(raw)
-
-    after = np.arange(1, total + 1)
-    after[ends - 1] = _END
-    before = np.arange(-1, total - 1)
-    before[starts] = _END
-    rank_at = np.full(total, _END)
-    rank_at[:-1] = vocabulary.byte_pairs[raw[:-1] * 256 + raw[1:]]
-    rank_at[ends - 1] = _END
-
-    # The inverted index: rank of a pair -> positions of its left symbol.
-    index: dict[int, list[int]] = defaultdict(list)
-    paired = np.flatnonzero(rank_at != _END)
-    paired = paired[np.argsort(rank_at[paired], kind="stable")]
-    present, first = np.unique(rank_at[paired], return_index=True)
-    for rank, places in zip(present.tolist(), np.split(paired, first[1:]), strict=True):
-        index[rank] = places.tolist()
-    queue = list(index)
-    heapify(queue)
-
-    symbol = vocabulary.byte_ids[raw].tolist()
-    following, previous = after.tolist(), before.tolist()
-    pair_rank = vocabulary.pair_rank
+    total = int(ends[-1])
+    word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
+    # Place ``total`` stands for what lies outside of a word.
+    symbol = np.append(vocabulary.byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)], _NONE)
+    following = np.arange(1, total + 2, dtype=np.int32)
+    following[ends - 1] = following[total] = total
+    previous = np.arange(-1, total, dtype=np.int32)
+    previous[starts] = total
+    # Rank at which the pair that starts at a place merges.
+    rank_at = vocabulary.merge_ranks(symbol, symbol[following])
+
+    # The inverted index: rank of a pair -> places where such pairs start, in pieces.
+    index: dict[int, list[np.ndarray]] = {}
+    queue: list[int] = []
+
+    def enter(places: np.ndarray, ranks: np.ndarray) -> None:
+        paired = ranks != _NONE
+        places, ranks = places[paired], ranks[paired]
+        if not len(places):
+            return
+        order = np.argsort(ranks, kind="stable")
+        places, ranks = places[order], ranks[order]
+        cuts = [*np.flatnonzero(np.diff(ranks, prepend=-1)).tolist(), len(ranks)]
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            rank = int(ranks[start])
+            if rank not in index:
+                index[rank] = []
+                heappush(queue, rank)
+            index[rank].append(places[start:end])
+
+    enter(np.arange(total), rank_at[:total])
     while queue:
         rank = heappop(queue)
-        places = index.pop(rank, None)
-        if places is None:
+        pieces = index.pop(rank)
+        places = pieces[0] if len(pieces) == 1 else np.concatenate(pieces)
+        places = places[rank_at[places] == rank]  # earlier merges may have taken a part
+        if not len(places):
             continue
-        places.sort()
-        for done, left in enumerate(places, 1):
-            right = following[left] if symbol[left] != _END else _END
-            if right == _END or pair_rank(symbol[left], symbol[right]) != rank:
-                continue  # an earlier merge took one of the two
-            symbol[left], symbol[right] = rank, _END
-            beyond = following[left] = following[right]
-            lowest = rank
-            if beyond != _END:
-                previous[beyond] = left
-                new = pair_rank(rank, symbol[beyond])
-                if new != _END:
-                    if new not in index:
-                        heappush(queue, new)
-                    index[new].append(left)
-                    lowest = min(lowest, new)
-            ahead = previous[left]
-            if ahead != _END:
-                new = pair_rank(symbol[ahead], rank)
-                if new != _END:
-                    if new not in index:
-                        heappush(queue, new)
-                    index[new].append(ahead)
-                    lowest = min(lowest, new)
-            if lowest < rank and done < len(places):
-                # A pair that goes first has appeared: come back to the rest afterwards.
-                if rank not in index:
-                    heappush(queue, rank)
-                index[rank].extend(places[done:])
-                break
-
-    final = np.array(symbol)
-    kept = final != _END
-    packed = final[kept].astype("<u4").tobytes()
-    counts = np.cumsum(np.add.reduceat(kept.astype(np.int64), starts)) * 4
-    return [packed[a:b] for a, b in zip([0, *counts[:-1].tolist()], counts.tolist(), strict=True)]
+        if len(places) > 1:
+            places = _leftmost(np.unique(places), following)
+        lowest, *changes = _around(places, rank, symbol, following, previous, vocabulary)
+        if lowest < rank:
+            # A pair that goes first appears: merge the first place of each word, the rest later.
+            _, first = np.unique(word[places], return_index=True)
+            index[rank] = [np.delete(places, first)]
+            heappush(queue, rank)
+            places = places[first]
+            _, *changes = _around(places, rank, symbol, following, previous, vocabulary)
+        right, beyond, new_right, ahead, new_left = changes
+        symbol[places], symbol[right], rank_at[right] = rank, _NONE, _NONE
+        following[places], previous[beyond] = beyond, places
+        rank_at[places], rank_at[ahead] = new_right, new_left
+        enter(np.concatenate([places, ahead]), np.concatenate([new_right, new_left]))
+
+    kept = symbol[:total] != _NONE
+    packed = symbol[:total][kept].astype("<u4").tobytes()
+    counts = (np.cumsum(np.add.reduceat(kept.astype(np.int64), starts)) * 4).tolist()
+    return [packed[a:b] for a, b in zip([0, *counts[:-1]], counts, strict=True)]
+
+
+def _around(places, rank, symbol, following, previous, vocabulary):
+    """What merging the pairs at ``places`` changes beside them.
+
+    Gives the lowest rank of any pair that appears on the way, then the right symbols, the
+    places after them, the ranks of the pairs there, the places before, the ranks there.
+    """
+    right, ahead = following[places], previous[places]
+    beyond = following[right]
+    merged = np.full(len(places), rank)
+    new_right = vocabulary.merge_ranks(merged, symbol[beyond])
+    lowest = new_right.min()
+    # Of two pairs side by side the second one merges as well; the first sees its result.
+    touching = beyond[:-1] == places[1:]
+    if touching.any():
+        twice = vocabulary.merge_ranks(merged[:1], merged[:1])[0]
+        lowest = min(lowest, twice)
+        new_right[:-1][touching] = twice
+        alone = np.append(True, ~touching)
+        ahead, merged = ahead[alone], merged[alone]
+    new_left = vocabulary.merge_ranks(symbol[ahead], merged)
+    return min(lowest, new_left.min()), right, beyond, new_right, ahead, new_left
 
 
 # One vocabulary for each rank file in a Python worker.

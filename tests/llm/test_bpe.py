@@ -53,7 +53,6 @@ def test_merge_that_enables_an_earlier_rank():
 def test_blocks_and_forgetting_do_not_change_ids(content, library, monkeypatch):
     monkeypatch.setattr(bpe, "BLOCK_BYTES", 50)
     monkeypatch.setattr(bpe, "KEPT_WORDS", 10)
-    monkeypatch.setattr(bpe, "KEPT_PAIRS", 10)
     vocabulary = bpe.Vocabulary.parse(content, public_tokenizers.PATTERN)
     for given in (texts()[:60], texts()[30:90]):
         for text, ids in zip(given, vocabulary.encode_all(given), strict=True):
