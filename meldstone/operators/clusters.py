@@ -1,77 +1,51 @@
 """Entities from matching pairs: connected components on DataFrames.
 
-Alternates the two star operations of Kiveris et al., "Connected Components in
-MapReduce and Beyond" (2014): every node is re-linked to the smallest of its
-neighbours, first from above, then from below, until nothing changes. Only ids
-travel. Each round ends in a written table, so lineage stays short and a lost
-executor never restarts the loop.
+Every id carries a label, at first the smallest of its neighbours and itself. In each
+round it takes the smallest label among its neighbours and the label of its own label, so
+distances to the smallest id halve. Only ids travel: a hub's neighbours are reduced before
+the exchange, and lookups by a hub are plain joins, which adaptive execution splits. Each
+round ends in a written table, so lineage stays short and a lost executor never restarts
+the loop; the table of the round before is then deleted.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meldstone.functions.text import cleanse_name
 from meldstone.operators.matching import THRESHOLD, similarity
 from meldstone.operators.skew import HEAVY_KEY_ROWS, join_lookup
-from meldstone.sources.storage import materialise
+from meldstone.sources.storage import materialise, remove_path, scratch_path, written
 
 
-def _with_smallest(edges: DataFrame, total: int) -> DataFrame:
-    """Edges with ``m``, the smallest v of their u.
-
-    Few edges need one exchange for it. Among many, a hub may own a large share, so
-    its minimum is aggregated and looked up instead.
-    """
-    if total <= HEAVY_KEY_ROWS:
-        return edges.withColumn("m", F.min("v").over(Window.partitionBy("u")))
-    smallest = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
-    return join_lookup(edges, smallest, "u", "degree").drop("degree")
-
-
-def _large_star(edges: DataFrame, total: int) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    linked = _with_smallest(both, 2 * total).where(F.col("v") > F.col("u"))
-    return linked.select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
-
-
-def _small_star(edges: DataFrame, total: int) -> DataFrame:
-    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where(F.col("u") != F.col("v"))
-    linked = _with_smallest(down, total)
-    # An edge to the smallest neighbour itself stays; the others are moved to it.
-    return linked.select(
-        F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")
-    )
-
-
-def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
-    """The edges as a written table, and a fingerprint to tell whether they changed."""
-    table = materialise(edges, "edges")
-    h = F.xxhash64("u", "v")
-    row = table.agg(F.count("*"), F.bit_xor(h), F.sum(h.cast("decimal(20,0)"))).first()
-    return table, tuple(row)
+def _fingerprint(labels: DataFrame) -> tuple:
+    h = F.xxhash64("id", "cluster_id")
+    return tuple(labels.agg(F.count("*"), F.bit_xor(h), F.sum(h.cast("decimal(20,0)"))).first())
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(id, cluster_id) for every id on an edge; cluster_id is the smallest id reached.
 
-    ``edges`` has columns id_a and id_b. The number of rounds grows with the
-    logarithm of the edge count.
+    ``edges`` has columns id_a and id_b. The rounds end once no label changes; labels only
+    ever become smaller, and their number grows with the logarithm of the longest path.
     """
+    spark = edges.sparkSession
     pairs = edges.select(F.col("id_a").alias("u"), F.col("id_b").alias("v")).where(F.col("u") != F.col("v"))
-    current, before = _written(pairs.distinct())
-    for _ in range(max_rounds):
-        total = before[0]
-        current, now = _written(_small_star(_large_star(current, total), total).distinct())
-        if now == before:
-            break
-        before = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    members = current.groupBy("u").agg(F.min("v").alias("cluster_id")).withColumnRenamed("u", "id")
-    roots = members.select(F.col("cluster_id").alias("id")).distinct().withColumn("cluster_id", F.col("id"))
-    return members.unionByName(roots)
+    links = materialise(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "links")
+    first = links.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("cluster_id"))
+    path = scratch_path(spark, "labels")
+    labels = written(first.select("id", F.least("id", "cluster_id").alias("cluster_id")), path)
+    before = None
+    while before != (now := _fingerprint(labels)):
+        before, spent = now, path
+        near = links.join(labels.withColumnRenamed("id", "v"), "v").select(F.col("u").alias("id"), "cluster_id")
+        hops = labels.select(F.col("id").alias("cluster_id"), F.col("cluster_id").alias("further"))
+        onward = labels.join(hops, "cluster_id").select("id", F.col("further").alias("cluster_id"))
+        path = scratch_path(spark, "labels")
+        labels = written(near.unionByName(onward).groupBy("id").agg(F.min("cluster_id").alias("cluster_id")), path)
+        remove_path(spark, spent)
+    return labels
 
 
 def entity_clusters(records: DataFrame, matches: DataFrame) -> DataFrame:

@@ -40,10 +40,19 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     Cuts lineage: later stages re-read files instead of recomputing the plan,
     and a lost executor costs only its own tasks.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
+    return written(df, scratch_path(df.sparkSession, label))
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written at ``path`` and read back."""
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that no later step reads."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
