@@ -1,6 +1,6 @@
 """Byte-level BPE encoding and decoding by replaying merges over a block of words.
 
-A batch of texts is split into words; the distinct words not met before form a block.
+Texts are split into words; the distinct words not met before form a block.
 Over a block an inverted index leads from a merge rank to the positions of pairs that
 merge at this rank. Ranks are taken in ascending order; each is applied to all its
 positions at once, and only the two neighbours of a merged pair get new index entries.
@@ -31,10 +31,12 @@ from pyspark.sql import functions as F
 
 from meldstone.llm.common import share_package
 
+#: Characters of texts whose words are numbered together; a longer text is taken alone.
+CHUNK_CHARS = 8_000_000
 #: Bytes of distinct words replayed together.
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 2_000_000
 #: Words whose ids a Python worker remembers.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 400_000
 
 # No pair, no symbol: above every rank.
 _NONE = 1 << 30
@@ -50,7 +52,7 @@ class Vocabulary:
         # Two generations: words not met again while the newer one fills are forgotten.
         self.newer: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         pairs = {
             ranks[token[:cut]] << 32 | ranks[token[cut:]]: rank
             for token, rank in ranks.items()
@@ -59,7 +61,7 @@ class Vocabulary:
         }
         # A last key beyond all others, so that every search ends at an entry.
         self.pair_keys = np.array([*sorted(pairs), np.iinfo(np.int64).max])
-        self.pair_ranks = np.array([*(pairs[k] for k in self.pair_keys[:-1].tolist()), _NONE])
+        self.pair_ranks = np.array([*(pairs[k] for k in self.pair_keys[:-1].tolist()), _NONE], dtype=np.int32)
 
     @classmethod
     def parse(cls, content: bytes, pattern: str) -> Vocabulary:
@@ -69,12 +71,22 @@ class Vocabulary:
 
     def merge_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank at which each pair of symbols merges, _NONE if it never does."""
-        keys = left << 32 | right
+        keys = left.astype(np.int64) << 32 | right
         at = np.searchsorted(self.pair_keys, keys)
-        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], _NONE)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], np.int32(_NONE))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        encoded, chunk, size = [], [], 0
+        for text in texts:
+            if chunk and size + len(text) > CHUNK_CHARS:
+                encoded += self._encode_chunk(chunk)
+                chunk, size = [], 0
+            chunk.append(text)
+            size += len(text)
+        return encoded + self._encode_chunk(chunk)
+
+    def _encode_chunk(self, texts: list[str]) -> list[bytes]:
         numbers: defaultdict[str, int] = defaultdict()
         numbers.default_factory = numbers.__len__
         split = []
@@ -137,7 +149,7 @@ def replay(words: list[bytes], vocabulary: Vocabulary) -> list[bytes]:
     total = int(ends[-1])
     word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
     # Place ``total`` stands for what lies outside of a word.
-    symbol = np.append(vocabulary.byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)], _NONE)
+    symbol = np.append(vocabulary.byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)], np.int32(_NONE))
     following = np.arange(1, total + 2, dtype=np.int32)
     following[ends - 1] = following[total] = total
     previous = np.arange(-1, total, dtype=np.int32)
@@ -164,7 +176,7 @@ def replay(words: list[bytes], vocabulary: Vocabulary) -> list[bytes]:
                 heappush(queue, rank)
             index[rank].append(places[start:end])
 
-    enter(np.arange(total), rank_at[:total])
+    enter(np.arange(total, dtype=np.int32), rank_at[:total])
     while queue:
         rank = heappop(queue)
         pieces = index.pop(rank)
@@ -202,7 +214,7 @@ def _around(places, rank, symbol, following, previous, vocabulary):
     """
     right, ahead = following[places], previous[places]
     beyond = following[right]
-    merged = np.full(len(places), rank)
+    merged = np.full(len(places), rank, dtype=np.int32)
     new_right = vocabulary.merge_ranks(merged, symbol[beyond])
     lowest = new_right.min()
     # Of two pairs side by side the second one merges as well; the first sees its result.

@@ -52,6 +52,7 @@ def test_merge_that_enables_an_earlier_rank():
 
 def test_blocks_and_forgetting_do_not_change_ids(content, library, monkeypatch):
     monkeypatch.setattr(bpe, "BLOCK_BYTES", 50)
+    monkeypatch.setattr(bpe, "CHUNK_CHARS", 700)
     monkeypatch.setattr(bpe, "KEPT_WORDS", 10)
     vocabulary = bpe.Vocabulary.parse(content, public_tokenizers.PATTERN)
     for given in (texts()[:60], texts()[30:90]):
