@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from meldstone.llm import bpe, language_id, pii, sharding, warc
+from meldstone.llm import bpe, language_id, near_dedup, pii, sharding, warc
 from meldstone.llm.common import table
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -19,6 +19,7 @@ QUERIES = {
     "op3_language_id": lambda spark, sf_dir: language_id.language_report(table(spark, sf_dir, "documents")),
     "op5_warc": lambda spark, sf_dir: warc.archive_report(table(spark, sf_dir, "pages")),
     "op7_bpe": _op7,
+    "op8_near_dedup": lambda spark, sf_dir: near_dedup.near_duplicate_report(table(spark, sf_dir, "documents")),
     "op9_sharding": lambda spark, sf_dir: sharding.shard_report(table(spark, sf_dir, "documents")),
     "op10_pii": lambda spark, sf_dir: pii.pii_report(table(spark, sf_dir, "documents")),
 }
