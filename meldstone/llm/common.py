@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,6 +53,20 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for what runs inside; whole texts make large ones."""
+    before = spark.conf.get(_BATCH_ROWS)
+    spark.conf.set(_BATCH_ROWS, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
+
+
 def size_of(df: DataFrame) -> int:
     """Catalyst's estimate of the bytes of ``df``; used to decide on broadcasts."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meldstone.llm.common import free_name, share_package
+from meldstone.llm.common import batches_of, free_name, share_package
 from meldstone.operators.clusters import connected_components
 from meldstone.sources.storage import materialise
 
@@ -56,6 +56,8 @@ _RANDOM = np.random.default_rng(20)
 _MASKS = _RANDOM.integers(0, 1 << 32, (_HASHES, 1), dtype=np.uint32)
 _FACTORS = _RANDOM.integers(0, 1 << 32, (_HASHES, 1), dtype=np.uint32) | np.uint32(1)
 _WEIGHTS = _RANDOM.integers(0, 1 << 63, SHINGLE_WORDS, dtype=np.uint64) | np.uint64(1)
+# Texts go to Python in batches of so many rows, pairs of texts likewise.
+_BATCH_TEXTS = 1000
 # Hashes of a long text are worked off in pieces of this many shingles.
 _PIECE = 4096
 
@@ -194,7 +196,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar, as a written table."""
     named = lambda side: texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}"))
     both = pairs.select("a", "b").join(named("a"), "a").join(named("b"), "b")
-    return materialise(both.mapInPandas(_confirm, "a bigint, b bigint").distinct(), "links")
+    with batches_of(pairs.sparkSession, _BATCH_TEXTS // 2):
+        return materialise(both.mapInPandas(_confirm, "a bigint, b bigint").distinct(), "links")
 
 
 def _components(links: DataFrame) -> DataFrame:
@@ -236,7 +239,8 @@ def wide_region_pairs(dense: DataFrame, components: DataFrame) -> DataFrame:
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row for each row of ``docs`` with an id."""
     share_package(docs.sparkSession)
-    sets = materialise(shingle_sets(docs), "sets")
+    with batches_of(docs.sparkSession, _BATCH_TEXTS):
+        sets = materialise(shingle_sets(docs), "sets")
     distinct = (
         sets.where("n_shingles > 0")
         .groupBy("digest")

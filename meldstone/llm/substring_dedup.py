@@ -28,13 +28,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meldstone.llm.common import free_name, share_package, words
+from meldstone.llm.common import batches_of, free_name, share_package, words
 from meldstone.sources.storage import materialise
 
 CUT_BITS = 3
 LEAST_BYTES = 24
 MOST_BYTES = 1024
 LEAST_WORDS = 20
+#: Texts that go to Python at a time.
+BATCH_TEXTS = 500
 
 # One random 16-bit value for each byte; a shift by one place per byte forgets after 16.
 _GEAR = np.random.default_rng(11).integers(0, 1 << 16, 256, dtype=np.uint16)
@@ -94,14 +96,12 @@ CHUNK_SCHEMA = "doc_id bigint, text_key bigint, start int, end int, n_words int,
 def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     names = ["start", "end", "n_words", "high", "low"]
     for batch in batches:
-        for part in range(0, len(batch), 500):
-            rows = batch.iloc[part : part + 500]
-            found = [chunks_of(text) for text in rows["text"]]
-            counts = [len(f) for f in found]
-            out = pd.DataFrame([c for f in found for c in f], columns=names)
-            out.insert(0, "doc_id", rows["doc_id"].repeat(counts).array)
-            out.insert(1, "text_key", rows["text_key"].repeat(counts).array)
-            yield out
+        found = [chunks_of(text) for text in batch["text"]]
+        counts = [len(f) for f in found]
+        out = pd.DataFrame([c for f in found for c in f], columns=names)
+        out.insert(0, "doc_id", batch["doc_id"].repeat(counts).array)
+        out.insert(1, "text_key", batch["text_key"].repeat(counts).array)
+        yield out
 
 
 def chunk_table(docs: DataFrame) -> DataFrame:
@@ -112,7 +112,9 @@ def chunk_table(docs: DataFrame) -> DataFrame:
         F.xxhash64(F.col("doc_id").isNull(), "text").alias("text_key"),
         "text",
     )
-    return materialise(rows.mapInPandas(_chunks, CHUNK_SCHEMA), "chunks")
+    share_package(docs.sparkSession)
+    with batches_of(docs.sparkSession, BATCH_TEXTS):
+        return materialise(rows.mapInPandas(_chunks, CHUNK_SCHEMA), "chunks")
 
 
 RECORD = ["doc_id", "text_key"]
