@@ -7,7 +7,7 @@ positions at once, and only the two neighbours of a merged pair get new index en
 Words do not touch each other, so replaying blocks gives the ids that one replay over
 the words of the whole corpus would. Blocks need no exchange, their size is bounded by
 ``BLOCK_BYTES``, and a lost task repeats its own batches only. Each Python worker keeps
-the ids of up to ``KEPT_WORDS`` words, because frequent words come back in each batch.
+the ids of frequent pieces of text, because they come back in each batch.
 
 Defined results: NULL and empty texts have no tokens; a text is encoded whole whatever
 its length, also when it is a single word; repeated rows get repeated ids; other columns
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections import defaultdict
+import re
 from collections.abc import Callable, Iterator
 from heapq import heappop, heappush
 
@@ -31,12 +31,17 @@ from pyspark.sql import functions as F
 
 from meldstone.llm.common import share_package
 
-#: Characters of texts whose words are numbered together; a longer text is taken alone.
-CHUNK_CHARS = 8_000_000
+#: Characters of texts that are encoded together; a longer text is taken alone.
+CHUNK_CHARS = 4_000_000
 #: Bytes of distinct words replayed together.
 BLOCK_BYTES = 2_000_000
-#: Words whose ids a Python worker remembers.
-KEPT_WORDS = 400_000
+#: Pieces of texts whose ids a Python worker remembers, in each of two generations.
+KEPT_PIECES = 200_000
+
+# A space before what could be white space to the pattern, or at the end.
+_ODD_SPACE = re.compile(r" (?![!-~]|\w)")
+# Marks a piece without a space before it; no text of Spark can hold a lone surrogate.
+_FIRST = "\ud800"
 
 # No pair, no symbol: above every rank.
 _NONE = 1 << 30
@@ -49,7 +54,7 @@ class Vocabulary:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
-        # Two generations: words not met again while the newer one fills are forgotten.
+        # Ids of pieces. What is not met again while the newer generation fills is forgotten.
         self.newer: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
@@ -87,42 +92,57 @@ class Vocabulary:
         return encoded + self._encode_chunk(chunk)
 
     def _encode_chunk(self, texts: list[str]) -> list[bytes]:
-        numbers: defaultdict[str, int] = defaultdict()
-        numbers.default_factory = numbers.__len__
-        split = []
-        for text in texts:
-            found = self.pattern.findall(text)
-            split.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
-        ids = self._ids(list(numbers))
-        return [b"".join([ids[n] for n in found.tolist()]) for found in split]
-
-    def _ids(self, words: list[str]) -> list[bytes]:
-        ids: list[bytes | None] = []
-        places, block, size = [], [], 0
-        for place, word in enumerate(words):
-            known = self.newer.get(word) or self.older.get(word)
-            if known is None:
-                raw = word.encode("utf-8", "surrogatepass")
-                whole = self.ranks.get(raw)
-                if whole is not None:
-                    known = whole.to_bytes(4, "little")
+        """Texts are cut before each space that a visible character follows.
+
+        There every match of the pattern ends, so the pieces can be encoded one by one.
+        """
+        if len(self.newer) >= KEPT_PIECES:
+            self.newer, self.older = {}, self.newer
+        known = self.newer
+        cut = [self._pieces(text) for text in texts]
+        fresh = []
+        for piece in set().union(*cut):
+            if piece not in known:
+                ids = self.older.get(piece)
+                if ids is None:
+                    fresh.append(piece)
                 else:
-                    places.append(place)
-                    block.append(raw)
+                    known[piece] = ids
+        self._learn(fresh)
+        return [b"".join([known[p] for p in pieces]) for pieces in cut]
+
+    def _pieces(self, text: str) -> list[str]:
+        """Pieces whose leading space is left out, but for the first, which bears a mark."""
+        if _ODD_SPACE.search(text):
+            return [_FIRST + word for word in self.pattern.findall(text)]
+        pieces = text.split(" ")
+        pieces[0] = _FIRST + pieces[0]
+        return pieces
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Ids of pieces not met before, by replaying blocks of their distinct words."""
+        block: dict[str, bytes] = {}
+        waiting: list[tuple[str, list[str]]] = []
+        size = 0
+        for piece in pieces:
+            words = self.pattern.findall(piece[1:] if piece[0] == _FIRST else " " + piece)
+            waiting.append((piece, words))
+            for word in words:
+                if word not in block:
+                    block[word] = raw = word.encode("utf-8", "surrogatepass")
                     size += len(raw)
-            ids.append(known)
-            if block and (size >= BLOCK_BYTES or place + 1 == len(words)):
-                for at, found in zip(places, replay(block, self), strict=True):
-                    ids[at] = found
-                places, block, size = [], [], 0
-        self._keep(words, ids)
-        return ids
-
-    def _keep(self, words: list[str], ids: list[bytes]) -> None:
-        for word, found in zip(words, ids, strict=True):
-            if len(self.newer) >= KEPT_WORDS // 2:
-                self.newer, self.older = {}, self.newer
-            self.newer[word] = found
+            if size >= BLOCK_BYTES:
+                self._settle(block, waiting)
+                block, waiting, size = {}, [], 0
+        self._settle(block, waiting)
+
+    def _settle(self, block: dict[str, bytes], waiting: list[tuple[str, list[str]]]) -> None:
+        whole = {word: self.ranks[raw].to_bytes(4, "little") for word, raw in block.items() if raw in self.ranks}
+        rest = [word for word in block if word not in whole]
+        if rest:
+            whole |= zip(rest, replay([block[word] for word in rest], self), strict=True)
+        for piece, words in waiting:
+            self.newer[piece] = b"".join([whole[word] for word in words])
 
     def decode(self, ids: bytes) -> bytes:
         tokens = self.tokens
@@ -273,6 +293,17 @@ class Tokenizer:
 
         return F.pandas_udf(decode, "binary")(ids)
 
+    def round_trip(self, text: Column) -> Column:
+        """Struct of the ids and the bytes decoded from them, in one pass."""
+        vocabulary = self._vocabulary()
+
+        def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            for texts in batches:
+                ids = vocabulary().encode_all([t or "" for t in texts])
+                yield pd.DataFrame({"ids": ids, "decoded": [vocabulary().decode(i) for i in ids]}, dtype=object)
+
+        return F.pandas_udf(both, "ids binary, decoded binary")(text)
+
 
 def tokenize(docs: DataFrame, tokenizer: Tokenizer, text: str = "text", result: str = "token_ids") -> DataFrame:
     """``docs`` with the packed ids of each text."""
@@ -281,10 +312,10 @@ def tokenize(docs: DataFrame, tokenizer: Tokenizer, text: str = "text", result:
 
 def token_report(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     """Per document: token count, digest of the ids, digest of the decoded bytes."""
-    ids = tokenize(docs.select("doc_id", "text"), tokenizer).select("doc_id", "token_ids")
-    return ids.select(
+    rows = docs.select("doc_id", tokenizer.round_trip(F.col("text")).alias("done"))
+    return rows.select(
         "doc_id",
-        F.expr("octet_length(token_ids) div 4").alias("n_tokens"),
-        F.sha2("token_ids", 256).alias("ids_sha256"),
-        F.sha2(tokenizer.decode(F.col("token_ids")), 256).alias("decoded_sha256"),
+        F.expr("octet_length(done.ids) div 4").alias("n_tokens"),
+        F.sha2("done.ids", 256).alias("ids_sha256"),
+        F.sha2("done.decoded", 256).alias("decoded_sha256"),
     )

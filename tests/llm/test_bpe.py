@@ -26,9 +26,10 @@ def library(content):
 
 def texts():
     rng = random.Random(3)
+    odd_spaces = [f"a{x}b {x}c {x} d{x}" for x in "\x1c\x1f\x85\xa0\u1680\u2003\u2028\u200b\u3000\ufeff\x0b\x00"]
     letters = "abcdefghijklmnopqrstuvwxyzéèßñ  \n\t.,'0123456789AÉ日本\U0001f600"
     odd = ["", " ", "   a", "a  b", "\n\n x", "it's we'll I'M", "<|endoftext|>", "aaaa" * 3000, " x", "é", "x" * 70_000]
-    return odd + ["".join(rng.choice(letters) for _ in range(rng.randrange(400))) for _ in range(400)]
+    return odd + odd_spaces + ["".join(rng.choice(letters) for _ in range(rng.randrange(400))) for _ in range(400)]
 
 
 def test_ids_equal_the_library(content, library):
@@ -53,7 +54,7 @@ def test_merge_that_enables_an_earlier_rank():
 def test_blocks_and_forgetting_do_not_change_ids(content, library, monkeypatch):
     monkeypatch.setattr(bpe, "BLOCK_BYTES", 50)
     monkeypatch.setattr(bpe, "CHUNK_CHARS", 700)
-    monkeypatch.setattr(bpe, "KEPT_WORDS", 10)
+    monkeypatch.setattr(bpe, "KEPT_PIECES", 10)
     vocabulary = bpe.Vocabulary.parse(content, public_tokenizers.PATTERN)
     for given in (texts()[:60], texts()[30:90]):
         for text, ids in zip(given, vocabulary.encode_all(given), strict=True):
@@ -70,4 +71,8 @@ def test_report(spark, library):
         packed = np.array(ids, "<u4").tobytes()
         want.append((doc_id, len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()))
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    tokenizer = bpe.Tokenizer(spark, PATH, public_tokenizers.PATTERN)
+    one = bpe.tokenize(docs.where("doc_id < 20"), tokenizer, result="ids")
+    parts = one.select("text", "ids", tokenizer.decode(one["ids"]).alias("back")).collect()
+    assert all(bytes(r["back"]).decode() == (r["text"] or "") for r in parts) and len(parts) == 21
     assert bpe.token_report(docs.limit(0), bpe.Tokenizer(spark, PATH, public_tokenizers.PATTERN)).count() == 0
