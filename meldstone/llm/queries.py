@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from meldstone.llm import bpe, language_id, near_dedup, pii, quality_classifier, sharding, substring_dedup, warc
+from meldstone.llm import bpe, language_id, near_dedup, pii, quality_classifier, quality_rules, sharding, substring_dedup, warc
 from meldstone.llm.common import table
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -16,6 +16,9 @@ def _op7(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_quality_rules": lambda spark, sf_dir: quality_rules.rules_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    ),
     "op2_substring_dedup": lambda spark, sf_dir: substring_dedup.repeat_report(table(spark, sf_dir, "documents")),
     "op3_language_id": lambda spark, sf_dir: language_id.language_report(table(spark, sf_dir, "documents")),
     "op4_quality_classifier": lambda spark, sf_dir: quality_classifier.quality_report(
