@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from meldstone.llm import bpe, language_id, near_dedup, pii, quality_classifier, quality_rules, sharding, substring_dedup, warc
+from meldstone.llm import bpe, decontamination, language_id, near_dedup, pii, quality_classifier, quality_rules, sharding, substring_dedup, warc
 from meldstone.llm.common import table
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -25,6 +25,9 @@ QUERIES = {
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     ),
     "op5_warc": lambda spark, sf_dir: warc.archive_report(table(spark, sf_dir, "pages")),
+    "op6_decontamination": lambda spark, sf_dir: decontamination.contamination_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    ),
     "op7_bpe": _op7,
     "op8_near_dedup": lambda spark, sf_dir: near_dedup.near_duplicate_report(table(spark, sf_dir, "documents")),
     "op9_sharding": lambda spark, sf_dir: sharding.shard_report(table(spark, sf_dir, "documents")),
