@@ -14,10 +14,11 @@ a component of links is a class, named by its smallest id.
    beyond LEAST_DEPTH; where it is sparse, LEAST_DEPTH is enough. That is the adaptive depth.
 3. Links are confirmed on full sets from whole texts: first the best partner of each
    document, then the other candidates that still lie in different components.
-4. In regions wider than REACH, members outside of the region's largest component meet all
-   members of other components. So every pair that shares a region is either confirmed,
-   refused, or already in one component; a large group of near copies is one component by
-   then and costs nothing.
+4. In regions wider than REACH that hold several components by then, members outside of
+   the largest component are compared with all members of others, on full sets and block
+   by block, so that no task holds a region and only links leave a task. So every pair that
+   shares a region is confirmed, refused, or already in one component. A large group of
+   near copies is one component by then and costs nothing.
 
 A pair of similarity 0.75 shares a region in one order with probability 0.75^4 = 0.32, in
 none of 24 orders with 0.0001; above 0.8 with less than 0.00001.
@@ -48,6 +49,11 @@ TREES = 24
 LABEL_DEPTH = 8
 LEAST_DEPTH = 4
 REACH = 4
+#: Members of a wide region, and shingles of them, that a task holds for each side.
+BLOCK_MEMBERS = 2048
+BLOCK_SHINGLES = 1_000_000
+#: Shingles whose matrix a task holds at a time.
+BLOCK_COLUMNS = 2048
 
 _HASH_BYTES = 2
 _LABEL_BYTES = LABEL_DEPTH * _HASH_BYTES
@@ -213,27 +219,71 @@ def _apart(pairs: DataFrame, components: DataFrame) -> DataFrame:
     return pairs.where(F.coalesce("in_a", "a") != F.coalesce("in_b", "b")).drop("in_a", "in_b")
 
 
-def wide_region_pairs(dense: DataFrame, components: DataFrame) -> DataFrame:
-    """Pairs (a, b) of one region and different components.
-
-    One of the two is outside of the region's largest component; those inside have nothing
-    to find among each other.
+def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        hashes = [shingle_hashes(text).tobytes() for text in batch["text"]]
+        yield pd.DataFrame({"id": batch["doc_id"], "hashes": hashes})
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Numbers of common hashes of each left with each right set, as a matrix."""
+    sizes = [len(x) for x in (*left, *right)]
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    _, column, holders = np.unique(np.concatenate([*left, *right]), return_inverse=True, return_counts=True)
+    several = holders[column] > 1
+    owner, column = owner[several], np.unique(column[several], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    shared = np.zeros((len(left), len(right)), dtype=np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, BLOCK_COLUMNS):
+        low, high = np.searchsorted(column, [start, start + BLOCK_COLUMNS])
+        marks = np.zeros((len(sizes), BLOCK_COLUMNS), dtype=np.float32)
+        marks[owner[low:high], column[low:high] - start] = 1
+        shared += marks[: len(left)] @ marks[len(left) :].T
+    return shared
+
+
+def _block_links(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links between the left and the right members of one pair of blocks, on full sets."""
+    sets = [np.frombuffer(h, dtype=np.uint64) for h in rows["hashes"]]
+    side = rows["side"].to_numpy()
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    if not len(left) or not len(right):
+        return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+    ids, parts = rows["id"].to_numpy(), rows["part"].to_numpy()
+    sizes = np.array([len(s) for s in sets])
+    shared = _shared([sets[i] for i in left], [sets[i] for i in right])
+    whole = sizes[left][:, None] + sizes[right][None, :] - shared
+    x, y = np.nonzero((100 * shared >= SIMILAR_PERCENT * whole) & (parts[left][:, None] != parts[right][None, :]))
+    return pd.DataFrame({"a": np.minimum(ids[left[x]], ids[right[y]]), "b": np.maximum(ids[left[x]], ids[right[y]])})
+
+
+def wide_region_links(dense: DataFrame, components: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between different components inside of wide regions, on full sets.
+
+    Members outside of a region's largest component meet all its members; those inside have
+    nothing to find among each other. A region is dealt over blocks of at most about
+    BLOCK_MEMBERS members and BLOCK_SHINGLES shingles; a task compares one pair of blocks
+    and gives links only.
     """
     members = dense.join(components, "id", "left").withColumn("part", F.coalesce("cluster_id", "id")).drop("cluster_id")
-    members = materialise(members, "members")
-    parts = members.groupBy("tree", "region", "part").agg(F.count("*").alias("size"))
-    largest = parts.groupBy("tree", "region").agg(
-        F.max(F.struct("size", "part")).alias("top"), F.count("*").alias("parts")
-    )
-    mixed = largest.where("parts > 1").select("tree", "region", F.col("top.part").alias("top"))
-    inside = materialise(members.join(mixed, ["tree", "region"]), "mixed")
-    few = inside.where("part != top").select("tree", "region", F.col("id").alias("x"), F.col("part").alias("p"), F.col("n").alias("m"))
-    met = few.join(inside, ["tree", "region"]).where(
-        (F.col("p") != F.col("part"))
-        & (100 * F.least("m", "n") >= SIMILAR_PERCENT * F.greatest("m", "n"))
-        & ((F.col("part") == F.col("top")) | (F.col("x") < F.col("id")))
+    parts = members.groupBy("tree", "region", "part").agg(F.count("*").alias("size"), F.sum("n").alias("n"))
+    regions = parts.groupBy("tree", "region").agg(
+        F.max(F.struct("size", "part")).alias("top"),
+        F.count("*").alias("parts"),
+        F.greatest(F.sum("size") / BLOCK_MEMBERS, F.sum("n") / BLOCK_SHINGLES).alias("fill"),
     )
-    return met.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
+    mixed = regions.where("parts > 1").select("tree", "region", F.col("top.part").alias("top"), F.ceil("fill").alias("blocks"))
+    chosen = materialise(members.join(mixed, ["tree", "region"]), "mixed")
+    ids = chosen.select(F.col("id").alias("doc_id")).distinct()
+    with batches_of(dense.sparkSession, _BATCH_TEXTS):
+        sets = materialise(texts.join(ids, "doc_id").mapInPandas(_packed, "id bigint, hashes binary"), "hashes")
+    own, all_blocks = F.pmod(F.xxhash64("id"), F.col("blocks")), F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
+    left = chosen.where("part != top").select("*", own.alias("l"), F.explode(all_blocks).alias("r"), F.lit(0).alias("side"))
+    right = chosen.select("*", F.explode(all_blocks).alias("l"), own.alias("r"), F.lit(1).alias("side"))
+    dealt = left.unionByName(right).join(sets, "id").select("tree", "region", "l", "r", "side", "id", "part", "hashes")
+    found = dealt.groupBy("tree", "region", "l", "r").applyInPandas(_block_links, "a bigint, b bigint")
+    return materialise(found.distinct(), "wide-links")
 
 
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
@@ -257,10 +307,7 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     others = _apart(pairs.join(best, ["a", "b"], "left_anti"), components)
     links = links.union(confirmed(others, texts))
     if not dense.isEmpty():
-        components = _components(links)
-        tried = pairs.select("a", "b")
-        more = materialise(wide_region_pairs(dense, components).join(tried, ["a", "b"], "left_anti"), "more")
-        links = links.union(confirmed(more, texts))
+        links = links.union(wide_region_links(dense, _components(links), texts))
 
     # Documents of equal sets hang on the smallest of them.
     copies = sets.where("n_shingles > 0").join(distinct.select("digest", F.col("doc_id").alias("first")), "digest")

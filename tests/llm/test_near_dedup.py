@@ -81,13 +81,16 @@ def test_components_equal_all_pairs(spark, rng):
     assert all(r["n_shingles"] == len(sets[r["doc_id"]][0]) for r in rows)
 
 
-def test_large_group_of_near_copies_and_a_common_passage(spark, rng):
+@pytest.mark.parametrize("members", [60, 2048])
+def test_large_group_of_near_copies_and_a_common_passage(spark, rng, monkeypatch, members):
+    monkeypatch.setattr(near_dedup, "BLOCK_MEMBERS", members)
+    monkeypatch.setattr(near_dedup, "BLOCK_COLUMNS", 100)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
     base = [word() for _ in range(120)]
     docs = []
     for i in range(400):
         body = list(base)
-        for _ in range(rng.randrange(1, 4)):
+        for _ in range(rng.randrange(1, 7)):
             body[rng.randrange(len(body))] = word()
         docs.append((i, " ".join(body), None))
     passage = [word() for _ in range(60)]
