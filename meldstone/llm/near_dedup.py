@@ -201,7 +201,7 @@ def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar, as a written table."""
     named = lambda side: texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}"))
-    both = pairs.select("a", "b").join(named("a"), "a").join(named("b"), "b")
+    both = pairs.select("a", "b").hint("merge").join(named("a"), "a").hint("merge").join(named("b"), "b")
     with batches_of(pairs.sparkSession, _BATCH_TEXTS // 2):
         return materialise(both.mapInPandas(_confirm, "a bigint, b bigint").distinct(), "links")
 
@@ -277,11 +277,11 @@ def wide_region_links(dense: DataFrame, components: DataFrame, texts: DataFrame)
     chosen = materialise(members.join(mixed, ["tree", "region"]), "mixed")
     ids = chosen.select(F.col("id").alias("doc_id")).distinct()
     with batches_of(dense.sparkSession, _BATCH_TEXTS):
-        sets = materialise(texts.join(ids, "doc_id").mapInPandas(_packed, "id bigint, hashes binary"), "hashes")
+        sets = materialise(texts.join(ids.hint("merge"), "doc_id").mapInPandas(_packed, "id bigint, hashes binary"), "hashes")
     own, all_blocks = F.pmod(F.xxhash64("id"), F.col("blocks")), F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
     left = chosen.where("part != top").select("*", own.alias("l"), F.explode(all_blocks).alias("r"), F.lit(0).alias("side"))
     right = chosen.select("*", F.explode(all_blocks).alias("l"), own.alias("r"), F.lit(1).alias("side"))
-    dealt = left.unionByName(right).join(sets, "id").select("tree", "region", "l", "r", "side", "id", "part", "hashes")
+    dealt = left.unionByName(right).join(sets.hint("merge"), "id").select("tree", "region", "l", "r", "side", "id", "part", "hashes")
     found = dealt.groupBy("tree", "region", "l", "r").applyInPandas(_block_links, "a bigint, b bigint")
     return materialise(found.distinct(), "wide-links")
 
@@ -291,14 +291,15 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     share_package(docs.sparkSession)
     with batches_of(docs.sparkSession, _BATCH_TEXTS):
         sets = materialise(shingle_sets(docs), "sets")
-    distinct = (
-        sets.where("n_shingles > 0")
-        .groupBy("digest")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("labels").alias("labels"))
+    firsts = sets.where("n_shingles > 0").groupBy("digest")
+    distinct = firsts.agg(
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("labels").alias("labels")
     )
-    pairs, dense = candidates(materialise(distinct, "distinct"))
+    distinct = materialise(distinct, "distinct")
+    pairs, dense = candidates(distinct)
     ids = pairs.select("a").union(pairs.select("b")).union(dense.select("id")).toDF("doc_id").distinct()
-    texts = materialise(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), "texts")
+    # Joins with texts are merges at every size: what they move grows in proportion.
+    texts = materialise(docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi"), "texts")
 
     best = pairs.groupBy("b").agg(F.max(F.struct("weight", (-F.col("a")).alias("a"))).alias("best"))
     best = materialise(best.select((-F.col("best.a")).alias("a"), "b"), "best")
