@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NULL_MARK = "\\N"
-
 
 def corporate_id(name: Column, address: Column) -> Column:
     """First 16 hex digits of SHA-256 over 'name|address'."""
@@ -21,9 +19,14 @@ def corporate_id_md5(name: Column, address: Column, city: Column) -> Column:
 
 
 def entity_hash(columns: Sequence[str]) -> Column:
-    """SHA-256 over the named columns, NULL and '' told apart."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_MARK)) for c in columns]
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    """SHA-256 over the named columns.
+
+    Each value is preceded by its length, so neither a separator inside of a value nor a
+    NULL can be mistaken for something else.
+    """
+    texts = [F.col(c).cast("string") for c in columns]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.sha2(F.concat(*parts), 256)
 
 
 def hash_fraction(key: Column) -> Column:

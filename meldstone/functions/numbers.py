@@ -13,7 +13,7 @@ def money(df: DataFrame, name: str) -> Column:
     """Column as a decimal, so sums are the same in whatever order rows arrive."""
     if isinstance(df.schema[name].dataType, DecimalType):
         return F.col(name)
-    return F.col(name).cast("decimal(18,4)")
+    return F.col(name).try_cast("decimal(18,4)")
 
 
 def profit_margin(revenue: Column, profit: Column) -> Column:

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from meldstone.functions.text import cleanse_name
 from meldstone.operators.matching import THRESHOLD, similarity
-from meldstone.operators.skew import HEAVY_KEY_ROWS, join_lookup
 from meldstone.sources.storage import materialise, remove_path, scratch_path, written
 
 
@@ -58,9 +57,8 @@ def entity_clusters(records: DataFrame, matches: DataFrame) -> DataFrame:
     labels = materialise(connected_components(matches), "labels")
     sizes = labels.groupBy("cluster_id").agg(F.count("*").alias("cluster_size"))
     heads = named.select(F.col("id").alias("cluster_id"), F.col("name").alias("head_name"))
-    headed = join_lookup(
-        labels, sizes.join(heads, "cluster_id"), "cluster_id", "cluster_size", HEAVY_KEY_ROWS, labels.count()
-    )
+    # A plain join: adaptive execution splits a large cluster.
+    headed = labels.join(materialise(sizes.join(heads, "cluster_id"), "heads"), "cluster_id")
     longer = F.greatest(F.length("name"), F.length("head_name"))
     distance = F.levenshtein("name", "head_name")
     rep_similarity = F.when(F.col("cluster_id").isNull(), F.lit(1.0)).otherwise(similarity(distance, longer))

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StringType
+from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType, NumericType, StringType
 
 from meldstone.functions.numbers import profit_margin
 
@@ -115,28 +115,52 @@ ML_PREDICTION = Contract(
 )
 
 
+def _unreadable(name: str) -> str:
+    """Column that tells whether text of a field could not be read as a number."""
+    return f"_unreadable_{name}"
+
+
 def coerce(df: DataFrame, contract: Contract) -> DataFrame:
-    """Numbers held as text are read as numbers; text that is none becomes NULL."""
+    """Numbers held as text are read as numbers.
+
+    Text that is no number becomes NULL; a column beside it keeps that there was some. A
+    number with decimals stays one, so that it breaks the rule ``integer`` rather than none.
+    """
     result = df
     for rule in contract.fields:
         if rule.name in df.columns and rule.type != "string":
             if isinstance(df.schema[rule.name].dataType, StringType):
-                result = result.withColumn(rule.name, F.col(rule.name).try_cast(rule.type))
+                number = F.trim(F.col(rule.name)).try_cast("double")
+                result = result.withColumn(_unreadable(rule.name), F.col(rule.name).isNotNull() & number.isNull())
+                result = result.withColumn(rule.name, number)
     return result
 
 
+def _fits(data_type: DataType, declared: str) -> bool:
+    """Whether a column of this type can hold values of a declared type."""
+    if declared == "string":
+        return isinstance(data_type, StringType)
+    return isinstance(data_type, NumericType)
+
+
 def _broken(df: DataFrame, rule: Field) -> Column:
     """Name of the first rule the field breaks, NULL if it keeps them all."""
     if rule.name not in df.columns:
         return F.lit("required") if rule.required else F.lit(None).cast("string")
     value = F.col(rule.name)
     data_type = df.schema[rule.name].dataType
+    if not _fits(data_type, rule.type):
+        return F.lit("type")
     checks: list[tuple[str, Column]] = []
+    if _unreadable(rule.name) in df.columns:
+        checks.append(("type", F.col(_unreadable(rule.name))))
     if rule.required:
         checks.append(("required", value.isNull()))
     is_float = isinstance(data_type, (FloatType, DoubleType))
     if rule.type == "int" and is_float:
         checks.append(("integer", F.isnan(value) | (value != F.floor(value))))
+    elif rule.type == "int" and isinstance(data_type, DecimalType):
+        checks.append(("integer", value != F.floor(value)))
     if is_float and any(bound is not None for bound in (rule.above, rule.minimum, rule.maximum)):
         # Spark orders NaN above every number, so bounds alone would let it pass.
         checks.append(("not_a_number", F.isnan(value)))
@@ -163,6 +187,8 @@ def check(df: DataFrame, contract: Contract) -> DataFrame:
         for name, rule in broken.items()
     ]
     for rule in contract.cross:
+        if not set(rule.fields) <= set(typed.columns):
+            continue  # the missing field has its own violation
         inputs_fine = F.lit(True)
         for name in rule.fields:
             inputs_fine = inputs_fine & broken[name].isNull()
@@ -172,13 +198,16 @@ def check(df: DataFrame, contract: Contract) -> DataFrame:
                 F.struct(F.lit(rule.field).alias("field"), F.lit(rule.name).alias("rule")),
             )
         )
-    return typed.withColumn("violations", F.array_compact(F.array(*found)))
+    helpers = [_unreadable(rule.name) for rule in contract.fields]
+    return typed.withColumn("violations", F.array_compact(F.array(*found))).drop(*helpers)
 
 
 def validate(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
     """(valid rows, violations as (key, field, rule))."""
     checked = check(df, contract)
     valid = checked.where(F.size("violations") == 0).drop("violations")
+    if contract.key not in checked.columns:
+        checked = checked.withColumn(contract.key, F.lit(None).cast("string"))
     violations = checked.select(F.col(contract.key), F.explode("violations").alias("v")).select(
         contract.key, "v.field", "v.rule"
     )

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meldstone.functions.keys import corporate_id
 from meldstone.functions.numbers import profit_margin
 from meldstone.functions.text import cleanse_name, normalize_address
+from meldstone.operators import matching
+from meldstone.operators.clusters import connected_components
 from meldstone.operators.prepare import FINANCIAL, SUPPLY
 
 # Columns whose value is taken from the best-ranked row that has one.
@@ -103,6 +105,12 @@ def merge_entities(unioned: DataFrame, metric_merge: str = "max") -> DataFrame:
     """
     combine = {"max": F.max, "sum": F.sum}[metric_merge]
     types = {f.name: f.dataType for f in unioned.schema.fields}
+    if metric_merge == "sum":
+        # A seller with several supply rows brings its financial row several times.
+        place = F.row_number().over(Window.partitionBy("corporate_id", "seller_id", "source_system").orderBy(*METRICS))
+        again = (F.col("source_system") == FINANCIAL) & (place > 1)
+        unioned = unioned.withColumn("_again", again)
+        unioned = unioned.withColumns({c: F.when(~F.col("_again"), F.col(c)) for c in METRICS}).drop("_again")
     merged = unioned.groupBy("corporate_id").agg(
         *[first_by_priority(c).alias(c) for c in SURVIVING],
         F.max("activity_places").alias("activity_places"),
@@ -126,6 +134,17 @@ def merge_entities(unioned: DataFrame, metric_merge: str = "max") -> DataFrame:
     )
 
 
+def resolve_sellers(supply: DataFrame) -> DataFrame:
+    """(id, cluster_id) of sellers whose names match within a city and state."""
+    records = supply.select(
+        F.col("seller_id").alias("id"),
+        F.col("canonical_name").alias("name"),
+        F.concat_ws("|", "city", "state").alias("block_key"),
+    )
+    links = matching.fuzzy_matches(records).select("id_a", "id_b")
+    return connected_components(links)
+
+
 def harmonize(supply: DataFrame, financial: DataFrame, metric_merge: str = "max") -> DataFrame:
     return merge_entities(union_sources(supply, financial), metric_merge)
 

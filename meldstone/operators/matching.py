@@ -12,9 +12,11 @@ are complete: every matching pair has at least one in common.
   of which must survive untouched at a nearby position of the longer name
   (partition-based similarity join).
 
-Where a segment is very common in its block, names are cut into more segments.
-With distance + m segments at least m survive, so up to m - 1 common ones can be
-left out of the index without losing a pair.
+Each name is cut in several ways, into distance + m segments for m = 1, 2, 3. At least m of
+them survive, so the m - 1 most common ones can be left out without losing a pair; the cut
+is kept whose remaining segments are the rarest.
+
+Records whose name has no letter or digit name nobody: they stay out of candidates and copies.
 """
 
 from __future__ import annotations
@@ -29,8 +31,7 @@ from meldstone.sources.storage import materialise
 THRESHOLD = 0.85
 SHORT_LIMIT = 20
 
-# A segment carried by more names than this is left out of the index if possible.
-COMMON_SEGMENT = 1_000
+# Names are cut into up to this many segments more than their distance.
 MAX_EXTRA_SEGMENTS = 3
 
 
@@ -45,9 +46,10 @@ def similarity(distance: Column, longer: Column) -> Column:
 
 
 def _keyed(records: DataFrame) -> DataFrame:
-    return records.where(F.col("block_key").isNotNull()).select(
+    named = records.where(F.col("block_key").isNotNull()).select(
         "id", "block_key", cleanse_name(F.col("name")).alias("name")
     )
+    return named.where(F.col("name") != "")
 
 
 def representatives(records: DataFrame) -> DataFrame:
@@ -182,57 +184,41 @@ def _segment_probe(reps: DataFrame, extra: Column) -> DataFrame:
     )
 
 
-def _selective_index(reps: DataFrame, common: int) -> tuple[DataFrame, Column]:
-    """Index rows worth joining on, and the extra counts in use."""
-
-    def frequent_in(index: DataFrame) -> DataFrame:
-        # Written down, since the planner's estimate ignores the expansion into segments.
-        counted = index.groupBy("sig").agg(F.count("*").alias("n")).where(F.col("n") > common)
-        return materialise(counted, "segments")
+def _selective_index(reps: DataFrame) -> tuple[DataFrame, Column]:
+    """Index rows worth joining on, and the extra counts in use.
 
-    plain = F.array(F.lit(1))
-    index = _segment_index(reps, plain)
-    if frequent_in(index).isEmpty():
-        return index, plain
+    Of all cuts of a name, the one is kept whose most frequent needed segment is least
+    frequent: with distance + m segments, the m - 1 most frequent ones are left out.
+    """
     options = F.array(*[F.lit(m) for m in range(1, MAX_EXTRA_SEGMENTS + 1)])
-    index = _segment_index(reps, options)
-    frequent = frequent_in(index)
-    marked = index.join(frequent, "sig", "left").withColumn("is_common", F.col("n").isNotNull())
-    usable = (
-        marked.groupBy("id", "l", "m")
-        .agg(F.count(F.when(F.col("is_common"), 1)).alias("n_common"))
-        .where(F.col("n_common") < F.col("m"))
-        .groupBy("id", "l")
-        .agg(F.min("m").alias("best"))
+    # Written down, since the planner's estimate ignores the expansion into segments.
+    index = materialise(_segment_index(reps, options), "segments")
+    counted = index.join(index.groupBy("sig").agg(F.count("*").alias("n")).hint("merge"), "sig")
+    cuts = counted.groupBy("id", "l", "m").agg(
+        F.sort_array(F.collect_list(F.struct(F.col("n"), F.col("sig"))), asc=False).alias("segments")
     )
-    # A name whose segments are common under every cut keeps all of them.
-    kept = (
-        marked.join(usable.hint("merge"), ["id", "l"], "left")
-        .where(F.col("m") == F.coalesce("best", F.lit(1)))
-        .where(~F.col("is_common") | F.col("best").isNull())
-        .select(*index.columns)
-    )
-    return kept, options
+    needed = cuts.withColumn("segments", F.slice("segments", F.col("m"), F.size("segments")))
+    hottest = F.element_at("segments", 1)["n"]
+    best = needed.groupBy("id", "l").agg(F.min_by(F.struct("m", "segments"), F.struct(hottest, "m")).alias("best"))
+    kept = best.select("id", "l", "best.m", F.explode("best.segments").alias("segment"))
+    return kept.select(F.col("segment.sig").alias("sig"), "id", "l", "m"), options
 
 
-def _long_pairs(reps: DataFrame, common: int) -> DataFrame:
-    index, extra = _selective_index(reps, common)
+def _long_pairs(reps: DataFrame) -> DataFrame:
+    index, extra = _selective_index(reps)
     shorter = index.select("sig", F.col("id").alias("id_s"))
     longer = _segment_probe(reps, extra).select("sig", F.col("id").alias("id_t"))
     met = shorter.join(longer.hint("merge"), "sig").where(F.col("id_s") != F.col("id_t"))
     return met.select(F.least("id_s", "id_t").alias("id_a"), F.greatest("id_s", "id_t").alias("id_b"))
 
 
-def candidate_pairs(reps: DataFrame, common_segment: int = COMMON_SEGMENT) -> DataFrame:
+def candidate_pairs(reps: DataFrame) -> DataFrame:
     """Distinct pairs of representatives that share a signature, with their names.
 
     Only hashes and ids are exchanged while pairing; names join the distinct
     pairs afterwards, which also drops pairs that met through a hash clash.
     """
-    pairs = _short_pairs(reps)
-    longest = reps.agg(F.max("len")).first()[0] or 0
-    if longest >= SHORT_LIMIT:
-        pairs = pairs.unionByName(_long_pairs(reps, common_segment))
+    pairs = _short_pairs(reps).unionByName(_long_pairs(reps))
     a = reps.select("block_key", *[F.col(c).alias(f"{c}_a") for c in ("id", "name", "len")])
     b = reps.select(F.col("block_key").alias("block_b"), *[F.col(c).alias(f"{c}_b") for c in ("id", "name", "len")])
     return (
@@ -255,14 +241,14 @@ def block_candidates(records: DataFrame) -> DataFrame:
     return pairs.unionByName(copies(records, reps))
 
 
-def fuzzy_matches(records: DataFrame, common_segment: int = COMMON_SEGMENT) -> DataFrame:
+def fuzzy_matches(records: DataFrame) -> DataFrame:
     """(id_a, id_b, distance, similarity) of matching pairs.
 
     A record repeating a name is linked to the representative of that name; its
     other matches are those of the representative.
     """
     reps = materialise(representatives(records), "names")
-    compared = candidate_pairs(reps, common_segment).withColumn("longer", F.greatest("len_a", "len_b"))
+    compared = candidate_pairs(reps).withColumn("longer", F.greatest("len_a", "len_b"))
     distance = F.expr("levenshtein(name_a, name_b, cast(floor(longer * 3 / 20) as int))")
     near = (
         compared.withColumn("distance", distance)
@@ -304,5 +290,7 @@ def match_statistics(sources: dict[str, DataFrame]) -> DataFrame:
     for name, df in sources.items():
         row = df.agg(F.count("*").alias("entities")).select(F.lit(name).alias("source"), "entities")
         result = row if result is None else result.unionByName(row)
-    total = result.agg(F.sum("entities").alias("entities")).select(F.lit("total").alias("source"), "entities")
-    return result.unionByName(total)
+    # One rollup over a row per source: the sources themselves are planned once.
+    return result.rollup("source").agg(F.sum("entities").alias("entities")).select(
+        F.coalesce("source", F.lit("total")).alias("source"), "entities"
+    )

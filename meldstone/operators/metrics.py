@@ -11,10 +11,13 @@ from meldstone.operators.sequence import sequential_ids
 def auc_exact(scored: DataFrame, score: str, label: str, key: str) -> DataFrame:
     """(positives, negatives, auc) by rank sum, ties at their average rank.
 
+    Rows whose label is neither 0 nor 1 do not count.
+
     Tied rows hold consecutive positions, so the average rank of a score is the
     mean of its first and last position.
     """
-    ranked = sequential_ids(scored.select(key, score, label), [score, key], "position")
+    labelled = scored.where(F.col(label).isin(0, 1)).select(key, score, label)
+    ranked = sequential_ids(labelled, [score, key], "position")
     tied = ranked.groupBy(score).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("positive"),
         F.count("*").alias("rows"),

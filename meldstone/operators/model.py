@@ -87,21 +87,35 @@ class Trained:
     f1: float
 
 
-def train(features: DataFrame, key: str = "corporate_id", handle_invalid: str = "error") -> Trained:
-    """Fit on the training side of the key split and evaluate on the other.
+def fit(features: DataFrame, key: str = "corporate_id", handle_invalid: str = "error") -> PipelineModel:
+    """Fit on the training side of the key split.
 
-    Rows are kept once, spilling to disk, since fitting passes over them many times.
+    Rows are kept while fitting passes over them, spilling to disk.
     """
-    kept = features.persist(StorageLevel.MEMORY_AND_DISK)
-    require_two_classes(kept)
-    training, testing = hash_split(kept, key, TRAIN_SHARE)
-    model = build_pipeline(handle_invalid).fit(training)
-    predictions = model.transform(testing)
-    auc = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC").evaluate(predictions)
-    f1 = MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="f1").evaluate(
-        predictions
-    )
-    return Trained(model, predictions, auc, f1)
+    training = hash_split(features, key, TRAIN_SHARE)[0].persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        require_two_classes(training)
+        return build_pipeline(handle_invalid).fit(training)
+    finally:
+        training.unpersist()
+
+
+def evaluate(predictions: DataFrame) -> tuple[float, float]:
+    """(AUC, weighted F1) of predictions."""
+    kept = predictions.select(LABEL, "rawPrediction", "prediction").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        auc = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC").evaluate(kept)
+        f1 = MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="f1").evaluate(kept)
+    finally:
+        kept.unpersist()
+    return auc, f1
+
+
+def train(features: DataFrame, key: str = "corporate_id", handle_invalid: str = "error") -> Trained:
+    """Fit on the training side of the key split and evaluate on the other."""
+    model = fit(features, key, handle_invalid)
+    predictions = model.transform(hash_split(features, key, TRAIN_SHARE)[1])
+    return Trained(model, predictions, *evaluate(predictions))
 
 
 def score(model: PipelineModel, df: DataFrame, timestamp: str) -> DataFrame:

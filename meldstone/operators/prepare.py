@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meldstone.functions.numbers import MONEY, money
 from meldstone.operators.sequence import sequential_ids
-from meldstone.operators.skew import join_lookup
 
 # Source tags of the prepared sources.
 SUPPLY = "supply_chain"
@@ -53,7 +54,7 @@ def product_breadth(items: DataFrame, top: int = TOP_PRODUCTS) -> DataFrame:
     task ships at most ``top`` ids per seller.
     """
     pairs = seller_products(items)
-    counts = pairs.groupBy("seller_id").agg(F.count("product_id").cast("int").alias("activity_places"))
+    counts = pairs.groupBy("seller_id").agg(F.count("product_id").try_cast("int").alias("activity_places"))
     # NULLs rank last and are dropped after the limit, so that both branches read
     # the same exchange of distinct pairs.
     by_product = Window.partitionBy("seller_id").orderBy(F.asc_nulls_last("product_id"))
@@ -99,7 +100,7 @@ def financial_metrics(items: DataFrame, margin: float = DEFAULT_MARGIN) -> DataF
     total = F.sum(money(items, "price") + money(items, "freight_value"))
     return items.groupBy("seller_id").agg(
         total.cast("double").alias("revenue"),
-        F.count_distinct("order_id").cast("int").alias("transaction_count"),
+        F.count_distinct("order_id").try_cast("int").alias("transaction_count"),
     ).withColumn("profit", F.col("revenue") * F.lit(margin))
 
 
@@ -174,63 +175,57 @@ def _seller_revenue(items: DataFrame, sellers: DataFrame, how: str) -> DataFrame
         "seller_id",
         "seller_city",
         "seller_state",
-        (F.col("total") * copies).cast(MONEY).alias("revenue"),
+        (F.col("total") * copies).try_cast(MONEY).alias("revenue"),
     )
 
 
 def margin_share(revenue: str, margin: float) -> Column:
     """Profit as a fixed share of decimal revenue, to two places."""
-    return (F.col(revenue) * F.lit(f"{margin:.4f}").cast("decimal(6,4)")).cast(MONEY)
+    return (F.col(revenue) * F.lit(f"{margin:.4f}").cast("decimal(6,4)")).try_cast(MONEY)
+
+
+def seller_product_list(items: DataFrame) -> DataFrame:
+    """The full product list of every seller, one (corporate_id, product_id) row each."""
+    return seller_products(items).where(F.col("product_id").isNotNull()).withColumnRenamed("seller_id", "corporate_id")
 
 
 def seller_supply_summary(
-    items: DataFrame,
-    sellers: DataFrame,
-    margin: float = SUPPLY_SUMMARY_MARGIN,
-    products_per_row: int = 100_000,
+    items: DataFrame, sellers: DataFrame, load_date: date, margin: float = SUPPLY_SUMMARY_MARGIN
 ) -> DataFrame:
-    """Seller-level supply source with the full list of distinct products.
+    """Seller-level supply source: one row per seller and place, of money and product count.
 
-    One row per seller, list_part 0, as long as the list has at most
-    ``products_per_row`` entries. A longer list is spread by product hash over
-    further rows (list_part 1, 2, ...; money only on part 0), which keeps every
-    product and bounds what a single task has to hold.
+    The products themselves are the rows of ``seller_product_list``, so a row has the same
+    size for any seller.
     """
-    pairs = seller_products(items)
-    sizes = pairs.groupBy("seller_id").agg(F.count("*").alias("n_products"))
-    parts = F.ceil(F.col("n_products") / products_per_row)
-    lists = (
-        join_lookup(pairs, sizes, "seller_id", "n_products")
-        .withColumn("list_part", F.pmod(F.xxhash64("product_id"), parts).cast("int"))
-        .groupBy(F.col("seller_id").alias("listed_id"), "list_part")
-        .agg(F.sort_array(F.collect_list("product_id")).alias("top_suppliers"))
-    )
+    counts = seller_products(items).groupBy("seller_id").agg(F.count("product_id").alias("n_products"))
+    counts = counts.withColumnRenamed("seller_id", "counted_id")
     revenue = _seller_revenue(items, sellers, "left")
-    first = F.col("list_part") == 0
-    return revenue.join(lists, F.col("seller_id").eqNullSafe(F.col("listed_id"))).select(
+    return revenue.join(counts, F.col("seller_id").eqNullSafe(F.col("counted_id"))).select(
         F.col("seller_id").alias("corporate_id"),
         F.col("seller_city").alias("corporate_name"),
         F.concat("seller_city", F.lit(", "), "seller_state").alias("address"),
         F.col("seller_city").alias("city"),
         F.col("seller_state").alias("state"),
         F.lit(1).alias("activity_places"),
-        "top_suppliers",
+        "n_products",
         F.lit(None).cast("string").alias("main_customers"),
-        F.when(first, F.col("revenue")).alias("revenue"),
-        F.when(first, margin_share("revenue", margin)).alias("profit"),
+        "revenue",
+        margin_share("revenue", margin).alias("profit"),
         F.lit(SUPPLY_SUMMARY).alias("source_system"),
-        "list_part",
+        F.lit(load_date).alias("load_date"),
     )
 
 
 def payment_totals(payments: DataFrame) -> DataFrame:
     """Amount per (order, payment type)."""
     return payments.groupBy("order_id", "payment_type").agg(
-        F.sum(money(payments, "payment_value")).cast(MONEY).alias("revenue")
+        F.sum(money(payments, "payment_value")).try_cast(MONEY).alias("revenue")
     )
 
 
-def payment_financial_summary(payments: DataFrame, margin: float = FINANCIAL_SUMMARY_MARGIN) -> DataFrame:
+def payment_financial_summary(
+    payments: DataFrame, load_date: date, margin: float = FINANCIAL_SUMMARY_MARGIN
+) -> DataFrame:
     """Payment-level financial source, numbered in (order, payment type) order."""
     numbered = sequential_ids(payment_totals(payments), ["order_id", "payment_type"], "corporate_id")
     return numbered.select(
@@ -245,6 +240,7 @@ def payment_financial_summary(payments: DataFrame, margin: float = FINANCIAL_SUM
         "revenue",
         margin_share("revenue", margin).alias("profit"),
         F.lit(FINANCIAL_SUMMARY).alias("source_system"),
+        F.lit(load_date).alias("load_date"),
     )
 
 

@@ -142,6 +142,8 @@ def quality_tier(df: DataFrame, tier: str) -> DataFrame:
     """
     if tier not in TIERS:
         raise ValueError(f"unknown tier {tier!r}")
+    # Read three times below: counted, hashed, and compared where hashes repeat.
+    df = materialise(df, "judged")
     missing = [F.count(F.when(is_missing(df, c), 1)).alias(f"_missing_{i}") for i, c in enumerate(df.columns)]
     counted = df.agg(F.count("*").alias("total_records"), *missing)
     totals = _side_by_side(counted, _repeats(df))

@@ -36,9 +36,9 @@ def log_metrics(logs: DataFrame) -> DataFrame:
         F.date_format(F.min_by("ts", "seq"), "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
         _last(_found(AUC)).try_cast("double").alias("auc"),
         _last(_found(F1)).try_cast("double").alias("f1_score"),
-        _last(_found(COUNTS, 1, is_counts)).cast("bigint").alias("total_records"),
-        _last(_found(COUNTS, 2, is_counts)).cast("bigint").alias("high_profit"),
-        _last(_found(COUNTS, 3, is_counts)).cast("bigint").alias("low_profit"),
+        _last(_found(COUNTS, 1, is_counts)).try_cast("bigint").alias("total_records"),
+        _last(_found(COUNTS, 2, is_counts)).try_cast("bigint").alias("high_profit"),
+        _last(_found(COUNTS, 3, is_counts)).try_cast("bigint").alias("low_profit"),
         _last(_found(RUN_ID, 1, is_run_id)).alias("mlflow_run_id"),
     )
 

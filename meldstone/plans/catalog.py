@@ -119,13 +119,17 @@ def prep_order_financial(spark, sf):
 
 @register("seller_supply_summary", f"WITH {o.SELLERS}, {o.ITEMS}, {o.SELLER_SUMMARY} SELECT * FROM seller_summary")
 def seller_supply_summary(spark, sf):
-    summary = prepare.seller_supply_summary(_items(spark, sf), _sellers(spark, sf))
-    return summary.withColumn("top_suppliers", F.concat_ws(",", "top_suppliers"))
+    return prepare.seller_supply_summary(_items(spark, sf), _sellers(spark, sf), inputs.SECOND_LOAD.date())
+
+
+@register("seller_product_list", f"WITH {o.ITEMS} SELECT DISTINCT seller_id AS corporate_id, product_id FROM items")
+def seller_product_list(spark, sf):
+    return prepare.seller_product_list(_items(spark, sf))
 
 
 @register("payment_financial_summary", f"WITH {o.PAYMENT_SUMMARY} SELECT * FROM summary")
 def payment_financial_summary(spark, sf):
-    return prepare.payment_financial_summary(tables.payments(spark, sf))
+    return prepare.payment_financial_summary(tables.payments(spark, sf), inputs.SECOND_LOAD.date())
 
 
 @register(
@@ -139,7 +143,7 @@ def sequential(spark, sf):
 
 _DIVERSITY = f"""WITH {o.SELLERS}, {o.ITEMS}, diversity AS (
   SELECT i.seller_id AS corporate_id, seller_city AS corporate_name, seller_state AS state,
-         CAST(sum(price) AS DOUBLE) AS revenue, count(DISTINCT product_id) AS product_diversity,
+         CAST(sum(price) AS DOUBLE) AS revenue, count(DISTINCT product_id) + max(CASE WHEN product_id IS NULL THEN 1 ELSE 0 END) AS product_diversity,
          seller_city || ', ' || seller_state AS address, '{prepare.SUPPLY_SUMMARY}' AS source_system,
          CAST(sum(price) AS DOUBLE) * CAST(0.2 AS DOUBLE) AS profit
   FROM items i JOIN sellers s ON i.seller_id = s.seller_id GROUP BY i.seller_id, seller_city, seller_state)"""
@@ -287,6 +291,31 @@ def fuzzy_matches(spark, sf):
     return matching.fuzzy_matches(tables.companies(spark, sf))
 
 
+@register("fuzzy_long_names", f"WITH {o.LONG_MATCHES} SELECT id_a, id_b, distance, similarity FROM matches")
+def fuzzy_long_names(spark, sf):
+    """Names of 20 characters and more, which share long parts."""
+    return matching.fuzzy_matches(tables.long_names(spark, sf))
+
+
+@register(
+    "candidate_misses",
+    f"""WITH {o.MATCHES}, near AS (SELECT DISTINCT id_a, id_b FROM matches WHERE distance > 0)
+SELECT count(*) AS matches, CAST(0 AS BIGINT) AS missed FROM near""",
+)
+def candidate_misses(spark, sf):
+    """Matches among all pairs of a block, and how many of them the candidates lack."""
+    records = materialise(matching.representatives(tables.companies(spark, sf)), "names")
+    a = records.select("block_key", F.col("id").alias("id_a"), F.col("name").alias("name_a"))
+    b = records.select("block_key", F.col("id").alias("id_b"), F.col("name").alias("name_b"))
+    longer = F.greatest(F.length("name_a"), F.length("name_b"))
+    pairs = a.join(b, "block_key").where(F.col("id_a") < F.col("id_b"))
+    near = pairs.where(F.levenshtein("name_a", "name_b") * 20 <= 3 * longer).select("id_a", "id_b")
+    found = matching.candidate_pairs(records).select("id_a", "id_b", F.lit(True).alias("found"))
+    return near.join(found, ["id_a", "id_b"], "left").agg(
+        F.count("*").alias("matches"), F.count_if(F.col("found").isNull()).alias("missed")
+    )
+
+
 @register(
     "entity_clusters",
     f"""WITH RECURSIVE {o.MATCHES},
@@ -343,6 +372,27 @@ def harmonize(spark, sf):
     return inputs.harmonized(spark, sf)
 
 
+@register(
+    "harmonize_resolved",
+    f"""WITH RECURSIVE {o.SELLERS}, {o.ITEMS},{o.harmonized()},
+names AS (SELECT seller_id AS id, city || '|' || state AS block_key, clean_name AS name FROM keyed),
+edges AS (
+  SELECT a.id AS u, b.id AS v FROM names a JOIN names b ON a.block_key = b.block_key AND a.id <> b.id
+  WHERE levenshtein(a.name, b.name) * 20 <= 3 * greatest(length(a.name), length(b.name))),
+reach(id, seen) AS (SELECT u, u FROM edges UNION SELECT r.id, e.v FROM reach r JOIN edges e ON r.seen = e.u),
+labels AS (SELECT id, min(seen) AS head FROM reach GROUP BY id),
+resolved AS (
+  SELECT u.* REPLACE (coalesce(h.corporate_id, u.corporate_id) AS corporate_id) FROM unioned u
+  LEFT JOIN labels l ON u.seller_id = l.id LEFT JOIN keyed h ON l.head = h.seller_id),
+{o.merged('r_', 'resolved')}
+SELECT * FROM r_harmonized""",
+)
+def harmonize_resolved(spark, sf):
+    """Harmonised rows after sellers of similar names in one city and state became one entity."""
+    supply, financial = inputs.sources(spark, sf)
+    return harm.harmonize_clusters(supply, financial, harm.resolve_sellers(supply))
+
+
 @register("union_sources", f"{o.BASE} SELECT * FROM unioned")
 def union_sources(spark, sf):
     return harm.union_sources(*inputs.sources(spark, sf))
@@ -489,7 +539,7 @@ SELECT 'financial', CAST(sum(revenue) AS DOUBLE), CAST(sum(revenue) AS DOUBLE) /
        CAST(sum(profit) AS DOUBLE) FROM summary""",
 )
 def revenue_statistics(spark, sf):
-    supply = prepare.seller_supply_summary(_items(spark, sf), _sellers(spark, sf))
+    supply = prepare.seller_supply_summary(_items(spark, sf), _sellers(spark, sf), inputs.SECOND_LOAD.date())
     return analytics.revenue_statistics({"supply": supply, "financial": _paid(spark, sf)})
 
 
@@ -555,20 +605,24 @@ def completeness_pct(spark, sf):
 
 @register(
     "duplicate_rows",
-    f"""WITH {o.PAYMENTS}, g AS (SELECT count(*) AS n FROM payments GROUP BY order_id, payment_type)
+    f"""WITH {o.PAYMENTS}, g AS (SELECT count(*) AS n FROM payments
+  GROUP BY order_id, payment_sequential, payment_type, payment_installments, payment_value)
 SELECT CAST(sum(n) AS BIGINT) AS total_records, CAST(sum(n - 1) AS BIGINT) AS duplicate_count FROM g""",
 )
 def duplicate_rows(spark, sf):
-    return quality.duplicate_rows(tables.payments(spark, sf).select("order_id", "payment_type"))
+    return quality.duplicate_rows(tables.payments(spark, sf))
 
 
 @register(
     "key_uniqueness",
-    f"""WITH {o.ITEMS} SELECT count(*) AS total_records, count(DISTINCT order_id) AS distinct_keys,
-       count(*) - count(DISTINCT order_id) AS duplicate_ids FROM items""",
+    """WITH keyed AS (SELECT CASE WHEN event_type <> 'error' THEN user_id END AS k FROM events),
+g AS (SELECT k, count(*) AS n FROM keyed GROUP BY k)
+SELECT CAST(sum(n) AS BIGINT) AS total_records, count(*) AS distinct_keys, CAST(sum(n - 1) AS BIGINT) AS duplicate_ids FROM g""",
 )
 def key_uniqueness(spark, sf):
-    return quality.key_uniqueness(_items(spark, sf), "order_id")
+    """Users of the event log; rows of errors have no key, and NULL is one key."""
+    events = tables.table(spark, sf, "events")
+    return quality.key_uniqueness(events.select(F.when(F.col("event_type") != "error", F.col("user_id")).alias("k")), "k")
 
 
 def _tier_row(df: DataFrame, tier: str) -> DataFrame:
@@ -585,7 +639,7 @@ def _tier_row(df: DataFrame, tier: str) -> DataFrame:
 
 
 _ITEM_COLUMNS = "order_id order_item_id product_id seller_id shipping_limit_date price freight_value".split()
-_PAYMENT_COLUMNS = ["order_id", "payment_type"]
+_PAYMENT_COLUMNS = "order_id payment_sequential payment_type payment_installments payment_value".split()
 
 
 @register("quality_bronze", f"WITH {o.ITEMS}, {o.tier(_ITEM_COLUMNS, 'items', 'bronze')}")
@@ -621,15 +675,15 @@ def quality_gate(spark, sf):
 
 @register(
     "referential_integrity",
-    """SELECT CAST(c_custkey AS VARCHAR) AS id, 'missing' AS side FROM customer
-WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
+    """SELECT doc_id AS id, 'missing' AS side FROM documents WHERE doc_id NOT IN (SELECT user_id FROM events)
 UNION ALL
-SELECT DISTINCT CAST(o_custkey AS VARCHAR), 'extra' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)""",
+SELECT DISTINCT user_id, 'extra' FROM events WHERE user_id NOT IN (SELECT doc_id FROM documents)""",
 )
 def referential_integrity(spark, sf):
-    customers = tables.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("id"))
-    ordering = tables.table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("id"))
-    return quality.key_difference(customers, ordering, "id")
+    """Documents against the users of the event log, whose ids overlap in part."""
+    documents = tables.table(spark, sf, "documents").select(F.col("doc_id").alias("id"))
+    users = tables.table(spark, sf, "events").select(F.col("user_id").alias("id"))
+    return quality.key_difference(documents, users, "id")
 
 
 # ---------------------------------------------------------------- contracts
@@ -752,6 +806,33 @@ def contract_violation_counts(spark, sf):
     return counted
 
 
+@register(
+    "contract_odd_rows",
+    """WITH odd AS (
+  SELECT CAST(event_id AS VARCHAR) AS corporate_id, event_type,
+         CASE event_type WHEN 'click' THEN 'abc' WHEN 'view' THEN CAST(event_id AS VARCHAR) || '.0'
+                         WHEN 'signup' THEN CAST(event_id AS VARCHAR) || '.5' ELSE CAST(event_id AS VARCHAR) END AS places,
+         CASE WHEN event_type = 'purchase' THEN CAST('NaN' AS DOUBLE) ELSE value END AS revenue FROM events)
+SELECT corporate_id, 'revenue' AS field, CASE WHEN isnan(revenue) THEN 'not_a_number' ELSE 'minimum' END AS rule
+FROM odd WHERE isnan(revenue) OR revenue < 0
+UNION ALL SELECT corporate_id, 'activity_places', CASE event_type WHEN 'click' THEN 'type' ELSE 'integer' END
+FROM odd WHERE event_type IN ('click', 'signup')
+UNION ALL SELECT corporate_id, f, r FROM odd, (VALUES ('profit', 'required'), ('profit_margin', 'required'), ('state', 'type'),
+  ('transaction_count', 'required')) AS v(f, r)""",
+)
+def contract_odd_rows(spark, sf):
+    """Events in the layout of the prepared contract: NaN, numbers as text, columns missing or of another type."""
+    kind, number = F.col("event_type"), F.col("event_id").cast("string")
+    places = F.when(kind == "click", "abc").when(kind == "view", F.concat(number, F.lit(".0")))
+    odd = tables.table(spark, sf, "events").select(
+        number.alias("corporate_id"),
+        places.when(kind == "signup", F.concat(number, F.lit(".5"))).otherwise(number).alias("activity_places"),
+        F.when(kind == "purchase", F.lit(float("nan"))).otherwise(F.col("value")).alias("revenue"),
+        F.col("user_id").alias("state"),
+    )
+    return contracts.validate(odd, contracts.PREPARED)[1]
+
+
 @register(
     "transformation_rules",
     f"""WITH {o.ACCOUNTS}, c AS (
@@ -924,7 +1005,7 @@ SELECT CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negati
        round(CAST(sum(below * pos + CAST(pos * neg AS DOUBLE) / 2) AS DOUBLE) / (sum(pos) * sum(neg)), 10) AS auc FROM c""",
 )
 def auc_exact(spark, sf):
-    return _rounded(metrics.auc_exact(inputs.quality_labels(spark, sf), "score", "label", "doc_id"), 10, "auc")
+    return _rounded(metrics.auc_exact(inputs.all_documents(spark, sf), "score", "label", "doc_id"), 10, "auc")
 
 
 @register(
@@ -945,18 +1026,60 @@ def f1_weighted(spark, sf):
     return _rounded(metrics.f1_weighted(inputs.quality_labels(spark, sf), "prediction", "label"), 10, "f1")
 
 
+def _fitted(spark, sf):
+    rows = materialise(_training(spark, sf, "median"), "training")
+    return rows, ml.fit(rows)
+
+
 @register("lr_predictions")
 def lr_predictions(spark, sf):
-    rows = _training(spark, sf, "median")
-    trained = ml.train(rows)
-    testing = features.hash_split(rows, "corporate_id")[1]
-    return ml.score(trained.model, testing, "2025-12-17T10:00:00")
+    rows, model = _fitted(spark, sf)
+    return lr_predictions_of(model, rows)
 
 
 @register("feature_importance")
 def feature_importance(spark, sf):
-    rows = _training(spark, sf, "median")
-    return ml.feature_importance(ml.train(rows).model, rows)
+    rows, model = _fitted(spark, sf)
+    return ml.feature_importance(model, rows)
+
+
+_SIDE = "CAST('0x' || substr(md5(corporate_id), 1, 8) AS BIGINT) < 3435973836"
+
+
+@register(
+    "lr_checks",
+    f"""{o.TRAINING}, m AS (SELECT median(profit) AS threshold FROM features),
+split AS (SELECT corporate_id, profit > threshold AS high, {_SIDE} AS training FROM features, m)
+SELECT count(*) FILTER (WHERE NOT training) AS predictions, count(*) FILTER (WHERE NOT training) AS valid_probabilities,
+       count(*) FILTER (WHERE NOT training) AS valid_confidences, count(*) FILTER (WHERE NOT training) AS valid_classes,
+       count(*) FILTER (WHERE NOT training AND high) AS positives, true AS auc_above_bound,
+       CAST(5 AS BIGINT) AS features, true AS importance_not_negative, 'revenue' AS most_important FROM split""",
+)
+def lr_checks(spark, sf):
+    """What must hold of any fit: how many rows are scored, what a score may be, how well it ranks."""
+    rows, model = _fitted(spark, sf)
+    testing = features.hash_split(rows, "corporate_id")[1].select("corporate_id", features.LABEL)
+    scored = materialise(lr_predictions_of(model, rows).join(testing, "corporate_id"), "scored")
+    p, confidence, chosen = F.col("prediction_probability"), F.col("confidence"), F.col("predicted_class")
+    auc = metrics.auc_exact(scored, "prediction_probability", features.LABEL, "corporate_id")
+    counted = scored.agg(
+        F.count("*").alias("predictions"),
+        F.count_if(p.between(0, 1)).alias("valid_probabilities"),
+        F.count_if(F.abs(confidence - F.greatest(p, 1 - p)) < 1e-9).alias("valid_confidences"),
+        F.count_if(chosen == F.when(p > 0.5, 1).otherwise(0)).alias("valid_classes"),
+    )
+    importance = ml.feature_importance(model, rows).agg(
+        F.count("*").alias("features"),
+        (F.min("importance") >= 0).alias("importance_not_negative"),
+        F.max_by("feature", "importance").alias("most_important"),
+    )
+    judged = auc.select("positives", (F.col("auc") > 0.9).alias("auc_above_bound"))
+    one = lambda df: df.withColumn("_one", F.lit(1))
+    return one(counted).join(one(judged), "_one").join(one(importance), "_one").drop("_one")
+
+
+def lr_predictions_of(model, rows: DataFrame) -> DataFrame:
+    return ml.score(model, features.hash_split(rows, "corporate_id")[1], "2025-12-17T10:00:00")
 
 
 # ---------------------------------------------------------------- run logs
@@ -1000,6 +1123,5 @@ def incremental_ingest(spark, sf):
         store,
         scratch_path(spark, "items"),
         scratch_path(spark, "stream"),
-        inputs.SECOND_LOAD,
     ).run(files_per_batch=2)
     return store.read().select("corporate_id", *o.DATA.split(", "))

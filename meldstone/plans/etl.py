@@ -5,22 +5,34 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meldstone.functions.sql_functions import register_sql_functions
-from meldstone.operators.harmonize import harmonize
+from meldstone.operators.harmonize import harmonize, harmonize_clusters, resolve_sellers
 from meldstone.operators.prepare import prepare_sources
-from meldstone.operators.registry import merge_statement, registry_staging
+from meldstone.operators.registry import KEY, merge_statement, registry_staging, repeated_keys
 from meldstone.sources.readers import read_raw_sources
 from meldstone.sources.registry_store import RegistryStore
-from meldstone.sources.writers import create_database, create_partitioned_table, write_prepared
+from meldstone.sources.storage import materialise
+from meldstone.sources.writers import (
+    WITHOUT_ROW_UPDATES,
+    create_database,
+    create_partitioned_table,
+    write_prepared,
+)
 
 
-def run_etl(spark: SparkSession, source: str, target: str, loaded_at: datetime | None = None) -> DataFrame:
+def run_etl(
+    spark: SparkSession, source: str, target: str, loaded_at: datetime | None = None, resolve: str = "fuzzy"
+) -> DataFrame:
     """Read raw CSV files below ``source``, write prepared sources and the registry below ``target``.
 
     Harmonising reads the prepared sources back from their files, so the item
-    aggregation runs once. Returns the quarantined rows.
+    aggregation runs once. ``resolve`` is "fuzzy", where sellers of similar names in one city
+    and state become one entity, or "exact". Returns the quarantined rows.
     """
+    if resolve not in ("fuzzy", "exact"):
+        raise ValueError(f"unknown resolution {resolve!r}")
     register_sql_functions(spark)
     moment = loaded_at or datetime.now(timezone.utc)
     items, sellers, _ = read_raw_sources(spark, source)
@@ -30,19 +42,29 @@ def run_etl(spark: SparkSession, source: str, target: str, loaded_at: datetime |
         path = f"{base}/prepared_sources/{name}"
         write_prepared(df, path)
         written.append(spark.read.schema(df.schema).parquet(path))
-    staged = registry_staging(harmonize(*written), moment)
+    merged = harmonize(*written) if resolve == "exact" else harmonize_clusters(*written, resolve_sellers(written[0]))
+    staged = registry_staging(merged, moment)
     return RegistryStore(spark, f"{base}/corporate_registry").load(staged, moment)
 
 
-def load_table(spark: SparkSession, staging: DataFrame, database: str, table: str) -> None:
+def load_table(spark: SparkSession, staging: DataFrame, database: str, table: str, table_format: str) -> DataFrame:
     """Load into a catalog table: create it on the first run, MERGE afterwards.
 
-    MERGE needs a table format with row-level updates; without one use RegistryStore.
+    ``table_format`` must support row-level updates, as MERGE needs them; for plain files
+    use RegistryStore. Returns the quarantined rows, those without a key.
     """
+    if table_format.lower() in WITHOUT_ROW_UPDATES:
+        raise ValueError(f"{table_format} tables cannot be merged into; use RegistryStore")
+    staging = materialise(staging, "staging")
+    repeated = repeated_keys(staging).head(5)
+    if repeated:
+        raise ValueError(f"staging repeats keys, for example {[r[0] for r in repeated]}")
+    keyed, quarantined = staging.where(F.col(KEY).isNotNull()), staging.where(F.col(KEY).isNull())
     create_database(spark, database)
     target = f"{database}.{table}"
     if not spark.catalog.tableExists(target):
-        create_partitioned_table(staging, target)
-        return
-    staging.createOrReplaceTempView("staging_corporate_registry")
-    spark.sql(merge_statement(target, "staging_corporate_registry"))
+        create_partitioned_table(keyed, target, table_format)
+    else:
+        keyed.createOrReplaceTempView("staging_corporate_registry")
+        spark.sql(merge_statement(target, "staging_corporate_registry"))
+    return quarantined

@@ -21,10 +21,9 @@ from meldstone.sources import tables
 from meldstone.sources.registry_store import RegistryStore
 from meldstone.sources.storage import scratch_path
 
-# Two loads of the registry: items shipped before the cutoff with the sellers of all
-# regions but Europe, then the later items with the sellers of all but Africa. Some
-# entities stay, some change, some are new, and items of sellers that a load does not
-# know have no entity id.
+# Two loads of the registry, both with all sellers: items shipped before the cutoff, then
+# the others, undated ones included. The second load also brings the purchases of the event
+# log, whose sellers are not in the seller table, so that they have no entity id.
 CUTOFF = datetime(1998, 6, 1)
 FIRST_LOAD = datetime(2025, 11, 15, 10, 0, 0)
 SECOND_LOAD = datetime(2025, 12, 17, 10, 0, 0)
@@ -45,9 +44,11 @@ def staged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _load(spark: SparkSession, sf: str, first: bool) -> DataFrame:
-    early = F.col("shipping_limit_date") < F.lit(CUTOFF)
+    early = F.coalesce(F.col("shipping_limit_date") < F.lit(CUTOFF), F.lit(False))
     items = tables.order_items(spark, sf).where(early if first else ~early)
-    sellers = tables.sellers(spark, sf).where(F.col("seller_state") != ("EU" if first else "AF"))
+    if not first:
+        items = items.unionByName(tables.unknown_seller_items(spark, sf))
+    sellers = tables.sellers(spark, sf)
     return registry_staging(harmonize(*prepare_sources(items, sellers)), FIRST_LOAD if first else SECOND_LOAD)
 
 
@@ -126,6 +127,13 @@ def runs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def all_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with its length as score; the label is NULL where it has none."""
+    documents = tables.table(spark, sf, "documents").select("doc_id", F.col("n_chars").cast("double").alias("score"))
+    labels = tables.table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
+    return documents.join(labels, "doc_id", "left")
+
+
 def quality_labels(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled documents with their length as score and a length rule as prediction."""
     documents = tables.table(spark, sf, "documents").select("doc_id", "n_chars")

@@ -31,11 +31,27 @@ PAYMENTS = """payments AS (
   FROM lineitem)"""
 
 COMPANIES = """companies AS (
-  SELECT c_custkey AS id, c_name AS name, n_name || '|' || c_mktsegment AS block_key, n_name AS city,
+  SELECT c_custkey AS id, c_name AS name, n_name || '|' || upper(substr(r_name, 1, 2)) AS block_key, n_name AS city,
          upper(substr(r_name, 1, 2)) AS state, c_mktsegment AS market, c_acctbal AS balance
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
 
+def merged(p: str, unioned: str) -> str:
+    """Common table expressions from unioned rows to <p>harmonized."""
+    return f"""{p}merged AS (
+  SELECT corporate_id,
+         {', '.join(f"first({c} ORDER BY source_system DESC, seller_id) FILTER (WHERE {c} IS NOT NULL) AS {c}"
+                    for c in ("corporate_name", "address", "city", "state", "top_suppliers", "main_customers"))},
+         max(activity_places) AS activity_places, max(revenue) AS revenue, max(profit) AS profit,
+         max(transaction_count) AS transaction_count,
+         string_agg(DISTINCT source_system, ',' ORDER BY source_system) AS source_system
+  FROM {unioned} GROUP BY corporate_id),
+{p}harmonized AS (
+  SELECT corporate_id, corporate_name, address, city, state, activity_places, top_suppliers, main_customers,
+         revenue, profit, transaction_count, source_system,
+         CASE WHEN revenue > 0 THEN profit / revenue ELSE 0.0 END AS profit_margin FROM {p}merged)"""
+
+
 def harmonized(prefix: str = "", sellers: str = "sellers", items: str = "items") -> str:
     """Common table expressions ending in <prefix>harmonized."""
     p = prefix
@@ -73,18 +89,7 @@ def harmonized(prefix: str = "", sellers: str = "sellers", items: str = "items")
   SELECT f.seller_id, k.corporate_id, {cleanse("'seller ' || f.seller_id")}, k.address, k.city, k.state,
          NULL, NULL, NULL, f.revenue, f.profit, f.transaction_count, 'financial'
   FROM {p}financial f LEFT JOIN {p}keyed k ON f.seller_id = k.seller_id),
-{p}merged AS (
-  SELECT corporate_id,
-         {', '.join(f"first({c} ORDER BY source_system DESC, seller_id) FILTER (WHERE {c} IS NOT NULL) AS {c}"
-                    for c in ("corporate_name", "address", "city", "state", "top_suppliers", "main_customers"))},
-         max(activity_places) AS activity_places, max(revenue) AS revenue, max(profit) AS profit,
-         max(transaction_count) AS transaction_count,
-         string_agg(DISTINCT source_system, ',' ORDER BY source_system) AS source_system
-  FROM {p}unioned GROUP BY corporate_id),
-{p}harmonized AS (
-  SELECT corporate_id, corporate_name, address, city, state, activity_places, top_suppliers, main_customers,
-         revenue, profit, transaction_count, source_system,
-         CASE WHEN revenue > 0 THEN profit / revenue ELSE 0.0 END AS profit_margin FROM {p}merged)"""
+{merged(p, p + 'unioned')}"""
 
 
 BASE = f"WITH {SELLERS}, {ITEMS},{harmonized()}"
@@ -103,12 +108,14 @@ def staging(source: str, year: int, month: int) -> str:
 
 _MERGED_COLUMNS = ", ".join(f"coalesce(s.{c.strip()}, t.{c.strip()}) AS {c.strip()}" for c in DATA.split(","))
 LOADS = f"""WITH {SELLERS}, {ITEMS},
-sellers_1 AS (SELECT * FROM sellers WHERE seller_state <> 'EU'),
-sellers_2 AS (SELECT * FROM sellers WHERE seller_state <> 'AF'),
-items_1 AS (SELECT * FROM items WHERE shipping_limit_date < TIMESTAMP '1998-06-01'),
-items_2 AS (SELECT * FROM items WHERE shipping_limit_date >= TIMESTAMP '1998-06-01'),
-{harmonized('a_', 'sellers_1', 'items_1')},
-{harmonized('b_', 'sellers_2', 'items_2')},
+items_1 AS (SELECT * FROM items WHERE coalesce(shipping_limit_date < TIMESTAMP '1998-06-01', false)),
+items_2 AS (
+  SELECT * FROM items WHERE NOT coalesce(shipping_limit_date < TIMESTAMP '1998-06-01', false)
+  UNION ALL
+  SELECT 'e' || event_id, 1, 'p' || user_id, 'u' || user_id, ts, CAST(value AS DECIMAL(12,2)), CAST(0 AS DECIMAL(16,4))
+  FROM events WHERE event_type = 'purchase'),
+{harmonized('a_', 'sellers', 'items_1')},
+{harmonized('b_', 'sellers', 'items_2')},
 staged_1 AS ({staging('a_harmonized', 2025, 11)}),
 staged_2 AS ({staging('b_harmonized', 2025, 12)}),
 version_1 AS (SELECT * FROM staged_1 WHERE corporate_id IS NOT NULL),
@@ -130,8 +137,8 @@ HASH_COLUMNS = (
 
 
 def row_hash() -> str:
-    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in HASH_COLUMNS)
-    return f"sha256(concat_ws('|', {parts}))"
+    parts = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in HASH_COLUMNS)
+    return f"sha256({parts})"
 
 
 PAID = f"""{PAYMENTS}, totals AS (
@@ -144,15 +151,15 @@ PAYMENT_SUMMARY = f"""{PAID}, summary AS (
          CAST(NULL AS VARCHAR) AS state, 1 AS activity_places, CAST(NULL AS VARCHAR) AS top_suppliers,
          payment_type AS main_customers, revenue,
          CAST(revenue * CAST(0.15 AS DECIMAL(6,4)) AS DECIMAL(18,2)) AS profit,
-         '{FINANCIAL_SUMMARY}' AS source_system FROM totals)"""
+         '{FINANCIAL_SUMMARY}' AS source_system, DATE '2025-12-17' AS load_date FROM totals)"""
 
 SELLER_SUMMARY = f"""seller_summary AS (
   SELECT i.seller_id AS corporate_id, s.seller_city AS corporate_name,
          s.seller_city || ', ' || s.seller_state AS address, s.seller_city AS city, s.seller_state AS state,
-         1 AS activity_places, string_agg(DISTINCT i.product_id, ',' ORDER BY i.product_id) AS top_suppliers,
+         1 AS activity_places, count(DISTINCT i.product_id) AS n_products,
          CAST(NULL AS VARCHAR) AS main_customers, CAST(sum(i.price) AS DECIMAL(18,2)) AS revenue,
          CAST(CAST(sum(i.price) AS DECIMAL(18,2)) * CAST(0.2 AS DECIMAL(6,4)) AS DECIMAL(18,2)) AS profit,
-         '{SUPPLY_SUMMARY}' AS source_system, 0 AS list_part
+         '{SUPPLY_SUMMARY}' AS source_system, DATE '2025-12-17' AS load_date
   FROM items i LEFT JOIN sellers s ON i.seller_id = s.seller_id GROUP BY i.seller_id, s.seller_city, s.seller_state)"""
 
 ITEM_SUPPLY = """item_supply AS (
@@ -183,8 +190,9 @@ features AS (
          CASE WHEN length(trim(top_suppliers)) = 0 THEN 0
               ELSE len(string_split(top_suppliers, ',')) END AS top_suppliers_count FROM labelled)"""
 
-MATCHES = f"""{COMPANIES},
-named AS (SELECT id, block_key, {cleanse('name')} AS name FROM companies),
+def matches(records: str) -> str:
+    """Common table expressions from ``records`` (id, block_key, name) to all matching pairs."""
+    return f"""named AS (SELECT id, block_key, {cleanse('name')} AS name FROM {records}),
 reps AS (SELECT block_key, name, min(id) AS id FROM named GROUP BY block_key, name),
 matches AS (
   SELECT a.id AS id_a, b.id AS id_b, CAST(levenshtein(a.name, b.name) AS INTEGER) AS distance,
@@ -195,6 +203,12 @@ matches AS (
   UNION ALL
   SELECT r.id, n.id, 0, 1.0 FROM named n JOIN reps r ON n.block_key = r.block_key AND n.name = r.name AND n.id <> r.id)"""
 
+
+MATCHES = f"{COMPANIES},\n{matches('companies')}"
+LONG_MATCHES = f"""{COMPANIES},
+long_names AS (SELECT id, block_key, name || ' ' || market || ' trading company of ' || city AS name FROM companies),
+{matches('long_names')}"""
+
 ACCOUNTS = f"""{COMPANIES}, accounts AS (
   SELECT CAST(id AS VARCHAR) AS corporate_id, balance AS revenue,
          balance * CASE WHEN market = 'MACHINERY' THEN CAST(0.2 AS DOUBLE) ELSE CAST(0.18 AS DOUBLE) END AS profit,

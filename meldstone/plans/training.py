@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from meldstone.operators import model as ml
 from meldstone.operators.features import PROFIT_THRESHOLD, add_features, label_high_profit
-from meldstone.operators.quality import enforce_gate, key_uniqueness
+from meldstone.operators.quality import enforce_gate, quality_gate
 from meldstone.operators.runlog import log_run
 from meldstone.sources.readers import registry_training_scan
+from meldstone.sources.storage import materialise
 from pyspark.sql import functions as F
 
 
@@ -24,12 +26,17 @@ def run_training(
     target: str,
     threshold: float | str = PROFIT_THRESHOLD,
     moment: datetime | None = None,
+    required: Sequence[str] = ("unique_key", "key_present"),
+    source: str = "",
 ) -> tuple[str, ml.Trained]:
-    """Check the registry, train, store model and run record below ``target``."""
-    unique = key_uniqueness(registry, "corporate_id").select(
-        F.lit("unique_key").alias("check"), (F.col("duplicate_ids") == 0).alias("passed")
-    )
-    enforce_gate(unique)
+    """Pass the quality gate, train, store model and run record below ``target``.
+
+    ``required`` names the checks of the gate that stop the job; the outcome of all goes
+    into the run record. ``source`` says there which registry, and which version, was read.
+    """
+    gate = materialise(quality_gate(registry), "gate")
+    enforce_gate(gate.where(F.col("check").isin(list(required))))
+    checks = {f"gate_{r['check']}": r["passed"] for r in gate.collect()}
     trained = ml.train(training_features(registry, threshold))
     base = target.rstrip("/")
     run_id = log_run(
@@ -39,7 +46,8 @@ def run_training(
         {
             "train_test_split": "0.8/0.2",
             "profit_threshold": threshold,
-            "registry": target,
+            "registry": source,
+            **checks,
             "regParam": ml.REGULARISATION,
             "elasticNetParam": ml.ELASTIC_NET,
             "maxIter": ml.MAX_ITERATIONS,

@@ -23,8 +23,11 @@ RAW_SCHEMAS = {
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """CSV with a header row; types are inferred only when no schema is given."""
-    reader = spark.read.option("header", "true")
+    """CSV with a header row; types are inferred only when no schema is given.
+
+    With a schema, a file whose header has other names or another order is refused.
+    """
+    reader = spark.read.option("header", "true").option("enforceSchema", "false")
     if schema is None:
         return reader.option("inferSchema", "true").csv(path)
     return reader.schema(schema).csv(path)

@@ -7,7 +7,7 @@ load that dies half-way is invisible.
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from meldstone.operators.registry import KEY, repeated_keys, upsert
 from meldstone.sources import schemas
-from meldstone.sources.storage import list_folders, materialise, path_exists
+from meldstone.sources.storage import list_folders, materialise, path_exists, touch
 
 _FORMAT = "%Y%m%dT%H%M%S"
 _PREFIX = "commit_ts="
@@ -44,8 +44,12 @@ class RegistryStore:
     def commit(self, registry: DataFrame, moment: datetime) -> str:
         """Write a snapshot. Rebalancing sizes the files and splits a huge month over several."""
         version = _version(moment)
-        if version in self.versions():
+        latest = max(self.versions(), default="")
+        if version == latest:
             raise ValueError(f"version {version} already exists")
+        if version < latest:
+            # It would never be the newest one, and what it holds would be lost to readers.
+            raise ValueError(f"version {version} is older than the newest one, {latest}")
         (
             registry.hint("rebalance", *_PARTITIONS)
             .write.mode("overwrite")
@@ -85,15 +89,22 @@ class RegistryStore:
         self.commit(merged, moment)
         return quarantined
 
-    def load_once(self, staging: DataFrame, moment: datetime) -> None:
-        """Load unless this moment's version is already there, as after a replay.
+    def load_batch(self, staging: DataFrame, stream: str, batch_id: int) -> None:
+        """Load a batch of a stream unless it is already in, as after a replay.
 
+        The version bears the time of the commit, moved on by a second where the newest
+        version is not older. A note <path>_batches/<stream>/<batch> is left behind it; a
+        load that died before its note is repeated, which an upsert of equal rows allows.
         Rows without a key are kept next to the registry, in <path>_quarantine.
         """
-        version = _version(moment)
-        if version in self.versions():
+        note = f"{self.path}_batches/{stream}/{batch_id}"
+        if path_exists(self.spark, note):
             return
         staging = materialise(staging, "staging")
         lost = staging.where(F.col(KEY).isNull())
-        lost.write.mode("overwrite").parquet(f"{self.path}_quarantine/{_PREFIX}{version}")
+        lost.write.mode("overwrite").parquet(f"{self.path}_quarantine/stream={stream}/batch_id={batch_id}")
+        moment = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
+        if latest := max(self.versions(), default=None):
+            moment = max(moment, datetime.strptime(latest, _FORMAT) + timedelta(seconds=1))
         self.load(staging.where(F.col(KEY).isNotNull()), moment)
+        touch(self.spark, note)

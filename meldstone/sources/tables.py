@@ -49,6 +49,20 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def unknown_seller_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases of the event log as items of sellers that the seller table lacks."""
+    bought = table(spark, sf_dir, "events").where("event_type = 'purchase'")
+    return bought.select(
+        F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("order_id"),
+        F.lit(1).alias("order_item_id"),
+        F.concat(F.lit("p"), F.col("user_id").cast("string")).alias("product_id"),
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("seller_id"),
+        F.col("ts").alias("shipping_limit_date"),
+        F.col("value").cast("decimal(12,2)").alias("price"),
+        F.lit(0).cast("decimal(16,4)").alias("freight_value"),
+    )
+
+
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     after_discount = (price * (1 - F.col("l_discount").cast("decimal(4,2)"))).cast("decimal(18,4)")
@@ -63,13 +77,13 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as match candidates, blocked by nation and market segment."""
+    """Customers as match candidates, blocked by city and state."""
     nations = _nations(spark, sf_dir)
     customer = table(spark, sf_dir, "customer")
     return customer.join(nations, customer.c_nationkey == nations.n_nationkey).select(
         F.col("c_custkey").alias("id"),
         F.col("c_name").alias("name"),
-        F.concat_ws("|", "n_name", "c_mktsegment").alias("block_key"),
+        F.concat_ws("|", "n_name", "state").alias("block_key"),
         F.col("n_name").alias("city"),
         F.col("state").alias("state"),
         F.col("c_mktsegment").alias("market"),
@@ -77,6 +91,12 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def long_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers under names of more than 20 characters, blocked by city and state."""
+    name = F.concat("name", F.lit(" "), "market", F.lit(" trading company of "), "city")
+    return companies(spark, sf_dir).select("id", name.alias("name"), "block_key")
+
+
 def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event rows rendered as training-job log messages, one run per user."""
     events = table(spark, sf_dir, "events")

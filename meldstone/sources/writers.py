@@ -19,7 +19,13 @@ def register_views(views: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def create_partitioned_table(df: DataFrame, table: str, keys: tuple[str, ...] = ("year", "month")) -> None:
+#: File formats whose tables cannot update single rows.
+WITHOUT_ROW_UPDATES = ("parquet", "orc", "csv", "json", "avro", "text")
+
+
+def create_partitioned_table(
+    df: DataFrame, table: str, table_format: str, keys: tuple[str, ...] = ("year", "month")
+) -> None:
     """First-run create of a table partitioned by load year and month."""
     first, *rest = keys
-    df.writeTo(table).using("parquet").partitionedBy(first, *rest).create()
+    df.writeTo(table).using(table_format).partitionedBy(first, *rest).create()

@@ -1,16 +1,17 @@
 """Incremental ingestion of item files into the registry.
 
 Distinct counts and top-10 lists cannot be added up batch by batch. Each batch is
-therefore stored under its number, the sellers it mentions are recomputed from
-everything stored, and the result is upserted. A replayed batch overwrites its
-own folder, so the outcome is that of a full rebuild.
+therefore stored under its number and, within it, by a hash bucket of the seller. The
+sellers a batch mentions are recomputed from the stored items of their buckets alone,
+and the result is upserted. A replayed batch overwrites its own folder, so the outcome
+is that of a full rebuild.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +22,14 @@ from meldstone.sources.registry_store import RegistryStore
 from meldstone.sources.storage import materialise
 
 
+#: Folders over which the items of a batch are spread by seller.
+BUCKETS = 64
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("seller_id"), F.lit(BUCKETS)).cast("int")
+
+
 class RegistryIngest:
     def __init__(
         self,
@@ -31,7 +40,7 @@ class RegistryIngest:
         store: RegistryStore,
         items_path: str,
         checkpoint: str,
-        started: datetime | None = None,
+        stream: str = "items",
     ):
         self.spark = spark
         self.landing = landing
@@ -40,27 +49,37 @@ class RegistryIngest:
         self.store = store
         self.items_path = items_path.rstrip("/")
         self.checkpoint = checkpoint
-        self.started = started or datetime.now(timezone.utc)
+        self.stream = stream
+
+    def stored_items(self, batch_id: int, buckets: Sequence[int]) -> DataFrame:
+        """Items of this and earlier batches in the given buckets; no other folder is read.
 
-    def _stored_items(self, batch_id: int) -> DataFrame:
-        """Items of this and earlier batches; a later folder can only be a replay's leftover."""
-        schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
-        stored = self.spark.read.schema(schema).parquet(self.items_path)
-        return stored.where(F.col("batch_id") <= batch_id).drop("batch_id")
+        A later batch's folder can only be a replay's leftover.
+        """
+        fields = [T.StructField("bucket", T.IntegerType()), T.StructField("batch_id", T.LongType())]
+        stored = self.spark.read.schema(T.StructType([*self.schema.fields, *fields])).parquet(self.items_path)
+        wanted = F.col("bucket").isin(list(buckets)) & (F.col("batch_id") <= batch_id)
+        return stored.where(wanted).drop("bucket", "batch_id")
 
     def _apply(self, batch: DataFrame, batch_id: int) -> None:
-        # Bound to this batch's number: a replay writes the same version again.
-        moment = self.started + timedelta(seconds=batch_id)
-        batch.write.mode("overwrite").parquet(f"{self.items_path}/batch_id={batch_id}")
-        written = self.spark.read.schema(self.schema).parquet(f"{self.items_path}/batch_id={batch_id}")
+        # Each batch overwrites its own folders only, so a replay leaves no second copy.
+        written = self.spark.read.schema(self.schema).parquet(self._keep(batch, batch_id))
         # Both are written down: the joins below then know their sizes, and the two
         # aggregations of the items start from files that no key has partitioned.
         touched = materialise(written.select("seller_id").distinct(), "touched")
-        items = materialise(self._stored_items(batch_id).join(touched, "seller_id", "left_semi"), "items")
+        buckets = [r[0] for r in touched.select(_bucket().alias("bucket")).distinct().collect()]
+        stored = self.stored_items(batch_id, buckets)
+        items = materialise(stored.join(touched, "seller_id", "left_semi"), "items")
         # The first batch also brings in sellers that have no items yet.
         sellers = self.sellers if batch_id == 0 else self.sellers.join(touched, "seller_id", "left_semi")
-        staged = registry_staging(harmonize(*prepare_sources(items, sellers)), moment)
-        self.store.load_once(staged, moment)
+        staged = registry_staging(harmonize(*prepare_sources(items, sellers)))
+        self.store.load_batch(staged, self.stream, batch_id)
+
+    def _keep(self, batch: DataFrame, batch_id: int) -> str:
+        """Store the items of a batch below batch_id=/bucket= and return the batch's folder."""
+        folder = f"{self.items_path}/batch_id={batch_id}"
+        batch.withColumn("bucket", _bucket()).write.mode("overwrite").partitionBy("bucket").parquet(folder)
+        return folder
 
     def run(self, files_per_batch: int = 1000) -> None:
         """Process every file that arrived since the last run, then stop."""

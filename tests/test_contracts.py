@@ -79,7 +79,7 @@ def test_feature_and_prediction(spark):
 def test_text_numbers_are_read(spark):
     schema = SOURCE.replace("payment_value double", "payment_value string")
     assert broken(spark, c.SOURCE, schema, ("1", "c", "s", "100", "x")) == []
-    assert broken(spark, c.SOURCE, schema, ("1", "c", "s", "lots", "x")) == [("payment_value", "required")]
+    assert broken(spark, c.SOURCE, schema, ("1", "c", "s", "lots", "x")) == [("payment_value", "type")]
 
 
 def test_fractions_are_no_integers(spark):
@@ -121,3 +121,21 @@ def test_transformation_rules(spark):
     assert rules(spark, prepared(revenue=1.0, profit=0.0, profit_margin=0.01))["margin_consistent"] == 1
     bad = rules(spark, prepared(revenue=-1.0), prepared(state=None), prepared(revenue=0.0), prepared(revenue=math.nan))
     assert bad == {"margin_consistent": 3, "revenue_not_negative": 2, "state_two_letters": 1}
+
+
+def test_missing_columns_and_other_types_are_violations(spark):
+    frame = spark.createDataFrame([(7, 1.0)], "corporate_id bigint, revenue double")
+    got = sorted((r.field, r.rule) for r in c.validate(frame, c.PREPARED)[1].collect())
+    assert got == [
+        ("activity_places", "required"), ("corporate_id", "type"), ("profit", "required"), ("profit_margin", "required"),
+        ("state", "required"), ("transaction_count", "required"),
+    ]
+    keyless = spark.createDataFrame([(1.0,)], "revenue double")
+    assert ("corporate_id", "required") in {(r.field, r.rule) for r in c.validate(keyless, c.PREPARED)[1].collect()}
+
+
+@pytest.mark.parametrize("text, rule", [("3", None), ("3.0", None), (" 4 ", None), ("3.5", "integer"), ("abc", "type"), (None, "required"), ("-1", "minimum")])
+def test_numbers_as_text(spark, text, rule):
+    schema = PREPARED.replace("activity_places int", "activity_places string")
+    got = broken(spark, c.PREPARED, schema, prepared(activity_places=text))
+    assert got == ([("activity_places", rule)] if rule else [])

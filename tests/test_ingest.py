@@ -28,7 +28,7 @@ def test_batches_equal_a_full_rebuild(spark):
     landing, items, stream = (scratch_path(spark, name) for name in ("landing", "items", "stream"))
     store = RegistryStore(spark, scratch_path(spark, "registry"))
     frame = spark.createDataFrame(rows, ITEMS)
-    ingest = RegistryIngest(spark, landing, frame.schema, sellers, store, items, stream, START)
+    ingest = RegistryIngest(spark, landing, frame.schema, sellers, store, items, stream)
 
     spark.createDataFrame(rows[:120], ITEMS).repartition(3).write.parquet(landing)
     ingest.run(files_per_batch=2)
@@ -41,6 +41,9 @@ def test_batches_equal_a_full_rebuild(spark):
     got, want = data_columns(store.read()), data_columns(rebuilt)
     assert got.count() == 7 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
+    plan = ingest.stored_items(1, [3, 5])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan.replace("isnotnull(bucket", "bucket") or "bucket#" in plan.split("PartitionFilters")[1][:60]
+
     lost = spark.read.parquet(f"{store.path}_quarantine")
     assert {r.corporate_name for r in lost.collect()} == {"seller ghost"}
 

@@ -1,6 +1,8 @@
 import math
+from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from meldstone.operators import prepare
 from meldstone.operators.sequence import sequential_ids
@@ -17,9 +19,9 @@ def by(rows, key):
 def test_prepare_supply(raw_sellers):
     rows = by(prepare.prepare_supply(raw_sellers), "seller_id")
     assert len(rows) == 2
-    acme = rows["seller_001"]
-    assert (acme.canonical_name, acme.activity_places, acme.state) == ("acme corp", 3, "SP")
-    assert (acme.address, acme.source_system) == ("Sao Paulo, SP", "supply_chain")
+    paper = rows["w-17"]
+    assert (paper.canonical_name, paper.activity_places, paper.state) == ("kestrel paper", 4, "NO")
+    assert (paper.address, paper.source_system) == ("Tromso, NO", "supply_chain")
 
 
 def test_address_skips_nulls(spark):
@@ -34,14 +36,14 @@ def test_address_skips_nulls(spark):
 
 def test_prepare_financial(spark, raw_sellers):
     items = spark.createDataFrame(
-        [("order-1", "seller_001", 100.0, 10.0), ("order-2", "seller_001", 200.0, 15.0), ("order-3", "seller_002", 80.0, 5.0)],
+        [("a9", "w-17", 41.5, 3.25), ("a9", "w-17", 8.5, 0.75), ("b2", "w-17", 146.0, 0.0), ("c4", "w-18", 12.0, 1.0)],
         ITEM_COLUMNS,
     )
     rows = by(prepare.prepare_financial(items, prepare.prepare_supply(raw_sellers)), "seller_id")
     assert len(rows) == 2
-    acme = rows["seller_001"]
-    assert math.isclose(acme.revenue, 325.0) and math.isclose(acme.profit, 58.5)
-    assert (acme.transaction_count, acme.source_system, acme.city) == (2, "financial", "Sao Paulo")
+    paper = rows["w-17"]
+    assert math.isclose(paper.revenue, 200.0) and math.isclose(paper.profit, 36.0)
+    assert (paper.transaction_count, paper.source_system, paper.city) == (2, "financial", "Tromso")
 
 
 def test_seller_dimension_picks_one_row(spark):
@@ -72,17 +74,24 @@ def test_first_ten_products_in_string_order(spark):
     assert rows["many"].seller_name == "Seller_many"
 
 
-def test_long_product_lists_are_split_but_whole(spark):
-    pairs = [("big", f"p{n}") for n in range(50)] + [("small", "x"), (None, "y")]
+LOADED = date(2025, 12, 17)
+
+
+def test_summary_has_one_row_per_seller_and_the_list_is_whole(spark):
+    pairs = [("big", f"p{n % 50}") for n in range(400)] + [("small", "x"), (None, "y"), ("bare", None)]
     sellers = spark.createDataFrame([("big", "c", "SS")], SELLERS)
-    summary = prepare.seller_supply_summary(items_with(spark, pairs), sellers, products_per_row=10)
-    big = summary.where("corporate_id = 'big'").collect()
-    assert len(big) == 5 and sorted(p for r in big for p in r.top_suppliers) == sorted(f"p{n}" for n in range(50))
-    assert [r.revenue for r in big if r.list_part == 0] == [50]
-    assert all(r.revenue is None for r in big if r.list_part > 0)
-    assert summary.where("corporate_id IS NULL").first().top_suppliers == ["y"]
-    whole = prepare.seller_supply_summary(items_with(spark, pairs), sellers)
-    assert whole.count() == 3
+    items = items_with(spark, pairs)
+    summary = by(prepare.seller_supply_summary(items, sellers, LOADED), "corporate_id")
+    assert {k: (r.n_products, r.revenue, r.load_date) for k, r in summary.items()} == {
+        "big": (50, 400, LOADED), "small": (1, 1, LOADED), None: (1, 1, LOADED), "bare": (0, 1, LOADED)
+    }
+    listed = prepare.seller_product_list(items).collect()
+    assert len(listed) == 52 and {r.product_id for r in listed if r.corporate_id == "big"} == {f"p{n}" for n in range(50)}
+
+
+def test_money_that_does_not_fit_becomes_null(spark):
+    items = spark.createDataFrame([("o", "s", 1e300, 0.0)], ITEM_COLUMNS).withColumn("product_id", F.lit("p"))
+    assert prepare.seller_supply_summary(items, spark.createDataFrame([], SELLERS), LOADED).first().revenue is None
 
 
 def test_repeated_dimension_rows_multiply_revenue(spark):
@@ -106,7 +115,7 @@ def test_sequential_ids_order_and_ties(spark, partitions):
         [(f"o{n % 100:03}", t, 1.0) for n in range(400) for t in ("boleto", "card")],
         "order_id string, payment_type string, payment_value double",
     ).repartition(partitions)
-    rows = prepare.payment_financial_summary(payments).orderBy("corporate_id").collect()
+    rows = prepare.payment_financial_summary(payments, LOADED).orderBy("corporate_id").collect()
     assert [r.corporate_id for r in rows] == list(range(1, 201))
     assert [(r.corporate_name, r.main_customers) for r in rows] == sorted((r.corporate_name, r.main_customers) for r in rows)
     assert rows[0].revenue == 4 and float(rows[0].profit) == 0.6

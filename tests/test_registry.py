@@ -1,10 +1,12 @@
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 from decimal import Decimal
 
 import pytest
 
 from meldstone.operators import registry as reg
-from meldstone.plans.etl import run_etl
+from meldstone.functions.keys import entity_hash
+from meldstone.plans import etl
+from meldstone.plans.etl import load_table, run_etl
 from meldstone.sources import readers, schemas
 from meldstone.sources.registry_store import RegistryStore
 from meldstone.sources.storage import scratch_path
@@ -70,10 +72,23 @@ def test_versions_as_of_and_history(spark, store):
     assert history == {"20251115T100000": (2, 2), "20251217T100000": (3, 2)}
     with pytest.raises(ValueError, match="already exists"):
         store.load(staged(spark, [("a", "A", 1, 1.0)], DECEMBER), DECEMBER)
-    store.load_once(staged(spark, [("a", "A", 1, 1.0)], DECEMBER), DECEMBER)
+    with pytest.raises(ValueError, match="older than the newest"):
+        store.load(staged(spark, [("z", "Z", 1, 1.0)], NOVEMBER), datetime(2025, 12, 1))
     assert store.read().where("corporate_id = 'a'").first().activity_places == 3
 
 
+def test_batches_of_a_stream_load_once(spark, store):
+    before = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
+    for batch_id, places in ((0, 1), (1, 2), (1, 9), (0, 9)):
+        store.load_batch(staged(spark, [("a", "A", places, 1.0), (None, "x", 1, 1.0)], DECEMBER), "items", batch_id)
+    store.load_batch(staged(spark, [("b", "B", 5, 1.0)], DECEMBER), "other", 0)
+    assert len(store.versions()) == 3
+    assert {r.corporate_id: r.activity_places for r in store.read().collect()} == {"a": 2, "b": 5}
+    assert store.read(as_of=datetime.now(timezone.utc).replace(tzinfo=None) + timedelta(minutes=5)).count() == 2
+    assert datetime.strptime(store.versions()[0], "%Y%m%dT%H%M%S") >= before
+    assert spark.read.parquet(f"{store.path}_quarantine").count() == 2
+
+
 def test_unfinished_snapshot_is_ignored(spark, store):
     store.load(staged(spark, [("a", "A", 3, 10.0)], NOVEMBER), NOVEMBER)
     staged(spark, [("z", "Z", 1, 1.0)], DECEMBER).write.option(
@@ -113,7 +128,7 @@ def test_tables_and_views(spark):
     create_database(spark, "registry_db")
     rows = staged(spark, [("a", "A", 3, 10.0)], NOVEMBER)
     assert not spark.catalog.tableExists("registry_db.corporate_registry")
-    create_partitioned_table(rows, "registry_db.corporate_registry")
+    create_partitioned_table(rows, "registry_db.corporate_registry", "parquet")
     assert spark.catalog.tableExists("registry_db.corporate_registry")
     assert spark.table("registry_db.corporate_registry").where("year = 2025 AND month = 11").count() == 1
     register_views({"staged_view": rows})
@@ -121,6 +136,35 @@ def test_tables_and_views(spark):
     spark.sql("DROP TABLE registry_db.corporate_registry")
 
 
+def test_table_loads_refuse_formats_without_row_updates(spark):
+    rows = staged(spark, [("a", "A", 3, 10.0)], NOVEMBER)
+    with pytest.raises(ValueError, match="cannot be merged into"):
+        load_table(spark, rows, "registry_db", "plain", "parquet")
+    assert not spark.catalog.tableExists("registry_db.plain")
+    with pytest.raises(ValueError, match="repeats keys"):
+        load_table(spark, rows.union(rows), "registry_db", "plain", "delta")
+
+
+def test_first_and_later_table_loads_set_rows_without_a_key_aside(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(etl, "create_partitioned_table", lambda df, table, kind: calls.append((df.count(), table, kind)))
+    rows = staged(spark, [("a", "A", 3, 10.0), (None, "lost", 1, 1.0)], NOVEMBER)
+    assert [r.corporate_name for r in load_table(spark, rows, "registry_db", "rowwise", "iceberg").collect()] == ["lost"]
+    assert calls == [(1, "registry_db.rowwise", "iceberg")]
+
+
+def test_csv_of_another_column_order_is_refused(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("seller_state,seller_id,seller_city,seller_zip_code_prefix\nSP,s1,x,01\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_csv(spark, str(tmp_path / "s.csv"), schemas.SELLERS).collect()
+
+
+@pytest.mark.parametrize("a, b", [(("a|b", "c"), ("a", "b|c")), ((None, "x"), ("\\N", "x")), (("", None), (None, ""))])
+def test_hash_tells_separators_and_nulls_apart(spark, a, b):
+    rows = spark.createDataFrame([a, b], "p string, q string").select(entity_hash(["p", "q"]).alias("h"))
+    assert rows.distinct().count() == 2
+
+
 def write_raw(base, seller_rows):
     (base / "source_supply").mkdir(parents=True)
     (base / "source_financial").mkdir()
