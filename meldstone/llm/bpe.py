@@ -20,7 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from heapq import heappop, heappush
 
 import numpy as np
@@ -32,11 +32,11 @@ from pyspark.sql import functions as F
 from meldstone.llm.common import share_package
 
 #: Characters of texts that are encoded together; a longer text is taken alone.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 8_000_000
 #: Bytes of distinct words replayed together.
-BLOCK_BYTES = 2_000_000
-#: Pieces of texts whose ids a Python worker remembers, in each of two generations.
-KEPT_PIECES = 200_000
+BLOCK_BYTES = 4_000_000
+#: Pieces of texts, and words, whose ids a Python worker remembers, in each of two generations.
+KEPT_PIECES = 300_000
 
 # A space before what could be white space to the pattern, or at the end.
 _ODD_SPACE = re.compile(r" (?![!-~]|\w)")
@@ -47,6 +47,27 @@ _FIRST = "\ud800"
 _NONE = 1 << 30
 
 
+class Remembered:
+    """Ids by text. What is not met again while the newer generation fills is forgotten."""
+
+    def __init__(self):
+        self.newer: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def age(self) -> None:
+        if len(self.newer) >= KEPT_PIECES:
+            self.newer, self.older = {}, self.newer
+
+    def missing(self, texts: Iterable[str]) -> list[str]:
+        """Those of ``texts`` that are not known; what the older generation knows moves on."""
+        newer, older = self.newer, self.older
+        fresh = [text for text in texts if text not in newer]
+        if not older:
+            return fresh
+        newer.update({text: older[text] for text in fresh if text in older})
+        return [text for text in fresh if text not in older]
+
+
 class Vocabulary:
     """Ranks of byte strings, and the ids of words already replayed."""
 
@@ -54,9 +75,7 @@ class Vocabulary:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
-        # Ids of pieces. What is not met again while the newer generation fills is forgotten.
-        self.newer: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.pieces, self.words = Remembered(), Remembered()
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         pairs = {
             ranks[token[:cut]] << 32 | ranks[token[cut:]]: rank
@@ -96,20 +115,12 @@ class Vocabulary:
 
         There every match of the pattern ends, so the pieces can be encoded one by one.
         """
-        if len(self.newer) >= KEPT_PIECES:
-            self.newer, self.older = {}, self.newer
-        known = self.newer
+        self.pieces.age()
+        self.words.age()
         cut = [self._pieces(text) for text in texts]
-        fresh = []
-        for piece in set().union(*cut):
-            if piece not in known:
-                ids = self.older.get(piece)
-                if ids is None:
-                    fresh.append(piece)
-                else:
-                    known[piece] = ids
-        self._learn(fresh)
-        return [b"".join([known[p] for p in pieces]) for pieces in cut]
+        self._learn(self.pieces.missing(set().union(*cut)))
+        known = self.pieces.newer.__getitem__
+        return [b"".join(map(known, pieces)) for pieces in cut]
 
     def _pieces(self, text: str) -> list[str]:
         """Pieces whose leading space is left out, but for the first, which bears a mark."""
@@ -120,29 +131,26 @@ class Vocabulary:
         return pieces
 
     def _learn(self, pieces: list[str]) -> None:
-        """Ids of pieces not met before, by replaying blocks of their distinct words."""
-        block: dict[str, bytes] = {}
-        waiting: list[tuple[str, list[str]]] = []
-        size = 0
-        for piece in pieces:
-            words = self.pattern.findall(piece[1:] if piece[0] == _FIRST else " " + piece)
-            waiting.append((piece, words))
-            for word in words:
-                if word not in block:
-                    block[word] = raw = word.encode("utf-8", "surrogatepass")
-                    size += len(raw)
+        """Ids of pieces not met before."""
+        find = self.pattern.findall
+        split = [find(piece[1:] if piece[0] == _FIRST else " " + piece) for piece in pieces]
+        block, raws, size = [], [], 0
+        known = self.words.newer
+        for word in self.words.missing(set().union(*split)):
+            raw = word.encode("utf-8", "surrogatepass")
+            whole = self.ranks.get(raw)
+            if whole is not None:
+                known[word] = whole.to_bytes(4, "little")
+                continue
+            block.append(word)
+            raws.append(raw)
+            size += len(raw)
             if size >= BLOCK_BYTES:
-                self._settle(block, waiting)
-                block, waiting, size = {}, [], 0
-        self._settle(block, waiting)
-
-    def _settle(self, block: dict[str, bytes], waiting: list[tuple[str, list[str]]]) -> None:
-        whole = {word: self.ranks[raw].to_bytes(4, "little") for word, raw in block.items() if raw in self.ranks}
-        rest = [word for word in block if word not in whole]
-        if rest:
-            whole |= zip(rest, replay([block[word] for word in rest], self), strict=True)
-        for piece, words in waiting:
-            self.newer[piece] = b"".join([whole[word] for word in words])
+                known.update(zip(block, replay(raws, self), strict=True))
+                block, raws, size = [], [], 0
+        if block:
+            known.update(zip(block, replay(raws, self), strict=True))
+        self.pieces.newer.update((piece, b"".join([known[w] for w in words])) for piece, words in zip(pieces, split, strict=True))
 
     def decode(self, ids: bytes) -> bytes:
         tokens = self.tokens
@@ -151,6 +159,9 @@ class Vocabulary:
 
 def _leftmost(places: np.ndarray, following: np.ndarray) -> np.ndarray:
     """Sorted places without those whose left symbol the place before would take."""
+    places = np.sort(places)
+    if (places[1:] == places[:-1]).any():
+        places = np.unique(places)
     taken = np.zeros(len(places), dtype=bool)
     taken[1:] = following[places[:-1]] == places[1:]
     if not taken.any():
@@ -205,7 +216,7 @@ def replay(words: list[bytes], vocabulary: Vocabulary) -> list[bytes]:
         if not len(places):
             continue
         if len(places) > 1:
-            places = _leftmost(np.unique(places), following)
+            places = _leftmost(places, following)
         lowest, *changes = _around(places, rank, symbol, following, previous, vocabulary)
         if lowest < rank:
             # A pair that goes first appears: merge the first place of each word, the rest later.
