@@ -33,7 +33,7 @@ from meldstone.sources.storage import materialise
 
 CUT_BITS = 3
 LEAST_BYTES = 24
-MOST_BYTES = 1024
+MOST_BYTES = 256
 LEAST_WORDS = 20
 #: Texts that go to Python at a time.
 BATCH_TEXTS = 500
@@ -57,13 +57,20 @@ def gear_hashes(raw: np.ndarray) -> np.ndarray:
 def chunk_ends(raw: np.ndarray) -> list[int]:
     """Ends of the chunks of a text, in bytes."""
     total = len(raw)
-    cuts = np.flatnonzero(_SPACE[raw] & (gear_hashes(raw) & _CUT_MASK == 0)) + 1
+    space = _SPACE[raw]
+    cuts = np.flatnonzero(space & (gear_hashes(raw) & _CUT_MASK == 0)) + 1
     ends, last = [], 0
     for cut in [*cuts.tolist(), total]:
         while cut - last > MOST_BYTES:
+            # No cut in reach: end behind the last white space, so that one word over and
+            # over makes equal chunks; inside of a long word, between two characters.
             end = last + MOST_BYTES
-            while raw[end] & 0xC0 == 0x80:  # inside of a character
-                end -= 1
+            behind = np.flatnonzero(space[last:end])
+            if len(behind) and behind[-1] + 1 >= LEAST_BYTES:
+                end = last + int(behind[-1]) + 1
+            else:
+                while raw[end] & 0xC0 == 0x80:
+                    end -= 1
             ends.append(end)
             last = end
         if cut - last >= LEAST_BYTES or cut == total > last:
