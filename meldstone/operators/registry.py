@@ -56,8 +56,18 @@ def repeated_keys(df: DataFrame, key: str = KEY) -> DataFrame:
     )
 
 
+#: Column of a marked upsert: the row is new or its data changed.
+CHANGED = "_changed"
+
+
 def upsert(target: DataFrame, staging: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
-    """(merged registry, quarantined staging rows).
+    """(merged registry, quarantined staging rows)."""
+    merged, quarantined = marked_upsert(target, staging, key)
+    return merged.drop(CHANGED), quarantined
+
+
+def marked_upsert(target: DataFrame, staging: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
+    """(merged registry with CHANGED, quarantined staging rows).
 
     Matched rows take every non-NULL new value and the new audit columns, new
     keys are inserted, other target rows stay. Staging rows without a key could
@@ -67,11 +77,14 @@ def upsert(target: DataFrame, staging: DataFrame, key: str = KEY) -> tuple[DataF
     quarantined = staging.where(F.col(key).isNull())
     t, s = target.alias("t"), keyed.alias("s")
     is_new = F.col(f"s.{key}").isNotNull()
-    columns = []
+    columns, changed = [], F.col(f"t.{key}").isNull() & is_new
     for c in target.columns:
         new, old = F.col(f"s.{c}"), F.col(f"t.{c}")
         value = F.when(is_new, new).otherwise(old) if c in AUDIT else F.coalesce(new, old)
         columns.append(value.alias(c))
+        if c in HASHED:
+            changed = changed | (is_new & ~value.eqNullSafe(old))
+    columns.append(changed.alias(CHANGED))
     merged = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer").select(*columns)
     return merged, quarantined
 

@@ -452,7 +452,7 @@ SELECT '20251217T100000', count(*), count(*) FILTER (WHERE a.h IS NULL OR a.h <>
 FROM hashed_2 b LEFT JOIN hashed_1 a ON a.corporate_id = b.corporate_id""",
 )
 def registry_history(spark, sf):
-    return reg.history(inputs.loaded_store(spark, sf).snapshots())
+    return inputs.loaded_store(spark, sf).history()
 
 
 _SCAN = "corporate_id, corporate_name, revenue, profit, activity_places, top_suppliers"

@@ -9,17 +9,18 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meldstone.operators.registry import KEY, repeated_keys, upsert
+from meldstone.operators.registry import CHANGED, KEY, history, marked_upsert, repeated_keys
 from meldstone.sources import schemas
 from meldstone.sources.storage import list_folders, materialise, path_exists, touch
 
 _FORMAT = "%Y%m%dT%H%M%S"
 _PREFIX = "commit_ts="
 _PARTITIONS = ("year", "month")
+_CHANGES = "commit_ts string, total_records bigint, changed_records bigint"
 
 
 def _version(moment: datetime) -> str:
@@ -85,10 +86,35 @@ class RegistryStore:
         current = self.read()
         if current is None:
             current = self.spark.createDataFrame([], schemas.REGISTRY)
-        merged, quarantined = upsert(current, staging)
-        self.commit(merged, moment)
+        merged, quarantined = marked_upsert(current, staging)
+        # Counted while the snapshot is written; nothing is read again for the history.
+        counted = Observation()
+        counts = (F.count("*").alias("total_records"), F.count_if(CHANGED).alias("changed_records"))
+        version = self.commit(merged.observe(counted, *counts).drop(CHANGED), moment)
+        note = [(version, counted.get["total_records"], counted.get["changed_records"])]
+        self.spark.createDataFrame(note, _CHANGES).coalesce(1).write.mode("overwrite").parquet(
+            f"{self.path}_changes/{_PREFIX}{version}"
+        )
         return quarantined
 
+    def history(self) -> DataFrame:
+        """(commit_ts, total_records, changed_records) per version, from the notes of the loads.
+
+        A version committed without a load, or whose load died before its note, is compared
+        with the snapshots before it.
+        """
+        noted = [
+            n.removeprefix(_PREFIX)
+            for n in list_folders(self.spark, f"{self.path}_changes")
+            if path_exists(self.spark, f"{self.path}_changes/{n}/_SUCCESS")
+        ]
+        known = [v for v in self.versions() if v in noted]
+        paths = [f"{self.path}_changes/{_PREFIX}{v}" for v in known]
+        notes = self.spark.read.schema(_CHANGES).parquet(*paths) if paths else self.spark.createDataFrame([], _CHANGES)
+        if len(known) == len(self.versions()):
+            return notes
+        return notes.unionByName(history(self.snapshots()).where(~F.col("commit_ts").isin(known)))
+
     def load_batch(self, staging: DataFrame, stream: str, batch_id: int) -> None:
         """Load a batch of a stream unless it is already in, as after a replay.
 

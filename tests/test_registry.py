@@ -70,11 +70,14 @@ def test_versions_as_of_and_history(spark, store):
     assert store.read(as_of=datetime(2025, 1, 1)) is None
     history = {r.commit_ts: (r.total_records, r.changed_records) for r in reg.history(store.snapshots()).collect()}
     assert history == {"20251115T100000": (2, 2), "20251217T100000": (3, 2)}
+    assert {r.commit_ts: (r.total_records, r.changed_records) for r in store.history().collect()} == history
     with pytest.raises(ValueError, match="already exists"):
         store.load(staged(spark, [("a", "A", 1, 1.0)], DECEMBER), DECEMBER)
     with pytest.raises(ValueError, match="older than the newest"):
         store.load(staged(spark, [("z", "Z", 1, 1.0)], NOVEMBER), datetime(2025, 12, 1))
     assert store.read().where("corporate_id = 'a'").first().activity_places == 3
+    store.commit(store.read().where("corporate_id <> 'a'"), datetime(2025, 12, 18))
+    assert {r.commit_ts: r.total_records for r in store.history().collect()}["20251218T000000"] == 2
 
 
 def test_batches_of_a_stream_load_once(spark, store):
