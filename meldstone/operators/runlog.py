@@ -18,6 +18,13 @@ COUNTS = r"\|(\d+)\s+\|(\d+)\s+\|(\d+)"
 RUN_ID = r"[Rr]un ID:\s+([a-f0-9]+)"
 
 
+# Words that mark the message with the counts and the one with the run id.
+COUNT_WORDS = ("total_records", "high_profit_count")
+RUN_ID_WORDS = ("MLflow run ID:", "MLflow Run ID:")
+# Fixed value: prefix of run names.
+RUN_PREFIX = "profit-prediction"
+
+
 def _found(pattern: str, group: int = 1, when: Column | None = None) -> Column:
     message = F.col("message")
     matched = message.rlike(pattern) if when is None else when & message.rlike(pattern)
@@ -30,8 +37,8 @@ def _last(value: Column) -> Column:
 
 def log_metrics(logs: DataFrame) -> DataFrame:
     """One row per run: first timestamp and the last value logged of each metric."""
-    is_counts = F.col("message").contains("total_records") & F.col("message").contains("high_profit_count")
-    is_run_id = F.col("message").contains("MLflow run ID:") | F.col("message").contains("MLflow Run ID:")
+    has = [F.col("message").contains(word) for word in (*COUNT_WORDS, *RUN_ID_WORDS)]
+    is_counts, is_run_id = has[0] & has[1], has[2] | has[3]
     return logs.groupBy(F.col("run_id").alias("job_run_id")).agg(
         F.date_format(F.min_by("ts", "seq"), "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
         _last(_found(AUC)).try_cast("double").alias("auc"),
@@ -78,7 +85,7 @@ def log_run(
     metrics: dict[str, float],
     params: dict[str, object],
     moment: datetime | None = None,
-    prefix: str = "profit-prediction",
+    prefix: str = RUN_PREFIX,
 ) -> str:
     """Append one training run to the run table and return its id."""
     moment = moment or datetime.now(timezone.utc)
