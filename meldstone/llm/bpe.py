@@ -99,16 +99,20 @@ class Vocabulary:
         at = np.searchsorted(self.pair_keys, keys)
         return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], np.int32(_NONE))
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
+    def encode_all(self, texts: Iterable[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        encoded, chunk, size = [], [], 0
+        return [ids for chunk in self.encode_chunks(texts) for ids in chunk]
+
+    def encode_chunks(self, texts: Iterable[str]) -> Iterator[list[bytes]]:
+        """The same in lists, of the texts of a chunk each."""
+        chunk, size = [], 0
         for text in texts:
             if chunk and size + len(text) > CHUNK_CHARS:
-                encoded += self._encode_chunk(chunk)
+                yield self._encode_chunk(chunk)
                 chunk, size = [], 0
             chunk.append(text)
             size += len(text)
-        return encoded + self._encode_chunk(chunk)
+        yield self._encode_chunk(chunk)
 
     def _encode_chunk(self, texts: list[str]) -> list[bytes]:
         """Texts are cut before each space that a visible character follows.
@@ -290,7 +294,8 @@ class Tokenizer:
 
         def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for texts in batches:
-                yield pd.Series(vocabulary().encode_all([t or "" for t in texts]), dtype=object)
+                for ids in vocabulary().encode_chunks(t or "" for t in texts):
+                    yield pd.Series(ids, dtype=object)
 
         return F.pandas_udf(encode, "binary")(text)
 
@@ -310,8 +315,9 @@ class Tokenizer:
 
         def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             for texts in batches:
-                ids = vocabulary().encode_all([t or "" for t in texts])
-                yield pd.DataFrame({"ids": ids, "decoded": [vocabulary().decode(i) for i in ids]}, dtype=object)
+                # What a chunk gives leaves before the next one is encoded.
+                for ids in vocabulary().encode_chunks(t or "" for t in texts):
+                    yield pd.DataFrame({"ids": ids, "decoded": [vocabulary().decode(i) for i in ids]}, dtype=object)
 
         return F.pandas_udf(both, "ids binary, decoded binary")(text)
 

@@ -76,3 +76,10 @@ def test_report(spark, library):
     parts = one.select("text", "ids", tokenizer.decode(one["ids"]).alias("back")).collect()
     assert all(bytes(r["back"]).decode() == (r["text"] or "") for r in parts) and len(parts) == 21
     assert bpe.token_report(docs.limit(0), bpe.Tokenizer(spark, PATH, public_tokenizers.PATTERN)).count() == 0
+
+
+def test_a_batch_of_several_chunks(spark):
+    docs = spark.range(30).selectExpr("id doc_id", "repeat(concat(' word', id, '.'), 80000) text").coalesce(1)
+    report = bpe.token_report(docs, bpe.Tokenizer(spark, PATH, public_tokenizers.PATTERN))
+    want = docs.selectExpr("doc_id", "sha2(text, 256) decoded_sha256")
+    assert report.join(want, ["doc_id", "decoded_sha256"]).count() == report.count() == 30
