@@ -11,7 +11,8 @@ Records of a shard are numbered from 0 without gaps by a range-partitioned sort
 virtual slot, id), so no shard, slot or id has to fit in one task.
 
 The hash covers id, size and checksum: records that share an id, or a text, still spread.
-Only records equal in all three share a slot.
+Records equal in all three are told apart by their place in the table, so that one row
+repeated a million times fills all slots alike.
 
 Defined results: a NULL text has size 1 and checksum 0, as an empty one; NULL ids are
 hashed like others; repeated rows are separate records with positions of their own; an
@@ -101,15 +102,19 @@ class SlotMapStore:
 
 
 def records(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Id, size, checksum and virtual slot of every record."""
+    """Id, size, checksum, place and virtual slot of every record."""
     content = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
         (F.octet_length(content) + 1).cast("long").alias("size"),
         F.crc32(content.cast("binary")).cast("long").alias("text_crc32"),
     )
-    slot = F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(SLOTS)).cast("int")
-    return rows.withColumn("virtual_slot", slot)
+    rows = rows.withColumn("_hash", F.xxhash64("doc_id", "size", "text_crc32"))
+    rows = materialise(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    repeated = rows.groupBy("_hash").agg(F.count("*").alias("n")).where("n > 1").select("_hash", F.lit(True).alias("_again"))
+    key = F.when(F.col("_again"), F.xxhash64("_hash", "_row")).otherwise(F.col("_hash"))
+    slot = F.pmod(key, F.lit(SLOTS)).cast("int")
+    return rows.join(repeated, "_hash", "left").withColumn("virtual_slot", slot).drop("_hash", "_again")
 
 
 def slot_totals(rows: DataFrame) -> tuple[list[int], list[int]]:
@@ -140,7 +145,7 @@ def shard_records(docs: DataFrame, store: SlotMapStore, shards: int = SHARDS) ->
     for shard in range(shards):
         first[shard + 1] += first[shard]
     # The map has SLOTS rows, whatever the size of the data.
-    placed = rows.join(F.broadcast(store.load()), "virtual_slot").withColumn("_row", F.monotonically_increasing_id())
+    placed = rows.join(F.broadcast(store.load()), "virtual_slot")
     keys = ["shard", "virtual_slot", "doc_id", "size", "text_crc32", "_row"]
     numbered = sequential_ids(placed, keys, "_place")
     start = F.element_at(F.array(*[F.lit(n) for n in first]).cast("array<bigint>"), F.col("shard") + 1)

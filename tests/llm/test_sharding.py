@@ -38,6 +38,12 @@ def test_hot_keys_nulls_and_repeats(spark):
     assert sharding.shard_report(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_one_row_many_times(spark):
+    docs = [(7, "x" * 700, None)] * 3000 + [(i, "y" * (i % 900), None) for i in range(3000)]
+    sizes = checked(sharding.shard_report(spark.createDataFrame(docs, SCHEMA)).collect(), docs)
+    assert max(sizes) - min(sizes) <= 0.01 * sum(sizes) / 8
+
+
 def test_rebalancing_edits_the_map_and_keeps_versions(spark, tmp_path):
     store = sharding.SlotMapStore(spark, str(tmp_path / "map"))
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.expr("repeat('a', cast(id % 97 as int))").alias("text"))
