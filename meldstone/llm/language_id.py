@@ -7,9 +7,9 @@ dictionary, and the language whose dictionary gives the fewest bytes is predicte
 margin is the share of bytes by which the runner-up is larger; a text with a narrow margin
 is not accepted, though its prediction is reported.
 
-Learning takes a bounded sample: texts whose hash falls below a share that yields about
-``SAMPLE_TEXTS`` distinct texts for each language, of which the dictionary holds at most
-``DICTIONARY_BYTES``. Only the model, whose size is languages times DICTIONARY_BYTES, passes
+Learning takes a bounded sample: texts whose hash falls below a share of the distinct texts
+of a language that yields about ``SAMPLE_TEXTS`` of them, all if there are no more, and one
+at least; the dictionary holds at most ``DICTIONARY_BYTES`` of them. Only the model, whose size is languages times DICTIONARY_BYTES, passes
 through the driver. Prediction covers all rows and whole texts without any exchange.
 
 Defined results: NULL texts, and texts without a letter, get ``und`` with score 0 and are
@@ -38,7 +38,6 @@ BLOCK_BYTES = 2_048
 #: Texts are accepted if the runner-up needs this share of bytes more.
 MIN_MARGIN = 0.01
 
-_BUCKETS = 1 << 20
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -103,18 +102,26 @@ class LanguageModel:
         return Guess(lang, margin, margin >= MIN_MARGIN)
 
 
+def _highest_hash(texts: int, sample_texts: int) -> int:
+    """The 64-bit hash up to which about ``sample_texts`` of ``texts`` hashes lie."""
+    return (min(sample_texts, texts) << 64) // texts - (1 << 63) - 1
+
+
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_texts: int = SAMPLE_TEXTS) -> LanguageModel:
     """Dictionaries from the rows of ``labelled`` whose text and language are not NULL."""
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).dropna()
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    if not counts:
+    place = F.xxhash64("text")
+    # Copies share a hash, so they neither count for the share nor take part in it twice.
+    hashes = rows.groupBy("lang", place.alias("place")).agg(F.count("*").alias("n"))
+    found = hashes.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("texts"), F.min("place").alias("least")).collect()
+    if not found:
         return LanguageModel({})
-    shares = F.create_map(
-        *[F.lit(x) for name, n in counts.items() for x in (name, int(_BUCKETS * min(1.0, sample_texts / n)))]
+    counts = {r["lang"]: r["n"] for r in found}
+    highest = F.create_map(
+        *[F.lit(x) for r in found for x in (r["lang"], max(r["least"], _highest_hash(r["texts"], sample_texts)))]
     )
-    place = F.xxhash64("text")
     sample = (
-        rows.where(F.pmod(place, F.lit(_BUCKETS)) < F.element_at(shares, F.col("lang")))
+        rows.where(place <= F.element_at(highest, F.col("lang")))
         .select("lang", F.col("text").substr(1, DICTIONARY_BYTES).alias("text"), place.alias("place"))
         .distinct()
     )

@@ -61,3 +61,23 @@ def test_sample_is_bounded_under_copies(spark):
     docs = spark.range(4000).selectExpr("id doc_id", "if(id % 2 = 0, 'same text', concat('text no ', id)) text", "'en' lang")
     model = language_id.learn(docs, sample_texts=10)
     assert 0 < len(model.dictionaries["en"]) < 2000
+
+
+def test_language_of_few_texts_and_many_copies_is_learned(spark):
+    words = ["casa", "perro", "ciudad", "madre", "padre"]
+    skewed = spark.range(20_000).selectExpr(f"concat(array('{"','".join(words)}')[id % 5], ' de la') text", "'es' lang")
+    plain = spark.range(300).selectExpr("concat('the word no ', id) text", "'en' lang")
+    model = language_id.learn(skewed.union(plain))
+    assert list(model.dictionaries) == ["es", "en"]
+    assert all(word.encode() in model.dictionaries["es"] for word in words)
+
+
+@pytest.mark.parametrize("texts", [1, 200, 201, 10**6, 209_715_201, 10**12])
+def test_share_of_any_number_of_texts(texts):
+    expected = (language_id._highest_hash(texts, 200) + 1 + (1 << 63)) * texts / (1 << 64)
+    assert expected == pytest.approx(min(texts, 200), rel=1e-6)
+
+
+def test_every_language_keeps_a_text(spark):
+    docs = spark.range(50).selectExpr("concat('word ', repeat('x', cast(id as int))) text", "'en' lang")
+    assert b"word" in language_id.learn(docs, sample_texts=0).dictionaries["en"]
