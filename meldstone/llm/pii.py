@@ -8,7 +8,8 @@ Arrow batches, without any exchange.
 Kinds ``email ip card phone`` form the base: every confirmed span of them is kept
 whatever its score. The kinds added by this operator are kept from ``MIN_SCORE`` on:
 
-* ``iban``   country code, check digits and 11-30 characters passing mod 97
+* ``iban``   country code, check digits and 11-30 characters passing mod 97; ends at the end
+  of a group, at the country's length if that passes
 * ``ssn``    three digits, two, four, joined by hyphens, with area and group in use
 * ``secret`` an assignment of 16 or more key characters to a name such as token,
   secret, password or api_key
@@ -46,6 +47,17 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: Characters of an account number at least, and by country.
+LEAST_IBAN = 15
+IBAN_BY_COUNTRY = {
+    pair[:2]: int(pair[2:])
+    for pair in (
+        "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 "
+        "FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 "
+        "LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 "
+        "SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20"
+    ).split()
+}
 SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 SECRET = re.compile(
     r"(?i:\b(?:token|secret|password|passwd|api_?key|access_?key)\b)[\"']?\s{0,4}[=:]\s{0,4}[\"']?([A-Za-z0-9+/_\-]{16,})"
@@ -121,10 +133,25 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
             yield match.span()
 
 
+def _account_end(match: re.Match) -> int | None:
+    """End of the account number at the start of a match, which may run on into words behind it."""
+    groups, ends = match[0].split(" "), {}
+    for k in range(1, len(groups) + 1):
+        account = "".join(groups[:k])
+        if len(account) >= LEAST_IBAN and mod97(account):
+            ends[len(account)] = match.start() + len(" ".join(groups[:k]))
+    # Where several pass, the longest leaves nothing of the number behind.
+    return ends.get(IBAN_BY_COUNTRY.get(match[0][:2])) or max(ends.values(), default=None)
+
+
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    for match in IBAN.finditer(text):
-        if mod97(match[0].replace(" ", "")):
-            yield match.span()
+    match = IBAN.search(text)
+    while match:
+        end = _account_end(match)
+        if end:
+            yield match.start(), end
+        # A number may begin inside of what another start ran over.
+        match = IBAN.search(text, end or match.start() + 1)
 
 
 def _ssns(text: str) -> Iterator[tuple[int, int]]:

@@ -86,3 +86,23 @@ def test_clashing_column_and_empty_table(spark):
 def test_overlapping_spans_are_replaced_once():
     text = "a@1.2.3.4 end"
     assert pii.redacted(text, pii.find_spans(text)) == "<EMAIL> end"
+
+
+IBANS = ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "GB82WEST12345698765432", "NO93 8601 1117 947",
+         "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "FR14 2004 1010 0505 0001 3M02 606"]
+
+
+def test_account_numbers_end_before_what_stands_behind_them():
+    behind = ["", " BIC COBADEFF", " EUR 500", " 2024 01 31", " 31.01.2024", " VAT NR 17", " A", " 5", ", BIC X", " Bank", "\nBIC X"]
+    for number in IBANS:
+        for tail in behind:
+            for lead in ("IBAN ", "", "REF AB12 CODE 77 "):
+                spans = [s for s in pii.find_spans(f"{lead}{number}{tail}") if pii.KINDS[s.kind] == "iban"]
+                assert [(s.start, s.end) for s in spans] == [(len(lead), len(lead) + len(number))], (lead, number, tail)
+
+
+def test_account_numbers_behind_each_other():
+    text = " ".join(IBANS)
+    found = [text[s.start : s.end] for s in pii.find_spans(text) if pii.KINDS[s.kind] == "iban"]
+    assert found == IBANS
+    assert not [s for s in pii.find_spans("IBAN DE88 3704 0044 0532 0130 00 BIC COBADEFF") if pii.KINDS[s.kind] == "iban"]
