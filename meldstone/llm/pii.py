@@ -11,8 +11,8 @@ whatever its score. The kinds added by this operator are kept from ``MIN_SCORE``
 * ``iban``   country code, check digits and 11-30 characters passing mod 97; ends at the end
   of a group, at the country's length if that passes
 * ``ssn``    three digits, two, four, joined by hyphens, with area and group in use
-* ``secret`` an assignment of 16 or more key characters to a name such as token,
-  secret, password or api_key
+* ``secret`` an assignment of 16 or more key characters to a name that holds token,
+  secret, password, passwd, api_key or access_key, such as GITHUB_TOKEN or api-key
 
 Defined results: NULL and empty texts have no spans; texts are read whole, whatever
 their length; repeated rows give repeated results; other columns pass untouched,
@@ -59,8 +59,10 @@ IBAN_BY_COUNTRY = {
     ).split()
 }
 SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
+# A name is taken whole, once, so that long runs of its characters cost linear time.
 SECRET = re.compile(
-    r"(?i:\b(?:token|secret|password|passwd|api_?key|access_?key)\b)[\"']?\s{0,4}[=:]\s{0,4}[\"']?([A-Za-z0-9+/_\-]{16,})"
+    r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]*?(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key))"
+    r"[A-Za-z0-9_-]++[\"']?\s{0,4}[=:]\s{0,4}[\"']?([A-Za-z0-9+/_\-]{16,})"
 )
 _GAP = re.compile(r"\s")
 

@@ -106,3 +106,16 @@ def test_account_numbers_behind_each_other():
     found = [text[s.start : s.end] for s in pii.find_spans(text) if pii.KINDS[s.kind] == "iban"]
     assert found == IBANS
     assert not [s for s in pii.find_spans("IBAN DE88 3704 0044 0532 0130 00 BIC COBADEFF") if pii.KINDS[s.kind] == "iban"]
+
+
+def test_secrets_of_longer_names():
+    value = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+    for lead in ("token = ", "GITHUB_TOKEN=", "access_token=", "client_secret: ", "api-key: ", '"x-api-key": "', "AWS_SECRET_ACCESS_KEY=",
+                 "apiKey=", "--password-file-2=", "url=aaaaaaaaaaaaaaaa/token=", "étoken: "):
+        spans = [s for s in pii.find_spans(lead + value) if pii.KINDS[s.kind] == "secret"]
+        assert [(s.start, s.end) for s in spans] == [(len(lead), len(lead) + len(value))], lead
+    assert not [s for s in pii.find_spans(f"commit: {value}") if pii.KINDS[s.kind] == "secret"]
+
+
+def test_long_runs_of_key_names_take_linear_time():
+    assert pii.find_spans("token" * 100_000) == [] == pii.find_spans("x" * 500_000)
