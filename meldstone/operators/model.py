@@ -5,12 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StandardScaler, StandardScalerModel, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meldstone.operators.features import LABEL, hash_split
@@ -100,11 +100,66 @@ def fit(features: DataFrame, key: str = "corporate_id", handle_invalid: str = "e
         training.unpersist()
 
 
+def _stage(model: PipelineModel, kind: type) -> Transformer:
+    return next(s for s in model.stages if isinstance(s, kind))
+
+
+def category_index(model: PipelineModel) -> Column:
+    """Index of source_system as fitted; NULL and unseen categories share the last one."""
+    labels = _stage(model, StringIndexerModel).labelsArray[0]
+    unseen = F.lit(float(len(labels)))
+    if not labels:
+        return unseen
+    known = F.create_map(*[F.lit(x) for i, name in enumerate(labels) for x in (name, float(i))])
+    return F.coalesce(F.try_element_at(known, F.col("source_system")), unseen)
+
+
+def margin(model: PipelineModel) -> Column:
+    """Log-odds of class 1 as one expression: index, standardisation and dot product.
+
+    It needs neither the model's JVM objects nor the session it was fitted in, runs inside
+    of generated code, and is NULL where a feature is NULL or NaN.
+    """
+    scaler, classifier = _stage(model, StandardScalerModel), _stage(model, LogisticRegressionModel)
+    total = F.lit(float(classifier.intercept))
+    for name, mean, std, weight in zip(FEATURES, scaler.mean, scaler.std, classifier.coefficients, strict=True):
+        raw = category_index(model) if name == "source_system_idx" else F.col(name).cast("double")
+        present = F.when(~F.isnan(raw), raw)
+        # A feature without spread scales to zero.
+        factor = float(weight) / float(std) if std > 0 else 0.0
+        total = total + (present - F.lit(float(mean))) * F.lit(factor)
+    return total
+
+
+def _invalid(model: PipelineModel) -> str:
+    return _stage(model, VectorAssembler).getHandleInvalid()
+
+
+def scored(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``df`` with margin, probability (of class 1) and prediction (double).
+
+    Rows with a NULL feature are refused, skipped or kept without a score, as the
+    model's ``handle_invalid`` says.
+    """
+    rows = df.withColumn("margin", margin(model))
+    if _invalid(model) == "skip":
+        rows = rows.where(F.col("margin").isNotNull())
+    elif _invalid(model) == "error":
+        refuse = F.raise_error(F.lit("a feature is null; fit with handle_invalid skip or keep"))
+        rows = rows.withColumn("margin", F.coalesce("margin", refuse.cast("double")))
+    p = 1 / (1 + F.exp(-F.col("margin")))
+    threshold = _stage(model, LogisticRegressionModel).getThreshold()
+    return rows.withColumn("probability", p).withColumn(
+        "prediction", F.when(F.col("probability") > F.lit(threshold), 1.0).when(F.col("margin").isNotNull(), 0.0)
+    )
+
+
 def evaluate(predictions: DataFrame) -> tuple[float, float]:
     """(AUC, weighted F1) of predictions."""
-    kept = predictions.select(LABEL, "rawPrediction", "prediction").persist(StorageLevel.MEMORY_AND_DISK)
+    kept = predictions.select(LABEL, "margin", "prediction").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        auc = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC").evaluate(kept)
+        ranking = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="margin", metricName="areaUnderROC")
+        auc = ranking.evaluate(kept)
         f1 = MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="f1").evaluate(kept)
     finally:
         kept.unpersist()
@@ -114,7 +169,7 @@ def evaluate(predictions: DataFrame) -> tuple[float, float]:
 def train(features: DataFrame, key: str = "corporate_id", handle_invalid: str = "error") -> Trained:
     """Fit on the training side of the key split and evaluate on the other."""
     model = fit(features, key, handle_invalid)
-    predictions = model.transform(hash_split(features, key, TRAIN_SHARE)[1])
+    predictions = scored(model, hash_split(features, key, TRAIN_SHARE)[1])
     return Trained(model, predictions, *evaluate(predictions))
 
 
@@ -123,19 +178,19 @@ def score(model: PipelineModel, df: DataFrame, timestamp: str) -> DataFrame:
 
     The probability is that of class 1, the confidence that of the predicted class.
     """
-    p = vector_to_array("probability")
-    return model.transform(df).select(
+    p = F.col("probability")
+    return scored(model, df).select(
         "corporate_id",
         F.col("prediction").cast("int").alias("predicted_class"),
-        p[1].alias("prediction_probability"),
-        F.array_max(p).alias("confidence"),
+        p.alias("prediction_probability"),
+        F.greatest(p, 1 - p).alias("confidence"),
         F.lit(timestamp).alias("prediction_timestamp"),
     )
 
 
 def feature_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
     """(feature, importance): size of each coefficient on the scaled features."""
-    coefficients = model.stages[-1].coefficients
+    coefficients = _stage(model, LogisticRegressionModel).coefficients
     rows = [(name, abs(float(c))) for name, c in zip(FEATURES, coefficients)]
     return df.sparkSession.createDataFrame(rows, "feature string, importance double")
 

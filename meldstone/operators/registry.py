@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meldstone.functions.keys import entity_hash
@@ -56,37 +57,70 @@ def repeated_keys(df: DataFrame, key: str = KEY) -> DataFrame:
     )
 
 
-#: Column of a marked upsert: the row is new or its data changed.
-CHANGED = "_changed"
+#: Columns of a marked merge, NULL where nothing changed: what happened to the key (insert,
+#: update, delete), its hash before and after, and the data columns an update changed.
+CHANGE = ("_change_kind", "_change_old_hash", "_change_new_hash", "_change_columns")
+DELETED = "delete"
 
 
 def upsert(target: DataFrame, staging: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
     """(merged registry, quarantined staging rows)."""
     merged, quarantined = marked_upsert(target, staging, key)
-    return merged.drop(CHANGED), quarantined
+    return merged.drop(*CHANGE), quarantined
 
 
 def marked_upsert(target: DataFrame, staging: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
-    """(merged registry with CHANGED, quarantined staging rows).
+    """(merged registry with the columns CHANGE, quarantined staging rows).
 
     Matched rows take every non-NULL new value and the new audit columns, new
     keys are inserted, other target rows stay. Staging rows without a key could
     never match and would be inserted again by each load, so they are set aside.
     """
-    keyed = staging.where(F.col(key).isNotNull())
     quarantined = staging.where(F.col(key).isNull())
-    t, s = target.alias("t"), keyed.alias("s")
-    is_new = F.col(f"s.{key}").isNotNull()
-    columns, changed = [], F.col(f"t.{key}").isNull() & is_new
-    for c in target.columns:
-        new, old = F.col(f"s.{c}"), F.col(f"t.{c}")
-        value = F.when(is_new, new).otherwise(old) if c in AUDIT else F.coalesce(new, old)
-        columns.append(value.alias(c))
-        if c in HASHED:
-            changed = changed | (is_new & ~value.eqNullSafe(old))
-    columns.append(changed.alias(CHANGED))
-    merged = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer").select(*columns)
-    return merged, quarantined
+
+    def value(c: str, new: Column, old: Column, is_new: Column) -> Column:
+        return F.when(is_new, new).otherwise(old) if c in AUDIT else F.coalesce(new, old)
+
+    return _marked(target, staging.where(F.col(key).isNotNull()), key, value, F.lit(False)), quarantined
+
+
+def marked_replacement(target: DataFrame, registry: DataFrame, key: str = KEY) -> DataFrame:
+    """``registry`` with the columns CHANGE, and the rows of ``target`` that it lacks as deleted."""
+
+    def value(c: str, new: Column, old: Column, is_new: Column) -> Column:
+        return F.when(is_new, new).otherwise(old)
+
+    return _marked(target, registry, key, value, F.lit(True))
+
+
+def _marked(target: DataFrame, new_rows: DataFrame, key: str, value: Callable, drops: Column) -> DataFrame:
+    """Full outer join of both on the key; ``drops`` says whether keys only in ``target`` are deleted."""
+    t = target.withColumn("_was", F.lit(True)).alias("t")
+    s = new_rows.withColumn("_new", F.lit(True)).alias("s")
+    is_new, was_there = F.col("_new").isNotNull(), F.col("_was").isNotNull()
+    joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer").select(
+        *[value(c, F.col(f"s.{c}"), F.col(f"t.{c}"), is_new).alias(c) for c in target.columns],
+        *[F.col(f"t.{c}").alias(f"_old_{c}") for c in HASHED],
+        is_new.alias("_is_new"),
+        was_there.alias("_was_there"),
+    )
+    differ = [F.when(~F.col(c).eqNullSafe(F.col(f"_old_{c}")), F.lit(c)) for c in HASHED if c != key]
+    changed = F.concat_ws(",", *differ)
+    kind = (
+        F.when(~F.col("_is_new"), F.when(drops, F.lit(DELETED)))
+        .when(~F.col("_was_there"), "insert")
+        .when(changed != "", "update")
+    )
+    marked = joined.withColumn("_change_kind", kind)
+    old = F.when(marked["_change_kind"].isin("update", DELETED), entity_hash([f"_old_{c}" for c in HASHED]))
+    new = F.when(marked["_change_kind"].isin("update", "insert"), entity_hash(HASHED))
+    return marked.withColumns(
+        {
+            "_change_old_hash": old,
+            "_change_new_hash": new,
+            "_change_columns": F.when(marked["_change_kind"] == "update", changed),
+        }
+    ).select(*target.columns, *CHANGE)
 
 
 def merge_statement(target: str, staging: str, key: str = KEY) -> str:

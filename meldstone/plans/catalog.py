@@ -455,12 +455,48 @@ def registry_history(spark, sf):
     return inputs.loaded_store(spark, sf).history()
 
 
+_DIFFERING = ", ".join(f"CASE WHEN a.{c} IS DISTINCT FROM b.{c} THEN '{c}' END" for c in o.HASH_COLUMNS[1:])
+_CHANGES = f"""{o.LOADS}, h1 AS (SELECT *, {o.row_hash()} AS h FROM version_1), h2 AS (SELECT *, {o.row_hash()} AS h FROM version_2),
+later AS (
+  SELECT b.corporate_id, a.h AS old_hash, b.h AS new_hash, concat_ws(',', {_DIFFERING}) AS columns
+  FROM h2 b LEFT JOIN h1 a ON a.corporate_id = b.corporate_id WHERE a.h IS NULL OR a.h <> b.h)"""
+
+
+@register(
+    "registry_changes",
+    f"""{_CHANGES}
+SELECT corporate_id, '20251115T100000' AS commit_ts, 'insert' AS kind, CAST(NULL AS VARCHAR) AS old_hash, h AS new_hash,
+       CAST(NULL AS VARCHAR) AS columns FROM h1
+UNION ALL
+SELECT corporate_id, '20251217T100000', CASE WHEN old_hash IS NULL THEN 'insert' ELSE 'update' END, old_hash, new_hash,
+       CASE WHEN old_hash IS NOT NULL THEN columns END FROM later""",
+)
+def registry_changes(spark, sf):
+    return inputs.loaded_store(spark, sf).changes()
+
+
+@register(
+    "registry_compare",
+    f"""{_CHANGES}
+SELECT corporate_id, CASE WHEN old_hash IS NULL THEN 'insert' ELSE 'update' END AS kind, old_hash, new_hash,
+       CAST(1 AS BIGINT) AS versions FROM later""",
+)
+def registry_compare(spark, sf):
+    """Keys that differ between the first load and the second."""
+    return inputs.loaded_store(spark, sf).compare(since=inputs.BETWEEN_LOADS)
+
+
 _SCAN = "corporate_id, corporate_name, revenue, profit, activity_places, top_suppliers"
 
 
-@register("registry_partition_scan", f"{o.LOADS} SELECT {_SCAN} FROM version_2 WHERE year = 2025 AND month = 11")
+@register(
+    "registry_partition_scan",
+    f"""{o.LOADS} SELECT {_SCAN} FROM version_1
+WHERE corporate_id NOT IN (SELECT corporate_id FROM staged_2 WHERE state = '{inputs.LATE_STATE}')""",
+)
 def registry_partition_scan(spark, sf):
-    current = inputs.loaded_store(spark, sf).read()
+    """November's rows of a registry whose December load brought the sellers of one state only."""
+    current = inputs.regional_store(spark, sf).read()
     return readers.registry_partition(current, 2025, 11).select(*_SCAN.split(", "))
 
 

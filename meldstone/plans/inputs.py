@@ -28,6 +28,8 @@ CUTOFF = datetime(1998, 6, 1)
 FIRST_LOAD = datetime(2025, 11, 15, 10, 0, 0)
 SECOND_LOAD = datetime(2025, 12, 17, 10, 0, 0)
 BETWEEN_LOADS = datetime(2025, 12, 1)
+# Where only a part of the sellers takes part in the second load: those of this state.
+LATE_STATE = "AS"
 
 
 def sources(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -68,6 +70,14 @@ def loaded_store(spark: SparkSession, sf: str) -> RegistryStore:
     return store
 
 
+def regional_store(spark: SparkSession, sf: str) -> RegistryStore:
+    """A registry whose second load brought the sellers of LATE_STATE only."""
+    store = RegistryStore(spark, scratch_path(spark, "registry"))
+    store.load(first_load(spark, sf), FIRST_LOAD)
+    store.load(second_load(spark, sf).where(F.col("state") == LATE_STATE), SECOND_LOAD)
+    return store
+
+
 def training_registry(spark: SparkSession, sf: str) -> DataFrame:
     """Harmonised sellers plus one entity per (order, payment type)."""
     merged = harmonized(spark, sf).select(

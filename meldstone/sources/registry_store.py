@@ -1,26 +1,43 @@
-"""The registry as complete snapshots in Parquet, partitioned by load year and month.
+"""The registry in Parquet, laid out by key bucket and versioned by load.
 
-Each load writes a new folder commit_ts=<UTC time>/year=/month= and never touches
-what a reader may have open. A snapshot counts once its _SUCCESS file exists, so a
-load that dies half-way is invisible.
+A load writes commit_ts=<UTC time>/bucket=/year=/month= for the buckets that its staging
+touches and leaves every other file alone. What it wrote is listed in
+<path>_commits/commit_ts=<time>, one row per bucket; a version counts once that list is
+complete, so a load that dies half-way is invisible. A read takes each bucket's newest
+version, up to the asked time, and goes to those folders only.
+
+Rows bear what their load changed, so the history of keys needs no second copy and no
+comparison of versions.
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meldstone.operators.registry import CHANGED, KEY, history, marked_upsert, repeated_keys
+from meldstone.operators.registry import CHANGE, DELETED, KEY, marked_replacement, marked_upsert, repeated_keys
 from meldstone.sources import schemas
 from meldstone.sources.storage import list_folders, materialise, path_exists, touch
 
 _FORMAT = "%Y%m%dT%H%M%S"
 _PREFIX = "commit_ts="
-_PARTITIONS = ("year", "month")
-_CHANGES = "commit_ts string, total_records bigint, changed_records bigint"
+_LAYOUT = "buckets="
+_PARTITIONS = ("bucket", "year", "month")
+_LISTED = "bucket int, records bigint, changed bigint"
+_STORED = T.StructType(
+    [
+        *schemas.REGISTRY.fields,
+        *[T.StructField(c, T.StringType()) for c in CHANGE],
+        T.StructField("commit_ts", T.StringType()),
+        T.StructField("bucket", T.IntegerType()),
+    ]
+)
+
+#: Buckets of a new registry; an existing one keeps its number.
+BUCKETS = 64
 
 
 def _version(moment: datetime) -> str:
@@ -30,20 +47,74 @@ def _version(moment: datetime) -> str:
 
 
 class RegistryStore:
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
         self.spark = spark
         self.path = path.rstrip("/")
+        self._new_buckets = buckets
+
+    @property
+    def buckets(self) -> int:
+        """Number of buckets, fixed when the registry is first written."""
+        known = [n for n in list_folders(self.spark, f"{self.path}_layout") if n.startswith(_LAYOUT)]
+        return int(known[0].removeprefix(_LAYOUT)) if known else self._new_buckets
+
+    def bucket(self, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int")
 
     def versions(self) -> list[str]:
         """Committed versions, oldest first."""
-        names = [n[len(_PREFIX):] for n in list_folders(self.spark, self.path) if n.startswith(_PREFIX)]
-        return [n for n in names if path_exists(self.spark, f"{self.path}/{_PREFIX}{n}/_SUCCESS")]
+        names = [n.removeprefix(_PREFIX) for n in list_folders(self.spark, f"{self.path}_commits")]
+        return [n for n in names if path_exists(self.spark, f"{self.path}_commits/{_PREFIX}{n}/_SUCCESS")]
+
+    def _listed(self, versions: list[str]) -> DataFrame:
+        """(commit_ts, bucket, records, changed): what the versions wrote, one row per bucket."""
+        schema = f"{_LISTED}, commit_ts string"
+        if not versions:
+            return self.spark.createDataFrame([], schema)
+        base = f"{self.path}_commits"
+        paths = [f"{base}/{_PREFIX}{v}" for v in versions]
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+
+    def _stored(self, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], _STORED)
+        return self.spark.read.schema(_STORED).option("basePath", self.path).parquet(*folders)
+
+    def _newest(self, versions: list[str], buckets: list[int] | None = None) -> DataFrame:
+        """Stored rows of each bucket's newest version among ``versions``."""
+        listed = self._listed(versions)
+        if buckets is not None:
+            listed = listed.where(F.col("bucket").isin(buckets))
+        newest = listed.groupBy("bucket").agg(
+            F.max("commit_ts").alias("commit_ts"), F.max_by("records", "commit_ts").alias("records")
+        )
+        # At most one row per bucket.
+        rows = newest.where("records > 0").collect()
+        kept = self._stored([f"{self.path}/{_PREFIX}{r.commit_ts}/bucket={r.bucket}" for r in rows])
+        return kept.where(~F.col("_change_kind").eqNullSafe(DELETED))
+
+    def read(self, as_of: datetime | None = None) -> DataFrame | None:
+        """Newest registry, or the newest one not after ``as_of``; None if there is none."""
+        versions = self.versions()
+        if as_of is not None:
+            versions = [v for v in versions if v <= _version(as_of)]
+        if not versions:
+            return None
+        return self._newest(versions).select(*schemas.REGISTRY.names)
 
-    def _read(self, path: str, schema: T.StructType) -> DataFrame:
-        return self.spark.read.schema(schema).option("basePath", path).parquet(path)
+    def snapshots(self) -> DataFrame:
+        """The registry as of each committed version, with that version's commit_ts."""
+        known = self.versions()
+        views = [
+            self._newest(known[: i + 1]).select(*schemas.REGISTRY.names, F.lit(v).alias("commit_ts"))
+            for i, v in enumerate(known)
+        ]
+        result = views[0]
+        for view in views[1:]:
+            result = result.unionByName(view)
+        return result
 
-    def commit(self, registry: DataFrame, moment: datetime) -> str:
-        """Write a snapshot. Rebalancing sizes the files and splits a huge month over several."""
+    def _next_version(self, moment: datetime) -> str:
         version = _version(moment)
         latest = max(self.versions(), default="")
         if version == latest:
@@ -51,69 +122,99 @@ class RegistryStore:
         if version < latest:
             # It would never be the newest one, and what it holds would be lost to readers.
             raise ValueError(f"version {version} is older than the newest one, {latest}")
-        (
-            registry.hint("rebalance", *_PARTITIONS)
-            .write.mode("overwrite")
-            .partitionBy(*_PARTITIONS)
-            .parquet(f"{self.path}/{_PREFIX}{version}")
-        )
         return version
 
-    def read(self, as_of: datetime | None = None) -> DataFrame | None:
-        """Latest snapshot, or the latest one not after ``as_of``; None if there is none."""
-        versions = self.versions()
-        if as_of is not None:
-            versions = [v for v in versions if v <= _version(as_of)]
-        if not versions:
-            return None
-        return self._read(f"{self.path}/{_PREFIX}{versions[-1]}", schemas.REGISTRY)
+    def _write(self, marked: DataFrame, version: str, listed: list[int]) -> None:
+        """Write the buckets ``listed``, then the list that makes the version count.
 
-    def snapshots(self) -> DataFrame:
-        """All committed versions with their commit_ts."""
-        schema = T.StructType([*schemas.REGISTRY.fields, T.StructField("commit_ts", T.StringType())])
-        return self._read(self.path, schema).where(F.col("commit_ts").isin(self.versions()))
+        Rebalancing sizes the files and splits a huge bucket over several.
+        """
+        buckets = self.buckets
+        folder = f"{self.path}/{_PREFIX}{version}"
+        rows = marked.withColumn("bucket", self.bucket(buckets))
+        rows.hint("rebalance", *_PARTITIONS).write.mode("overwrite").partitionBy(*_PARTITIONS).parquet(folder)
+        touch(self.spark, f"{self.path}_layout/{_LAYOUT}{buckets}/_SUCCESS")
+        alive = ~F.col("_change_kind").eqNullSafe(DELETED)
+        counts = self._stored([folder]).groupBy("bucket").agg(
+            F.count_if(alive).alias("records"), F.count("_change_kind").alias("changed")
+        )
+        every = self.spark.createDataFrame([(b,) for b in listed], "bucket int")
+        note = every.join(counts, "bucket", "left").select(
+            "bucket", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("records", "changed")]
+        )
+        note.coalesce(1).write.mode("overwrite").parquet(f"{self.path}_commits/{_PREFIX}{version}")
+
+    def replace(self, registry: DataFrame, moment: datetime) -> str:
+        """Make ``registry`` the whole content; keys that it lacks are noted as deleted."""
+        version = self._next_version(moment)
+        current = self._newest(self.versions()).select(*schemas.REGISTRY.names)
+        self._write(marked_replacement(current, registry), version, list(range(self.buckets)))
+        return version
 
     def load(self, staging: DataFrame, moment: datetime) -> DataFrame:
         """Create the registry or upsert into it; returns the quarantined rows.
 
-        Staging is written down first, so that checking and merging it do not
-        compute it twice.
+        Only the buckets of the staged keys are read and written. Staging is written down
+        first, so that checking and merging it do not compute it twice.
         """
         staging = materialise(staging, "staging")
         repeated = repeated_keys(staging).head(5)
         if repeated:
             raise ValueError(f"staging repeats keys, for example {[r[0] for r in repeated]}")
-        current = self.read()
-        if current is None:
-            current = self.spark.createDataFrame([], schemas.REGISTRY)
+        version = self._next_version(moment)
+        keyed = staging.where(F.col(KEY).isNotNull())
+        # At most one row per bucket.
+        touched = [r[0] for r in keyed.select(self.bucket(self.buckets).alias("bucket")).distinct().collect()]
+        current = self._newest(self.versions(), touched).select(*schemas.REGISTRY.names)
         merged, quarantined = marked_upsert(current, staging)
-        # Counted while the snapshot is written; nothing is read again for the history.
-        counted = Observation()
-        counts = (F.count("*").alias("total_records"), F.count_if(CHANGED).alias("changed_records"))
-        version = self.commit(merged.observe(counted, *counts).drop(CHANGED), moment)
-        note = [(version, counted.get["total_records"], counted.get["changed_records"])]
-        self.spark.createDataFrame(note, _CHANGES).coalesce(1).write.mode("overwrite").parquet(
-            f"{self.path}_changes/{_PREFIX}{version}"
-        )
+        self._write(merged, version, touched)
         return quarantined
 
     def history(self) -> DataFrame:
-        """(commit_ts, total_records, changed_records) per version, from the notes of the loads.
+        """(commit_ts, total_records, changed_records) per version, from the lists of the loads."""
+        versions = self.versions()
+        before = F.lag("records", 1, 0).over(Window.partitionBy("bucket").orderBy("commit_ts"))
+        grown = self._listed(versions).withColumn("grown", F.col("records") - before)
+        per_version = grown.groupBy("commit_ts").agg(F.sum("grown").alias("grown"), F.sum("changed").alias("changed"))
+        known = self.spark.createDataFrame([(v,) for v in versions], "commit_ts string")
+        # One row per version: small enough for a window without partitioning.
+        so_far = Window.orderBy("commit_ts").rowsBetween(Window.unboundedPreceding, 0)
+        return known.join(per_version, "commit_ts", "left").select(
+            "commit_ts",
+            F.coalesce(F.sum("grown").over(so_far), F.lit(0)).alias("total_records"),
+            F.coalesce("changed", F.lit(0)).alias("changed_records"),
+        )
+
+    def changes(self, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+        """(corporate_id, commit_ts, kind, old_hash, new_hash, columns) of versions after ``since`` up to ``until``.
 
-        A version committed without a load, or whose load died before its note, is compared
-        with the snapshots before it.
+        ``kind`` is insert, update or delete; ``columns`` names what an update changed, in
+        layout order. The rows are those that the loads wrote; only these columns are read.
         """
-        noted = [
-            n.removeprefix(_PREFIX)
-            for n in list_folders(self.spark, f"{self.path}_changes")
-            if path_exists(self.spark, f"{self.path}_changes/{n}/_SUCCESS")
-        ]
-        known = [v for v in self.versions() if v in noted]
-        paths = [f"{self.path}_changes/{_PREFIX}{v}" for v in known]
-        notes = self.spark.read.schema(_CHANGES).parquet(*paths) if paths else self.spark.createDataFrame([], _CHANGES)
-        if len(known) == len(self.versions()):
-            return notes
-        return notes.unionByName(history(self.snapshots()).where(~F.col("commit_ts").isin(known)))
+        wanted = self.versions()
+        if since is not None:
+            wanted = [v for v in wanted if v > _version(since)]
+        if until is not None:
+            wanted = [v for v in wanted if v <= _version(until)]
+        stored = self._stored([f"{self.path}/{_PREFIX}{v}" for v in wanted])
+        return stored.where("_change_kind IS NOT NULL").select(
+            KEY, "commit_ts", *[F.col(c).alias(c.removeprefix("_change_")) for c in CHANGE]
+        )
+
+    def compare(self, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+        """(corporate_id, kind, old_hash, new_hash, versions): keys that differ between two moments.
+
+        A key that changed and changed back, or came and went, is left out.
+        """
+        ends = self.changes(since, until).groupBy(KEY).agg(
+            F.min_by("old_hash", "commit_ts").alias("old_hash"),
+            F.max_by("new_hash", "commit_ts").alias("new_hash"),
+            F.count("*").alias("versions"),
+        )
+        kind = F.when(F.col("old_hash").isNull(), "insert").when(F.col("new_hash").isNull(), "delete").otherwise("update")
+        return ends.where(~F.col("old_hash").eqNullSafe(F.col("new_hash"))).select(
+            KEY, kind.alias("kind"), "old_hash", "new_hash", "versions"
+        )
 
     def load_batch(self, staging: DataFrame, stream: str, batch_id: int) -> None:
         """Load a batch of a stream unless it is already in, as after a replay.

@@ -3,12 +3,14 @@ import random
 
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from meldstone.operators import analytics, features, metrics
 from meldstone.operators import contracts as c
 from meldstone.operators import model as ml
+from meldstone.plans import inputs
 from meldstone.plans.training import run_training, training_features
 
 EIGHT = [
@@ -154,6 +156,27 @@ def test_training_end_to_end(spark, registry, tmp_path):
     assert importance["revenue"] == max(importance.values()) > 0
 
 
+def test_scores_equal_the_library(spark, registry):
+    rows = training_features(registry, "median")
+    model = ml.fit(rows)
+    odd = rows.limit(3).withColumn("source_system", F.lit("unseen")).unionByName(rows)
+    library = model.transform(odd.withColumn("n", F.monotonically_increasing_id()))
+    both = ml.scored(model, odd.withColumn("n", F.monotonically_increasing_id())).alias("e").join(
+        library.select("n", vector_to_array("probability")[1].alias("p"), F.col("prediction").alias("q")), "n")
+    assert both.count() == 403 and both.where("abs(probability - p) > 1e-9 OR prediction <> q").isEmpty()
+    plan = ml.scored(model, odd)._jdf.queryExecution().executedPlan().toString()
+    assert "UDF(" not in plan
+
+
+def test_training_after_registry_loads_and_observed_metrics(spark, registry, tmp_path):
+    inputs.loaded_store(spark, "/root/testdata/sf0.001")
+    seen = Observation()
+    spark.range(5).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get["n"] == 5
+    _, trained = run_training(spark, registry, str(tmp_path), threshold="median")
+    assert ml.score(trained.model, training_features(registry, "median"), "t").count() == 400
+
+
 def test_one_class_is_refused(spark, registry):
     with pytest.raises(ValueError, match="both classes"):
         ml.train(training_features(registry, threshold=1e12))
@@ -163,7 +186,14 @@ def test_null_features(spark, registry):
     frame = training_features(registry.withColumn("activity_places", F.when(F.col("corporate_id") != "C0001", F.col("activity_places"))), "median")
     with pytest.raises(Exception, match="null"):
         ml.train(frame)
-    assert ml.train(frame, handle_invalid="skip").auc > 0.5
+    skipping = ml.train(frame, handle_invalid="skip")
+    assert skipping.auc > 0.5 and ml.scored(skipping.model, frame).count() == 399
+    keeping = ml.fit(registry_without_nulls(frame), handle_invalid="keep")
+    assert ml.scored(keeping, frame).where("prediction IS NULL").count() == 1
+
+
+def registry_without_nulls(frame):
+    return features.drop_missing(frame, ["activity_places"])
 
 
 def test_pipeline_settings():

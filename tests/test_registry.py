@@ -5,11 +5,12 @@ import pytest
 
 from meldstone.operators import registry as reg
 from meldstone.functions.keys import entity_hash
-from meldstone.plans import etl
+from meldstone.plans import etl, inputs
 from meldstone.plans.etl import load_table, run_etl
 from meldstone.sources import readers, schemas
+from meldstone.sources.pruning import scans
 from meldstone.sources.registry_store import RegistryStore
-from meldstone.sources.storage import scratch_path
+from meldstone.sources.storage import list_folders, scratch_path
 from meldstone.sources.writers import create_database, create_partitioned_table, register_views
 
 NOVEMBER, DECEMBER = datetime(2025, 11, 15, 10), datetime(2025, 12, 17, 10)
@@ -76,8 +77,57 @@ def test_versions_as_of_and_history(spark, store):
     with pytest.raises(ValueError, match="older than the newest"):
         store.load(staged(spark, [("z", "Z", 1, 1.0)], NOVEMBER), datetime(2025, 12, 1))
     assert store.read().where("corporate_id = 'a'").first().activity_places == 3
-    store.commit(store.read().where("corporate_id <> 'a'"), datetime(2025, 12, 18))
+    store.replace(store.read().where("corporate_id <> 'a'"), datetime(2025, 12, 18))
     assert {r.commit_ts: r.total_records for r in store.history().collect()}["20251218T000000"] == 2
+    assert {r.corporate_id for r in store.read().collect()} == {"b", "c"}
+
+
+def test_changes_by_key(spark, store):
+    store.load(staged(spark, [("a", "A", 3, 10.0), ("b", "B", 5, 20.0)], NOVEMBER), NOVEMBER)
+    store.load(staged(spark, [("a", "A", 3, 10.0), ("b", "Bee", 5, 25.0), ("c", "C", 1, 7.0)], DECEMBER), DECEMBER)
+    store.load(staged(spark, [("b", "B", None, 20.0)], datetime(2025, 12, 18)), datetime(2025, 12, 18))
+    store.replace(store.read().where("corporate_id <> 'c'"), datetime(2025, 12, 19))
+    rows = {(r.corporate_id, r.commit_ts[:8]): r for r in store.changes().collect()}
+    assert {k: (r.kind, r.columns) for k, r in rows.items()} == {
+        ("a", "20251115"): ("insert", None), ("b", "20251115"): ("insert", None),
+        ("b", "20251217"): ("update", "corporate_name,revenue"), ("c", "20251217"): ("insert", None),
+        ("b", "20251218"): ("update", "corporate_name,revenue"), ("c", "20251219"): ("delete", None),
+    }
+    assert rows[("b", "20251217")].old_hash == rows[("b", "20251115")].new_hash == rows[("b", "20251218")].new_hash
+    assert rows[("c", "20251219")].old_hash == rows[("c", "20251217")].new_hash
+    # b changed and changed back, c came and went.
+    assert store.compare(since=datetime(2025, 12, 1)).isEmpty()
+    middle = {r.corporate_id: r.kind for r in store.compare(NOVEMBER, DECEMBER).collect()}
+    assert middle == {"b": "update", "c": "insert"}
+    assert {r.corporate_id for r in store.changes(until=NOVEMBER).collect()} == {"a", "b"}
+
+
+def test_a_load_writes_the_buckets_of_its_keys_only(spark, store):
+    many = [(f"k{i:04}", f"N{i}", 1, float(i)) for i in range(1000)]
+    store.load(staged(spark, many, NOVEMBER), NOVEMBER)
+    few = store.read().where("corporate_id < 'k0010'").select("corporate_id", store.bucket(store.buckets).alias("b"))
+    wanted = {r.b for r in few.collect()}
+    store.load(staged(spark, [(f"k{i:04}", f"M{i}", 1, float(i)) for i in range(10)], DECEMBER), DECEMBER)
+    written = {n.removeprefix("bucket=") for n in list_folders(spark, f"{store.path}/commit_ts=20251217T100000")}
+    assert {int(n) for n in written if n.isdigit()} == wanted and len(wanted) <= 10
+    names = {r.corporate_id: r.corporate_name for r in store.read().collect()}
+    assert len(names) == 1000 and names["k0003"] == "M3" and names["k0500"] == "N500"
+    assert store.read(as_of=datetime(2025, 12, 1)).where("corporate_name LIKE 'M%'").isEmpty()
+    paths = {f.split("commit_ts=")[1][:15] for f in store.read().where("corporate_id = 'k0003'").inputFiles()}
+    assert paths == {"20251115T100000", "20251217T100000"}
+    # A store opened with another number of buckets keeps the one it was written with.
+    again = RegistryStore(spark, store.path, buckets=7)
+    again.load(staged(spark, [("k0003", "again", 1, 1.0)], DECEMBER), datetime(2025, 12, 18))
+    assert again.buckets == 64 and again.read().count() == 1000
+
+
+def test_loads_of_nothing(spark, store):
+    store.load(staged(spark, [], NOVEMBER), NOVEMBER)
+    assert store.read().isEmpty() and store.changes().isEmpty()
+    store.load(staged(spark, [(None, "x", 1, 1.0)], DECEMBER), DECEMBER)
+    assert {r.total_records for r in store.history().collect()} == {0}
+    store.load(staged(spark, [("a", "A", 1, 1.0)], DECEMBER), datetime(2025, 12, 18))
+    assert store.read().count() == 1
 
 
 def test_batches_of_a_stream_load_once(spark, store):
@@ -107,8 +157,17 @@ def test_month_scan_reads_only_its_folder(spark, store):
     store.load(staged(spark, [("b", "B", 5, 25.0)], DECEMBER), DECEMBER)
     scan = readers.registry_partition(store.read(), 2025, 12)
     assert [r.corporate_id for r in scan.collect()] == ["b"]
-    plan = scan._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(year" in plan
+    (planned,) = scans(scan.select("corporate_id", "revenue"))
+    assert {"(year = 2025)", "(month = 12)"} <= set(planned.partition_filters)
+    assert (planned.files_read, planned.files_present) == (1, 2)
+    assert set(planned.columns) == {"corporate_id", "revenue", "_change_kind"}
+
+
+def test_a_month_of_two_is_pruned(spark):
+    store = inputs.regional_store(spark, "/root/testdata/sf0.001")
+    months = {m: scans(readers.registry_partition(store.read(), 2025, m))[0] for m in (11, 12)}
+    assert months[11].files_read + months[12].files_read == months[11].files_present
+    assert months[11].files_read > 0 and months[12].files_read > 0
 
 
 def test_training_scan_pushes_its_filter(spark, store):
