@@ -1150,7 +1150,7 @@ def incremental_ingest(spark, sf):
     items = _items(spark, sf)
     landing = scratch_path(spark, "landing")
     items.repartition(4, "order_id").write.parquet(landing)
-    store = RegistryStore(spark, scratch_path(spark, "registry"))
+    store = RegistryStore(spark, scratch_path(spark, "registry"), inputs.REGISTRY_BUCKETS)
     RegistryIngest(
         spark,
         landing,

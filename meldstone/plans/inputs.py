@@ -30,6 +30,8 @@ SECOND_LOAD = datetime(2025, 12, 17, 10, 0, 0)
 BETWEEN_LOADS = datetime(2025, 12, 1)
 # Where only a part of the sellers takes part in the second load: those of this state.
 LATE_STATE = "AS"
+# The sellers of the shared tables are few; a registry of millions takes more buckets.
+REGISTRY_BUCKETS = 8
 
 
 def sources(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -64,7 +66,7 @@ def second_load(spark: SparkSession, sf: str) -> DataFrame:
 
 def loaded_store(spark: SparkSession, sf: str) -> RegistryStore:
     """A registry that both loads went into."""
-    store = RegistryStore(spark, scratch_path(spark, "registry"))
+    store = RegistryStore(spark, scratch_path(spark, "registry"), REGISTRY_BUCKETS)
     store.load(first_load(spark, sf), FIRST_LOAD)
     store.load(second_load(spark, sf), SECOND_LOAD)
     return store
@@ -72,7 +74,7 @@ def loaded_store(spark: SparkSession, sf: str) -> RegistryStore:
 
 def regional_store(spark: SparkSession, sf: str) -> RegistryStore:
     """A registry whose second load brought the sellers of LATE_STATE only."""
-    store = RegistryStore(spark, scratch_path(spark, "registry"))
+    store = RegistryStore(spark, scratch_path(spark, "registry"), REGISTRY_BUCKETS)
     store.load(first_load(spark, sf), FIRST_LOAD)
     store.load(second_load(spark, sf).where(F.col("state") == LATE_STATE), SECOND_LOAD)
     return store

@@ -36,7 +36,9 @@ _STORED = T.StructType(
     ]
 )
 
-#: Buckets of a new registry; an existing one keeps its number.
+#: Buckets of a new registry; an existing one keeps its number. A bucket is what a load
+#: rewrites for one key, so a registry of more rows wants more of them, within what one
+#: listing of folders can bear (some thousands).
 BUCKETS = 64
 
 
