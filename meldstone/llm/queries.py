@@ -4,7 +4,21 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from meldstone.llm import bpe, decontamination, language_id, near_dedup, pii, quality_classifier, quality_rules, sharding, substring_dedup, warc
+from meldstone.llm import (
+    bpe,
+    decontamination,
+    fingerprints,
+    language_id,
+    near_dedup,
+    pii,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    spelling,
+    substring_dedup,
+    warc,
+    whitening,
+)
 from meldstone.llm.common import table
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -32,6 +46,9 @@ QUERIES = {
     "op8_near_dedup": lambda spark, sf_dir: near_dedup.near_duplicate_report(table(spark, sf_dir, "documents")),
     "op9_sharding": lambda spark, sf_dir: sharding.shard_report(table(spark, sf_dir, "documents")),
     "op10_pii": lambda spark, sf_dir: pii.pii_report(table(spark, sf_dir, "documents")),
+    "op11_fingerprints": lambda spark, sf_dir: fingerprints.neighbour_report(table(spark, sf_dir, "documents")),
+    "op12_whitening": lambda spark, sf_dir: whitening.whitening_report(table(spark, sf_dir, "embeddings")),
+    "op13_spelling": lambda spark, sf_dir: spelling.spelling_report(table(spark, sf_dir, "documents")),
 }
 
 ORACLE = {
