@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from meldstone.functions.keys import corporate_id
 from meldstone.functions.numbers import profit_margin
 from meldstone.functions.text import cleanse_name, normalize_address
-from meldstone.operators import matching
+from meldstone.operators import evidence
 from meldstone.operators.clusters import connected_components
 from meldstone.operators.prepare import FINANCIAL, SUPPLY
 
@@ -134,14 +134,18 @@ def merge_entities(unioned: DataFrame, metric_merge: str = "max") -> DataFrame:
     )
 
 
-def resolve_sellers(supply: DataFrame) -> DataFrame:
-    """(id, cluster_id) of sellers whose names match within a city and state."""
-    records = supply.select(
+def seller_records(supply: DataFrame) -> DataFrame:
+    """Sellers as records to resolve: (id, name, block_key). A seller without a city or state has no block."""
+    return supply.select(
         F.col("seller_id").alias("id"),
         F.col("canonical_name").alias("name"),
-        F.concat_ws("|", "city", "state").alias("block_key"),
+        F.concat("city", F.lit("|"), "state").alias("block_key"),
     )
-    links = matching.fuzzy_matches(records).select("id_a", "id_b")
+
+
+def resolve_sellers(supply: DataFrame) -> DataFrame:
+    """(id, cluster_id) of sellers whose names stand for one entity within a city and state."""
+    links = evidence.evident_matches(seller_records(supply)).select("id_a", "id_b")
     return connected_components(links)
 
 

@@ -241,6 +241,23 @@ def block_candidates(records: DataFrame) -> DataFrame:
     return pairs.unionByName(copies(records, reps))
 
 
+def near_names(reps: DataFrame) -> DataFrame:
+    """(block_key, id_a, id_b, name_a, name_b, distance, similarity) of matching representatives."""
+    compared = candidate_pairs(reps).withColumn("longer", F.greatest("len_a", "len_b"))
+    distance = F.expr("levenshtein(name_a, name_b, cast(floor(longer * 3 / 20) as int))")
+    return (
+        compared.withColumn("distance", distance)
+        .where(F.col("distance") >= 0)
+        .withColumn("similarity", similarity(F.col("distance"), F.col("longer")))
+        .select("block_key", "id_a", "id_b", "name_a", "name_b", "distance", "similarity")
+    )
+
+
+def same_names(records: DataFrame, reps: DataFrame) -> DataFrame:
+    """(id_a, id_b, distance, similarity) of representatives and the records that repeat their name."""
+    return copies(records, reps).select("id_a", "id_b", F.lit(0).alias("distance"), F.lit(1.0).alias("similarity"))
+
+
 def fuzzy_matches(records: DataFrame) -> DataFrame:
     """(id_a, id_b, distance, similarity) of matching pairs.
 
@@ -248,17 +265,8 @@ def fuzzy_matches(records: DataFrame) -> DataFrame:
     other matches are those of the representative.
     """
     reps = materialise(representatives(records), "names")
-    compared = candidate_pairs(reps).withColumn("longer", F.greatest("len_a", "len_b"))
-    distance = F.expr("levenshtein(name_a, name_b, cast(floor(longer * 3 / 20) as int))")
-    near = (
-        compared.withColumn("distance", distance)
-        .where(F.col("distance") >= 0)
-        .select("id_a", "id_b", "distance", similarity(F.col("distance"), F.col("longer")).alias("similarity"))
-    )
-    same = copies(records, reps).select(
-        "id_a", "id_b", F.lit(0).alias("distance"), F.lit(1.0).alias("similarity")
-    )
-    return near.unionByName(same)
+    near = near_names(reps).select("id_a", "id_b", "distance", "similarity")
+    return near.unionByName(same_names(records, reps))
 
 
 def best_match(matches: DataFrame) -> DataFrame:

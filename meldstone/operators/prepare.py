@@ -78,10 +78,13 @@ def sellers_left_products(items: DataFrame, sellers: DataFrame) -> DataFrame:
 
 def build_supply(items: DataFrame, sellers: DataFrame) -> DataFrame:
     """Supply source from items and sellers; the name is made up from the id."""
-    named = sellers_left_products(items, sellers).withColumn(
-        "seller_name", F.concat(F.lit("Seller_"), F.col("seller_id"))
-    )
-    return prepare_supply(named)
+    return supply_of(sellers_left_products(items, sellers))
+
+
+def supply_of(sellers_with_breadth: DataFrame) -> DataFrame:
+    """Supply source from sellers that bear their product breadth already."""
+    name = F.concat(F.lit("Seller_"), F.col("seller_id"))
+    return prepare_supply(sellers_with_breadth.withColumn("seller_name", name))
 
 
 def seller_dimension(sellers: DataFrame) -> DataFrame:
@@ -109,11 +112,12 @@ def prepare_financial(items: DataFrame, sellers: DataFrame, margin: float = DEFA
 
     ``sellers`` is a prepared supply source (columns seller_id, city, state).
     """
-    return (
-        financial_metrics(items, margin)
-        .withColumn("source_system", F.lit(FINANCIAL))
-        .join(seller_dimension(sellers), "seller_id", "left")
-    )
+    return financial_of(financial_metrics(items, margin), sellers)
+
+
+def financial_of(metrics: DataFrame, sellers: DataFrame) -> DataFrame:
+    """Financial source from per-seller metrics."""
+    return metrics.withColumn("source_system", F.lit(FINANCIAL)).join(seller_dimension(sellers), "seller_id", "left")
 
 
 def prepare_sources(

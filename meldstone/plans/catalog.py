@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from meldstone.functions import keys, text
 from meldstone.functions.sql_functions import register_sql_functions
-from meldstone.operators import analytics, clusters, contracts, features, matching, metrics, prepare, quality
+from meldstone.operators import analytics, clusters, contracts, evidence, features, matching, metrics, prepare, quality
 from meldstone.operators import harmonize as harm
 from meldstone.operators import model as ml
 from meldstone.operators import registry as reg
@@ -375,10 +375,10 @@ def harmonize(spark, sf):
 @register(
     "harmonize_resolved",
     f"""WITH RECURSIVE {o.SELLERS}, {o.ITEMS},{o.harmonized()},
-names AS (SELECT seller_id AS id, city || '|' || state AS block_key, clean_name AS name FROM keyed),
-edges AS (
-  SELECT a.id AS u, b.id AS v FROM names a JOIN names b ON a.block_key = b.block_key AND a.id <> b.id
-  WHERE levenshtein(a.name, b.name) * 20 <= 3 * greatest(length(a.name), length(b.name))),
+records AS (SELECT seller_id AS id, city || '|' || state AS block_key, canonical_name AS name FROM supply
+            WHERE city IS NOT NULL AND state IS NOT NULL),
+{o.matches('records')}, {o.evident()},
+edges AS (SELECT id_a AS u, id_b AS v FROM evident UNION SELECT id_b, id_a FROM evident),
 reach(id, seen) AS (SELECT u, u FROM edges UNION SELECT r.id, e.v FROM reach r JOIN edges e ON r.seen = e.u),
 labels AS (SELECT id, min(seen) AS head FROM reach GROUP BY id),
 resolved AS (
@@ -388,11 +388,31 @@ resolved AS (
 SELECT * FROM r_harmonized""",
 )
 def harmonize_resolved(spark, sf):
-    """Harmonised rows after sellers of similar names in one city and state became one entity."""
+    """Harmonised rows after sellers of one city and state became one entity where their names say so."""
     supply, financial = inputs.sources(spark, sf)
     return harm.harmonize_clusters(supply, financial, harm.resolve_sellers(supply))
 
 
+_EVIDENT = f"{o.SHOPS},\n{o.matches('shops')},\n{o.evident()}"
+
+
+@register("evident_matches", f"WITH {_EVIDENT} SELECT id_a, id_b, distance, similarity FROM evident")
+def evident_matches(spark, sf):
+    return evidence.evident_matches(tables.shop_names(spark, sf))
+
+
+@register(
+    "refused_matches",
+    f"""WITH {_EVIDENT} SELECT id_a, id_b, distance FROM matches
+EXCEPT SELECT id_a, id_b, distance FROM evident""",
+)
+def refused_matches(spark, sf):
+    """Similar names that the evidence rule keeps apart."""
+    shops = tables.shop_names(spark, sf)
+    similar = matching.fuzzy_matches(shops).select("id_a", "id_b", "distance")
+    return similar.join(evidence.evident_matches(shops).select("id_a", "id_b"), ["id_a", "id_b"], "left_anti")
+
+
 @register("union_sources", f"{o.BASE} SELECT * FROM unioned")
 def union_sources(spark, sf):
     return harm.union_sources(*inputs.sources(spark, sf))
@@ -1157,7 +1177,8 @@ def incremental_ingest(spark, sf):
         items.schema,
         _sellers(spark, sf),
         store,
-        scratch_path(spark, "items"),
+        scratch_path(spark, "state"),
         scratch_path(spark, "stream"),
+        buckets=inputs.REGISTRY_BUCKETS,
     ).run(files_per_batch=2)
     return store.read().select("corporate_id", *o.DATA.split(", "))

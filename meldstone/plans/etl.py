@@ -23,13 +23,14 @@ from meldstone.sources.writers import (
 
 
 def run_etl(
-    spark: SparkSession, source: str, target: str, loaded_at: datetime | None = None, resolve: str = "fuzzy"
+    spark: SparkSession, source: str, target: str, loaded_at: datetime | None = None, resolve: str = "exact"
 ) -> DataFrame:
     """Read raw CSV files below ``source``, write prepared sources and the registry below ``target``.
 
     Harmonising reads the prepared sources back from their files, so the item
-    aggregation runs once. ``resolve`` is "fuzzy", where sellers of similar names in one city
-    and state become one entity, or "exact". Returns the quarantined rows.
+    aggregation runs once. ``resolve`` is "exact", where only equal names and addresses are one
+    entity, or "fuzzy", where sellers of one city and state are as well whose names differ by
+    what the evidence rule takes for a slip. Returns the quarantined rows.
     """
     if resolve not in ("fuzzy", "exact"):
         raise ValueError(f"unknown resolution {resolve!r}")

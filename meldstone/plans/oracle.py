@@ -204,6 +204,37 @@ matches AS (
   SELECT r.id, n.id, 0, 1.0 FROM named n JOIN reps r ON n.block_key = r.block_key AND n.name = r.name AND n.id <> r.id)"""
 
 
+def evident() -> str:
+    """Common table expressions from reps and matches to those matches that the evidence rule accepts."""
+
+    def lacking(side: str, other: str) -> str:
+        return f"""SELECT p.id_a, p.id_b, '{side}' AS side, t.token, min(t.pos) AS pos, min(h.n) AS n
+  FROM matches p JOIN tok t ON t.id = p.id_{side} JOIN held h ON h.block_key = t.block_key AND h.token = t.token
+  WHERE p.distance > 0 AND NOT EXISTS (SELECT 1 FROM tok u WHERE u.id = p.id_{other} AND u.token = t.token)
+  GROUP BY p.id_a, p.id_b, t.token"""
+
+    return f"""tok AS (
+  SELECT block_key, id, unnest(string_split(name, ' ')) AS token, generate_subscripts(string_split(name, ' '), 1) AS pos FROM reps),
+held AS (SELECT block_key, token, count(DISTINCT id) AS n FROM tok GROUP BY block_key, token),
+odd AS ({lacking('a', 'b')} UNION ALL {lacking('b', 'a')}),
+judged AS (
+  SELECT id_a, id_b, string_agg(token, ' ' ORDER BY pos) FILTER (WHERE side = 'a') AS rest_a,
+         string_agg(token, ' ' ORDER BY pos) FILTER (WHERE side = 'b') AS rest_b, min(n) FILTER (WHERE side = 'a') AS n_a,
+         min(n) FILTER (WHERE side = 'b') AS n_b, bool_or(regexp_matches(token, '[0-9]')) AS numbered
+  FROM odd GROUP BY id_a, id_b),
+evident AS (
+  SELECT m.* FROM matches m LEFT JOIN judged j ON m.id_a = j.id_a AND m.id_b = j.id_b
+  WHERE j.id_a IS NULL
+     OR (NOT numbered AND levenshtein(rest_a, rest_b) <= greatest(length(rest_a), length(rest_b)) / 4.0
+         AND (n_a = 1 OR n_b = 1 OR n_a >= 5 * n_b OR n_b >= 5 * n_a)))"""
+
+
+SHOPS = """shops AS (
+  SELECT p_partkey AS id, p_brand AS block_key,
+         CASE p_partkey % 5 WHEN 1 THEN substr(p_name, 1, 2) || substr(p_name, 4)
+                            WHEN 2 THEN p_name || ' branch ' || CAST(p_size AS VARCHAR) ELSE p_name END
+         || ' ' || p_type || ' trading works' AS name FROM part)"""
+
 MATCHES = f"{COMPANIES},\n{matches('companies')}"
 LONG_MATCHES = f"""{COMPANIES},
 long_names AS (SELECT id, block_key, name || ' ' || market || ' trading company of ' || city AS name FROM companies),

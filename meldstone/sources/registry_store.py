@@ -1,40 +1,25 @@
-"""The registry in Parquet, laid out by key bucket and versioned by load.
+"""The registry: a bucketed table whose versions are the times of the loads.
 
-A load writes commit_ts=<UTC time>/bucket=/year=/month= for the buckets that its staging
-touches and leaves every other file alone. What it wrote is listed in
-<path>_commits/commit_ts=<time>, one row per bucket; a version counts once that list is
-complete, so a load that dies half-way is invisible. A read takes each bucket's newest
-version, up to the asked time, and goes to those folders only.
-
-Rows bear what their load changed, so the history of keys needs no second copy and no
-comparison of versions.
+A load reads and writes the buckets of its own keys and leaves every other file alone. Rows
+bear what their load changed, so the history of keys needs no second copy and no comparison
+of versions.
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meldstone.operators.registry import CHANGE, DELETED, KEY, marked_replacement, marked_upsert, repeated_keys
 from meldstone.sources import schemas
-from meldstone.sources.storage import list_folders, materialise, path_exists, touch
+from meldstone.sources.bucketed import BucketedTable
+from meldstone.sources.storage import materialise, path_exists, touch
 
 _FORMAT = "%Y%m%dT%H%M%S"
-_PREFIX = "commit_ts="
-_LAYOUT = "buckets="
-_PARTITIONS = ("bucket", "year", "month")
-_LISTED = "bucket int, records bigint, changed bigint"
-_STORED = T.StructType(
-    [
-        *schemas.REGISTRY.fields,
-        *[T.StructField(c, T.StringType()) for c in CHANGE],
-        T.StructField("commit_ts", T.StringType()),
-        T.StructField("bucket", T.IntegerType()),
-    ]
-)
+_STORED = T.StructType([*schemas.REGISTRY.fields, *[T.StructField(c, T.StringType()) for c in CHANGE]])
 
 #: Buckets of a new registry; an existing one keeps its number. A bucket is what a load
 #: rewrites for one key, so a registry of more rows wants more of them, within what one
@@ -52,65 +37,27 @@ class RegistryStore:
     def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
         self.spark = spark
         self.path = path.rstrip("/")
-        self._new_buckets = buckets
-
-    @property
-    def buckets(self) -> int:
-        """Number of buckets, fixed when the registry is first written."""
-        known = [n for n in list_folders(self.spark, f"{self.path}_layout") if n.startswith(_LAYOUT)]
-        return int(known[0].removeprefix(_LAYOUT)) if known else self._new_buckets
-
-    def bucket(self, buckets: int) -> Column:
-        return F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int")
+        self.table = BucketedTable(spark, path, _STORED, KEY, buckets, "commit_ts", ("year", "month"))
 
     def versions(self) -> list[str]:
         """Committed versions, oldest first."""
-        names = [n.removeprefix(_PREFIX) for n in list_folders(self.spark, f"{self.path}_commits")]
-        return [n for n in names if path_exists(self.spark, f"{self.path}_commits/{_PREFIX}{n}/_SUCCESS")]
-
-    def _listed(self, versions: list[str]) -> DataFrame:
-        """(commit_ts, bucket, records, changed): what the versions wrote, one row per bucket."""
-        schema = f"{_LISTED}, commit_ts string"
-        if not versions:
-            return self.spark.createDataFrame([], schema)
-        base = f"{self.path}_commits"
-        paths = [f"{base}/{_PREFIX}{v}" for v in versions]
-        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
-
-    def _stored(self, folders: list[str]) -> DataFrame:
-        if not folders:
-            return self.spark.createDataFrame([], _STORED)
-        return self.spark.read.schema(_STORED).option("basePath", self.path).parquet(*folders)
+        return self.table.versions()
 
     def _newest(self, versions: list[str], buckets: list[int] | None = None) -> DataFrame:
-        """Stored rows of each bucket's newest version among ``versions``."""
-        listed = self._listed(versions)
-        if buckets is not None:
-            listed = listed.where(F.col("bucket").isin(buckets))
-        newest = listed.groupBy("bucket").agg(
-            F.max("commit_ts").alias("commit_ts"), F.max_by("records", "commit_ts").alias("records")
-        )
-        # At most one row per bucket.
-        rows = newest.where("records > 0").collect()
-        kept = self._stored([f"{self.path}/{_PREFIX}{r.commit_ts}/bucket={r.bucket}" for r in rows])
-        return kept.where(~F.col("_change_kind").eqNullSafe(DELETED))
+        alive = ~F.col("_change_kind").eqNullSafe(DELETED)
+        return self.table.newest(versions, buckets).where(alive).select(*schemas.REGISTRY.names)
 
     def read(self, as_of: datetime | None = None) -> DataFrame | None:
         """Newest registry, or the newest one not after ``as_of``; None if there is none."""
         versions = self.versions()
         if as_of is not None:
             versions = [v for v in versions if v <= _version(as_of)]
-        if not versions:
-            return None
-        return self._newest(versions).select(*schemas.REGISTRY.names)
+        return self._newest(versions) if versions else None
 
     def snapshots(self) -> DataFrame:
         """The registry as of each committed version, with that version's commit_ts."""
         known = self.versions()
-        views = [
-            self._newest(known[: i + 1]).select(*schemas.REGISTRY.names, F.lit(v).alias("commit_ts"))
-            for i, v in enumerate(known)
-        ]
+        views = [self._newest(known[: i + 1]).withColumn("commit_ts", F.lit(v)) for i, v in enumerate(known)]
         result = views[0]
         for view in views[1:]:
             result = result.unionByName(view)
@@ -126,31 +73,15 @@ class RegistryStore:
             raise ValueError(f"version {version} is older than the newest one, {latest}")
         return version
 
-    def _write(self, marked: DataFrame, version: str, listed: list[int]) -> None:
-        """Write the buckets ``listed``, then the list that makes the version count.
-
-        Rebalancing sizes the files and splits a huge bucket over several.
-        """
-        buckets = self.buckets
-        folder = f"{self.path}/{_PREFIX}{version}"
-        rows = marked.withColumn("bucket", self.bucket(buckets))
-        rows.hint("rebalance", *_PARTITIONS).write.mode("overwrite").partitionBy(*_PARTITIONS).parquet(folder)
-        touch(self.spark, f"{self.path}_layout/{_LAYOUT}{buckets}/_SUCCESS")
+    def _write(self, marked: DataFrame, version: str, replaced: list[int]) -> None:
         alive = ~F.col("_change_kind").eqNullSafe(DELETED)
-        counts = self._stored([folder]).groupBy("bucket").agg(
-            F.count_if(alive).alias("records"), F.count("_change_kind").alias("changed")
-        )
-        every = self.spark.createDataFrame([(b,) for b in listed], "bucket int")
-        note = every.join(counts, "bucket", "left").select(
-            "bucket", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("records", "changed")]
-        )
-        note.coalesce(1).write.mode("overwrite").parquet(f"{self.path}_commits/{_PREFIX}{version}")
+        self.table.write(marked, version, replaced, alive, F.col("_change_kind").isNotNull())
 
     def replace(self, registry: DataFrame, moment: datetime) -> str:
         """Make ``registry`` the whole content; keys that it lacks are noted as deleted."""
         version = self._next_version(moment)
-        current = self._newest(self.versions()).select(*schemas.REGISTRY.names)
-        self._write(marked_replacement(current, registry), version, list(range(self.buckets)))
+        current = self._newest(self.versions())
+        self._write(marked_replacement(current, registry), version, list(range(self.table.buckets)))
         return version
 
     def load(self, staging: DataFrame, moment: datetime) -> DataFrame:
@@ -164,11 +95,8 @@ class RegistryStore:
         if repeated:
             raise ValueError(f"staging repeats keys, for example {[r[0] for r in repeated]}")
         version = self._next_version(moment)
-        keyed = staging.where(F.col(KEY).isNotNull())
-        # At most one row per bucket.
-        touched = [r[0] for r in keyed.select(self.bucket(self.buckets).alias("bucket")).distinct().collect()]
-        current = self._newest(self.versions(), touched).select(*schemas.REGISTRY.names)
-        merged, quarantined = marked_upsert(current, staging)
+        touched = self.table.touched(staging.where(F.col(KEY).isNotNull()))
+        merged, quarantined = marked_upsert(self._newest(self.versions(), touched), staging)
         self._write(merged, version, touched)
         return quarantined
 
@@ -176,7 +104,7 @@ class RegistryStore:
         """(commit_ts, total_records, changed_records) per version, from the lists of the loads."""
         versions = self.versions()
         before = F.lag("records", 1, 0).over(Window.partitionBy("bucket").orderBy("commit_ts"))
-        grown = self._listed(versions).withColumn("grown", F.col("records") - before)
+        grown = self.table.listed(versions).withColumn("grown", F.col("records") - before)
         per_version = grown.groupBy("commit_ts").agg(F.sum("grown").alias("grown"), F.sum("changed").alias("changed"))
         known = self.spark.createDataFrame([(v,) for v in versions], "commit_ts string")
         # One row per version: small enough for a window without partitioning.
@@ -198,8 +126,7 @@ class RegistryStore:
             wanted = [v for v in wanted if v > _version(since)]
         if until is not None:
             wanted = [v for v in wanted if v <= _version(until)]
-        stored = self._stored([f"{self.path}/{_PREFIX}{v}" for v in wanted])
-        return stored.where("_change_kind IS NOT NULL").select(
+        return self.table.of_versions(wanted).where("_change_kind IS NOT NULL").select(
             KEY, "commit_ts", *[F.col(c).alias(c.removeprefix("_change_")) for c in CHANGE]
         )
 

@@ -97,6 +97,19 @@ def long_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return companies(spark, sf_dir).select("id", name.alias("name"), "block_key")
 
 
+def shop_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as shops named after them, blocked by brand; some names lack a letter, some bear a number."""
+    name, turn = F.col("p_name"), F.col("p_partkey") % 5
+    lacking = F.concat(F.substring(name, 1, 2), F.substring(name, F.lit(4), F.length(name)))
+    numbered = F.concat(name, F.lit(" branch "), F.col("p_size").cast("string"))
+    shop = F.when(turn == 1, lacking).when(turn == 2, numbered).otherwise(name)
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("id"),
+        F.concat(shop, F.lit(" "), "p_type", F.lit(" trading works")).alias("name"),
+        F.col("p_brand").alias("block_key"),
+    )
+
+
 def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event rows rendered as training-job log messages, one run per user."""
     events = table(spark, sf_dir, "events")

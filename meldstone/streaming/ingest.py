@@ -1,33 +1,37 @@
 """Incremental ingestion of item files into the registry.
 
-Distinct counts and top-10 lists cannot be added up batch by batch. Each batch is
-therefore stored under its number and, within it, by a hash bucket of the seller. The
-sellers a batch mentions are recomputed from the stored items of their buckets alone,
-and the result is upserted. A replayed batch overwrites its own folder, so the outcome
-is that of a full rebuild.
+Which (seller, product) and (seller, order) pairs were seen before is the state of a
+streaming deduplication, kept by key in RocksDB and spread by the whole pair, so a seller
+with a third of all items is no hot key. A batch thus brings the new pairs and the money of
+its items; they are summed up per seller and added to per-seller aggregates, a bucketed
+table of one row per seller. No earlier item is read again: the work of a batch follows its
+own size and the number of sellers in the buckets it touches.
+
+A batch that is delivered again starts from the deduplication state before it and from the
+aggregates of the batches before it, so it gives the same rows and replaces its own version.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meldstone.operators.harmonize import harmonize
-from meldstone.operators.prepare import prepare_sources
+from meldstone.operators.harmonize import harmonize, keyed_supply
 from meldstone.operators.registry import registry_staging
+from meldstone.operators.seller_state import FACT, STATE, amounts, facts, increments, merged, sources_of
+from meldstone.sources.bucketed import BucketedTable
 from meldstone.sources.registry_store import RegistryStore
 from meldstone.sources.storage import materialise
 
-
-#: Folders over which the items of a batch are spread by seller.
+#: Buckets of the per-seller aggregates.
 BUCKETS = 64
 
-
-def _bucket() -> Column:
-    return F.pmod(F.xxhash64("seller_id"), F.lit(BUCKETS)).cast("int")
+# Settings of a stream whose state outgrows memory and is saved by its changes.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 class RegistryIngest:
@@ -38,60 +42,84 @@ class RegistryIngest:
         schema: T.StructType,
         sellers: DataFrame,
         store: RegistryStore,
-        items_path: str,
+        state_path: str,
         checkpoint: str,
         stream: str = "items",
+        buckets: int = BUCKETS,
     ):
         self.spark = spark
         self.landing = landing
         self.schema = schema
         self.sellers = sellers
         self.store = store
-        self.items_path = items_path.rstrip("/")
+        self.state = BucketedTable(spark, state_path, STATE, "seller_id", buckets, "batch")
         self.checkpoint = checkpoint
         self.stream = stream
 
-    def stored_items(self, batch_id: int, buckets: Sequence[int]) -> DataFrame:
-        """Items of this and earlier batches in the given buckets; no other folder is read.
+    def news(self, items: DataFrame) -> DataFrame:
+        """(seller_id, kind, value, amount): pairs that no earlier item had, and all items' money."""
+        fresh = facts(items).dropDuplicates(list(FACT))
+        money = amounts(items)
+        nothing = F.lit(None)
+        return fresh.withColumn("amount", nothing.cast(money.schema["amount"].dataType)).unionByName(
+            money.withColumn("value", nothing.cast("string"))
+        )
+
+    def state_before(self, batch_id: int, buckets: list[int]) -> DataFrame:
+        """Aggregates of the batches before this one, in the given buckets; no other file is read."""
+        earlier = [v for v in self.state.versions() if v < _name(batch_id)]
+        return self.state.newest(earlier, buckets).select(*STATE.names)
 
-        A later batch's folder can only be a replay's leftover.
-        """
-        fields = [T.StructField("bucket", T.IntegerType()), T.StructField("batch_id", T.LongType())]
-        stored = self.spark.read.schema(T.StructType([*self.schema.fields, *fields])).parquet(self.items_path)
-        wanted = F.col("bucket").isin(list(buckets)) & (F.col("batch_id") <= batch_id)
-        return stored.where(wanted).drop("bucket", "batch_id")
+    def _kin(self, touched: DataFrame) -> DataFrame:
+        """seller_id of the touched sellers and of those that share an entity with one of them."""
+        keyed = keyed_supply(sources_of(self.spark.createDataFrame([], STATE), self.sellers)[0])
+        ids = keyed.select("seller_id", "corporate_id").distinct()
+        shared = ids.join(touched, "seller_id", "left_semi").select("corporate_id").distinct()
+        return ids.join(shared, "corporate_id", "left_semi").select("seller_id").unionByName(touched).distinct()
 
     def _apply(self, batch: DataFrame, batch_id: int) -> None:
-        # Each batch overwrites its own folders only, so a replay leaves no second copy.
-        written = self.spark.read.schema(self.schema).parquet(self._keep(batch, batch_id))
-        # Both are written down: the joins below then know their sizes, and the two
-        # aggregations of the items start from files that no key has partitioned.
-        touched = materialise(written.select("seller_id").distinct(), "touched")
-        buckets = [r[0] for r in touched.select(_bucket().alias("bucket")).distinct().collect()]
-        stored = self.stored_items(batch_id, buckets)
-        items = materialise(stored.join(touched, "seller_id", "left_semi"), "items")
+        # Written down: counted, listed and looked up from files instead of from the stream's state.
+        new = materialise(batch, "news")
+        added = materialise(increments(new), "increments")
+        touched = self.state.touched(added)
+        whole = merged(self.state_before(batch_id, touched), added)
+        self.state.write(whole, _name(batch_id), touched)
+
         # The first batch also brings in sellers that have no items yet.
-        sellers = self.sellers if batch_id == 0 else self.sellers.join(touched, "seller_id", "left_semi")
-        staged = registry_staging(harmonize(*prepare_sources(items, sellers)))
+        kin = materialise(self._kin(added.select("seller_id")), "kin")
+        sellers = self.sellers if batch_id == 0 else self.sellers.join(kin, "seller_id", "left_semi")
+        known = self.state_before(batch_id + 1, self.state.touched(kin))
+        of_kin = known.join(kin.withColumnRenamed("seller_id", "kin"), F.col("seller_id").eqNullSafe(F.col("kin")), "left_semi")
+        staged = registry_staging(harmonize(*sources_of(of_kin, sellers)))
         self.store.load_batch(staged, self.stream, batch_id)
 
-    def _keep(self, batch: DataFrame, batch_id: int) -> str:
-        """Store the items of a batch below batch_id=/bucket= and return the batch's folder."""
-        folder = f"{self.items_path}/batch_id={batch_id}"
-        batch.withColumn("bucket", _bucket()).write.mode("overwrite").partitionBy("bucket").parquet(folder)
-        return folder
-
     def run(self, files_per_batch: int = 1000) -> None:
         """Process every file that arrived since the last run, then stop."""
-        stream = (
+        items = (
             self.spark.readStream.schema(self.schema)
             .option("maxFilesPerTrigger", files_per_batch)
             .parquet(self.landing)
         )
-        query = (
-            stream.writeStream.foreachBatch(self._apply)
-            .option("checkpointLocation", self.checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
+        before = {name: self.spark.conf.get(name, None) for name in STATE_SETTINGS}
+        for name, value in STATE_SETTINGS.items():
+            self.spark.conf.set(name, value)
+        try:
+            query = (
+                self.news(items)
+                .writeStream.foreachBatch(self._apply)
+                .option("checkpointLocation", self.checkpoint)
+                .trigger(availableNow=True)
+                .start()
+            )
+            query.awaitTermination()
+        finally:
+            for name, value in before.items():
+                if value is None:
+                    self.spark.conf.unset(name)
+                else:
+                    self.spark.conf.set(name, value)
+
+
+def _name(batch_id: int) -> str:
+    """Name of a batch's version; names sort like numbers."""
+    return f"{batch_id:018d}"

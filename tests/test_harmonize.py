@@ -97,3 +97,14 @@ def test_similar_sellers_of_a_place_become_one_entity(spark):
     rows = harmonize_clusters(supply, financial, resolved).collect()
     # The nameless sellers share an exact id, as before; they are nobody's fuzzy match.
     assert len(rows) == 3 and max(r.revenue or 0 for r in rows) == 30.0
+
+
+def test_ids_that_count_up_and_sellers_without_a_place_stay_apart(spark):
+    sellers = [(f"S-{n}", f"Seller_S-{n}", *place, 1, None) for n, place in
+               ((1001, ("Bodo", "NO")), (1002, ("Bodo", "NO")), (2001, (None, None)), (2002, (None, None)))]
+    supply, financial = sources(spark, sellers, [("o1", "S-1001", 10.0, 0.0), ("o2", "S-1002", 30.0, 0.0)])
+    assert resolve_sellers(supply).isEmpty()
+    rows = harmonize_clusters(supply, financial, resolve_sellers(supply)).collect()
+    assert len(rows) == 4 and sorted(r.revenue for r in rows if r.revenue) == [10.0, 30.0]
+    half = [("a", "Quiet Corner Books", "Bodo", None, 1, None), ("b", "Quiet Corner Book", "Bodo", None, 1, None)]
+    assert resolve_sellers(sources(spark, half, [])[0]).isEmpty()

@@ -105,7 +105,7 @@ def test_changes_by_key(spark, store):
 def test_a_load_writes_the_buckets_of_its_keys_only(spark, store):
     many = [(f"k{i:04}", f"N{i}", 1, float(i)) for i in range(1000)]
     store.load(staged(spark, many, NOVEMBER), NOVEMBER)
-    few = store.read().where("corporate_id < 'k0010'").select("corporate_id", store.bucket(store.buckets).alias("b"))
+    few = store.read().where("corporate_id < 'k0010'").select("corporate_id", store.table.bucket(store.table.buckets).alias("b"))
     wanted = {r.b for r in few.collect()}
     store.load(staged(spark, [(f"k{i:04}", f"M{i}", 1, float(i)) for i in range(10)], DECEMBER), DECEMBER)
     written = {n.removeprefix("bucket=") for n in list_folders(spark, f"{store.path}/commit_ts=20251217T100000")}
@@ -118,7 +118,7 @@ def test_a_load_writes_the_buckets_of_its_keys_only(spark, store):
     # A store opened with another number of buckets keeps the one it was written with.
     again = RegistryStore(spark, store.path, buckets=7)
     again.load(staged(spark, [("k0003", "again", 1, 1.0)], DECEMBER), datetime(2025, 12, 18))
-    assert again.buckets == 64 and again.read().count() == 1000
+    assert again.table.buckets == 64 and again.read().count() == 1000
 
 
 def test_loads_of_nothing(spark, store):
