@@ -42,6 +42,10 @@ KEPT_PIECES = 300_000
 _ODD_SPACE = re.compile(r" (?![!-~]|\w)")
 # Marks a piece without a space before it; no text of Spark can hold a lone surrogate.
 _FIRST = "\ud800"
+# Alternatives of a pattern that takes a run of letters, or of marks, as one word.
+_LETTER_RUNS, _MARK_RUNS = r" ?\p{L}+", r" ?[^\s\p{L}\p{N}]+"
+# Marks that often end a piece.
+_MARKS = frozenset(".,;:!?")
 
 # No pair, no symbol: above every rank.
 _NONE = 1 << 30
@@ -75,6 +79,9 @@ class Vocabulary:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
+        alternatives = pattern.split("|")
+        self.takes_runs = _LETTER_RUNS in alternatives and _MARK_RUNS in alternatives
+        self.mark_ids = {mark: ranks[mark.encode()].to_bytes(4, "little") for mark in _MARKS}
         self.pieces, self.words = Remembered(), Remembered()
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         pairs = {
@@ -122,9 +129,13 @@ class Vocabulary:
         self.pieces.age()
         self.words.age()
         cut = [self._pieces(text) for text in texts]
-        self._learn(self.pieces.missing(set().union(*cut)))
+        ids = [list(map(self.pieces.newer.get, pieces)) for pieces in cut]
+        waiting = [k for k, found in enumerate(ids) if not all(found)]
+        self._learn(self.pieces.missing(set().union(*[cut[k] for k in waiting])))
         known = self.pieces.newer.__getitem__
-        return [b"".join(map(known, pieces)) for pieces in cut]
+        for k in waiting:
+            ids[k] = list(map(known, cut[k]))
+        return list(map(b"".join, ids))
 
     def _pieces(self, text: str) -> list[str]:
         """Pieces whose leading space is left out, but for the first, which bears a mark."""
@@ -135,30 +146,63 @@ class Vocabulary:
         return pieces
 
     def _learn(self, pieces: list[str]) -> None:
-        """Ids of pieces not met before."""
-        find = self.pattern.findall
-        split = [find(piece[1:] if piece[0] == _FIRST else " " + piece) for piece in pieces]
-        block, raws, size = [], [], 0
-        known = self.words.newer
-        for word in self.words.missing(set().union(*split)):
-            raw = word.encode("utf-8", "surrogatepass")
-            whole = self.ranks.get(raw)
-            if whole is not None:
-                known[word] = whole.to_bytes(4, "little")
-                continue
-            block.append(word)
-            raws.append(raw)
-            size += len(raw)
+        """Ids of pieces not met before.
+
+        Letters, with or without a mark behind them, are told without the pattern: the
+        letters are one word and the mark is another. All other pieces go through it.
+        """
+        known, runs, marked, others = self.pieces.newer, {}, [], []
+        for piece in pieces:
+            if self._is_word(piece):
+                runs[piece] = _word(piece)
+            elif piece[-1] in _MARKS and self._is_word(piece[:-1]):
+                marked.append(piece)
+                runs[piece[:-1]] = _word(piece[:-1])
+            else:
+                others.append(piece)
+        fresh = self.pieces.missing(runs)
+        split = [self.pattern.findall(_word(piece)) for piece in others]
+        words = self.words.missing(set().union(*split))
+        found = self._ids([runs[piece] for piece in fresh] + words)
+        known.update(zip(fresh, found[: len(fresh)], strict=True))
+        self.words.newer.update(zip(words, found[len(fresh) :], strict=True))
+        known.update([(piece, known[piece[:-1]] + self.mark_ids[piece[-1]]) for piece in marked])
+        ids = self.words.newer.__getitem__
+        known.update([(piece, b"".join(map(ids, parts))) for piece, parts in zip(others, split, strict=True)])
+
+    def _is_word(self, piece: str) -> bool:
+        """Whether a piece is a run of letters that the pattern takes whole; scripts beyond Latin are left to it."""
+        if piece[:1] == _FIRST:
+            piece = piece[1:]
+        return self.takes_runs and piece.isalpha() and (piece.isascii() or max(piece) < "\u0250")
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each word; those that are no token by themselves are replayed in blocks."""
+        raws = [word.encode("utf-8", "surrogatepass") for word in words]
+        ranks = list(map(self.ranks.get, raws))
+        found = [b"" if rank is None else rank.to_bytes(4, "little") for rank in ranks]
+        block, size = [], 0
+        for place in [k for k, rank in enumerate(ranks) if rank is None]:
+            block.append(place)
+            size += len(raws[place])
             if size >= BLOCK_BYTES:
-                known.update(zip(block, replay(raws, self), strict=True))
-                block, raws, size = [], [], 0
+                self._replay_block(block, raws, found)
+                block, size = [], 0
         if block:
-            known.update(zip(block, replay(raws, self), strict=True))
-        self.pieces.newer.update((piece, b"".join([known[w] for w in words])) for piece, words in zip(pieces, split, strict=True))
+            self._replay_block(block, raws, found)
+        return found
+
+    def _replay_block(self, block: list[int], raws: list[bytes], found: list[bytes]) -> None:
+        for place, ids in zip(block, replay([raws[k] for k in block], self), strict=True):
+            found[place] = ids
 
     def decode(self, ids: bytes) -> bytes:
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
+def _word(piece: str) -> str:
+    """The text that a piece stands for."""
+    return piece[1:] if piece[:1] == _FIRST else " " + piece
 
 
 def _leftmost(places: np.ndarray, following: np.ndarray) -> np.ndarray:
