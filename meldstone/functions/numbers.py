@@ -27,6 +27,11 @@ def percent(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole.cast("double")) * 100
 
 
+def quoted(name: str) -> str:
+    """A column name as F.col takes it, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def is_missing(df: DataFrame, name: str) -> Column:
     """NULL, or NaN in a floating column."""
     missing = F.col(name).isNull()

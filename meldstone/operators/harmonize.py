@@ -162,11 +162,18 @@ def harmonize_clusters(
     cluster (column cluster_id); members take that seller's corporate_id and merge.
     """
     unioned = union_sources(supply, financial)
-    ids = keyed_supply(supply).groupBy(F.col("seller_id").alias("cluster_id")).agg(
-        F.min("corporate_id").alias("cluster_corporate_id")
-    )
+    return merge_entities(resolved_ids(unioned, clusters, keyed_supply(supply)), metric_merge)
+
+
+def resolved_ids(rows: DataFrame, clusters: DataFrame, keyed: DataFrame | None = None) -> DataFrame:
+    """``rows`` (seller_id, corporate_id, ...) with the corporate_id of the seller that heads their cluster.
+
+    ``keyed`` has the corporate_id of every seller; by default ``rows`` themselves do.
+    """
+    heads = rows if keyed is None else keyed
+    ids = heads.groupBy(F.col("seller_id").alias("cluster_id")).agg(F.min("corporate_id").alias("cluster_corporate_id"))
     mapping = clusters.select(F.col("id").alias("seller_id"), "cluster_id").join(ids, "cluster_id")
-    resolved = unioned.join(mapping, "seller_id", "left").withColumn(
+    resolved = rows.join(mapping, "seller_id", "left").withColumn(
         "corporate_id", F.coalesce("cluster_corporate_id", "corporate_id")
     )
-    return merge_entities(resolved.drop("cluster_id", "cluster_corporate_id"), metric_merge)
+    return resolved.drop("cluster_id", "cluster_corporate_id")

@@ -117,13 +117,21 @@ def _spread(names: DataFrame) -> DataFrame:
     return names.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id")
 
 
-def _short_pairs(reps: DataFrame) -> DataFrame:
+def short_signatures(reps: DataFrame) -> DataFrame:
+    """(sig, id, longest): deletion variants of names below SHORT_LIMIT characters.
+
+    ``longest`` tells whether the name is as long as the longer one of the pairs it looks for.
+    """
     targets = _partner_lengths(F.col("len"), F.least(F.col("len") + 2, F.lit(SHORT_LIMIT - 1)))
     budget = allowed_distance(F.col("l")) - (F.col("l") - F.col("len"))
     names = _spread(reps.where(F.col("len") < SHORT_LIMIT)).withColumn("l", F.explode(targets))
-    signed = _with_variants(names, budget).select(
+    return _with_variants(names, budget).select(
         F.xxhash64("block_key", "l", "variant").alias("sig"), "id", (F.col("len") == F.col("l")).alias("longest")
     )
+
+
+def _short_pairs(reps: DataFrame) -> DataFrame:
+    signed = short_signatures(reps)
     a = signed.select("sig", F.col("id").alias("id_a"), F.col("longest").alias("longest_a"))
     b = signed.select("sig", F.col("id").alias("id_b"), F.col("longest").alias("longest_b"))
     # The size estimate ignores the expansion above, so broadcasting is ruled out.
@@ -184,6 +192,19 @@ def _segment_probe(reps: DataFrame, extra: Column) -> DataFrame:
     )
 
 
+def segment_signatures(reps: DataFrame) -> DataFrame:
+    """(sig, id): all segments of each name as the shorter side, in the plain cut.
+
+    They do not depend on how frequent other names' segments are, so they can be stored.
+    """
+    return _segment_index(reps, F.array(F.lit(1))).select("sig", "id").distinct()
+
+
+def probe_signatures(reps: DataFrame) -> DataFrame:
+    """(sig, id): what segments of the plain cut could equal in each name as the longer side."""
+    return _segment_probe(reps, F.array(F.lit(1)))
+
+
 def _selective_index(reps: DataFrame) -> tuple[DataFrame, Column]:
     """Index rows worth joining on, and the extra counts in use.
 
@@ -243,10 +264,15 @@ def block_candidates(records: DataFrame) -> DataFrame:
 
 def near_names(reps: DataFrame) -> DataFrame:
     """(block_key, id_a, id_b, name_a, name_b, distance, similarity) of matching representatives."""
-    compared = candidate_pairs(reps).withColumn("longer", F.greatest("len_a", "len_b"))
+    return compared(candidate_pairs(reps))
+
+
+def compared(pairs: DataFrame) -> DataFrame:
+    """The same of candidates (block_key, id_a, id_b, name_a, name_b, len_a, len_b)."""
     distance = F.expr("levenshtein(name_a, name_b, cast(floor(longer * 3 / 20) as int))")
     return (
-        compared.withColumn("distance", distance)
+        pairs.withColumn("longer", F.greatest("len_a", "len_b"))
+        .withColumn("distance", distance)
         .where(F.col("distance") >= 0)
         .withColumn("similarity", similarity(F.col("distance"), F.col("longer")))
         .select("block_key", "id_a", "id_b", "name_a", "name_b", "distance", "similarity")

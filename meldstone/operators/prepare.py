@@ -193,6 +193,22 @@ def seller_product_list(items: DataFrame) -> DataFrame:
     return seller_products(items).where(F.col("product_id").isNotNull()).withColumnRenamed("seller_id", "corporate_id")
 
 
+def seller_product_chunks(items: DataFrame, size: int) -> DataFrame:
+    """(corporate_id, chunk, n_products, products): every seller's products in order, ``size`` to a row.
+
+    Joined in the order of their chunks, the lists of a seller are its sorted product list,
+    however long. All pairs are numbered in one range-partitioned order, so no seller's list
+    is ever in one place.
+    """
+    listed = sequential_ids(seller_product_list(items).where(F.col("corporate_id").isNotNull()), ["corporate_id", "product_id"], "place")
+    begins = listed.groupBy(F.col("corporate_id").alias("of")).agg(F.min("place").alias("begin"))
+    chunk = F.floor((F.col("place") - F.col("begin")) / size)
+    placed = listed.join(begins, F.col("corporate_id") == F.col("of")).withColumn("chunk", chunk)
+    return placed.groupBy("corporate_id", "chunk").agg(
+        F.count("*").alias("n_products"), F.array_sort(F.collect_list("product_id")).alias("products")
+    )
+
+
 def seller_supply_summary(
     items: DataFrame, sellers: DataFrame, load_date: date, margin: float = SUPPLY_SUMMARY_MARGIN
 ) -> DataFrame:

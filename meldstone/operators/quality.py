@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
-from meldstone.functions.numbers import is_missing, percent
+from meldstone.functions.numbers import is_missing, percent, quoted
 from meldstone.sources.storage import materialise
 
 TIERS = ("bronze", "silver", "gold")
@@ -135,6 +135,20 @@ def schema_differences(df: DataFrame, expected: StructType) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column string, problem string, expected string, actual string")
 
 
+def schema_review(df: DataFrame, expected: StructType) -> DataFrame:
+    """schema_differences with the rows of the frame and those without a value in the column; one scan.
+
+    A missing column has no value in any row.
+    """
+    present = {c: F.count(F.col(quoted(c))) for c in df.columns}
+    counted = df.agg(F.count("*").alias("records"), *[n.alias(f"_present_{i}") for i, n in enumerate(present.values())])
+    filled = [x for i, c in enumerate(present) for x in (F.lit(c), F.col(f"_present_{i}"))]
+    totals = counted.select("records", F.create_map(*filled).alias("_filled"))
+    joined = schema_differences(df, expected).withColumn("_one", F.lit(1)).join(totals.withColumn("_one", F.lit(1)), "_one")
+    nulls = F.col("records") - F.coalesce(F.try_element_at("_filled", F.col("column")), F.lit(0))
+    return joined.select("column", "problem", "expected", "actual", "records", nulls.alias("nulls"))
+
+
 def quality_tier(df: DataFrame, tier: str) -> DataFrame:
     """Quality metrics of a frame, judged for one tier.
 

@@ -3,22 +3,25 @@ express it, an equivalent statement for another engine."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meldstone.functions import keys, text
 from meldstone.functions.sql_functions import register_sql_functions
 from meldstone.operators import analytics, clusters, contracts, evidence, features, matching, metrics, prepare, quality
 from meldstone.operators import harmonize as harm
 from meldstone.operators import model as ml
+from meldstone.operators import profiles, runlog
 from meldstone.operators import registry as reg
-from meldstone.operators import runlog
+from meldstone.operators.entity_index import EntityIndex
 from meldstone.operators.sequence import sequential_ids
-from meldstone.plans import inputs, training
+from meldstone.plans import etl, inputs, training
 from meldstone.plans import oracle as o
-from meldstone.sources import readers, tables
+from meldstone.sources import readers, schemas, tables
 from meldstone.sources.registry_store import RegistryStore
 from meldstone.sources.storage import materialise, scratch_path
 from meldstone.streaming.ingest import RegistryIngest
@@ -127,6 +130,19 @@ def seller_product_list(spark, sf):
     return prepare.seller_product_list(_items(spark, sf))
 
 
+@register(
+    "seller_product_chunks",
+    f"""WITH {o.ITEMS}, pairs AS (SELECT DISTINCT seller_id, product_id FROM items WHERE product_id IS NOT NULL AND seller_id IS NOT NULL),
+placed AS (SELECT *, (row_number() OVER (PARTITION BY seller_id ORDER BY product_id) - 1) // 100 AS chunk FROM pairs)
+SELECT seller_id AS corporate_id, chunk, count(*) AS n_products, string_agg(product_id, ',' ORDER BY product_id) AS products
+FROM placed GROUP BY seller_id, chunk""",
+)
+def seller_product_chunks(spark, sf):
+    """The product list of every seller, a hundred products to a row."""
+    chunks = prepare.seller_product_chunks(_items(spark, sf), 100)
+    return chunks.withColumn("products", F.concat_ws(",", "products"))
+
+
 @register("payment_financial_summary", f"WITH {o.PAYMENT_SUMMARY} SELECT * FROM summary")
 def payment_financial_summary(spark, sf):
     return prepare.payment_financial_summary(tables.payments(spark, sf), inputs.SECOND_LOAD.date())
@@ -299,17 +315,18 @@ def fuzzy_long_names(spark, sf):
 
 @register(
     "candidate_misses",
-    f"""WITH {o.MATCHES}, near AS (SELECT DISTINCT id_a, id_b FROM matches WHERE distance > 0)
+    f"""WITH {o.MATCHES}, near AS (
+  SELECT DISTINCT id_a, id_b FROM matches WHERE distance > 0 AND (id_a % 100 = 0 OR id_b % 100 = 0))
 SELECT count(*) AS matches, CAST(0 AS BIGINT) AS missed FROM near""",
 )
 def candidate_misses(spark, sf):
-    """Matches among all pairs of a block, and how many of them the candidates lack."""
+    """Matches of every hundredth name with all names of its block, and how many of them the candidates lack."""
     records = materialise(matching.representatives(tables.companies(spark, sf)), "names")
-    a = records.select("block_key", F.col("id").alias("id_a"), F.col("name").alias("name_a"))
-    b = records.select("block_key", F.col("id").alias("id_b"), F.col("name").alias("name_b"))
-    longer = F.greatest(F.length("name_a"), F.length("name_b"))
-    pairs = a.join(b, "block_key").where(F.col("id_a") < F.col("id_b"))
-    near = pairs.where(F.levenshtein("name_a", "name_b") * 20 <= 3 * longer).select("id_a", "id_b")
+    asked = records.where("id % 100 = 0").select("block_key", F.col("id").alias("id_q"), F.col("name").alias("name_q"))
+    others = records.select("block_key", "id", "name")
+    longer = F.greatest(F.length("name_q"), F.length("name"))
+    near = others.join(asked, "block_key").where((F.col("id") != F.col("id_q")) & (F.levenshtein("name_q", "name") * 20 <= 3 * longer))
+    near = near.select(F.least("id", "id_q").alias("id_a"), F.greatest("id", "id_q").alias("id_b")).distinct()
     found = matching.candidate_pairs(records).select("id_a", "id_b", F.lit(True).alias("found"))
     return near.join(found, ["id_a", "id_b"], "left").agg(
         F.count("*").alias("matches"), F.count_if(F.col("found").isNull()).alias("missed")
@@ -520,6 +537,31 @@ def registry_partition_scan(spark, sf):
     return readers.registry_partition(current, 2025, 11).select(*_SCAN.split(", "))
 
 
+@register("registry_table_load", f"{o.LOADS} SELECT {o.VERSION_COLUMNS} FROM version_2")
+def registry_table_load(spark, sf):
+    """Both loads through a catalog table of plain files: created by the first, its months replaced by the second."""
+    location, name = scratch_path(spark, "table"), f"registry_{uuid.uuid4().hex}"
+    for staged in (inputs.first_load(spark, sf), inputs.second_load(spark, sf)):
+        etl.load_table(spark, staged, "meldstone", name, "parquet", location)
+    return _without_times(spark.table(f"meldstone.{name}"))
+
+
+@register(
+    "resolved_loads",
+    f"""WITH RECURSIVE {_EVIDENT},
+edges AS (SELECT id_a AS u, id_b AS v FROM evident UNION SELECT id_b, id_a FROM evident),
+reach(id, seen) AS (SELECT u, u FROM edges UNION SELECT r.id, e.v FROM reach r JOIN edges e ON r.seen = e.u)
+SELECT id, min(seen) AS cluster_id FROM reach GROUP BY id""",
+)
+def resolved_loads(spark, sf):
+    """Shops resolved in two loads, the second against the index that the first left."""
+    shops = tables.shop_names(spark, sf)
+    index = EntityIndex(spark, scratch_path(spark, "index"), T.LongType(), inputs.REGISTRY_BUCKETS)
+    index.add(shops.where("id % 2 = 0"), "1")
+    index.add(shops.where("id % 2 = 1"), "2")
+    return index.clusters()
+
+
 @register(
     "registry_preview",
     f"{o.BASE}, staged AS ({o.staging('harmonized', 2025, 12)}) SELECT {_SCAN} FROM staged ORDER BY corporate_id LIMIT 10",
@@ -633,6 +675,44 @@ def null_profile(spark, sf):
     )
 
 
+_PROFILED = [f.name for f in schemas.TABLES["lineitem"].fields]
+_PROFILE = " UNION ALL ".join(
+    f"""SELECT {i} AS position, '{c}' AS "column", count(*) AS records, count(*) - count({c}) AS nulls,
+       CAST(count(*) - count({c}) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100 AS null_pct FROM lineitem"""
+    for i, c in enumerate(_PROFILED)
+)
+
+
+@register("merged_profile", _PROFILE)
+def merged_profile(spark, sf):
+    """Items profiled load by load; the whole is the sum of the parts."""
+    items = tables.table(spark, sf, "lineitem")
+    early = F.coalesce(F.col("l_shipdate") < F.lit(inputs.CUTOFF), F.lit(False))
+    store = profiles.ProfileStore(spark, scratch_path(spark, "profiles"))
+    store.add("1", items.where(early))
+    store.add("2", items.where(~early))
+    return store.merged().select("position", "column", "records", "nulls", "null_pct")
+
+
+_DECLARED = {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "string", "value": "decimal(12,2)", "session": "string"}
+
+
+@register(
+    "schema_review",
+    """WITH n AS (SELECT count(*) AS records, count(*) - count(user_id) AS no_user, count(*) - count(value) AS no_value,
+       count(*) - count(event_type) AS no_type, count(*) - count(props) AS no_props FROM events)
+SELECT "column", problem, expected, actual, records, nulls FROM n, LATERAL (VALUES
+  ('session', 'missing', 'string', NULL, records), ('event_type', 'extra', NULL, 'string', no_type),
+  ('props', 'extra', NULL, 'string', no_props), ('user_id', 'type', 'string', 'bigint', no_user),
+  ('value', 'type', 'decimal(12,2)', 'double', no_value)) AS v("column", problem, expected, actual, nulls)""",
+)
+def schema_review(spark, sf):
+    """Where the events depart from a declared schema, and how many of their rows have no value there."""
+    events = tables.table(spark, sf, "events")
+    declared = spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in _DECLARED.items())).schema
+    return quality.schema_review(events, declared)
+
+
 @register("column_null_counts", f'{o.NULL_COUNTS} SELECT "column", nulls, total_records FROM counts')
 def column_null_counts(spark, sf):
     return quality.column_null_counts(inputs.harmonized(spark, sf))

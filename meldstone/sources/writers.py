@@ -24,8 +24,16 @@ WITHOUT_ROW_UPDATES = ("parquet", "orc", "csv", "json", "avro", "text")
 
 
 def create_partitioned_table(
-    df: DataFrame, table: str, table_format: str, keys: tuple[str, ...] = ("year", "month")
+    df: DataFrame, table: str, table_format: str, keys: tuple[str, ...] = ("year", "month"), location: str | None = None
 ) -> None:
     """First-run create of a table partitioned by load year and month."""
     first, *rest = keys
-    df.writeTo(table).using(table_format).partitionedBy(first, *rest).create()
+    writer = df.writeTo(table).using(table_format).partitionedBy(first, *rest)
+    if location is not None:
+        writer = writer.tableProperty("location", location)
+    writer.create()
+
+
+def replace_partitions(df: DataFrame, table: str) -> None:
+    """Replace those partitions of a table that ``df`` has rows of; its columns are in the table's order."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)

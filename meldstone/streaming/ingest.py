@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meldstone.operators.harmonize import harmonize, keyed_supply
+from meldstone.operators.harmonize import harmonize, harmonize_clusters, keyed_supply, resolved_ids
 from meldstone.operators.registry import registry_staging
 from meldstone.operators.seller_state import FACT, STATE, amounts, facts, increments, merged, sources_of
 from meldstone.sources.bucketed import BucketedTable
@@ -46,6 +46,7 @@ class RegistryIngest:
         checkpoint: str,
         stream: str = "items",
         buckets: int = BUCKETS,
+        clusters: DataFrame | None = None,
     ):
         self.spark = spark
         self.landing = landing
@@ -55,6 +56,12 @@ class RegistryIngest:
         self.state = BucketedTable(spark, state_path, STATE, "seller_id", buckets, "batch")
         self.checkpoint = checkpoint
         self.stream = stream
+        # (id, cluster_id) of sellers that stand for one entity, as run_etl resolves them.
+        self.clusters = clusters
+
+    def _harmonized(self, state: DataFrame, sellers: DataFrame) -> DataFrame:
+        sources = sources_of(state, sellers)
+        return harmonize(*sources) if self.clusters is None else harmonize_clusters(*sources, self.clusters)
 
     def news(self, items: DataFrame) -> DataFrame:
         """(seller_id, kind, value, amount): pairs that no earlier item had, and all items' money."""
@@ -73,6 +80,8 @@ class RegistryIngest:
     def _kin(self, touched: DataFrame) -> DataFrame:
         """seller_id of the touched sellers and of those that share an entity with one of them."""
         keyed = keyed_supply(sources_of(self.spark.createDataFrame([], STATE), self.sellers)[0])
+        if self.clusters is not None:
+            keyed = resolved_ids(keyed, self.clusters)
         ids = keyed.select("seller_id", "corporate_id").distinct()
         shared = ids.join(touched, "seller_id", "left_semi").select("corporate_id").distinct()
         return ids.join(shared, "corporate_id", "left_semi").select("seller_id").unionByName(touched).distinct()
@@ -90,7 +99,7 @@ class RegistryIngest:
         sellers = self.sellers if batch_id == 0 else self.sellers.join(kin, "seller_id", "left_semi")
         known = self.state_before(batch_id + 1, self.state.touched(kin))
         of_kin = known.join(kin.withColumnRenamed("seller_id", "kin"), F.col("seller_id").eqNullSafe(F.col("kin")), "left_semi")
-        staged = registry_staging(harmonize(*sources_of(of_kin, sellers)))
+        staged = registry_staging(self._harmonized(of_kin, sellers))
         self.store.load_batch(staged, self.stream, batch_id)
 
     def run(self, files_per_batch: int = 1000) -> None:

@@ -198,18 +198,36 @@ def test_tables_and_views(spark):
     spark.sql("DROP TABLE registry_db.corporate_registry")
 
 
-def test_table_loads_refuse_formats_without_row_updates(spark):
+def test_table_loads_of_plain_files_replace_touched_months(spark):
+    rows = lambda names, moment: staged(spark, [(k, n, 1, 1.0) for k, n in names.items()] + [(None, "lost", 1, 1.0)], moment)
+    read = lambda: {r.corporate_id: (r.corporate_name, r.month) for r in spark.table("registry_db.plain").collect()}
+    october = datetime(2025, 10, 1)
+    assert load_table(spark, rows({"o": "O"}, october), "registry_db", "plain", "parquet").count() == 1
+    load_table(spark, rows({"a": "A", "b": "B"}, NOVEMBER), "registry_db", "plain", "parquet")
+    untouched = set(spark.table("registry_db.plain").where("month = 10").inputFiles())
+    load_table(spark, rows({"b": "Bee", "c": "C"}, DECEMBER), "registry_db", "plain", "parquet")
+    assert read() == {"o": ("O", 10), "a": ("A", 11), "b": ("Bee", 12), "c": ("C", 12)}
+    assert set(spark.table("registry_db.plain").where("month = 10").inputFiles()) == untouched
+    # November's last row moves on, and its month goes.
+    load_table(spark, rows({"a": "Aye"}, DECEMBER), "registry_db", "plain", "parquet")
+    assert read()["a"] == ("Aye", 12) and len(read()) == 4
+    assert "year=2025/month=11" not in {r[0] for r in spark.sql("SHOW PARTITIONS registry_db.plain").collect()}
+    before = read()
+    load_table(spark, rows({"a": "Aye"}, DECEMBER), "registry_db", "plain", "parquet")
+    assert read() == before
+    spark.sql("DROP TABLE registry_db.plain")
+
+
+def test_table_loads_refuse_repeated_keys(spark):
     rows = staged(spark, [("a", "A", 3, 10.0)], NOVEMBER)
-    with pytest.raises(ValueError, match="cannot be merged into"):
-        load_table(spark, rows, "registry_db", "plain", "parquet")
-    assert not spark.catalog.tableExists("registry_db.plain")
     with pytest.raises(ValueError, match="repeats keys"):
-        load_table(spark, rows.union(rows), "registry_db", "plain", "delta")
+        load_table(spark, rows.union(rows), "registry_db", "twice", "parquet")
+    assert not spark.catalog.tableExists("registry_db.twice")
 
 
 def test_first_and_later_table_loads_set_rows_without_a_key_aside(spark, monkeypatch):
     calls = []
-    monkeypatch.setattr(etl, "create_partitioned_table", lambda df, table, kind: calls.append((df.count(), table, kind)))
+    monkeypatch.setattr(etl, "create_partitioned_table", lambda df, table, kind, location: calls.append((df.count(), table, kind)))
     rows = staged(spark, [("a", "A", 3, 10.0), (None, "lost", 1, 1.0)], NOVEMBER)
     assert [r.corporate_name for r in load_table(spark, rows, "registry_db", "rowwise", "iceberg").collect()] == ["lost"]
     assert calls == [(1, "registry_db.rowwise", "iceberg")]
