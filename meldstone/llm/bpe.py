@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meldstone.llm.common import share_package
+from meldstone.llm.common import bounded_task, remember, share_package
 
 #: Characters of texts that are encoded together; a longer text is taken alone.
 CHUNK_CHARS = 8_000_000
@@ -308,6 +308,7 @@ def _around(places, rank, symbol, following, previous, vocabulary):
     return min(lowest, new_left.min()), right, beyond, new_right, ahead, new_left
 
 
+_NAME = "bpe"
 # One vocabulary for each rank file in a Python worker.
 _LOADED: dict[tuple[str, str], Vocabulary] = {}
 
@@ -316,6 +317,7 @@ def _loaded(content: bytes, pattern: str) -> Vocabulary:
     key = (hashlib.sha256(content).hexdigest(), pattern)
     if key not in _LOADED:
         _LOADED[key] = Vocabulary.parse(content, pattern)
+    remember(_NAME, _LOADED.clear)
     return _LOADED[key]
 
 
@@ -341,7 +343,7 @@ class Tokenizer:
                 for ids in vocabulary().encode_chunks(t or "" for t in texts):
                     yield pd.Series(ids, dtype=object)
 
-        return F.pandas_udf(encode, "binary")(text)
+        return F.pandas_udf(bounded_task(_NAME, encode), "binary")(text)
 
     def decode(self, ids: Column) -> Column:
         """Bytes that the ids stand for."""
@@ -351,7 +353,7 @@ class Tokenizer:
             for packed in batches:
                 yield pd.Series([vocabulary().decode(p or b"") for p in packed], dtype=object)
 
-        return F.pandas_udf(decode, "binary")(ids)
+        return F.pandas_udf(bounded_task(_NAME, decode), "binary")(ids)
 
     def round_trip(self, text: Column) -> Column:
         """Struct of the ids and the bytes decoded from them, in one pass."""
@@ -363,7 +365,7 @@ class Tokenizer:
                 for ids in vocabulary().encode_chunks(t or "" for t in texts):
                     yield pd.DataFrame({"ids": ids, "decoded": [vocabulary().decode(i) for i in ids]}, dtype=object)
 
-        return F.pandas_udf(both, "ids binary, decoded binary")(text)
+        return F.pandas_udf(bounded_task(_NAME, both), "ids binary, decoded binary")(text)
 
 
 def tokenize(docs: DataFrame, tokenizer: Tokenizer, text: str = "text", result: str = "token_ids") -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +70,58 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(_BATCH_ROWS, before)
 
 
-def size_of(df: DataFrame) -> int:
-    """Catalyst's estimate of the bytes of ``df``; used to decide on broadcasts."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+def give_back() -> None:
+    """Return memory that this Python worker no longer uses to the system.
+
+    Workers outlive their tasks and are taken over by later stages, beside a JVM that fills
+    its own share of the executor by then.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+# What operators remember in this worker, by operator, and how to forget it.
+_REMEMBERED: dict[str, Callable[[], None]] = {}
+
+
+def remember(operator: str, forget: Callable[[], None]) -> None:
+    """Note that ``operator`` keeps something between tasks."""
+    _REMEMBERED[operator] = forget
+
+
+def start_task(operator: str) -> None:
+    """Forget what operators other than this one remember in this worker."""
+    for other in [name for name in _REMEMBERED if name != operator]:
+        _REMEMBERED.pop(other)()
+
+
+def bounded_task(operator: str, work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` over batches, for which what other operators left in this worker is forgotten first.
+
+    What the task itself no longer needs goes back to the system at its end.
+    """
+
+    @wraps(work)
+    def run(batches: Iterator) -> Iterator:
+        # The worker's own module: this function is shipped by value, with copies of what it names.
+        from meldstone.llm import common
+
+        common.start_task(operator)
+        try:
+            yield from work(batches)
+        finally:
+            common.give_back()
+
+    return run
+
+
+_TEXT_ROWS = 2500
+
+
+def small_text_batches(spark: SparkSession) -> None:
+    """Let this session send whole texts to Python in batches of _TEXT_ROWS rows, unless it is set to fewer."""
+    rows = int(spark.conf.get(_BATCH_ROWS))
+    if rows <= 0 or rows > _TEXT_ROWS:
+        spark.conf.set(_BATCH_ROWS, _TEXT_ROWS)

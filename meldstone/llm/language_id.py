@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meldstone.llm.common import fold, free_name, share_package
+from meldstone.llm.common import bounded_task, fold, free_name, share_package
 
 UNKNOWN = "und"
 SAMPLE_TEXTS = 200
@@ -108,7 +108,12 @@ def _highest_hash(texts: int, sample_texts: int) -> int:
 
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_texts: int = SAMPLE_TEXTS) -> LanguageModel:
-    """Dictionaries from the rows of ``labelled`` whose text and language are not NULL."""
+    """Dictionaries from the rows of ``labelled`` whose text and language are not NULL.
+
+    About ``sample_texts`` distinct texts of each language are taken, of each its first
+    DICTIONARY_BYTES characters, as more would not fit into a dictionary; counts and shares
+    come from all rows. The driver holds one sample and one dictionary for each language.
+    """
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).dropna()
     place = F.xxhash64("text")
     # Copies share a hash, so they neither count for the share nor take part in it twice.
@@ -144,7 +149,8 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", result: s
         for texts in batches:
             yield pd.DataFrame([shipped.value.guess(t) for t in texts], columns=Guess._fields)
 
-    return docs.withColumn(result, F.pandas_udf(guess, "lang string, score double, accepted boolean")(F.col(text)))
+    judged = F.pandas_udf(bounded_task("language_id", guess), "lang string, score double, accepted boolean")
+    return docs.withColumn(result, judged(F.col(text)))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meldstone.llm.common import batches_of, free_name, share_package
+from meldstone.llm.common import batches_of, bounded_task, free_name, share_package
 from meldstone.operators.clusters import connected_components
 from meldstone.sources.storage import materialise
 
@@ -62,6 +62,7 @@ _RANDOM = np.random.default_rng(20)
 _MASKS = _RANDOM.integers(0, 1 << 32, (_HASHES, 1), dtype=np.uint32)
 _FACTORS = _RANDOM.integers(0, 1 << 32, (_HASHES, 1), dtype=np.uint32) | np.uint32(1)
 _WEIGHTS = _RANDOM.integers(0, 1 << 63, SHINGLE_WORDS, dtype=np.uint64) | np.uint64(1)
+_NAME = "near_dedup"
 # Texts go to Python in batches of so many rows, pairs of texts likewise.
 _BATCH_TEXTS = 1000
 # Hashes of a long text are worked off in pieces of this many shingles.
@@ -117,7 +118,7 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def shingle_sets(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, digest, labels) of each row that has an id."""
     rows = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
-    return rows.mapInPandas(_sets, "doc_id bigint, n_shingles bigint, digest binary, labels binary")
+    return rows.mapInPandas(bounded_task(_NAME, _sets), "doc_id bigint, n_shingles bigint, digest binary, labels binary")
 
 
 NEIGHBOUR_SCHEMA = "kind string, tree int, label binary, a bigint, b bigint, n bigint, depth int"
@@ -181,10 +182,10 @@ def candidates(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     order = ["tree", "label", "a"]
     near = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    near = materialise(near.mapInPandas(_neighbours, NEIGHBOUR_SCHEMA), "neighbours")
+    near = materialise(near.mapInPandas(bounded_task(_NAME, _neighbours), NEIGHBOUR_SCHEMA), "neighbours")
     # A few rows from each end of each partition: those next to each other across a cut.
     edges = near.where("kind = 'edge'").select("tree", "label", "a", "n").distinct()
-    across = edges.repartition(1).sortWithinPartitions(*order).mapInPandas(_neighbours, NEIGHBOUR_SCHEMA)
+    across = edges.repartition(1).sortWithinPartitions(*order).mapInPandas(bounded_task(_NAME, _neighbours), NEIGHBOUR_SCHEMA)
     both = near.unionByName(across)
     pairs = both.where("kind = 'pair'").groupBy("a", "b").agg(F.sum("depth").alias("weight"))
     region = F.substring("label", 1, LEAST_DEPTH * _HASH_BYTES).alias("region")
@@ -203,7 +204,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     named = lambda side: texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}"))
     both = pairs.select("a", "b").hint("merge").join(named("a"), "a").hint("merge").join(named("b"), "b")
     with batches_of(pairs.sparkSession, _BATCH_TEXTS // 2):
-        return materialise(both.mapInPandas(_confirm, "a bigint, b bigint").distinct(), "links")
+        return materialise(both.mapInPandas(bounded_task(_NAME, _confirm), "a bigint, b bigint").distinct(), "links")
 
 
 def _components(links: DataFrame) -> DataFrame:
@@ -254,6 +255,7 @@ def _block_links(rows: pd.DataFrame) -> pd.DataFrame:
     sizes = np.array([len(s) for s in sets])
     shared = _shared([sets[i] for i in left], [sets[i] for i in right])
     whole = sizes[left][:, None] + sizes[right][None, :] - shared
+    del sets
     x, y = np.nonzero((100 * shared >= SIMILAR_PERCENT * whole) & (parts[left][:, None] != parts[right][None, :]))
     return pd.DataFrame({"a": np.minimum(ids[left[x]], ids[right[y]]), "b": np.maximum(ids[left[x]], ids[right[y]])})
 
@@ -277,7 +279,7 @@ def wide_region_links(dense: DataFrame, components: DataFrame, texts: DataFrame)
     chosen = materialise(members.join(mixed, ["tree", "region"]), "mixed")
     ids = chosen.select(F.col("id").alias("doc_id")).distinct()
     with batches_of(dense.sparkSession, _BATCH_TEXTS):
-        sets = materialise(texts.join(ids.hint("merge"), "doc_id").mapInPandas(_packed, "id bigint, hashes binary"), "hashes")
+        sets = materialise(texts.join(ids.hint("merge"), "doc_id").mapInPandas(bounded_task(_NAME, _packed), "id bigint, hashes binary"), "hashes")
     own, all_blocks = F.pmod(F.xxhash64("id"), F.col("blocks")), F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
     left = chosen.where("part != top").select("*", own.alias("l"), F.explode(all_blocks).alias("r"), F.lit(0).alias("side"))
     right = chosen.select("*", F.explode(all_blocks).alias("l"), own.alias("r"), F.lit(1).alias("side"))

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meldstone.llm.common import free_name, share_package
+from meldstone.llm.common import bounded_task, free_name, share_package
 
 #: Kinds in the order in which spans of equal start are listed.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -42,8 +42,11 @@ MIN_SCORE = 0.5
 #: Code points to either side of a span in which context words count.
 CONTEXT = 40
 
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# What may stand before an @, and what must stand behind it.
+LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
+# The leftmost match begins where a run of digits does, so no other digit is tried.
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
@@ -64,7 +67,6 @@ SECRET = re.compile(
     r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]*?(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key))"
     r"[A-Za-z0-9_-]++[\"']?\s{0,4}[=:]\s{0,4}[\"']?([A-Za-z0-9+/_\-]{16,})"
 )
-_GAP = re.compile(r"\s")
 
 #: Score of a confirmed span, words that raise it, words that lower it.
 CONTEXT_WORDS = {
@@ -103,22 +105,23 @@ def mod97(account: str) -> bool:
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
-    # No white space can be part of a match, so only runs around an @ are searched.
+    # An address holds one @, so each one is looked at once, with the run before it and behind it.
     at, done = text.find("@"), 0
     while at >= 0:
-        start = at
-        while start > done and not text[start - 1].isspace():
-            start -= 1
-        gap = _GAP.search(text, at)
-        done = gap.start() if gap else len(text)
-        for match in EMAIL.finditer(text, start, done):
-            yield match.span()
+        before = text[done:at]
+        start = done + len(before.rstrip(LOCAL))
+        match = DOMAIN.match(text, at + 1) if start < at else None
+        done = at + 1
+        if match:
+            done = match.end()
+            yield start, done
         at = text.find("@", done)
 
 
 def _ips(text: str) -> Iterator[tuple[int, int]]:
     for match in IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in match[0].split(".")):
+        parts = [part.lstrip("0") for part in match[0].split(".")]
+        if all(len(part) <= 3 and int(part or 0) <= 255 for part in parts):
             yield match.span()
 
 
@@ -214,26 +217,27 @@ FOUND = (
 )
 
 
-def _find(texts: pd.Series) -> pd.DataFrame:
-    rows = []
-    for text in texts:
-        found = find_spans(text)
-        base = ",".join(s.label() for s in found if s.kind < len(BASE_KINDS))
-        rows.append(
-            (
-                [{"kind": KINDS[s.kind], "start": s.start, "end": s.end, "score": s.score} for s in found],
-                redacted(text, found),
-                ",".join(s.label() for s in found),
-                hashlib.sha256(base.encode()).hexdigest(),
+def _find(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    for texts in batches:
+        rows = []
+        for text in texts:
+            found = find_spans(text)
+            base = ",".join(s.label() for s in found if s.kind < len(BASE_KINDS))
+            rows.append(
+                (
+                    [{"kind": KINDS[s.kind], "start": s.start, "end": s.end, "score": s.score} for s in found],
+                    redacted(text, found),
+                    ",".join(s.label() for s in found),
+                    hashlib.sha256(base.encode()).hexdigest(),
+                )
             )
-        )
-    return pd.DataFrame(rows, columns=["spans", "redacted", "span_text", "base_sha256"])
+        yield pd.DataFrame(rows, columns=["spans", "redacted", "span_text", "base_sha256"])
 
 
 def find_pii(docs: DataFrame, text: str = "text", result: str = "pii") -> DataFrame:
     """``docs`` with ``result``: spans, the redacted text and digests of the span list."""
     share_package(docs.sparkSession)
-    return docs.withColumn(result, F.pandas_udf(_find, FOUND)(F.col(text)))
+    return docs.withColumn(result, F.pandas_udf(bounded_task("pii", _find), FOUND)(F.col(text)))
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -30,8 +30,6 @@ from meldstone.llm.common import WORD_GAP, free_name, words
 from meldstone.sources.storage import materialise
 
 WINDOW = 5
-MOST_RULES = 12
-MOST_CONDITIONS = 4
 QUANTILES = 24
 LEAST_PRECISION = 0.7
 #: Bad rows a rule must cover among those it is grown on.
@@ -172,7 +170,7 @@ def _gain(bad: int, good: int, bad_before: int, good_before: int) -> float:
 
 def _grow(rows: DataFrame, cuts: dict[str, list[float]]) -> Rule:
     rule: Rule = ()
-    while len(rule) < MOST_CONDITIONS:
+    while True:
         cells = (
             rows.where(_covers(rule, cuts))
             .select("bad", F.posexplode("bins").alias("statistic", "bin"))
@@ -221,7 +219,7 @@ def learn_rules(labelled: DataFrame, label: str = "quality") -> list[Rule]:
     if binned is None:
         return []
     rest, rules = binned.rows, []
-    while len(rules) < MOST_RULES:
+    while True:
         rule = _grow(rest.where("grow"), binned.cuts)
         rule = _pruned(rest.where("not grow"), rule, binned.cuts) if rule else ()
         if not rule:

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from meldstone.llm import pii
 
@@ -119,3 +120,26 @@ def test_secrets_of_longer_names():
 
 def test_long_runs_of_key_names_take_linear_time():
     assert pii.find_spans("token" * 100_000) == [] == pii.find_spans("x" * 500_000)
+
+
+def test_long_runs_cost_linear_time():
+    million = 1_000_000
+    texts = ["7" * million, "a" * million + "@", "a" * million + "@b.co", "0" * million + ".1.1.1", "1." * 50_000, "a@" * (million // 2),
+             "+1" + "(" * million, "+1" * (million // 2), "x_" * (million // 2), "AB12" * (million // 4), "a@b.c_d@e.f"]
+    for text in texts:
+        began = time.process_time()
+        found = pii.find_spans(text)
+        assert time.process_time() - began < 2, text[:20]
+        if len(text) < 100:
+            assert [(s.start, s.end) for s in found] == [(0, 5), (5, 11)]
+    assert [(s.start, s.end) for s in pii.find_spans(texts[2]) if s.kind == 0] == [(0, million + 5)]
+
+
+def test_addresses_equal_plain_search(rng):
+    for _ in range(3000):
+        text = "".join(rng.choice("ab1._@@-. \n\u00e9") for _ in range(rng.randrange(40)))
+        want = [label for label in plain(text) if label.startswith(("email", "ip"))]
+        assert [s.label() for s in pii.find_spans(text) if s.kind < 2] == want
+    for _ in range(3000):
+        text = "".join(rng.choice("0125..x") for _ in range(rng.randrange(40)))
+        assert [s.label() for s in pii.find_spans(text) if s.kind == 1] == [x for x in plain(text) if x.startswith("ip")]
