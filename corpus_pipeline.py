@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meldstone.llm import bpe, decontamination, language_id, near_dedup, pii
-from meldstone.llm.common import table
+from meldstone.llm.common import small_text_batches, table
 from meldstone.sources.storage import materialise
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -15,6 +15,7 @@ RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with a sufficient margin; the others go."""
+    small_text_batches(spark)
     return language_id.keep_identified(docs)
 
 
@@ -30,11 +31,13 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every span of personal data replaced by its kind."""
+    small_text_batches(spark)
     return pii.redact(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the ids of their text, and the digest of what the ids decode to."""
+    small_text_batches(spark)
     tokenizer = bpe.Tokenizer(spark, RANK_FILE, public_tokenizers.PATTERN)
     done = docs.select("doc_id", "lang", "source", tokenizer.round_trip(F.col("text")).alias("done"))
     return done.select(
