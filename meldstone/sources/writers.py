@@ -34,6 +34,19 @@ def create_partitioned_table(
     writer.create()
 
 
+_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
+
+
 def replace_partitions(df: DataFrame, table: str) -> None:
-    """Replace those partitions of a table that ``df`` has rows of; its columns are in the table's order."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    """Replace those partitions of a table that ``df`` has rows of; its columns are in the table's order.
+
+    The mode is a setting of the session: an insert into a catalog table takes it from there
+    and would replace all partitions otherwise.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_OVERWRITE)
+    conf.set(_OVERWRITE, "dynamic")
+    try:
+        df.write.mode("overwrite").insertInto(table)
+    finally:
+        conf.set(_OVERWRITE, before)
