@@ -34,7 +34,8 @@ def run_etl(
     aggregation runs once. ``resolve`` is "exact", where only equal names and addresses are one
     entity, or "fuzzy", where sellers of one city and state are as well whose names differ by
     what the evidence rule takes for a slip; only new names are then compared with those of
-    earlier loads. Returns the quarantined rows.
+    earlier loads. An entity bears the id of its smallest seller: where a smaller one joins in a
+    later load, the row under the earlier id stays in the registry. Returns the quarantined rows.
     """
     if resolve not in ("fuzzy", "exact"):
         raise ValueError(f"unknown resolution {resolve!r}")

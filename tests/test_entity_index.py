@@ -84,7 +84,7 @@ def test_ingestion_and_the_job_agree_on_resolved_sellers(spark):
 def test_the_job_resolves_a_second_load_against_the_first(spark, tmp_path):
     write_raw(tmp_path / "raw", "quiet corner books,01,sao paulo,SP\nother,22000,rio,RJ\n")
     run_etl(spark, str(tmp_path / "raw"), str(tmp_path / "out"), NOVEMBER, resolve="fuzzy")
-    write_raw(tmp_path / "again", "quiet corner books,01,sao paulo,SP\nquiet corner boks,02,sao paulo,SP\n")
+    write_raw(tmp_path / "again", "quiet corner books,01,sao paulo,SP\nquiet corner bookz,02,sao paulo,SP\n")
     run_etl(spark, str(tmp_path / "again"), str(tmp_path / "out"), DECEMBER, resolve="fuzzy")
     store = RegistryStore(spark, str(tmp_path / "out/corporate_registry"))
     assert store.read().where("city = 'sao paulo'").count() == 1
