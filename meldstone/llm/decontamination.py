@@ -1,31 +1,40 @@
 """Benchmark passages in documents, by SimHash fingerprints of item-sized windows.
 
 A window has as many words as a benchmark item and lies where the item would lie if one of
-the window's five-word shingles came from it. A window without a shingle of any item has
-similarity 0 to all, so only windows with one are formed, and none that matters is left
-out; which item a window resembles is not decided there. Each window and each item gets
-``FINGERPRINTS`` SimHash fingerprints of 64 bits over its words. Fingerprints are cut into
-``BLOCKS`` blocks; two that differ in at most ``RADIUS`` = BLOCKS - 1 bits agree in a whole
-block, so a join on (fingerprint, words, block, value) finds every one within the radius.
+the window's five-word shingles came from it. A window can only be similar to an item of its
+length if three quarters of the item's shingles are known ones of items of that length, so
+only such windows are formed: they are told by counting places, before any words are taken
+from the texts, and nothing that matters is left out. Which item a window resembles is not
+decided there.
+
+Each window and each item gets ``FINGERPRINTS`` SimHash fingerprints of 64 bits over its
+words. Fingerprints are cut into ``BLOCKS`` blocks of 16 bits. Two that differ in at most
+``RADIUS`` bits differ in at most RADIUS // BLOCKS = 3 bits of some block, so the join of
+the items' block values with up to ``ITEM_FLIPS`` bits flipped and the windows' with up to
+``WINDOW_FLIPS`` finds every one within the radius. An unrelated window meets about one item
+in twenty of its length there for each fingerprint, and the join's rows are numbers only.
 What is within the radius is compared exactly: similarity is the sum of the smaller over the
 sum of the larger weights of the shingles, a shingle's weight being its number of
 occurrences; a passage is found from 0.75 on.
 
-Everything is DataFrame code. Texts are never exchanged; the benchmark's shingles and
-fingerprints are broadcast while they have at most ``BROADCAST_ROWS`` rows, and exchanged
-beyond that. A fingerprint of one changed word in forty differs in about 5 bits; the second
-fingerprint catches what the first misses by chance.
-
-Defined results: case is ignored; NULL and empty texts have no windows; items with fewer
-than five words have no shingle and are never found; a window cut by the start or end of
-its document is shorter than the item; items of NULL id take part, and are reported as
-NULL; rows equal in id and text are one record, each of them gets its result; other columns
-pass untouched.
+Everything is DataFrame code. The benchmark's shingles and fingerprints are rows of fixed
+width; they and the places of windows are broadcast up to ``BROADCAST_BYTES`` and exchanged
+beyond, by hash: then the texts of documents are exchanged once, to take the windows' words.
+A fingerprint of one changed word in forty differs in about 5 bits; the second fingerprint
+catches what the first misses by chance.
+
+Defined results: case is ignored; NULL and empty texts have no windows; an item of fewer
+than five words is a single shingle of all its words and found where they stand in a row;
+items without words are never found; a window cut by the start or end of its document is
+shorter than the item; items of NULL id take part, and are reported as NULL; rows equal in
+id and text are one record, each of them gets its result; other columns pass untouched.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from itertools import combinations
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meldstone.llm.common import free_name, words
@@ -34,23 +43,31 @@ from meldstone.sources.storage import materialise
 SHINGLE_WORDS = 5
 SIMILAR_PERCENT = 75
 FINGERPRINTS = 2
-BLOCKS = 16
-RADIUS = BLOCKS - 1
-BROADCAST_ROWS = 1_000_000
+BLOCKS = 4
+RADIUS = 15
+ITEM_FLIPS = 1
+WINDOW_FLIPS = RADIUS // BLOCKS - ITEM_FLIPS
+BROADCAST_BYTES = 32 << 20
 
 _BITS = 64
 _BLOCK_BITS = _BITS // BLOCKS
 
 
-def _shingles(found: Column) -> Column:
-    """Hashes of all runs of five words, in order."""
-    count = F.size(found) - SHINGLE_WORDS + 1
-    runs = F.transform(
-        F.sequence(F.lit(1), count), lambda i: F.xxhash64(F.slice(found, i, F.lit(SHINGLE_WORDS)))
-    )
+def _shingles(found: Column, size: int = SHINGLE_WORDS) -> Column:
+    """Hashes of all runs of ``size`` words, in order."""
+    count = F.size(found) - size + 1
+    runs = F.transform(F.sequence(F.lit(1), count), lambda i: F.xxhash64(F.slice(found, i, F.lit(size))))
     return F.when(count >= 1, runs).otherwise(F.array().cast("array<bigint>"))
 
 
+def _weights(found: Column, n: Column) -> Column:
+    """Shingles for items of ``n`` words: runs of five words, or of all of them."""
+    sized = F.when(n >= SHINGLE_WORDS, _shingles(found))
+    for size in range(1, SHINGLE_WORDS):
+        sized = sized.when(n == size, _shingles(found, size))
+    return sized
+
+
 def fingerprint(found: Column, seed: int) -> Column:
     """SimHash of an array of words: each bit is the majority over the words' hashes."""
     hashes = F.transform(found, lambda w: F.xxhash64(w, F.lit(seed)))
@@ -60,25 +77,36 @@ def fingerprint(found: Column, seed: int) -> Column:
     return F.aggregate(bits, F.lit(0).cast("bigint"), lambda value, bit: F.shiftleft(value, 1).bitwiseOR(bit.cast("bigint")))
 
 
-def similarity_counts(a: Column, b: Column) -> tuple[Column, Column]:
-    """Sums of the smaller and of the larger weights of the shingles of two word arrays."""
-    left, right = _shingles(a), _shingles(b)
+def similarity_counts(left: Column, right: Column) -> tuple[Column, Column]:
+    """Sums of the smaller and of the larger weights of two arrays of shingles.
+
+    Linear where one of both has no shingle twice, as usual.
+    """
     count = lambda runs, run: F.size(F.filter(runs, lambda other: other == run))
-    shared = F.aggregate(
-        F.array_distinct(left), F.lit(0), lambda n, run: n + F.least(count(left, run), count(right, run))
-    )
+    single = lambda runs: F.size(F.array_distinct(runs)) == F.size(runs)
+    common = F.array_intersect(left, right)
+    several = F.aggregate(common, F.lit(0), lambda n, run: n + F.least(count(left, run), count(right, run)))
+    shared = F.when(single(left) | single(right), F.size(common)).otherwise(several)
     return shared, F.size(left) + F.size(right) - shared
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
+    """Items of equal words as one row: number, words, their count, ids."""
     rows = benchmark.select("item_id", words(F.lower("text")).alias("item"))
-    rows = rows.withColumn("n", F.size("item")).where(F.col("n") >= SHINGLE_WORDS)
-    # Items of equal words are found together, as one list of ids.
-    return rows.groupBy("item", "n").agg(F.collect_set("item_id").alias("ids"), F.count_if(F.col("item_id").isNull()).alias("nameless"))
+    rows = rows.withColumn("n", F.size("item")).where(F.col("n") > 0)
+    grouped = rows.groupBy("item", "n").agg(
+        F.collect_set("item_id").alias("ids"), F.count_if(F.col("item_id").isNull()).alias("nameless")
+    )
+    return grouped.withColumn("item_no", F.monotonically_increasing_id())
+
+
+#: Bytes that a row of a few numbers takes in a broadcast table, with its pointers.
+_ROW_BYTES = 96
 
 
-def _spread(index: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(index) if rows <= BROADCAST_ROWS else index
+def _spread(numbers: DataFrame) -> DataFrame:
+    """A written table of numbers, to be broadcast if its rows take at most BROADCAST_BYTES."""
+    return F.broadcast(numbers) if numbers.count() * _ROW_BYTES <= BROADCAST_BYTES else numbers.hint("shuffle_merge")
 
 
 def _keyed(docs: DataFrame, id_name: str, key_name: str) -> DataFrame:
@@ -88,42 +116,80 @@ def _keyed(docs: DataFrame, id_name: str, key_name: str) -> DataFrame:
     )
 
 
-def windows(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(id, key, start, n, window): item-sized windows that hold a shingle of some item."""
-    index = items.select("n", F.posexplode(_shingles(F.col("item"))).alias("offset", "hash")).distinct()
-    index = materialise(index, "item-shingles")
+def _places(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(id, key, start, n): where windows lie that hold enough known shingles."""
+    sizes = [r[0] for r in items.select(F.least("n", F.lit(SHINGLE_WORDS)).alias("size")).distinct().collect()]
+    index = items.select("n", F.posexplode(_weights(F.col("item"), F.col("n"))).alias("offset", "hash")).distinct()
+    index = materialise(index.withColumn("size", F.least("n", F.lit(SHINGLE_WORDS))), "item-shingles")
     rows = _keyed(docs.select("doc_id", "text"), "id", "key").select("id", "key", words(F.lower("text")).alias("found"))
-    placed = rows.select("id", "key", "found", F.posexplode(_shingles(F.col("found"))).alias("place", "hash"))
-    met = placed.join(_spread(index, index.count()), "hash")
+    runs = F.array(
+        *[F.struct(F.lit(m).alias("size"), _shingles(F.col("found"), m).alias("runs")) for m in sorted(sizes)]
+    ).cast("array<struct<size:int,runs:array<bigint>>>")
+    sized = rows.select("id", "key", F.explode(runs).alias("sized"))
+    placed = sized.select("id", "key", F.col("sized.size").alias("size"), F.posexplode("sized.runs").alias("place", "hash"))
+    met = placed.join(_spread(index), ["size", "hash"])
+    # A window's known shingles are the known places before its end less those before its start.
+    known = F.struct("place", F.lit(0).alias("kind"), F.lit(None).cast("int").alias("start"))
     start = F.col("place") - F.col("offset")
-    first, last = F.greatest(start, F.lit(0)), F.least(start + F.col("n"), F.size("found"))
+    opens = F.struct(F.greatest(start, F.lit(0)).alias("place"), F.lit(-1).alias("kind"), start.alias("start"))
+    closes = F.struct((start + F.col("n") - F.col("size")).alias("place"), F.lit(1).alias("kind"), start.alias("start"))
+    events = met.select("id", "key", "n", "size", F.explode(F.array(known, opens, closes)).alias("event")).distinct()
+    order = Window.partitionBy("id", "key", "n", "size").orderBy("event.place", "event.kind")
+    before = F.count_if(F.col("event.kind") == 0).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    counted = events.withColumn("before", before).where("event.kind != 0")
+    held = counted.groupBy("id", "key", "n", "size", "event.start").agg(F.sum(F.col("event.kind") * F.col("before")).alias("held"))
+    enough = held.where(100 * F.col("held") >= SIMILAR_PERCENT * (F.col("n") - F.col("size") + 1))
+    return enough.select("id", "key", "start", "n")
+
+
+def windows(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(id, key, start, n, window): item-sized windows with enough known shingles, and their words."""
+    places = materialise(_places(docs, items), "window-places")
+    grouped = places.groupBy("id", "key").agg(F.collect_list(F.struct("start", "n")).alias("places"))
+    small = places.count() * _ROW_BYTES <= BROADCAST_BYTES
+    rows = _keyed(docs.select("doc_id", "text"), "id", "key").select("id", "key", "text")
+    met = rows.join(F.broadcast(grouped) if small else grouped, ["id", "key"])
+    found = met.select("id", "key", "places", words(F.lower("text")).alias("found"))
+    cut = found.select("id", "key", "found", F.explode("places").alias("at"))
+    first, last = F.greatest(F.col("at.start"), F.lit(0)), F.least(F.col("at.start") + F.col("at.n"), F.size("found"))
     window = F.slice("found", first + 1, last - first)
-    cut = met.select("id", "key", first.alias("start"), "n", window.alias("window"))
-    return cut.groupBy("id", "key", "start", "n").agg(F.first("window").alias("window"))
+    rows = cut.select("id", "key", first.alias("start"), F.col("at.n").alias("n"), window.alias("window"))
+    # Equal rows of documents bring equal windows; a window cut at the start may come with several lengths.
+    return rows.distinct().withColumn("window_no", F.monotonically_increasing_id())
+
 
+def flips(most: int) -> list[int]:
+    """Masks of a block with at most ``most`` bits set."""
+    return [sum(1 << b for b in bits) for k in range(most + 1) for bits in combinations(range(_BLOCK_BITS), k)]
 
-def _blocks(rows: DataFrame, found: str) -> DataFrame:
-    """A row for each fingerprint and block of the word arrays in ``found``."""
+
+def _blocks(rows: DataFrame, found: str, number: str, most: int) -> DataFrame:
+    """(number, n, which, print, block, value): every block of every fingerprint, with up to ``most`` bits flipped."""
     prints = F.array(*[fingerprint(F.col(found), seed) for seed in range(FINGERPRINTS)])
-    printed = rows.select("*", F.posexplode(prints).alias("which", "print"))
+    printed = rows.select(number, "n", F.posexplode(prints).alias("which", "print"))
     mask = (1 << _BLOCK_BITS) - 1
     values = F.array(*[F.shiftrightunsigned("print", b * _BLOCK_BITS).bitwiseAND(F.lit(mask)) for b in range(BLOCKS)])
-    return printed.select("*", F.posexplode(values).alias("block", "value"))
+    blocks = printed.select("*", F.posexplode(values).alias("block", "plain"))
+    near = F.transform(F.array(*[F.lit(m) for m in flips(most)]), lambda m: F.col("plain").bitwiseXOR(m))
+    return blocks.select(number, "n", "which", "print", "block", F.explode(near).alias("value"))
+
+
+def candidates(items: DataFrame, cut: DataFrame) -> DataFrame:
+    """(window_no, item_no) of equal length with a fingerprint within the radius."""
+    known = materialise(_blocks(items, "item", "item_no", ITEM_FLIPS).withColumnRenamed("print", "item_print"), "item-blocks")
+    met = _blocks(cut, "window", "window_no", WINDOW_FLIPS).join(_spread(known), ["which", "n", "block", "value"])
+    near = met.where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
+    return near.select("window_no", "item_no").distinct()
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(id, key, start, words, ids, nameless, shared, total) for each passage of an item in a record."""
     items = materialise(_items(benchmark), "items")
     cut = materialise(windows(docs, items), "windows")
-    known = _blocks(items, "item").withColumnRenamed("print", "item_print")
-    known = materialise(known, "item-blocks")
-    near = _blocks(cut, "window").join(_spread(known, known.count()), ["which", "n", "block", "value"])
-    near = near.where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-    candidates = near.dropDuplicates(["id", "key", "start", "n", "item"]).select(
-        "id", "key", "start", "window", "item", "ids", "nameless"
-    )
-    shared, total = similarity_counts(F.col("window"), F.col("item"))
-    compared = candidates.withColumn("shared", shared).withColumn("total", F.size("window") + F.size("item") - 2 * (SHINGLE_WORDS - 1) - F.col("shared"))
+    pairs = materialise(candidates(items, cut), "window-items")
+    both = pairs.join(cut, "window_no").join(items.drop("n"), "item_no")
+    shared, total = similarity_counts(_weights(F.col("window"), F.col("n")), _weights(F.col("item"), F.col("n")))
+    compared = both.withColumn("shared", shared).withColumn("total", total)
     passages = compared.where(100 * F.col("shared") >= SIMILAR_PERCENT * F.col("total"))
     return passages.select("id", "key", "start", F.size("window").alias("words"), "ids", "nameless", "shared", "total")
 
