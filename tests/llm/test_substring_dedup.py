@@ -1,6 +1,5 @@
-from collections import defaultdict
-
 import numpy as np
+import pandas as pd
 import pytest
 
 from meldstone.llm import substring_dedup as sd
@@ -30,64 +29,61 @@ def test_chunks_cover_the_text_and_resist_shifts(rng):
     assert sum(c[3:] not in digests for c in moved) < 8
 
 
-def plain(docs):
-    """Shared and repeated words from chunk lists held in memory."""
-    records = {(i is None, i, t): sd.chunks_of(t) for i, t, *_ in docs}
-    places = defaultdict(list)
-    for (none, i, t), chunks in records.items():
-        for c in chunks:
-            places[c[3:]].append(((0 if none else i), sd_key(none, t), c[0]))
-    result = {}
-    for (none, i, t), chunks in records.items():
-        key = ((0 if none else i), sd_key(none, t))
-        words = []
-        for chosen in (
-            lambda c: len({p[:2] for p in places[c[3:]]}) > 1,
-            lambda c: min(places[c[3:]]) != (*key, c[0]),
-        ):
-            runs, before = [], None
-            for c in chunks:
-                if not chosen(c):
-                    continue
-                if before == c[0]:
-                    runs[-1] += c[2]
-                else:
-                    runs.append(c[2])
-                before = c[1]
-            words.append(sum(r for r in runs if r >= sd.LEAST_WORDS))
-        result[(none, i, t)] = tuple(words)
-    return result
-
-
-KEYS = {}
-
-
-def sd_key(none, text):
-    return KEYS[(none, text)]
+def common_runs(a, b):
+    """Places of ``a`` in runs of LEAST_WORDS words or more that ``b`` has too."""
+    n = sd.LEAST_WORDS
+    have = {tuple(b[i : i + n]) for i in range(len(b) - n + 1)}
+    return {i + k for i in range(len(a) - n + 1) if tuple(a[i : i + n]) in have for k in range(n)}
+
+
+def word_places(text, spans):
+    """Numbers of the words that lie in the spans of a report."""
+    starts, at = [], 0
+    for word in text.split():
+        at = text.index(word, at)
+        starts.append((at, at + len(word)))
+        at += len(word)
+    cut = [tuple(map(int, s.split(":"))) for s in spans.split(",") if s]
+    return {i for i, (a, b) in enumerate(starts) if any(x <= a and b <= y for x, y in cut)}
 
 
 def test_report_equals_plain_search(spark, rng):
-    common = passage(rng, 70)
-    docs = [(i, passage(rng, rng.randrange(5, 200)), None) for i in range(60)]
-    docs += [(100 + i, f"{passage(rng, 40)} {common} {passage(rng, 30)}", None) for i in range(30)]
-    docs += [(200 + i, docs[i][1], None) for i in range(5)] + [(300, common + "\n" + common + " " + passage(rng, 9), None)]
-    docs += [(3, docs[3][1], None), (4, "other text", None), (None, None, None), (None, common, None), (401, "", None), (402, " \n", None)]
-    frame = spark.createDataFrame(docs, SCHEMA)
-    for r in frame.selectExpr("doc_id is null n", "text", "xxhash64(doc_id is null, text) k").collect():
-        KEYS[(r["n"], r["text"])] = r["k"]
-    want = plain(docs)
-    rows = sd.repeat_report(frame.repartition(5)).collect()
+    docs = [(i, passage(rng, rng.randrange(5, 200))) for i in range(40)]
+    for k in range(40):
+        common = passage(rng, rng.randrange(44, 130))
+        docs += [(100 + 3 * k + c, f"{passage(rng, rng.randrange(60))} {common}\n {passage(rng, rng.randrange(60))}".strip()) for c in range(rng.choice([2, 3]))]
+    docs += [(300 + i, docs[i][1]) for i in range(5)] + [(3, docs[3][1]), (4, "other text"), (None, None), (None, passage(rng, 90)), (401, ""), (402, " \n")]
+    rows = sd.repeat_report(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)).collect()
     assert len(rows) == len(docs)
-    got = defaultdict(list)
+    records = {(i, t): t.split() for i, t in docs if i is not None}
+    texts = {i: t for i, t in docs if i is not None and i != 4}
     for r in rows:
-        got[r["doc_id"]].append((r["shared_words"], r["repeated_words"]))
-    expected = defaultdict(list)
-    for i, t, _ in docs:
-        expected[i].append(want[(i is None, i, t)])
-    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in expected.items()}
-    caught = {r["doc_id"] for r in rows if r["shared_words"] > 0}
-    assert {100 + i for i in range(30)} <= caught
-    assert not caught & set(range(6, 60))
+        if r["doc_id"] not in texts:
+            continue
+        text = texts[r["doc_id"]]
+        own = text.split()
+        want = set().union(*(common_runs(own, w) for (i, t), w in records.items() if i != r["doc_id"]))
+        before = set().union(*(common_runs(own, w) for (i, t), w in records.items() if i < r["doc_id"]))
+        assert word_places(text, r["shared_spans"]) == want and r["shared_words"] == len(want)
+        assert word_places(text, r["repeated_spans"]) == before and r["repeated_words"] == len(before)
+
+
+def test_runs_that_grow_together_count_the_words_between_once():
+    run = {"kind": "shared", "n_words": 30, "between": 4, "head_chars": 0, "head_words": 0, "tail_chars": 0, "tail_words": 0}
+    runs = [run | {"start": 0, "end": 100, "between": -1, "tail_chars": 15, "tail_words": 3}]
+    runs += [run | {"start": 120, "end": 220, "head_chars": 10, "head_words": 2}]
+    frame = pd.DataFrame({"doc_id": [1], "text_key": [2], "first_doc": [0], "runs": [runs]})
+    out = next(sd._passages(iter([frame])))
+    assert out["shared"][0] == [{"start": 0, "end": 220}] and out["shared_words"][0] == 64
+
+
+@pytest.mark.parametrize(
+    "own, other, side, want",
+    [("a b c", "x b c", "head", (3, 2)), ("  a b", "a b", "head", (3, 2)), ("a  b ", "z b ", "head", (2, 1)), ("", "a", "head", (0, 0)),
+     ("a b c", "a b x", "tail", (4, 2)), ("a b", "a b c", "tail", (3, 2)), ("ab", "a", "tail", (0, 0))],
+)
+def test_equal_words(own, other, side, want):
+    assert sd.equal_words(own, other, side) == want
 
 
 def test_removal_keeps_first_occurrences_and_columns(spark, rng):
@@ -109,12 +105,10 @@ def test_odd_texts(text):
     assert "".join((text or "")[a:b] for a, b, *_ in found) == ((text or "") if (text or "").strip() else "")
 
 
-def test_few_passages_of_51_words_are_lost(spark, rng):
+def test_passages_of_51_words_are_marked_whole_and_shorter_ones_left(spark, rng):
     docs, count = [], 300
     for i in range(count):
-        common = passage(rng, 51)
+        common = passage(rng, 51 if i % 2 else 45)
         docs += [(2 * i + k, f"{passage(rng, rng.randrange(60))} {common} {passage(rng, rng.randrange(60))}", None) for k in (0, 1)]
     rows = sd.repeat_report(spark.createDataFrame(docs, SCHEMA)).collect()
-    # Chunks give no certainty: 2 of these 300 are lost, and the ends of the others are not marked.
-    assert sum(r["shared_words"] == 0 for r in rows) < 0.02 * len(rows)
-    assert sum(r["shared_words"] for r in rows) > 38 * len(rows)
+    assert all(r["shared_words"] == (51 if r["doc_id"] // 2 % 2 else 0) for r in rows)
