@@ -8,9 +8,11 @@ digest; that exchange feeds an outer join, whose hot digests adaptive execution
 
 Reading: archives are cut into byte ranges of ``SPLIT_BYTES``. A task looks for the gzip
 magic in its range, takes a candidate as a member if its first bytes inflate to a WARC
-version line, and owns the records that start inside the range; the last one may end
-beyond it. After a member the next one starts at once, so its bytes are not searched.
-Memory holds one record and one read-ahead block.
+version line, however long the gzip header before them is, and owns the members that start
+inside the range; the last one may end beyond it. After a member the next one starts at
+once, so its bytes are not searched. Foreign archives may hold several records in a member:
+all are read, with the member's offset. Memory holds one record, what is inflated at a time
+and one read-ahead block.
 
 Archives are opened through the file system of their URI, so the folder can be any that
 both Spark and pyarrow reach.
@@ -19,7 +21,8 @@ Defined results: a NULL payload is empty; a NULL URL leaves its header out; a NU
 the smallest and is read back as NULL; of repeated ids at the top of a group all are
 responses; an empty table gives no archive and reads back empty; other columns are not
 read. Digests are SHA-1 of the full payload, in headers as Base32, in results as hex. A
-member whose body is damaged raises an error that names archive and offset.
+member whose body is damaged, or does not consist of whole records, raises an error that
+names archive and offset.
 """
 
 from __future__ import annotations
@@ -52,6 +55,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2000-01-01T00:00:00Z"
 ID_PREFIX = "urn:page:"
 
+_LENGTH = re.compile(rb"(?im)^content-length:[ \t]*(\d+)")
 _CONTROL = re.compile(r"[\x00-\x20\x7f]")
 
 
@@ -175,41 +179,94 @@ class _Bytes:
         return self.block[known:] if known else self.block
 
 
-def starts_member(head: bytes) -> bool:
-    """Whether these bytes begin a gzip member that holds a WARC record."""
+def starts_member(source: _Bytes, offset: int) -> bool:
+    """Whether a gzip member that holds a WARC record begins at ``offset``."""
+    head = source.at(offset, 18)
     if not head.startswith(MAGIC) or len(head) < 18 or head[3] & 0xE0:
         return False
+    unpacker, at, content = zlib.decompressobj(31), offset, b""
     try:
-        return zlib.decompressobj(31).decompress(head[:1024], 16).startswith(b"WARC/1.")
+        # A gzip header may be long: what is read grows until it ends.
+        while len(content) < 7 and not unpacker.eof:
+            block = source.at(at)[:1024]
+            if not block:
+                return False
+            content += unpacker.decompress(block, 7 - len(content))
+            at += len(block)
     except zlib.error:
         return False
-
-
-def _inflate(source: _Bytes, offset: int, archive: str) -> tuple[bytes, int]:
-    """Content of the member at ``offset`` and the offset after it."""
-    unpacker, parts, at = zlib.decompressobj(31), [], offset
-    try:
-        while not unpacker.eof:
-            block = source.at(at)
-            if not block:
-                raise zlib.error("the archive ends inside a member")
-            parts.append(unpacker.decompress(block))
-            at += len(block) - len(unpacker.unused_data)
-    except zlib.error as damage:
-        raise ValueError(f"damaged record in {archive} at {offset}: {damage}") from damage
-    return b"".join(parts), at
+    return content.startswith(b"WARC/1.")
+
+
+class _Member:
+    """The records of the member at ``offset``, inflated one by one; ``at`` ends behind it."""
+
+    def __init__(self, source: _Bytes, offset: int, archive: str):
+        self.source, self.offset, self.archive = source, offset, archive
+        self.unpacker, self.at, self.held = zlib.decompressobj(31), offset, bytearray()
+
+    def damaged(self, damage: object) -> ValueError:
+        return ValueError(f"damaged record in {self.archive} at {self.offset}: {damage}")
+
+    def fill(self, least: int) -> None:
+        """Hold ``least`` bytes of content, fewer only at the member's end."""
+        try:
+            while len(self.held) < least and not self.unpacker.eof:
+                block = self.unpacker.unconsumed_tail
+                if not block:
+                    block = self.source.at(self.at)
+                    if not block:
+                        raise zlib.error("the archive ends inside a member")
+                    self.at += len(block)
+                self.held += self.unpacker.decompress(block, READ_BYTES)
+                if self.unpacker.eof:
+                    self.at -= len(self.unpacker.unused_data)
+        except zlib.error as damage:
+            raise self.damaged(damage) from damage
+
+    def head_end(self) -> int:
+        """Where the headers of the next record end."""
+        searched = 0
+        while (end := self.held.find(b"\r\n\r\n", max(0, searched - 3))) < 0:
+            searched = len(self.held)
+            self.fill(searched + 1)
+            if len(self.held) == searched:
+                raise self.damaged("headers without an end")
+        return end
+
+    def records(self) -> Iterator[bytes]:
+        self.fill(1)
+        while self.held:
+            if not self.held.startswith(b"WARC/1."[: len(self.held)]):
+                raise self.damaged("no version line")
+            end = self.head_end()
+            length = _LENGTH.search(self.held, 0, end)
+            if length is None:
+                raise self.damaged("no length")
+            total = end + 4 + int(length[1])
+            self.fill(total + 4)
+            if len(self.held) < total:
+                raise self.damaged("content is shorter than its length")
+            # The empty lines behind the content belong to it.
+            while self.held[total : total + 1] in (b"\r", b"\n"):
+                total += 1
+                self.fill(total + 1)
+            yield bytes(self.held[:total])
+            del self.held[:total]
+            self.fill(1)
 
 
 def members(source: _Bytes, start: int, end: int, archive: str) -> Iterator[tuple[int, bytes]]:
-    """Offset and content of every record that starts in [start, end)."""
+    """Offset of the member and content of every record whose member starts in [start, end)."""
     at, end = start, min(end, source.size)
     while at < end:
-        block = source.at(at, 1024)
-        if starts_member(block):
-            content, after = _inflate(source, at, archive)
-            yield at, content
-            at = after
+        if starts_member(source, at):
+            member = _Member(source, at, archive)
+            for content in member.records():
+                yield at, content
+            at = member.at
             continue
+        block = source.at(at, 1024)
         found = block.find(MAGIC, 1)
         # Without a hit, the last bytes could begin a magic that the next block ends.
         at += found if found > 0 else max(1, len(block) - len(MAGIC) + 1)

@@ -1,4 +1,6 @@
+import gzip
 import hashlib
+import io
 import random
 from collections import Counter
 
@@ -77,6 +79,54 @@ def test_damage_is_reported(tmp_path):
         list(warc.members(warc._Bytes(handle), 0, 10**6, "a"))
 
 
+def some_records(rng, count, largest=3000):
+    contents = []
+    for i in range(count):
+        payload = bytes(rng.randrange(256) for _ in range(rng.randrange(largest))) + b"\r\n\r\nWARC/1.1\r\n"
+        contents.append(warc.record_bytes(i, "u", payload, hashlib.sha1(payload).hexdigest(), len(payload), "response", None))
+    return contents
+
+
+@pytest.mark.parametrize("per_member", [2, 7, 100])
+def test_members_of_several_records(tmp_path, rng, monkeypatch, per_member):
+    monkeypatch.setattr(warc, "READ_BYTES", 1500)
+    contents = some_records(rng, 40)
+    path = tmp_path / "a.warc.gz"
+    path.write_bytes(b"".join(warc.gzip_member(b"".join(contents[k : k + per_member])) for k in range(0, 40, per_member)))
+    size, found = path.stat().st_size, []
+    with fs.LocalFileSystem().open_input_file(str(path)) as handle:
+        for start in range(0, size, 5000):
+            found += [c for _, c in warc.members(warc._Bytes(handle), start, start + 5000, "a")]
+    assert found == contents
+
+
+def test_foreign_archive_in_one_member_is_read_whole(spark, tmp_path, rng):
+    contents = some_records(rng, 200)
+    (tmp_path / "warc").mkdir()
+    (tmp_path / "warc" / "foreign.warc.gz").write_bytes(gzip.compress(b"".join(contents)))
+    rows = warc.read_archives(spark, str(tmp_path / "warc"), split_bytes=20_000).collect()
+    assert sorted(bytes(r["payload"]) for r in rows) == sorted(warc.parse_record(c)["payload"] for c in contents)
+
+
+def test_long_gzip_header(tmp_path, rng):
+    contents, packed = some_records(rng, 3), io.BytesIO()
+    for content in contents:
+        with gzip.GzipFile(filename="n" * 5000, mode="wb", fileobj=packed) as out:
+            out.write(content)
+    path = tmp_path / "a.warc.gz"
+    path.write_bytes(packed.getvalue())
+    with fs.LocalFileSystem().open_input_file(str(path)) as handle:
+        assert [c for _, c in warc.members(warc._Bytes(handle), 0, 10**6, "a")] == contents
+
+
+@pytest.mark.parametrize("tail", [b"WARC/1.1\r\nContent-Length: 9\r\n\r\nshort", b"WARC/1.1\r\nno end", b"else", b"WARC/1.1\r\nA: b\r\n\r\n"])
+def test_rests_that_are_no_record_are_reported(tmp_path, rng, tail):
+    path = tmp_path / "a.warc.gz"
+    path.write_bytes(warc.gzip_member(some_records(rng, 1)[0] + tail))
+    with fs.LocalFileSystem().open_input_file(str(path)) as handle, pytest.raises(ValueError, match="damaged"):
+        list(warc.members(warc._Bytes(handle), 0, 10**6, "a"))
+
+
 def test_whole_table(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     rows = [(r["page_id"], r["url"], r["html"], None) for r in pages.collect()]
