@@ -46,6 +46,7 @@ MOST_BYTES = 256
 LEAST_WORDS = 50
 REACH = 2 * MOST_BYTES
 
+_GAPS = " \t\n\v\f\r"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 # One random 16-bit value for each byte; a shift by one place per byte forgets after 16.
@@ -138,6 +139,7 @@ def chunk_table(docs: DataFrame) -> DataFrame:
 RECORD = ["doc_id", "text_key"]
 SPANS = "array<struct<start:int,end:int>>"
 KINDS = ["shared", "repeated"]
+BOTH = "both"
 
 RUN_SCHEMA = (
     "doc_id bigint, text_key bigint, first_doc bigint, kind string, start int, end int, n_words int, before int, after int, "
@@ -156,6 +158,7 @@ def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for doc_id, text_key, first_doc, spans in batch[[*RECORD, "first_doc", "spans"]].itertuples(index=False, name=None):
             own = (doc_id, text_key)
+            found: dict[tuple, list[str]] = {}
             for kind in KINDS:
                 runs = []
                 for s in spans:
@@ -173,7 +176,9 @@ def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     before = runs[place - 1]["end"] if place else 0
                     after = runs[place + 1]["start"] if place + 1 < len(runs) else -1
                     span = (r["start"], r["end"], r["n_words"], before, after)
-                    rows.append((*own, first_doc, kind, *span, *r["head"], r["tail"], r["tail_words"], *r["tail_at"]))
+                    found.setdefault((*span, *r["head"], r["tail"], r["tail_words"], *r["tail_at"]), []).append(kind)
+            # A run that is both shared and repeated grows once.
+            rows += [(*own, first_doc, kinds[0] if len(kinds) == 1 else BOTH, *run) for run, kinds in found.items()]
         yield pd.DataFrame(rows, columns=_RUN_NAMES)
 
 
@@ -199,6 +204,10 @@ def repeated_chunks(chunks: DataFrame) -> DataFrame:
 
 def equal_words(own: str, other: str, side: str) -> tuple[int, int]:
     """Characters of ``own`` and words that equal those of ``other``, from its start (tail) or its end (head)."""
+    # Most surroundings differ at once.
+    a, b = (own.rstrip(_GAPS)[-1:], other.rstrip(_GAPS)[-1:]) if side == "head" else (own.lstrip(_GAPS)[:1], other.lstrip(_GAPS)[:1])
+    if a != b:
+        return 0, 0
     have, want = list(_WORD.finditer(own)), _WORD.findall(other)
     step = -1 if side == "head" else 1
     count = sum(1 for _ in takewhile(lambda pair: pair[0][0] == pair[1], zip(have[::step], want[::step])))
@@ -214,12 +223,15 @@ def _grown(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for own, other, side, gap, skip, most in batch[["own", "other", "side", "gap", "skip", "most"]].itertuples(index=False, name=None):
-            chars, count = equal_words(own, other, side)
-            if side == "tail":
-                # The piece begins with the run's last chunk.
-                chars, count = (chars - skip, count - most) if count > most else (0, 0)
-            between = len(_WORD.findall(own[skip:]))
-            rows.append((chars, count, between if 0 <= gap <= REACH else -1))
+            if side == "tail" and own[:skip] == other[:skip]:
+                # The piece begins with the run's last chunk, usually the same to its last character.
+                chars, count = equal_words(own[skip:], other[skip:], side)
+            else:
+                chars, count = equal_words(own, other, side)
+                if side == "tail":
+                    chars, count = (chars - skip, count - most) if count > most else (0, 0)
+            between = len(_WORD.findall(own[skip:])) if side == "head" and 0 <= gap <= REACH else -1
+            rows.append((chars, count, between))
         out = batch[[*RECORD, "kind", "start", "side"]].reset_index(drop=True)
         yield pd.concat([out, pd.DataFrame(rows, columns=["chars", "words", "between"])], axis=1)
 
@@ -282,7 +294,7 @@ def _passages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for doc_id, text_key, first_doc, runs in batch[[*RECORD, "first_doc", "runs"]].itertuples(index=False, name=None):
-            found = [joined([r for r in runs if r["kind"] == kind]) for kind in KINDS]
+            found = [joined([r for r in runs if r["kind"] in (kind, BOTH)]) for kind in KINDS]
             lists = [[{"start": s[0], "end": s[1]} for s in spans] for spans in found]
             rows.append((doc_id, text_key, first_doc, *lists, *[sum(s[2] for s in spans) for spans in found]))
         yield pd.DataFrame(rows, columns=[*RECORD, "first_doc", *KINDS, "shared_words", "repeated_words"])
