@@ -10,7 +10,7 @@ ones are repeats.
 Runs of adjacent repeated chunks are seeds. The words before a run's first and behind its
 last chunk are compared with those at another occurrence of that chunk (the first one, or
 the last where the first is the record's own), and the run grows by what is equal, up to
-``REACH`` characters on a side, twice the longest chunk, or to the next run. Only then the
+``REACH`` characters on a side, the longest chunk, or to the next run. Only then the
 minimum of ``LEAST_WORDS`` applies: shorter repeats stand by chance or custom.
 
 Chunks are exchanged twice by digest: to count them (hot ones are reduced before the
@@ -44,7 +44,7 @@ CUT_BITS = 2
 LEAST_BYTES = 24
 MOST_BYTES = 256
 LEAST_WORDS = 50
-REACH = 2 * MOST_BYTES
+REACH = MOST_BYTES
 
 _GAPS = " \t\n\v\f\r"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -236,6 +236,9 @@ def _grown(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat([out, pd.DataFrame(rows, columns=["chars", "words", "between"])], axis=1)
 
 
+_EDGE = ["kind", "start", "side", "gap", "skip", "most", "other_doc", "other_key", "other_from", "other_to"]
+
+
 def extended(runs: DataFrame, docs: DataFrame) -> DataFrame:
     """(record, kind, start, side, chars, words, between): by how much each run grows."""
     left = lambda at, lowest: F.greatest(at - REACH, lowest)
@@ -258,17 +261,23 @@ def extended(runs: DataFrame, docs: DataFrame) -> DataFrame:
         n.alias("skip"), F.col("tail_words").alias("most"),
     )
     edges = runs.select(*RECORD, "kind", "start", F.explode(F.array(head, tail)).alias("e")).select(*RECORD, "kind", "start", "e.*")
-    own = edges.select(*RECORD, F.col("own_from").alias("a"), F.col("own_to").alias("b"))
+    edges = edges.where("own_to > own_from and other_to > other_from")
+    # Own pieces come back with their edge. A place of others that many edges ask for is read once.
+    own = edges.select(*RECORD, F.struct(F.col("own_from").alias("a"), F.col("own_to").alias("b"), F.struct(*_EDGE).alias("edge")).alias("p"))
     other = edges.select(F.col("other_doc").alias("doc_id"), F.col("other_key").alias("text_key"), F.col("other_from").alias("a"), F.col("other_to").alias("b"))
-    # A place that many runs ask for is read once, a record that stands in many rows is one.
-    wanted = own.union(other).where("b > a").distinct().groupBy(*RECORD).agg(F.collect_list(F.struct("a", "b")).alias("pieces"))
+    other = other.distinct().select(*RECORD, F.struct("a", "b", F.lit(None).cast(own.schema["p"].dataType["edge"].dataType).alias("edge")).alias("p"))
+    wanted = own.union(other).groupBy(*RECORD).agg(F.collect_list("p").alias("pieces"))
+    # A record that stands in many rows is one.
     texts = _records(docs).groupBy(*RECORD).agg(F.first("text").alias("text"))
     cut = wanted.join(texts, RECORD).select(*RECORD, "text", F.explode("pieces").alias("p"))
-    pieces = cut.select(*RECORD, "p.a", "p.b", F.substring("text", F.col("p.a") + 1, F.col("p.b") - F.col("p.a")).alias("piece"))
-    pieces = materialise(pieces, "surroundings")
-    mine = pieces.withColumnsRenamed({"a": "own_from", "b": "own_to", "piece": "own"})
-    theirs = pieces.withColumnsRenamed({"doc_id": "other_doc", "text_key": "other_key", "a": "other_from", "b": "other_to", "piece": "other"})
-    met = edges.join(mine, [*RECORD, "own_from", "own_to"]).join(theirs, ["other_doc", "other_key", "other_from", "other_to"])
+    piece = F.substring("text", F.col("p.a") + 1, F.col("p.b") - F.col("p.a"))
+    pieces = materialise(cut.select(*RECORD, "p.a", "p.b", "p.edge", piece.alias("piece")), "surroundings")
+    mine = pieces.where("edge is not null").select(*RECORD, F.col("piece").alias("own"), "edge.*")
+    theirs = pieces.where("edge is null").select(
+        F.col("doc_id").alias("other_doc"), F.col("text_key").alias("other_key"), F.col("a").alias("other_from"),
+        F.col("b").alias("other_to"), F.col("piece").alias("other"),
+    )
+    met = mine.join(theirs, ["other_doc", "other_key", "other_from", "other_to"])
     columns = met.select(*RECORD, "kind", "start", "side", "own", "other", "gap", "skip", "most")
     schema = "doc_id bigint, text_key bigint, kind string, start int, side string, chars int, words int, between int"
     return columns.mapInPandas(_grown, schema)
