@@ -1,8 +1,9 @@
 """Resolving new records against those of earlier loads.
 
 The index keeps the distinct names of each load, their signatures, and the similar pairs
-they gave. A load computes signatures of its new names only and joins them with the stored
-ones; pairs of two old names are neither looked for nor compared again. What stands for one
+they gave. A load computes signatures of its new names only and looks up partners of those
+by the stored ones, or in tiles where signatures tell nothing; pairs of two old names are
+neither looked for nor compared again. What stands for one
 entity may change with a load, since the weight of a token depends on all names of its
 block, and so may clusters: the pairs of the blocks that the load touched are judged again
 and their clusters drawn anew, from pairs, not from names. After any number of loads the
@@ -27,7 +28,7 @@ from meldstone.sources.storage import list_folders, materialise, path_exists, to
 #: Buckets of the cluster labels, by block.
 BUCKETS = 64
 
-_NAMES, _SHORT, _CUT, _PROBE, _NEAR, _COPIES = "names", "short", "cut", "probe", "near", "copies"
+_NAMES, _SHORT, _CUT, _NEAR, _COPIES = "names", "short", "cut", "near", "copies"
 
 
 class EntityIndex:
@@ -37,12 +38,11 @@ class EntityIndex:
         self.spark = spark
         self.path = path.rstrip("/")
         columns = {"id": id_type, "id_a": id_type, "id_b": id_type, "cluster_id": id_type, "sig": T.LongType(),
-                   "len": T.IntegerType(), "longest": T.BooleanType(), "distance": T.IntegerType(), "similarity": T.DoubleType()}
+                   "len": T.IntegerType(), "l": T.IntegerType(), "m": T.IntegerType(), "longest": T.BooleanType(), "distance": T.IntegerType(), "similarity": T.DoubleType()}
         layout = {
             _NAMES: "block_key name id len",
             _SHORT: "sig id longest",
-            _CUT: "sig id",
-            _PROBE: "sig id",
+            _CUT: "sig id block_key len l m",
             _NEAR: "block_key id_a id_b name_a name_b distance similarity",
             _COPIES: "block_key id_a id_b",
             "labels": "block_key id cluster_id",
@@ -86,35 +86,22 @@ class EntityIndex:
         fresh = self._write(_NAMES, load, reps.join(known, ["block_key", "name"], "left_anti"))
         names = known.unionByName(fresh)
         copies = self._write(_COPIES, load, matching.copies(records, names))
-        near = self._write(_NEAR, load, self._compared(self._met(fresh, load, before), names))
+        near = self._write(_NEAR, load, self._near(fresh, load, before, known))
         self._draw(load, before, fresh.select("block_key").union(copies.select("block_key")).distinct(), names, near, copies)
         touch(self.spark, f"{self.path}/loads/{load}/_SUCCESS")
 
-    def _met(self, fresh: DataFrame, load: str, before: list[str]) -> DataFrame:
-        """(id_a, id_b) of names that share a signature, one of them new at least."""
-        new = {
-            _SHORT: self._write(_SHORT, load, matching.short_signatures(fresh)),
-            _CUT: self._write(_CUT, load, matching.segment_signatures(fresh)),
-            _PROBE: self._write(_PROBE, load, matching.probe_signatures(fresh)),
-        }
-        old = {table: self._stored(table, before) for table in new}
-
-        def met(a: DataFrame, b: DataFrame) -> DataFrame:
-            left = a.select("sig", F.col("id").alias("x"), *[F.col(c).alias("longest_x") for c in a.columns if c == "longest"])
-            right = b.select("sig", F.col("id").alias("y"), *[F.col(c).alias("longest_y") for c in b.columns if c == "longest"])
-            pairs = left.join(right, "sig").where(F.col("x") != F.col("y"))
-            if "longest_x" in pairs.columns:
-                pairs = pairs.where(F.col("longest_x") | F.col("longest_y"))
-            return pairs.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
-
-        found = met(new[_SHORT], new[_SHORT].unionByName(old[_SHORT]))
-        found = found.unionByName(met(new[_CUT], new[_PROBE].unionByName(old[_PROBE])))
-        return found.unionByName(met(old[_CUT], new[_PROBE])).distinct()
-
-    def _compared(self, pairs: DataFrame, names: DataFrame) -> DataFrame:
-        named = lambda side: names.select(*[F.col(c).alias(f"{c}_{side}") for c in ("block_key", "name", "id", "len")])
-        both = pairs.join(named("a"), "id_a").join(named("b"), "id_b").where("block_key_a = block_key_b")
-        return matching.compared(both.withColumnRenamed("block_key_a", "block_key"))
+    def _near(self, fresh: DataFrame, load: str, before: list[str], known: DataFrame) -> DataFrame:
+        """Similar names, one of them new at least; blocks without a new name are not looked at."""
+        short = self._write(_SHORT, load, matching.short_signatures(fresh))
+        cut = self._write(_CUT, load, matching.segment_signatures(fresh))
+        touched = fresh.select("block_key").distinct()
+        names = known.join(touched, "block_key", "left_semi").withColumn("new", F.lit(False))
+        names = names.unionByName(fresh.withColumn("new", F.lit(True)))
+        every = short.unionByName(self._stored(_SHORT, before))
+        x, y = (rows.select("sig", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "longest")]) for rows, s in ((short, "x"), (every, "y")))
+        met = x.join(y, "sig").where((F.col("id_x") != F.col("id_y")) & (F.col("longest_x") | F.col("longest_y")))
+        met = met.select(F.least("id_x", "id_y").alias("id_a"), F.greatest("id_x", "id_y").alias("id_b")).distinct()
+        return matching.new_pairs(names, met, cut.unionByName(self._stored(_CUT, before)))
 
     def _draw(self, load: str, before: list[str], blocks: DataFrame, names: DataFrame, near: DataFrame, copies: DataFrame) -> None:
         """Clusters of the touched blocks, in place of those they had."""

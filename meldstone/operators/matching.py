@@ -16,6 +16,14 @@ Each name is cut in several ways, into distance + m segments for m = 1, 2, 3. At
 them survive, so the m - 1 most common ones can be left out without losing a pair; the cut
 is kept whose remaining segments are the rarest.
 
+Where no cut is rare, as among names that differ in a number only, segments would bring
+nearly every name to nearly every other, many times over. The names of such lengths of a
+block meet in tiles, each pair once, and are compared where they meet; so are names of
+lengths that few names of the block have.
+
+What all names of a block begin or end with changes no distance, so variants are made of
+the rest and distances measured on it.
+
 Records whose name has no letter or digit name nobody: they stay out of candidates and copies.
 """
 
@@ -34,6 +42,13 @@ SHORT_LIMIT = 20
 # Names are cut into up to this many segments more than their distance.
 MAX_EXTRA_SEGMENTS = 3
 
+# Up to so many names of one length in a block are compared without looking for segments.
+FEW = 200
+# Names meet in tiles, too, if segments would bring a name to one in so many of its length.
+DENSE = 8
+# Names on each side of a tile.
+TILE = 2000
+
 
 def allowed_distance(length: Column) -> Column:
     """Largest edit distance that still reaches the threshold."""
@@ -73,27 +88,50 @@ def copies(records: DataFrame, reps: DataFrame) -> DataFrame:
     )
 
 
+def trimmed(reps: DataFrame) -> DataFrame:
+    """``reps`` with ``rest``, the name without what all names of its block begin and end with."""
+
+    def shared(x: str, y: str) -> Column:
+        places = F.sequence(F.lit(0), F.least(F.length(x), F.length(y)))
+        return F.size(F.filter(places, lambda i: F.substring(x, F.lit(1), i) == F.substring(y, F.lit(1), i))) - 1
+
+    turned = F.reverse("name")
+    ends = reps.groupBy("block_key").agg(
+        F.min("name").alias("low"), F.max("name").alias("high"), F.min(turned).alias("low_end"),
+        F.max(turned).alias("high_end"), F.min("len").alias("least"),
+    )
+    start = shared("low", "high")
+    cut = ends.select("block_key", start.alias("start"), F.least(shared("low_end", "high_end"), F.col("least") - start).alias("end"))
+    rest = F.substring("name", F.col("start") + 1, F.col("len") - F.col("start") - F.col("end"))
+    return reps.join(cut, "block_key").withColumn("rest", rest).drop("start", "end")
+
+
+def _with_rest(reps: DataFrame) -> DataFrame:
+    return reps if "rest" in reps.columns else reps.withColumn("rest", F.col("name"))
+
+
 def _with_variants(names: DataFrame, budget: Column) -> DataFrame:
-    """One row per string left after deleting exactly ``budget`` (0 to 2) characters.
+    """One row per string left of ``rest`` after deleting exactly ``budget`` (0 to 2) characters, or all it has.
 
     Of a run of equal characters only the first ones are deleted, since deleting
     others leaves the same string.
     """
-    i, j, length = F.col("i"), F.col("j"), F.col("len")
+    names = names.withColumn("size", F.length("rest")).withColumn("budget", F.least(budget, F.col("size")))
+    i, j, length, budget = F.col("i"), F.col("j"), F.col("size"), F.col("budget")
     first = F.when(budget == 0, F.array(F.lit(0))).when(budget == 1, F.sequence(F.lit(1), length))
     second = F.when(budget == 2, F.sequence(i + 1, length)).otherwise(F.array(F.lit(0)))
 
     def character(position: Column) -> Column:
-        return F.substring("name", position, F.lit(1))
+        return F.substring("rest", position, F.lit(1))
 
     variant = (
-        F.when(budget == 0, F.col("name"))
-        .when(budget == 1, F.concat(F.substring("name", F.lit(1), i - 1), F.substring("name", i + 1, length)))
+        F.when(budget == 0, F.col("rest"))
+        .when(budget == 1, F.concat(F.substring("rest", F.lit(1), i - 1), F.substring("rest", i + 1, length)))
         .otherwise(
             F.concat(
-                F.substring("name", F.lit(1), i - 1),
-                F.substring("name", i + 1, j - i - 1),
-                F.substring("name", j + 1, length),
+                F.substring("rest", F.lit(1), i - 1),
+                F.substring("rest", i + 1, j - i - 1),
+                F.substring("rest", j + 1, length),
             )
         )
     )
@@ -117,26 +155,53 @@ def _spread(names: DataFrame) -> DataFrame:
     return names.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id")
 
 
-def short_signatures(reps: DataFrame) -> DataFrame:
-    """(sig, id, longest): deletion variants of names below SHORT_LIMIT characters.
+def _signed(reps: DataFrame) -> DataFrame:
+    """Names below SHORT_LIMIT characters with their deletion variants as ``sig``.
 
     ``longest`` tells whether the name is as long as the longer one of the pairs it looks for.
     """
     targets = _partner_lengths(F.col("len"), F.least(F.col("len") + 2, F.lit(SHORT_LIMIT - 1)))
     budget = allowed_distance(F.col("l")) - (F.col("l") - F.col("len"))
-    names = _spread(reps.where(F.col("len") < SHORT_LIMIT)).withColumn("l", F.explode(targets))
+    names = _spread(_with_rest(reps).where(F.col("len") < SHORT_LIMIT)).withColumn("l", F.explode(targets))
     return _with_variants(names, budget).select(
-        F.xxhash64("block_key", "l", "variant").alias("sig"), "id", (F.col("len") == F.col("l")).alias("longest")
+        F.xxhash64("block_key", "l", "variant").alias("sig"), *_kept(reps), (F.col("len") == F.col("l")).alias("longest")
     )
 
 
+def _kept(reps: DataFrame) -> list[str]:
+    return ["block_key", "id", "name", "rest", "len"] + [c for c in reps.columns if c == "new"]
+
+
+def _of_side(rows: DataFrame, side: str) -> DataFrame:
+    return rows.select(*[F.col(c).alias(f"{c}_{side}") for c in rows.columns])
+
+
+def short_signatures(reps: DataFrame) -> DataFrame:
+    """(sig, id, longest): deletion variants of names below SHORT_LIMIT characters."""
+    return _signed(reps).select("sig", "id", "longest")
+
+
+_PAIR = ["block_key"] + [f"{c}_{side}" for side in "ab" for c in ("id", "name", "rest", "len")]
+
+
 def _short_pairs(reps: DataFrame) -> DataFrame:
-    signed = short_signatures(reps)
-    a = signed.select("sig", F.col("id").alias("id_a"), F.col("longest").alias("longest_a"))
-    b = signed.select("sig", F.col("id").alias("id_b"), F.col("longest").alias("longest_b"))
+    """Pairs of short names, with names, once for each signature that they share."""
+    signed = _signed(reps)
+    a, b = _of_side(signed, "a"), _of_side(signed, "b")
     # The size estimate ignores the expansion above, so broadcasting is ruled out.
-    met = a.join(b.hint("merge"), "sig").where((F.col("id_a") < F.col("id_b")) & (F.col("longest_a") | F.col("longest_b")))
-    return met.select("id_a", "id_b")
+    met = a.join(b.hint("merge"), F.col("sig_a") == F.col("sig_b")).where(
+        (F.col("block_key_a") == F.col("block_key_b"))
+        & (F.col("id_a") < F.col("id_b"))
+        & (F.col("longest_a") | F.col("longest_b"))
+    )
+    return met.withColumnRenamed("block_key_a", "block_key").select(*_PAIR)
+
+
+def _once(pairs: DataFrame) -> DataFrame:
+    """Each pair once; names of one pair of ids are told apart by a hash."""
+    told = F.xxhash64("block_key", "rest_a", "rest_b")
+    others = [F.any_value(c).alias(c) for c in pairs.columns if c not in ("id_a", "id_b")]
+    return pairs.groupBy("id_a", "id_b", told.alias("told")).agg(*others).drop("told")
 
 
 def _segment_bounds(length: Column, count: Column) -> Column:
@@ -151,23 +216,30 @@ def _segment_bounds(length: Column, count: Column) -> Column:
     )
 
 
-def _segment_index(reps: DataFrame, extra: Column) -> DataFrame:
-    """Segments of each name as the shorter side, one set per partner length l and extra count m."""
-    longest = F.col("len") + F.floor(F.col("len") * 3 / 17).cast("int") + 1
-    targets = _partner_lengths(F.greatest(F.col("len"), F.lit(SHORT_LIMIT)), longest)
+def _segments(names: DataFrame) -> DataFrame:
+    """Segments of each name as the shorter side of partners of length l, one set per extra count m."""
     return (
-        _spread(reps)
-        .withColumn("l", F.explode(targets))
-        .withColumn("m", F.explode(extra))
+        _spread(names)
+        .withColumn("m", F.explode(F.array(*[F.lit(m) for m in range(1, MAX_EXTRA_SEGMENTS + 1)])))
         .withColumn("seg", F.explode(_segment_bounds(F.col("len"), allowed_distance(F.col("l")) + F.col("m"))))
         .withColumn("text", F.substring("name", F.col("seg.start"), F.col("seg.size")))
         .withColumn("sig", F.xxhash64("block_key", "l", "len", "m", "seg.no", "text"))
-        .select("sig", "id", "l", "m")
+        .select("sig", "id", "block_key", "len", "l", "m")
     )
 
 
-def _segment_probe(reps: DataFrame, extra: Column) -> DataFrame:
-    """Substrings of each name as the longer side that a segment of a partner could equal.
+def segment_signatures(reps: DataFrame) -> DataFrame:
+    """(sig, id, block_key, len, l, m): segments of each name as the shorter side, for all partner lengths l.
+
+    They do not depend on other names, so they can be stored.
+    """
+    longest = F.col("len") + F.floor(F.col("len") * 3 / 17).cast("int") + 1
+    targets = _partner_lengths(F.greatest(F.col("len"), F.lit(SHORT_LIMIT)), longest)
+    return _segments(reps.withColumn("l", F.explode(targets)))
+
+
+def _segment_probe(names: DataFrame) -> DataFrame:
+    """Substrings of each name that segments of shorter partners of length ``shorter``, cut by m, could equal.
 
     A segment moved by d needs at least |d| edits before it and |gap - d| after
     it, which bounds how far it can have moved.
@@ -181,74 +253,145 @@ def _segment_probe(reps: DataFrame, extra: Column) -> DataFrame:
         lambda p: (p >= 1) & (p + F.col("seg.size") - 1 <= F.col("len")),
     )
     return (
-        _spread(reps.where(F.col("len") >= SHORT_LIMIT))
-        .withColumn("shorter", F.explode(F.sequence(F.col("len") - distance, F.col("len"))))
-        .withColumn("m", F.explode(extra))
+        _spread(names)
         .withColumn("seg", F.explode(_segment_bounds(F.col("shorter"), distance + F.col("m"))))
         .withColumn("at", F.explode(starts))
         .withColumn("text", F.substring("name", F.col("at"), F.col("seg.size")))
-        .select(F.xxhash64("block_key", "len", "shorter", "m", "seg.no", "text").alias("sig"), "id")
+        .select(F.xxhash64("block_key", "len", "shorter", "m", "seg.no", "text").alias("sig"), *_told_new(names))
         .distinct()
     )
 
 
-def segment_signatures(reps: DataFrame) -> DataFrame:
-    """(sig, id): all segments of each name as the shorter side, in the plain cut.
+def _told_new(names: DataFrame) -> list[str]:
+    return ["id"] + [c for c in names.columns if c == "new"]
 
-    They do not depend on how frequent other names' segments are, so they can be stored.
-    """
-    return _segment_index(reps, F.array(F.lit(1))).select("sig", "id").distinct()
 
+def _length_pairs(reps: DataFrame) -> DataFrame:
+    """(block_key, len, n, l, n_l): lengths that pairs of long names can have, and how many names have them."""
+    sizes = materialise(reps.groupBy("block_key", "len").agg(F.count("*").alias("n")), "lengths")
+    partners = sizes.select("block_key", F.col("len").alias("l"), F.col("n").alias("n_l")).where(F.col("l") >= SHORT_LIMIT)
+    near = (F.col("l") >= F.col("len")) & (F.col("l") - F.col("len") <= allowed_distance(F.col("l")))
+    return materialise(sizes.join(partners, "block_key").where(near), "length-pairs")
 
-def probe_signatures(reps: DataFrame) -> DataFrame:
-    """(sig, id): what segments of the plain cut could equal in each name as the longer side."""
-    return _segment_probe(reps, F.array(F.lit(1)))
 
+def _selective_cuts(index: DataFrame) -> DataFrame:
+    """(block_key, len, l, id, m, cost, sigs): the cut of each name whose most frequent needed segment is least frequent.
 
-def _selective_index(reps: DataFrame) -> tuple[DataFrame, Column]:
-    """Index rows worth joining on, and the extra counts in use.
-
-    Of all cuts of a name, the one is kept whose most frequent needed segment is least
-    frequent: with distance + m segments, the m - 1 most frequent ones are left out.
+    With distance + m segments, the m - 1 most frequent ones are left out; ``cost`` is how
+    often the others occur.
     """
-    options = F.array(*[F.lit(m) for m in range(1, MAX_EXTRA_SEGMENTS + 1)])
-    # Written down, since the planner's estimate ignores the expansion into segments.
-    index = materialise(_segment_index(reps, options), "segments")
     counted = index.join(index.groupBy("sig").agg(F.count("*").alias("n")).hint("merge"), "sig")
-    cuts = counted.groupBy("id", "l", "m").agg(
+    cuts = counted.groupBy("block_key", "len", "l", "id", "m").agg(
         F.sort_array(F.collect_list(F.struct(F.col("n"), F.col("sig"))), asc=False).alias("segments")
     )
     needed = cuts.withColumn("segments", F.slice("segments", F.col("m"), F.size("segments")))
     hottest = F.element_at("segments", 1)["n"]
-    best = needed.groupBy("id", "l").agg(F.min_by(F.struct("m", "segments"), F.struct(hottest, "m")).alias("best"))
-    kept = best.select("id", "l", "best.m", F.explode("best.segments").alias("segment"))
-    return kept.select(F.col("segment.sig").alias("sig"), "id", "l", "m"), options
+    best = needed.groupBy("block_key", "len", "l", "id").agg(
+        F.min_by(F.struct("m", "segments"), F.struct(hottest, "m")).alias("best")
+    )
+    cost = F.aggregate("best.segments", F.lit(0).cast("long"), lambda total, s: total + s["n"])
+    sigs = F.transform("best.segments", lambda s: s["sig"])
+    return best.select("block_key", "len", "l", "id", "best.m", cost.alias("cost"), sigs.alias("sigs"))
 
 
-def _long_pairs(reps: DataFrame) -> DataFrame:
-    index, extra = _selective_index(reps)
-    shorter = index.select("sig", F.col("id").alias("id_s"))
-    longer = _segment_probe(reps, extra).select("sig", F.col("id").alias("id_t"))
-    met = shorter.join(longer.hint("merge"), "sig").where(F.col("id_s") != F.col("id_t"))
-    return met.select(F.least("id_s", "id_t").alias("id_a"), F.greatest("id_s", "id_t").alias("id_b"))
+def _tiled_pairs(names: DataFrame, lengths: DataFrame) -> DataFrame:
+    """All pairs of names of the given lengths, each once, that reach the threshold.
+
+    Tasks hold some tiles each, whatever the size of the rows, since the work lies in the comparing.
+    """
+    spark = names.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    tiles = lambda n: F.ceil(F.col(n) / TILE).cast("int")
+    own = lambda n: F.pmod(F.xxhash64("name"), tiles(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), tiles(n) - 1))
+
+    def placed(side: str, row: Column, column: Column) -> DataFrame:
+        of_length = names if side == "s" else names.withColumnRenamed("len", "l")
+        keys = ["block_key", "len" if side == "s" else "l"]
+        both = of_length.join(lengths, keys).withColumn("row", row).withColumn("column", column)
+        tile = F.xxhash64("block_key", "len", "l", "row", "column")
+        length = F.col("len" if side == "s" else "l")
+        kept = [c for c in _kept(names) if c != "len"]
+        rows = both.select(tile.alias("tile"), *kept, length.alias("len"), F.col("l").alias("partner"), F.col("len").alias("other"))
+        return _of_side(rows.repartition(tasks, "tile"), side)
+
+    shorter, longer = placed("s", own("n"), every("n_l")), placed("t", every("n"), own("n_l"))
+    same_tile = (F.col("tile_s") == F.col("tile_t")) & (F.col("block_key_s") == F.col("block_key_t"))
+    same_tile = same_tile & (F.col("partner_s") == F.col("len_t")) & (F.col("other_t") == F.col("len_s"))
+    further, ordered = F.col("len_s") < F.col("len_t"), F.col("id_s") < F.col("id_t")
+
+    def met(s: DataFrame, t: DataFrame, condition: Column) -> DataFrame:
+        near = F.expr("levenshtein(rest_s, rest_t, cast(floor(len_t * 3 / 20) as int)) >= 0")
+        return t.join(s.hint("merge"), same_tile).where((F.col("id_s") != F.col("id_t")) & condition & near)
+
+    if "new" in names.columns:
+        pairs = met(shorter.where("new_s"), longer, further | ~F.col("new_t") | ordered)
+        pairs = pairs.unionByName(met(shorter.where("NOT new_s"), longer.where("new_t"), further))
+    else:
+        pairs = met(shorter, longer, further | ordered)
+    sides = [
+        F.when(ordered, F.col(f"{c}_{x}")).otherwise(F.col(f"{c}_{y}")).alias(f"{c}_{side}")
+        for side, x, y in (("a", "s", "t"), ("b", "t", "s"))
+        for c in ("id", "name", "rest", "len")
+    ]
+    return pairs.select(F.col("block_key_s").alias("block_key"), *sides)
+
+
+def _segment_pairs(names: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Pairs that share a needed segment, each once."""
+    shorter = cuts.select(F.explode("sigs").alias("sig"), F.col("id").alias("id_s"))
+    used = cuts.select("block_key", F.col("len").alias("shorter"), F.col("l").alias("len"), "m").distinct()
+    longer = _of_side(_segment_probe(names.join(used, ["block_key", "len"])), "t").withColumnRenamed("sig_t", "sig")
+
+    def met(s: DataFrame, t: DataFrame) -> DataFrame:
+        both = s.join(t.hint("merge"), "sig").where(F.col("id_s") != F.col("id_t"))
+        return both.select(F.least("id_s", "id_t").alias("id_a"), F.greatest("id_s", "id_t").alias("id_b"))
+
+    if "new" in names.columns:
+        fresh = names.where("new").select(F.col("id").alias("id_s"))
+        pairs = met(shorter.join(fresh, "id_s", "left_semi"), longer)
+        pairs = pairs.unionByName(met(shorter.join(fresh, "id_s", "left_anti"), longer.where("new_t")))
+    else:
+        pairs = met(shorter, longer)
+    sided = lambda side: _of_side(names.select("block_key", "id", "name", "rest", "len"), side)
+    named = pairs.distinct().join(sided("a"), "id_a").join(sided("b"), "id_b")
+    same_block = (F.col("block_key_a") == F.col("block_key_b")) & (F.col("id_a") < F.col("id_b"))
+    return named.where(same_block).withColumnRenamed("block_key_a", "block_key").select(*_PAIR)
+
+
+def _long_pairs(names: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Pairs of trimmed ``names`` whose longer one is long: those that share a segment, or that were compared in tiles.
+
+    ``stored`` are the names' segment signatures, if there are any already.
+    """
+    lengths = _length_pairs(names)
+    many = lengths.where(F.col("n") > FEW)
+    if many.isEmpty():
+        return _tiled_pairs(names, lengths)
+    # Written down, since the planner's estimate ignores the expansion into segments.
+    if stored is None:
+        index = materialise(_segments(names.join(many.select("block_key", "len", "l"), ["block_key", "len"])), "segments")
+    else:
+        index = stored.join(many, ["block_key", "len", "l"], "left_semi")
+    cuts = materialise(_selective_cuts(index), "cuts")
+    costs = cuts.groupBy("block_key", "len", "l").agg(F.sum("cost").alias("cost"))
+    dense = F.col("cost") * DENSE >= F.col("n") * F.col("n")
+    judged = materialise(many.join(costs, ["block_key", "len", "l"]).withColumn("dense", dense), "judged")
+    tiled = lengths.where(F.col("n") <= FEW).unionByName(judged.where("dense").select(*lengths.columns))
+    sparse = judged.where("NOT dense")
+    pairs = _tiled_pairs(names, tiled)
+    if sparse.isEmpty():
+        return pairs
+    return pairs.unionByName(_segment_pairs(names, cuts.join(sparse, ["block_key", "len", "l"], "left_semi")))
 
 
 def candidate_pairs(reps: DataFrame) -> DataFrame:
-    """Distinct pairs of representatives that share a signature, with their names.
+    """Distinct pairs of representatives that may reach the threshold, with their names.
 
-    Only hashes and ids are exchanged while pairing; names join the distinct
-    pairs afterwards, which also drops pairs that met through a hash clash.
+    Short names share a signature, long ones a segment; those that met in tiles do reach it.
     """
-    pairs = _short_pairs(reps).unionByName(_long_pairs(reps))
-    a = reps.select("block_key", *[F.col(c).alias(f"{c}_a") for c in ("id", "name", "len")])
-    b = reps.select(F.col("block_key").alias("block_b"), *[F.col(c).alias(f"{c}_b") for c in ("id", "name", "len")])
-    return (
-        pairs.distinct()
-        .join(a, "id_a")
-        .join(b, "id_b")
-        .where((F.col("block_key") == F.col("block_b")) & (F.col("id_a") < F.col("id_b")))
-        .drop("block_b")
-    )
+    names = materialise(trimmed(reps), "trimmed")
+    return _once(_short_pairs(names)).unionByName(_long_pairs(names))
 
 
 def block_candidates(records: DataFrame) -> DataFrame:
@@ -263,13 +406,60 @@ def block_candidates(records: DataFrame) -> DataFrame:
 
 
 def near_names(reps: DataFrame) -> DataFrame:
-    """(block_key, id_a, id_b, name_a, name_b, distance, similarity) of matching representatives."""
-    return compared(candidate_pairs(reps))
+    """(block_key, id_a, id_b, name_a, name_b, distance, similarity) of matching representatives.
+
+    Pairs are compared where they meet, so only those that match are exchanged.
+    """
+    names = materialise(trimmed(reps), "trimmed")
+    return compared(_once(_near(_short_pairs(names))).unionByName(_long_pairs(names)))
+
+
+def all_near_pairs(reps: DataFrame) -> DataFrame:
+    """(id_a, id_b) of matching representatives found without signatures: each name compared with all of its block.
+
+    The names of a block are dealt over tiles, so tasks hold bounded numbers of names and
+    comparisons, however large a block is.
+    """
+    spark = reps.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    sizes = reps.groupBy("block_key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    dealt = reps.join(sizes, "block_key").withColumn("own", F.pmod(F.xxhash64("name"), "tiles").cast("int"))
+    others = F.sequence(F.lit(0), F.col("tiles") - 1)
+    # A tile (row, column) with row <= column holds both ways of a pair, so each pair meets once.
+    rows = dealt.withColumn("column", F.explode(F.filter(others, lambda t: t >= F.col("own")))).withColumn("row", F.col("own"))
+    columns = dealt.withColumn("row", F.explode(F.filter(others, lambda t: t <= F.col("own")))).withColumn("column", F.col("own"))
+
+    def placed(tiled: DataFrame, side: str) -> DataFrame:
+        tiled = tiled.select(F.xxhash64("block_key", "row", "column").alias("tile"), "block_key", "own", "id", "name", "len")
+        return _of_side(tiled.repartition(tasks, "tile"), side)
+
+    met = placed(columns, "y").join(placed(rows, "x").hint("merge"), F.col("tile_x") == F.col("tile_y"))
+    longer = "cast(floor(greatest(len_x, len_y) * 3 / 20) as int)"
+    once = (F.col("id_x") != F.col("id_y")) & ((F.col("own_x") != F.col("own_y")) | (F.col("id_x") < F.col("id_y")))
+    near = met.where((F.col("block_key_x") == F.col("block_key_y")) & once & F.expr(f"levenshtein(name_x, name_y, {longer}) >= 0"))
+    return near.select(F.least("id_x", "id_y").alias("id_a"), F.greatest("id_x", "id_y").alias("id_b"))
+
+
+def new_pairs(names: DataFrame, short: DataFrame, segments: DataFrame) -> DataFrame:
+    """As near_names, of pairs of ``names`` (with ``new``) of which one at least is new.
+
+    ``short`` (id_a, id_b) are those short names that share a signature, ``segments`` the
+    signatures of the long ones.
+    """
+    names = materialise(trimmed(names), "trimmed")
+    sided = lambda side: _of_side(names.select("block_key", "id", "name", "rest", "len"), side)
+    named = short.join(sided("a"), "id_a").join(sided("b"), "id_b").where("block_key_a = block_key_b")
+    met = named.withColumnRenamed("block_key_a", "block_key").select(*_PAIR)
+    return compared(met.unionByName(_long_pairs(names, segments)))
+
+
+def _near(pairs: DataFrame) -> DataFrame:
+    return pairs.where(F.expr("levenshtein(rest_a, rest_b, cast(floor(greatest(len_a, len_b) * 3 / 20) as int)) >= 0"))
 
 
 def compared(pairs: DataFrame) -> DataFrame:
-    """The same of candidates (block_key, id_a, id_b, name_a, name_b, len_a, len_b)."""
-    distance = F.expr("levenshtein(name_a, name_b, cast(floor(longer * 3 / 20) as int))")
+    """The same of candidates (block_key, id_a, id_b, name_a, name_b, rest_a, rest_b, len_a, len_b)."""
+    distance = F.expr("levenshtein(rest_a, rest_b, cast(floor(longer * 3 / 20) as int))")
     return (
         pairs.withColumn("longer", F.greatest("len_a", "len_b"))
         .withColumn("distance", distance)

@@ -170,3 +170,32 @@ def test_potential_duplicates(spark):
     assert tuple(matching.potential_duplicates(rows).first()) == (5, 2)
     stats = matching.match_statistics({"x": rows, "y": rows.limit(2)})
     assert {r.source: r.entities for r in stats.collect()} == {"x": 6, "y": 2, "total": 8}
+
+
+@pytest.mark.parametrize("dense", [1, 10**9])
+def test_no_pair_is_missed_in_tiles_or_segments(spark, monkeypatch, dense):
+    monkeypatch.setattr(matching, "FEW", 8)
+    monkeypatch.setattr(matching, "DENSE", dense)
+    monkeypatch.setattr(matching, "TILE", 7)
+    records = sample(7, (24, 26, 33), shared="house of ", n=15, most_edits=6)
+    records += [(1000 + i, f"customer {i:06d} {m} trading company", "north") for i, m in enumerate(["building", "furniture"] * 25)]
+    records += [(2000 + i, f"customer {i * 97:09d}", "south") for i in range(40)]
+    assert found(spark, records) == brute_force(records)
+
+
+def test_names_that_differ_in_a_number_meet_once(spark, monkeypatch):
+    monkeypatch.setattr(matching, "FEW", 8)
+    records = [(i, f"customer {i:06d} building trading company", "north") for i in range(60)]
+    reps = matching.representatives(spark.createDataFrame(records, RECORDS))
+    met = [(r.id_a, r.id_b) for r in matching._long_pairs(matching.trimmed(reps)).collect()]
+    assert len(met) == len(set(met)) == 60 * 59 // 2
+    assert {r.rest for r in matching.trimmed(reps).collect()} == {f"{i:02d}" for i in range(60)}
+
+
+def test_the_truth_is_found_without_signatures(spark, monkeypatch):
+    monkeypatch.setattr(matching, "TILE", 5)
+    records = sample(13, (8, 18, 25), n=12)
+    reps = matching.representatives(spark.createDataFrame(records, RECORDS))
+    truth = [(r.id_a, r.id_b) for r in matching.all_near_pairs(reps).collect()]
+    assert len(truth) == len(set(truth))
+    assert set(truth) == {pair for pair, distance in brute_force(records).items() if distance > 0}
