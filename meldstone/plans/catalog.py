@@ -315,20 +315,16 @@ def fuzzy_long_names(spark, sf):
 
 @register(
     "candidate_misses",
-    f"""WITH {o.MATCHES}, near AS (
-  SELECT DISTINCT id_a, id_b FROM matches WHERE distance > 0 AND (id_a % 100 = 0 OR id_b % 100 = 0))
+    f"""WITH {o.MATCHES}, near AS (SELECT DISTINCT id_a, id_b FROM matches WHERE distance > 0)
 SELECT count(*) AS matches, CAST(0 AS BIGINT) AS missed FROM near""",
 )
 def candidate_misses(spark, sf):
-    """Matches of every hundredth name with all names of its block, and how many of them the candidates lack."""
+    """Matches among all pairs of a block, and how many of them the candidates lack."""
     records = materialise(matching.representatives(tables.companies(spark, sf)), "names")
-    asked = records.where("id % 100 = 0").select("block_key", F.col("id").alias("id_q"), F.col("name").alias("name_q"))
-    others = records.select("block_key", "id", "name")
-    longer = F.greatest(F.length("name_q"), F.length("name"))
-    near = others.join(asked, "block_key").where((F.col("id") != F.col("id_q")) & (F.levenshtein("name_q", "name") * 20 <= 3 * longer))
-    near = near.select(F.least("id", "id_q").alias("id_a"), F.greatest("id", "id_q").alias("id_b")).distinct()
-    found = matching.candidate_pairs(records).select("id_a", "id_b", F.lit(True).alias("found"))
-    return near.join(found, ["id_a", "id_b"], "left").agg(
+    near = matching.all_near_pairs(records).select("id_a", "id_b").distinct()
+    # Candidates that are no matches cannot be missing, so they stay where they met.
+    found = matching.near_names(records).select("id_a", "id_b").distinct().withColumn("found", F.lit(True))
+    return near.join(found.hint("merge"), ["id_a", "id_b"], "left").agg(
         F.count("*").alias("matches"), F.count_if(F.col("found").isNull()).alias("missed")
     )
 
