@@ -524,13 +524,16 @@ _SCAN = "corporate_id, corporate_name, revenue, profit, activity_places, top_sup
 
 @register(
     "registry_partition_scan",
-    f"""{o.LOADS} SELECT {_SCAN} FROM version_1
-WHERE corporate_id NOT IN (SELECT corporate_id FROM staged_2 WHERE state = '{inputs.LATE_STATE}')""",
+    f"{o.LOADS} SELECT month, {_SCAN} FROM version_2 WHERE year = 2025 AND month IN (11, 12)",
 )
 def registry_partition_scan(spark, sf):
-    """November's rows of a registry whose December load brought the sellers of one state only."""
-    current = inputs.regional_store(spark, sf).read()
-    return readers.registry_partition(current, 2025, 11).select(*_SCAN.split(", "))
+    """Rows of November and of December, each a scan of its partition, after both whole loads.
+
+    An entity bears the month of its last load; those that December lacked stay in November.
+    """
+    current = inputs.loaded_store(spark, sf).read()
+    november, december = (readers.registry_partition(current, 2025, month) for month in (11, 12))
+    return november.unionByName(december).select("month", *_SCAN.split(", "))
 
 
 @register("registry_table_load", f"{o.LOADS} SELECT {o.VERSION_COLUMNS} FROM version_2")
