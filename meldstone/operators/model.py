@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meldstone.operators.features import LABEL, hash_split
+from meldstone.sources.storage import materialise
 
 # Inputs of the feature vector, in order, and the model settings.
 FEATURES = ("revenue", "profit_margin", "activity_places", "top_suppliers_count", "source_system_idx")
@@ -56,7 +57,12 @@ def source_index(df: DataFrame) -> DataFrame:
 
 
 def scaled_features(df: DataFrame) -> DataFrame:
-    """(corporate_id, scaled_<feature> ...) as plain columns."""
+    """(corporate_id, scaled_<feature> ...) as plain columns.
+
+    Written down first, as the index and the scaler read all rows before they are scaled.
+    """
+    used = [c for c in df.columns if c in ("corporate_id", "source_system", *FEATURES)]
+    df = materialise(df.select(*used), "scaling")
     indexed = indexer().fit(df).transform(df)
     scaled = Pipeline(stages=scaling_stages()).fit(indexed).transform(indexed)
     values = vector_to_array("scaled_features")
