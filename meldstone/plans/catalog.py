@@ -3,6 +3,7 @@ express it, an equivalent statement for another engine."""
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 
@@ -1248,7 +1249,9 @@ def incremental_ingest(spark, sf):
     """All items arrive as files that the stream picks up batch by batch."""
     items = _items(spark, sf)
     landing = scratch_path(spark, "landing")
-    items.repartition(4, "order_id").write.parquet(landing)
+    # More items are more files, not larger ones; the stream takes half of them at a time.
+    files = max(4, math.ceil(items.count() / inputs.LANDED_ROWS))
+    items.repartition(files, "order_id").write.parquet(landing)
     store = RegistryStore(spark, scratch_path(spark, "registry"), inputs.REGISTRY_BUCKETS)
     RegistryIngest(
         spark,
@@ -1259,5 +1262,5 @@ def incremental_ingest(spark, sf):
         scratch_path(spark, "state"),
         scratch_path(spark, "stream"),
         buckets=inputs.REGISTRY_BUCKETS,
-    ).run(files_per_batch=2)
+    ).run(files_per_batch=math.ceil(files / 2))
     return store.read().select("corporate_id", *o.DATA.split(", "))

@@ -32,6 +32,8 @@ BETWEEN_LOADS = datetime(2025, 12, 1)
 LATE_STATE = "AS"
 # The sellers of the shared tables are few; a registry of millions takes more buckets.
 REGISTRY_BUCKETS = 8
+# Items in a file that lands for the stream.
+LANDED_ROWS = 1_000_000
 
 
 def sources(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from meldstone.operators import harmonize, prepare, quality
-from meldstone.plans import inputs
+from meldstone.plans import catalog, inputs
 from meldstone.sources import schemas, tables
 from tools import check_queries
 
@@ -78,3 +78,34 @@ def test_harmonise_does_not_depend_on_partitioning(spark, partitions):
     items, sellers = tables.order_items(spark, SF), tables.sellers(spark, SF)
     again = harmonize.harmonize(*prepare.prepare_sources(items.repartition(partitions), sellers.repartition(partitions)))
     assert sorted(map(str, again.collect())) == sorted(map(str, inputs.harmonized(spark, SF).collect()))
+
+
+def test_the_truth_about_candidates_has_all_pairs(spark):
+    near = entry.queries()["fuzzy_matches"](spark, SF).where("distance > 0").count()
+    assert tuple(entry.queries()["candidate_misses"](spark, SF).first()) == (near, 0)
+
+
+def test_months_are_scanned_after_both_whole_loads(spark):
+    rows = entry.queries()["registry_partition_scan"](spark, SF)
+    assert rows.count() == inputs.loaded_store(spark, SF).read().count() > 0
+
+
+def test_more_items_land_in_more_files(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(inputs, "LANDED_ROWS", 1000)
+    run = catalog.RegistryIngest.run
+
+    def spied(ingest, files_per_batch):
+        landed = spark.read.parquet(ingest.landing)
+        taken.append((files_per_batch, len(landed.inputFiles()), landed.count()))
+        run(ingest, files_per_batch)
+
+    monkeypatch.setattr(catalog.RegistryIngest, "run", spied)
+    got = entry.queries()["incremental_ingest"](spark, SF).count()
+    ((batch, files, rows),) = taken
+    assert files == -(-rows // 1000) > 4 and batch == -(-files // 2) and got > 0
+
+
+def test_scaling_computes_its_input_once(spark):
+    text = plan(entry.queries()["standard_scaling"](spark, SF))
+    assert "scaling-" in text and "lineitem" not in text
