@@ -2,9 +2,11 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from meldstone.operators import matching
 from meldstone.operators.clusters import connected_components, entity_clusters
+from meldstone.sources.storage import materialise
 
 RECORDS = "id bigint, name string, block_key string"
 
@@ -199,3 +201,16 @@ def test_the_truth_is_found_without_signatures(spark, monkeypatch):
     truth = [(r.id_a, r.id_b) for r in matching.all_near_pairs(reps).collect()]
     assert len(truth) == len(set(truth))
     assert set(truth) == {pair for pair, distance in brute_force(records).items() if distance > 0}
+
+
+@pytest.mark.parametrize("dense", [1, 10**9])
+def test_pairs_of_two_old_names_are_left_out(spark, monkeypatch, dense):
+    monkeypatch.setattr(matching, "FEW", 5)
+    monkeypatch.setattr(matching, "DENSE", dense)
+    records = sample(17, (26, 30), n=12)
+    names = materialise(matching.representatives(spark.createDataFrame(records, RECORDS)), "names")
+    none = spark.createDataFrame([], "id_a bigint, id_b bigint")
+    got = matching.new_pairs(names.withColumn("new", F.col("id") % 3 == 0), none, matching.segment_signatures(names))
+    got = [(r.id_a, r.id_b) for r in got.collect()]
+    want = {(a, b) for (a, b), distance in brute_force(records).items() if distance > 0 and (a % 3 == 0 or b % 3 == 0)}
+    assert len(got) == len(set(got)) and set(got) == want
