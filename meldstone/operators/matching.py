@@ -294,11 +294,42 @@ def _selective_cuts(index: DataFrame) -> DataFrame:
     return best.select("block_key", "len", "l", "id", "best.m", cost.alias("cost"), sigs.alias("sigs"))
 
 
+_CHARACTERS = "abcdefghijklmnopqrstuvwxyz0123456789 "
+
+
+def _described(names: DataFrame) -> DataFrame:
+    """``names`` with ``ones`` and ``twos``, the characters that ``rest`` has once and twice, and ``rest`` cut at its last word."""
+
+    def bits(least: int) -> Column:
+        of = lambda c: F.length("rest") - F.length(F.replace(F.col("rest"), c)) >= least
+        every = F.array(*[F.lit(c) for c in _CHARACTERS])
+        return F.aggregate(every, F.lit(0).cast("long"), lambda b, c: b * 2 + of(c).cast("long"))
+
+    word = F.substring_index("rest", " ", -1)
+    head = F.substring("rest", F.lit(1), F.length("rest") - F.length(word))
+    return names.withColumns({"ones": bits(1), "twos": bits(2), "word": word, "head": head})
+
+
+def _tile_distance() -> Column:
+    """Distance of the rests of described names s and t, or -1 beyond the allowed one.
+
+    A character that only one of them has takes an edit, which tells most pairs apart. A last
+    word that both have changes no distance.
+    """
+    limit = "cast(floor(len_t * 3 / 20) as int)"
+    lacking = "bit_count(ones_{0} & ~ones_{1}) + bit_count(twos_{0} & ~twos_{1})"
+    return F.expr(
+        f"CASE WHEN {lacking.format('s', 't')} > {limit} OR {lacking.format('t', 's')} > {limit} THEN -1 "
+        f"WHEN word_s = word_t THEN levenshtein(head_s, head_t, {limit}) ELSE levenshtein(rest_s, rest_t, {limit}) END"
+    )
+
+
 def _tiled_pairs(names: DataFrame, lengths: DataFrame) -> DataFrame:
-    """All pairs of names of the given lengths, each once, that reach the threshold.
+    """All pairs of names of the given lengths, each once, that reach the threshold, with their distance.
 
     Tasks hold some tiles each, whatever the size of the rows, since the work lies in the comparing.
     """
+    names = _described(names)
     spark = names.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
     tiles = lambda n: F.ceil(F.col(n) / TILE).cast("int")
@@ -311,18 +342,20 @@ def _tiled_pairs(names: DataFrame, lengths: DataFrame) -> DataFrame:
         both = of_length.join(lengths, keys).withColumn("row", row).withColumn("column", column)
         tile = F.xxhash64("block_key", "len", "l", "row", "column")
         length = F.col("len" if side == "s" else "l")
-        kept = [c for c in _kept(names) if c != "len"]
+        kept = [c for c in _kept(names) if c != "len"] + ["ones", "twos", "word", "head"]
         rows = both.select(tile.alias("tile"), *kept, length.alias("len"), F.col("l").alias("partner"), F.col("len").alias("other"))
-        return _of_side(rows.repartition(tasks, "tile"), side)
+        # By all that the join asks to be equal, or it exchanges once more, into as few tasks as the bytes fill.
+        lengths_of_pair = ["len", "partner"] if side == "s" else ["other", "len"]
+        return _of_side(rows.repartition(tasks, "tile", "block_key", *lengths_of_pair), side)
 
     shorter, longer = placed("s", own("n"), every("n_l")), placed("t", every("n"), own("n_l"))
     same_tile = (F.col("tile_s") == F.col("tile_t")) & (F.col("block_key_s") == F.col("block_key_t"))
-    same_tile = same_tile & (F.col("partner_s") == F.col("len_t")) & (F.col("other_t") == F.col("len_s"))
+    same_tile = same_tile & (F.col("len_s") == F.col("other_t")) & (F.col("partner_s") == F.col("len_t"))
     further, ordered = F.col("len_s") < F.col("len_t"), F.col("id_s") < F.col("id_t")
 
     def met(s: DataFrame, t: DataFrame, condition: Column) -> DataFrame:
-        near = F.expr("levenshtein(rest_s, rest_t, cast(floor(len_t * 3 / 20) as int)) >= 0")
-        return t.join(s.hint("merge"), same_tile).where((F.col("id_s") != F.col("id_t")) & condition & near)
+        both = t.join(s.hint("merge"), same_tile).where((F.col("id_s") != F.col("id_t")) & condition)
+        return both.withColumn("distance", _tile_distance()).where(F.col("distance") >= 0)
 
     if "new" in names.columns:
         pairs = met(shorter.where("new_s"), longer, further | ~F.col("new_t") | ordered)
@@ -334,7 +367,7 @@ def _tiled_pairs(names: DataFrame, lengths: DataFrame) -> DataFrame:
         for side, x, y in (("a", "s", "t"), ("b", "t", "s"))
         for c in ("id", "name", "rest", "len")
     ]
-    return pairs.select(F.col("block_key_s").alias("block_key"), *sides)
+    return pairs.select(F.col("block_key_s").alias("block_key"), *sides, "distance")
 
 
 def _segment_pairs(names: DataFrame, cuts: DataFrame) -> DataFrame:
@@ -359,10 +392,11 @@ def _segment_pairs(names: DataFrame, cuts: DataFrame) -> DataFrame:
     return named.where(same_block).withColumnRenamed("block_key_a", "block_key").select(*_PAIR)
 
 
-def _long_pairs(names: DataFrame, stored: DataFrame | None = None) -> DataFrame:
-    """Pairs of trimmed ``names`` whose longer one is long: those that share a segment, or that were compared in tiles.
+def _long_pairs(names: DataFrame, stored: DataFrame | None = None, near: bool = True) -> DataFrame:
+    """Pairs of trimmed ``names`` whose longer one is long: those that share a segment, or that met in tiles.
 
-    ``stored`` are the names' segment signatures, if there are any already.
+    ``stored`` are the names' segment signatures, if there are any already. Those that share a
+    segment are compared, too, unless ``near`` is false.
     """
     lengths = _length_pairs(names)
     many = lengths.where(F.col("n") > FEW)
@@ -382,7 +416,8 @@ def _long_pairs(names: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     pairs = _tiled_pairs(names, tiled)
     if sparse.isEmpty():
         return pairs
-    return pairs.unionByName(_segment_pairs(names, cuts.join(sparse, ["block_key", "len", "l"], "left_semi")))
+    met = _with_distance(_segment_pairs(names, cuts.join(sparse, ["block_key", "len", "l"], "left_semi")))
+    return pairs.unionByName(met.where(F.col("distance") >= 0) if near else met)
 
 
 def candidate_pairs(reps: DataFrame) -> DataFrame:
@@ -391,7 +426,7 @@ def candidate_pairs(reps: DataFrame) -> DataFrame:
     Short names share a signature, long ones a segment; those that met in tiles do reach it.
     """
     names = materialise(trimmed(reps), "trimmed")
-    return _once(_short_pairs(names)).unionByName(_long_pairs(names))
+    return _once(_short_pairs(names)).unionByName(_long_pairs(names, near=False).select(*_PAIR))
 
 
 def block_candidates(records: DataFrame) -> DataFrame:
@@ -411,7 +446,8 @@ def near_names(reps: DataFrame) -> DataFrame:
     Pairs are compared where they meet, so only those that match are exchanged.
     """
     names = materialise(trimmed(reps), "trimmed")
-    return compared(_once(_near(_short_pairs(names))).unionByName(_long_pairs(names)))
+    short = _with_distance(_short_pairs(names)).where(F.col("distance") >= 0)
+    return compared(_once(short).unionByName(_long_pairs(names)))
 
 
 def all_near_pairs(reps: DataFrame) -> DataFrame:
@@ -431,7 +467,7 @@ def all_near_pairs(reps: DataFrame) -> DataFrame:
 
     def placed(tiled: DataFrame, side: str) -> DataFrame:
         tiled = tiled.select(F.xxhash64("block_key", "row", "column").alias("tile"), "block_key", "own", "id", "name", "len")
-        return _of_side(tiled.repartition(tasks, "tile"), side)
+        return _of_side(tiled.repartition(tasks, "tile", "block_key"), side)
 
     met = placed(columns, "y").join(placed(rows, "x").hint("merge"), F.col("tile_x") == F.col("tile_y"))
     longer = "cast(floor(greatest(len_x, len_y) * 3 / 20) as int)"
@@ -450,23 +486,19 @@ def new_pairs(names: DataFrame, short: DataFrame, segments: DataFrame) -> DataFr
     sided = lambda side: _of_side(names.select("block_key", "id", "name", "rest", "len"), side)
     named = short.join(sided("a"), "id_a").join(sided("b"), "id_b").where("block_key_a = block_key_b")
     met = named.withColumnRenamed("block_key_a", "block_key").select(*_PAIR)
-    return compared(met.unionByName(_long_pairs(names, segments)))
+    return compared(_with_distance(met).where(F.col("distance") >= 0).unionByName(_long_pairs(names, segments)))
 
 
-def _near(pairs: DataFrame) -> DataFrame:
-    return pairs.where(F.expr("levenshtein(rest_a, rest_b, cast(floor(greatest(len_a, len_b) * 3 / 20) as int)) >= 0"))
+def _with_distance(pairs: DataFrame) -> DataFrame:
+    """``pairs`` with the ``distance`` of their names, or -1 beyond the allowed one."""
+    distance = F.expr("levenshtein(rest_a, rest_b, cast(floor(greatest(len_a, len_b) * 3 / 20) as int))")
+    return pairs.withColumn("distance", distance)
 
 
 def compared(pairs: DataFrame) -> DataFrame:
-    """The same of candidates (block_key, id_a, id_b, name_a, name_b, rest_a, rest_b, len_a, len_b)."""
-    distance = F.expr("levenshtein(rest_a, rest_b, cast(floor(longer * 3 / 20) as int))")
-    return (
-        pairs.withColumn("longer", F.greatest("len_a", "len_b"))
-        .withColumn("distance", distance)
-        .where(F.col("distance") >= 0)
-        .withColumn("similarity", similarity(F.col("distance"), F.col("longer")))
-        .select("block_key", "id_a", "id_b", "name_a", "name_b", "distance", "similarity")
-    )
+    """The same of ``pairs`` (block_key, id_a, id_b, name_a, name_b, len_a, len_b, distance) that reach the threshold."""
+    rated = pairs.withColumn("similarity", similarity(F.col("distance"), F.greatest("len_a", "len_b")))
+    return rated.select("block_key", "id_a", "id_b", "name_a", "name_b", "distance", "similarity")
 
 
 def same_names(records: DataFrame, reps: DataFrame) -> DataFrame:

@@ -214,3 +214,22 @@ def test_pairs_of_two_old_names_are_left_out(spark, monkeypatch, dense):
     got = [(r.id_a, r.id_b) for r in got.collect()]
     want = {(a, b) for (a, b), distance in brute_force(records).items() if distance > 0 and (a % 3 == 0 or b % 3 == 0)}
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_tiles_are_dealt_by_number_not_by_bytes(spark):
+    names = materialise(matching.trimmed(matching.representatives(spark.createDataFrame(sample(19, (24, 26)), RECORDS))), "names")
+    lengths = matching._length_pairs(names)
+    plan = matching._tiled_pairs(names, lengths)._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert sum("REPARTITION_BY_NUM" in line for line in plan) == 2
+    assert not [line for line in plan if "hashpartitioning(tile" in line and "ENSURE_REQUIREMENTS" in line]
+
+
+def test_tiles_find_the_distance_of_names_of_words(spark):
+    rng = random.Random(23)
+    words = ["anna", "annas", "lamp", "lamps", "a", "aa", "house", "mouse", "11", "12"]
+    tails = [" ".join(rng.sample(words, 4)) for _ in range(3)]
+    names = {f"{rng.choice(words)} {rng.choice(tails)} {rng.choice(words)}" for _ in range(90)}
+    records = [(i, name, "one") for i, name in enumerate(sorted(n for n in names if len(n) >= 20))]
+    reps = matching.trimmed(matching.representatives(spark.createDataFrame(records, RECORDS)))
+    got = {(r.id_a, r.id_b): r.distance for r in matching._tiled_pairs(reps, matching._length_pairs(reps)).collect()}
+    assert got == brute_force(records) and len(got) > 10
