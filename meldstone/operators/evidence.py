@@ -38,6 +38,21 @@ def token_holders(names: DataFrame) -> DataFrame:
     return each.groupBy("block_key", "token").agg(F.count("*").alias("holders"))
 
 
+def by_numbers(reps: DataFrame) -> DataFrame:
+    """``reps`` with blocks that names share only if they have the same tokens with a digit.
+
+    A token with a digit that only one of two names has tells them apart, so no pair that
+    stands for one entity lies between these blocks.
+    """
+    numbers = F.array_sort(F.array_distinct(F.filter(tokens(F.col("name")), lambda t: t.rlike("[0-9]"))))
+    return reps.withColumn("block_key", F.concat("block_key", F.lit("\n"), F.array_join(numbers, " ")))
+
+
+def in_own_blocks(pairs: DataFrame) -> DataFrame:
+    """``pairs`` of by_numbers under the block keys they had before."""
+    return pairs.withColumn("block_key", F.regexp_replace("block_key", "\n[^\n]*\\z", ""))
+
+
 def differences(pairs: DataFrame) -> DataFrame:
     """``pairs`` (with name_a and name_b) and the tokens that only one side has, rest_a and rest_b."""
     a, b = tokens(F.col("name_a")), tokens(F.col("name_b"))
@@ -81,6 +96,6 @@ def evident_matches(records: DataFrame) -> DataFrame:
     A record repeating a name is linked to the representative of that name.
     """
     reps = materialise(matching.representatives(records), "names")
-    named = matching.near_names(reps)
+    named = in_own_blocks(matching.near_names(by_numbers(reps)))
     columns = ["id_a", "id_b", "distance", "similarity"]
     return evident_pairs(named, token_holders(reps)).select(*columns).unionByName(matching.same_names(records, reps))

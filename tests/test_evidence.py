@@ -68,3 +68,11 @@ def test_rule_equals_brute_force(spark):
     rows = [(i, re.sub(" +", " ", n).strip(), b) for i, n, b in rows]
     got = {(r.id_a, r.id_b) for r in evidence.evident_matches(spark.createDataFrame(rows, RECORDS)).collect()}
     assert got == by_hand(rows) and len(got) > 20
+
+
+def test_names_of_different_numbers_never_meet(spark, monkeypatch):
+    met, near_names = [], evidence.matching.near_names
+    monkeypatch.setattr(evidence.matching, "near_names", lambda reps: met.append(near_names(reps)) or met[-1])
+    rows = [(i, f"quiet corner {kind} {i % 20:03d}", "x\ny\n") for i, kind in enumerate(["books"] * 20 + ["boks"] * 3)]
+    links = {(r.id_a, r.id_b) for r in evidence.evident_matches(spark.createDataFrame(rows, RECORDS)).collect()}
+    assert links == {(i, i + 20) for i in range(3)} == {(r.id_a, r.id_b) for r in met[0].collect()}
