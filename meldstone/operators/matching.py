@@ -89,7 +89,10 @@ def copies(records: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def trimmed(reps: DataFrame) -> DataFrame:
-    """``reps`` with ``rest``, the name without what all names of its block begin and end with."""
+    """``reps`` with ``rest``, the name without what all names of its block begin and end with.
+
+    ``lengths`` are the lengths below SHORT_LIMIT that names of the block have.
+    """
 
     def shared(x: str, y: str) -> Column:
         places = F.sequence(F.lit(0), F.least(F.length(x), F.length(y)))
@@ -99,9 +102,11 @@ def trimmed(reps: DataFrame) -> DataFrame:
     ends = reps.groupBy("block_key").agg(
         F.min("name").alias("low"), F.max("name").alias("high"), F.min(turned).alias("low_end"),
         F.max(turned).alias("high_end"), F.min("len").alias("least"),
+        F.collect_set(F.when(F.col("len") < SHORT_LIMIT, F.col("len"))).alias("lengths"),
     )
     start = shared("low", "high")
-    cut = ends.select("block_key", start.alias("start"), F.least(shared("low_end", "high_end"), F.col("least") - start).alias("end"))
+    end = F.least(shared("low_end", "high_end"), F.col("least") - start)
+    cut = ends.select("block_key", start.alias("start"), end.alias("end"), "lengths")
     rest = F.substring("name", F.col("start") + 1, F.col("len") - F.col("start") - F.col("end"))
     return reps.join(cut, "block_key").withColumn("rest", rest).drop("start", "end")
 
@@ -113,8 +118,8 @@ def _with_rest(reps: DataFrame) -> DataFrame:
 def _with_variants(names: DataFrame, budget: Column) -> DataFrame:
     """One row per string left of ``rest`` after deleting exactly ``budget`` (0 to 2) characters, or all it has.
 
-    Of a run of equal characters only the first ones are deleted, since deleting
-    others leaves the same string.
+    Of the ways to be left with a string, the one that keeps its characters as early as
+    possible counts: no deleted character equals the one that is kept next.
     """
     names = names.withColumn("size", F.length("rest")).withColumn("budget", F.least(budget, F.col("size")))
     i, j, length, budget = F.col("i"), F.col("j"), F.col("size"), F.col("budget")
@@ -137,9 +142,10 @@ def _with_variants(names: DataFrame, budget: Column) -> DataFrame:
     )
     return (
         names.withColumn("i", F.explode(first.otherwise(F.sequence(F.lit(1), length - 1))))
-        .where((i <= 1) | (character(i) != character(i - 1)))
         .withColumn("j", F.explode(second))
-        .where((j == 0) | (j == i + 1) | (character(j) != character(j - 1)))
+        # Where the two stand side by side, the character after both is kept next for either.
+        .where((i == 0) | (character(i) != character(F.when(j == i + 1, j + 1).otherwise(i + 1))))
+        .where((j == 0) | (character(j) != character(j + 1)))
         .withColumn("variant", variant)
     )
 
@@ -162,6 +168,8 @@ def _signed(reps: DataFrame) -> DataFrame:
     """
     targets = _partner_lengths(F.col("len"), F.least(F.col("len") + 2, F.lit(SHORT_LIMIT - 1)))
     budget = allowed_distance(F.col("l")) - (F.col("l") - F.col("len"))
+    if "lengths" in reps.columns:
+        targets = F.array_intersect(targets, "lengths")
     names = _spread(_with_rest(reps).where(F.col("len") < SHORT_LIMIT)).withColumn("l", F.explode(targets))
     return _with_variants(names, budget).select(
         F.xxhash64("block_key", "l", "variant").alias("sig"), *_kept(reps), (F.col("len") == F.col("l")).alias("longest")
@@ -198,7 +206,10 @@ def _short_pairs(reps: DataFrame) -> DataFrame:
 
 
 def _once(pairs: DataFrame) -> DataFrame:
-    """Each pair once; names of one pair of ids are told apart by a hash."""
+    """Each pair once; names of one pair of ids are told apart by a hash.
+
+    Columns that no later step reads are not exchanged.
+    """
     told = F.xxhash64("block_key", "rest_a", "rest_b")
     others = [F.any_value(c).alias(c) for c in pairs.columns if c not in ("id_a", "id_b")]
     return pairs.groupBy("id_a", "id_b", told.alias("told")).agg(*others).drop("told")
@@ -440,14 +451,16 @@ def block_candidates(records: DataFrame) -> DataFrame:
     return pairs.unionByName(copies(records, reps))
 
 
-def near_names(reps: DataFrame) -> DataFrame:
+def near_names(reps: DataFrame, once: bool = True) -> DataFrame:
     """(block_key, id_a, id_b, name_a, name_b, distance, similarity) of matching representatives.
 
-    Pairs are compared where they meet, so only those that match are exchanged.
+    Pairs are compared where they meet, so only those that match are exchanged. Unless they
+    are wanted ``once``, short names come once for each signature that they share, and no
+    pair is exchanged.
     """
     names = materialise(trimmed(reps), "trimmed")
     short = _with_distance(_short_pairs(names)).where(F.col("distance") >= 0)
-    return compared(_once(short).unionByName(_long_pairs(names)))
+    return compared((_once(short) if once else short).unionByName(_long_pairs(names)))
 
 
 def all_near_pairs(reps: DataFrame) -> DataFrame:
@@ -506,26 +519,33 @@ def same_names(records: DataFrame, reps: DataFrame) -> DataFrame:
     return copies(records, reps).select("id_a", "id_b", F.lit(0).alias("distance"), F.lit(1.0).alias("similarity"))
 
 
-def fuzzy_matches(records: DataFrame) -> DataFrame:
+def fuzzy_matches(records: DataFrame, once: bool = True) -> DataFrame:
     """(id_a, id_b, distance, similarity) of matching pairs.
 
     A record repeating a name is linked to the representative of that name; its
-    other matches are those of the representative.
+    other matches are those of the representative. A step to which repeated pairs are the
+    same as single ones takes them without ``once``, which spares their exchange.
     """
     reps = materialise(representatives(records), "names")
-    near = near_names(reps).select("id_a", "id_b", "distance", "similarity")
+    near = near_names(reps, once).select("id_a", "id_b", "distance", "similarity")
     return near.unionByName(same_names(records, reps))
 
 
 def best_match(matches: DataFrame) -> DataFrame:
-    """(id, match_id, similarity): best partner of each record, strictly above the threshold."""
+    """(id, match_id, similarity): best partner of each record, strictly above the threshold.
+
+    Pairs may repeat. The smallest partner of each similarity is found where the pairs are
+    made, so what is exchanged does not grow with the number of pairs.
+    """
     strict = matches.where(F.col("similarity") > THRESHOLD)
-    forward = strict.select(F.col("id_a").alias("id"), F.col("id_b").alias("match_id"), "similarity")
-    backward = strict.select(F.col("id_b").alias("id"), F.col("id_a").alias("match_id"), "similarity")
+    # Both ways from one reading, since the pairs would be made again for a second one.
+    ways = [F.struct(F.col(x).alias("id"), F.col(y).alias("match_id"), "similarity") for x, y in (("id_a", "id_b"), ("id_b", "id_a"))]
+    both = strict.select(F.inline(F.array(*ways)))
+    # A minimum of plain columns is taken by hash, that of a struct by sorting all rows.
+    smallest = both.groupBy("id", "similarity").agg(F.min("match_id").alias("match_id"))
     rank = F.struct(-F.col("similarity"), "match_id")
     return (
-        forward.unionByName(backward)
-        .groupBy("id")
+        smallest.groupBy("id")
         .agg(F.min_by(F.struct("match_id", "similarity"), rank).alias("best"))
         .select("id", "best.match_id", "best.similarity")
     )

@@ -357,7 +357,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY similarity DESC
 SELECT id, match_id, similarity FROM ranked WHERE rn = 1""",
 )
 def best_match(spark, sf):
-    return matching.best_match(matching.fuzzy_matches(tables.companies(spark, sf)))
+    return matching.best_match(matching.fuzzy_matches(tables.companies(spark, sf), once=False))
 
 
 @register(

@@ -233,3 +233,32 @@ def test_tiles_find_the_distance_of_names_of_words(spark):
     reps = matching.trimmed(matching.representatives(spark.createDataFrame(records, RECORDS)))
     got = {(r.id_a, r.id_b): r.distance for r in matching._tiled_pairs(reps, matching._length_pairs(reps)).collect()}
     assert got == brute_force(records) and len(got) > 10
+
+
+def test_variants_come_once_each(spark):
+    names = ["aabbab", "abcabc", "aaaa", "ab", "a"]
+    frame = spark.createDataFrame([(i, n, b) for i, n in enumerate(names) for b in (1, 2)], "id int, rest string, budget int")
+    got = [(r.rest, r.budget, r.variant) for r in matching._with_variants(frame.withColumnRenamed("budget", "wanted"), F.col("wanted")).collect()]
+    want = {
+        (n, min(b, len(n)), "".join(kept)) for n in names for b in (1, 2) for kept in itertools.combinations(n, max(len(n) - b, 0))
+    }
+    assert set(got) == want
+    assert len([g for g in got if len(g[0]) > 1]) == len([w for n in names if len(n) > 1 for w in want if w[0] == n])
+
+
+def test_only_lengths_that_a_block_has_are_looked_for(spark):
+    rows = [(1, "customer 000000017", "x"), (2, "customer 000000071", "x"), (3, "customer 0000000017", "y")]
+    reps = matching.representatives(spark.createDataFrame(rows, RECORDS))
+    assert matching._signed(matching.trimmed(reps)).where("NOT longest").isEmpty()
+
+
+def test_best_match_exchanges_no_pairs(spark):
+    records = sample(29, (9, 14, 18, 24), n=20, most_edits=3)
+    frame = spark.createDataFrame(records, RECORDS)
+    matches = matching.fuzzy_matches(frame, once=False)
+    best = {r.id: (r.match_id, r.similarity) for r in matching.best_match(matches).collect()}
+    assert best == {r.id: (r.match_id, r.similarity) for r in matching.best_match(matching.fuzzy_matches(frame)).collect()}
+    short = spark.createDataFrame(sample(31, (9, 14), n=20), RECORDS)
+    plan = matching.best_match(matching.fuzzy_matches(short, once=False))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(id_a" not in plan and plan.count("SortAggregate(key=[id#") <= 2
+    assert not [line for line in plan.splitlines() if "SortAggregate" in line and "similarity" in line.split("functions")[0]]
