@@ -48,6 +48,8 @@ FEW = 200
 DENSE = 8
 # Names on each side of a tile.
 TILE = 2000
+# Ids of one name in a list.
+LIST = 1000
 
 
 def allowed_distance(length: Column) -> Column:
@@ -519,16 +521,63 @@ def same_names(records: DataFrame, reps: DataFrame) -> DataFrame:
     return copies(records, reps).select("id_a", "id_b", F.lit(0).alias("distance"), F.lit(1.0).alias("similarity"))
 
 
-def fuzzy_matches(records: DataFrame, once: bool = True) -> DataFrame:
+def _repeated(records: DataFrame) -> DataFrame:
+    """(block_key, name, part, ids): ids of the names that several ids of a block bear, dealt over lists of about LIST."""
+    named = _keyed(records).where(F.col("id").isNotNull()).distinct()
+    shared = named.groupBy("block_key", "name").agg(F.ceil(F.count("*") / LIST).alias("parts"), F.count("*").alias("n"))
+    part = F.pmod(F.xxhash64("id"), F.col("parts")).alias("part")
+    dealt = named.join(shared.where(F.col("n") > 1), ["block_key", "name"]).select("block_key", "name", part, "id")
+    return dealt.groupBy("block_key", "name", "part").agg(F.collect_list("id").alias("ids"))
+
+
+def _of_one_id(reps: DataFrame) -> DataFrame:
+    """As near_names, of names of a block that have the same representative."""
+    a, b = (_of_side(_with_rest(reps).withColumnRenamed("block_key", "block"), side) for side in "ab")
+    met = a.join(b, (F.col("block_a") == F.col("block_b")) & (F.col("id_a") == F.col("id_b"))).where("name_a < name_b")
+    return compared(_with_distance(met.withColumnRenamed("block_a", "block_key")).where(F.col("distance") >= 0))
+
+
+def _of_every_record(near: DataFrame, lists: DataFrame) -> DataFrame:
+    """(id_a, id_b, distance, similarity) of all records: those of ``near`` names, and those that share one of ``lists``.
+
+    Lists meet before they are expanded, and are dealt by number, so a task expands bounded
+    parts of a name, however many records bear it.
+    """
+    spark = near.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+
+    def of(side: str) -> DataFrame:
+        return lists.select("block_key", *[F.col(c).alias(f"{c}_{side}") for c in ("name", "part", "ids")])
+
+    met = near.join(of("a"), ["block_key", "name_a"], "left").join(of("b"), ["block_key", "name_b"], "left")
+    for side in "ab":
+        met = met.withColumn(f"ids_{side}", F.coalesce(f"ids_{side}", F.array(f"id_{side}")))
+    same = of("a").join(of("b"), "block_key").where("name_a = name_b AND part_a <= part_b")
+    same = same.withColumns({"distance": F.lit(0), "similarity": F.lit(1.0)})
+    columns = ["block_key", "name_a", "name_b", "part_a", "part_b", "ids_a", "ids_b", "distance", "similarity"]
+    dealt = met.select(*columns).unionByName(same.select(*columns)).repartition(tasks, *columns[:5])
+    # Two records of one list are met from either side.
+    once = "x != y AND (x < y OR name_a != name_b OR part_a != part_b)"
+    pairs = dealt.withColumn("x", F.explode("ids_a")).withColumn("y", F.explode("ids_b")).where(once)
+    return pairs.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"), "distance", "similarity")
+
+
+def fuzzy_matches(records: DataFrame, once: bool = True, every: bool = False) -> DataFrame:
     """(id_a, id_b, distance, similarity) of matching pairs.
 
     A record repeating a name is linked to the representative of that name; its
-    other matches are those of the representative. A step to which repeated pairs are the
-    same as single ones takes them without ``once``, which spares their exchange.
+    other matches are those of the representative. With ``every`` it is paired with each
+    of its matches and of the records that bear the same name. A step to which repeated
+    pairs are the same as single ones takes them without ``once``, which spares their exchange.
     """
     reps = materialise(representatives(records), "names")
-    near = near_names(reps, once).select("id_a", "id_b", "distance", "similarity")
-    return near.unionByName(same_names(records, reps))
+    near = near_names(reps, once)
+    if every:
+        lists = materialise(_repeated(records), "lists")
+        if not lists.isEmpty():
+            return _of_every_record(near.unionByName(_of_one_id(reps)), lists)
+    near = near.select("id_a", "id_b", "distance", "similarity")
+    return near if every else near.unionByName(same_names(records, reps))
 
 
 def best_match(matches: DataFrame) -> DataFrame:

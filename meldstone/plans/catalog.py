@@ -303,9 +303,9 @@ def block_candidates(spark, sf):
     return matching.block_candidates(tables.companies(spark, sf))
 
 
-@register("fuzzy_matches", f"WITH {o.MATCHES} SELECT id_a, id_b, distance, similarity FROM matches")
+@register("fuzzy_matches", f"WITH {o.EVERY_MATCH} SELECT id_a, id_b, distance, similarity FROM matches")
 def fuzzy_matches(spark, sf):
-    return matching.fuzzy_matches(tables.companies(spark, sf))
+    return matching.fuzzy_matches(tables.companies(spark, sf), every=True)
 
 
 @register("fuzzy_long_names", f"WITH {o.LONG_MATCHES} SELECT id_a, id_b, distance, similarity FROM matches")

@@ -236,6 +236,15 @@ SHOPS = """shops AS (
          || ' ' || p_type || ' trading works' AS name FROM part)"""
 
 MATCHES = f"{COMPANIES},\n{matches('companies')}"
+EVERY_MATCH = f"""{COMPANIES},
+named AS (SELECT DISTINCT id, block_key, {cleanse('name')} AS name FROM companies),
+matches AS (
+  SELECT a.id AS id_a, b.id AS id_b, CAST(levenshtein(a.name, b.name) AS INTEGER) AS distance,
+         CASE WHEN a.name = b.name THEN 1.0
+              ELSE 1 - CAST(levenshtein(a.name, b.name) AS DOUBLE) / CAST(greatest(length(a.name), length(b.name)) AS DOUBLE)
+         END AS similarity
+  FROM named a JOIN named b ON a.block_key = b.block_key AND a.id < b.id
+  WHERE levenshtein(a.name, b.name) * 20 <= 3 * greatest(length(a.name), length(b.name)))"""
 LONG_MATCHES = f"""{COMPANIES},
 long_names AS (SELECT id, block_key, name || ' ' || market || ' trading company of ' || city AS name FROM companies),
 {matches('long_names')}"""

@@ -262,3 +262,30 @@ def test_best_match_exchanges_no_pairs(spark):
     plan = matching.best_match(matching.fuzzy_matches(short, once=False))._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(id_a" not in plan and plan.count("SortAggregate(key=[id#") <= 2
     assert not [line for line in plan.splitlines() if "SortAggregate" in line and "similarity" in line.split("functions")[0]]
+
+
+def test_every_record_is_paired_with_all_its_matches(spark, monkeypatch):
+    monkeypatch.setattr(matching, "LIST", 3)
+    rng = random.Random(37)
+    records = [(i, name, block) for i, name, block in sample(37, (7, 14, 22, 30), n=6)]
+    copied = [(1000 + i, name, block) for i, (_, name, block) in enumerate(rng.choices(records, k=40))]
+    crowd = [(2000 + i, "Common Trading House", "north") for i in range(20)] + [(2100, "Common Trading Hause", "north")]
+    odd = [(3000, "", "north"), (3001, None, "north"), (3002, "Common Trading House", None), (None, "Common Trading House", "north")]
+    records += copied + crowd + crowd[:5] + odd + [(2000, "Common Trading Hausen", "north")]
+    want = {}
+    named = sorted({(i, name, block) for i, name, block in records if i is not None and block and name})
+    for (i, a, block_a), (j, b, block_b) in itertools.combinations(named, 2):
+        if i != j and block_a == block_b and (d := distance(a.lower(), b.lower())) * 20 <= 3 * max(len(a), len(b)):
+            want.setdefault((i, j), []).append(d)
+    got = {}
+    for r in matching.fuzzy_matches(spark.createDataFrame(records, RECORDS), every=True).collect():
+        got.setdefault((r.id_a, r.id_b), []).append(r.distance)
+        assert r.similarity == 1.0 or r.distance > 0
+    assert {pair: sorted(d) for pair, d in got.items()} == {pair: sorted(d) for pair, d in want.items()}
+
+
+def test_every_match_without_repeated_names(spark):
+    records = sample(41, (14, 25), n=10)
+    records = list({(name, block): (i, name, block) for i, name, block in records}.values())
+    frame = spark.createDataFrame(records, RECORDS)
+    assert {(r.id_a, r.id_b): r.distance for r in matching.fuzzy_matches(frame, every=True).collect()} == brute_force(records)
