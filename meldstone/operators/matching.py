@@ -311,7 +311,10 @@ _CHARACTERS = "abcdefghijklmnopqrstuvwxyz0123456789 "
 
 
 def _described(names: DataFrame) -> DataFrame:
-    """``names`` with ``ones`` and ``twos``, the characters that ``rest`` has once and twice, and ``rest`` cut at its last word."""
+    """``names`` with ``ones`` and ``twos``, the characters that ``rest`` has once and twice, and ``rest`` cut at its last word.
+
+    ``allowed`` is the distance allowed to names that are not longer.
+    """
 
     def bits(least: int) -> Column:
         of = lambda c: F.length("rest") - F.length(F.replace(F.col("rest"), c)) >= least
@@ -320,7 +323,33 @@ def _described(names: DataFrame) -> DataFrame:
 
     word = F.substring_index("rest", " ", -1)
     head = F.substring("rest", F.lit(1), F.length("rest") - F.length(word))
-    return names.withColumns({"ones": bits(1), "twos": bits(2), "word": word, "head": head})
+    allowed = allowed_distance(F.col("len"))
+    return names.withColumns({"ones": bits(1), "twos": bits(2), "word": word, "head": head, "allowed": allowed})
+
+
+def _in_places(half: int, around: int) -> Column:
+    """One half of 128 bits set by the characters of ``rest`` and their places, or by places up to ``around`` beside."""
+
+    def bit(moved: int) -> str:
+        no = f"(p + {moved}) * 11 + locate(substring(rest, p, 1), '{_CHARACTERS}')"
+        return f"if(pmod({no}, 128) div 64 = {half}, shiftleft(1L, pmod({no}, 64)), 0L)"
+
+    set_by = " | ".join(bit(moved) for moved in range(-around, around + 1))
+    return F.expr(f"aggregate(sequence(0, length(rest)), 0L, (b, p) -> if(p = 0, b, b | {set_by}))")
+
+
+def _in_order() -> str:
+    """Whether described names x and y, placed, may be alike.
+
+    A character that only one of them has takes an edit. So does one that the other has
+    only two or more places away, if the allowed edits cannot move it that far; bits that
+    several places share make these fewer, never more.
+    """
+    limit = "greatest(allowed_x, allowed_y)"
+    lacking = "bit_count(ones_{0} & ~ones_{1}) + bit_count(twos_{0} & ~twos_{1})"
+    moved = "bit_count(low_{0} & ~low_near_{1}) + bit_count(high_{0} & ~high_near_{1})"
+    both = lambda told: f"{told.format('x', 'y')} <= {limit} AND {told.format('y', 'x')} <= {limit}"
+    return f"{both(lacking)} AND ({limit} + abs(len_x - len_y) > 3 OR {both(moved)})"
 
 
 def _tile_distance() -> Column:
@@ -469,25 +498,29 @@ def all_near_pairs(reps: DataFrame) -> DataFrame:
     """(id_a, id_b) of matching representatives found without signatures: each name compared with all of its block.
 
     The names of a block are dealt over tiles, so tasks hold bounded numbers of names and
-    comparisons, however large a block is.
+    comparisons, however large a block is. The characters and places of two names tell most
+    pairs apart, the distance of the others is measured.
     """
     spark = reps.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
     sizes = reps.groupBy("block_key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-    dealt = reps.join(sizes, "block_key").withColumn("own", F.pmod(F.xxhash64("name"), "tiles").cast("int"))
+    places = {"low": _in_places(0, 0), "high": _in_places(1, 0), "low_near": _in_places(0, 1), "high_near": _in_places(1, 1)}
+    told = materialise(_described(trimmed(reps)).withColumns(places), "told")
+    dealt = told.join(sizes, "block_key").withColumn("own", F.pmod(F.xxhash64("name"), "tiles").cast("int"))
     others = F.sequence(F.lit(0), F.col("tiles") - 1)
     # A tile (row, column) with row <= column holds both ways of a pair, so each pair meets once.
     rows = dealt.withColumn("column", F.explode(F.filter(others, lambda t: t >= F.col("own")))).withColumn("row", F.col("own"))
     columns = dealt.withColumn("row", F.explode(F.filter(others, lambda t: t <= F.col("own")))).withColumn("column", F.col("own"))
 
     def placed(tiled: DataFrame, side: str) -> DataFrame:
-        tiled = tiled.select(F.xxhash64("block_key", "row", "column").alias("tile"), "block_key", "own", "id", "name", "len")
+        tile = F.xxhash64("block_key", "row", "column").alias("tile")
+        tiled = tiled.select(tile, "block_key", "own", "id", "rest", "len", "allowed", "ones", "twos", *places)
         return _of_side(tiled.repartition(tasks, "tile", "block_key"), side)
 
     met = placed(columns, "y").join(placed(rows, "x").hint("merge"), F.col("tile_x") == F.col("tile_y"))
-    longer = "cast(floor(greatest(len_x, len_y) * 3 / 20) as int)"
     once = (F.col("id_x") != F.col("id_y")) & ((F.col("own_x") != F.col("own_y")) | (F.col("id_x") < F.col("id_y")))
-    near = met.where((F.col("block_key_x") == F.col("block_key_y")) & once & F.expr(f"levenshtein(name_x, name_y, {longer}) >= 0"))
+    alike = F.expr(f"{_in_order()} AND levenshtein(rest_x, rest_y, greatest(allowed_x, allowed_y)) >= 0")
+    near = met.where((F.col("block_key_x") == F.col("block_key_y")) & once & alike)
     return near.select(F.least("id_x", "id_y").alias("id_a"), F.greatest("id_x", "id_y").alias("id_b"))
 
 

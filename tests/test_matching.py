@@ -289,3 +289,26 @@ def test_every_match_without_repeated_names(spark):
     records = list({(name, block): (i, name, block) for i, name, block in records}.values())
     frame = spark.createDataFrame(records, RECORDS)
     assert {(r.id_a, r.id_b): r.distance for r in matching.fuzzy_matches(frame, every=True).collect()} == brute_force(records)
+
+
+def test_the_truth_of_names_that_differ_in_characters_and_places(spark, monkeypatch):
+    monkeypatch.setattr(matching, "TILE", 30)
+    rng = random.Random(43)
+    names = {"customer " + "".join(rng.choice("0123") for _ in range(rng.choice([4, 5, 6, 9]))) for _ in range(150)}
+    names |= {"customer ", "ab", "ba", "abcdefg", "bacdefg", "abcdefgh"} | {"customer" + " x" * n for n in range(9)}
+    records = [(i, name.strip(), block) for block in ("one", "two") for i, name in enumerate(sorted(names))]
+    records = [(i + 1000 * (block == "two"), name, block) for i, name, block in records if block == "one" or name.startswith("customer")]
+    reps = matching.representatives(spark.createDataFrame(records, RECORDS))
+    truth = [(r.id_a, r.id_b) for r in matching.all_near_pairs(reps).collect()]
+    assert len(truth) == len(set(truth)) and set(truth) == {pair for pair, d in brute_force(records).items() if d > 0}
+
+
+def test_most_pairs_are_told_apart_without_a_distance(spark):
+    rng = random.Random(47)
+    records = [(i, f"customer {n:09d}", "one") for i, n in enumerate(rng.sample(range(10**6), 300))]
+    names = matching._described(matching.trimmed(matching.representatives(spark.createDataFrame(records, RECORDS))))
+    for c, half, around in (("low", 0, 0), ("high", 1, 0), ("low_near", 0, 1), ("high_near", 1, 1)):
+        names = names.withColumn(c, matching._in_places(half, around))
+    names = materialise(names, "told")
+    met = matching._of_side(names, "x").join(matching._of_side(names, "y"), F.expr("id_x < id_y")).where(F.expr(matching._in_order()))
+    assert len(brute_force(records)) <= met.count() < 300 * 299 // 2 // 20
