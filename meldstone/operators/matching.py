@@ -50,6 +50,8 @@ DENSE = 8
 TILE = 2000
 # Ids of one name in a list.
 LIST = 1000
+# Short names of a block in one half of a tile.
+SLAB = 10000
 
 
 def allowed_distance(length: Column) -> Column:
@@ -168,14 +170,16 @@ def _signed(reps: DataFrame) -> DataFrame:
 
     ``longest`` tells whether the name is as long as the longer one of the pairs it looks for.
     """
+    return _with_signatures(_spread(_with_rest(reps).where(F.col("len") < SHORT_LIMIT))).select("sig", *_kept(reps), "longest")
+
+
+def _with_signatures(short: DataFrame) -> DataFrame:
     targets = _partner_lengths(F.col("len"), F.least(F.col("len") + 2, F.lit(SHORT_LIMIT - 1)))
     budget = allowed_distance(F.col("l")) - (F.col("l") - F.col("len"))
-    if "lengths" in reps.columns:
+    if "lengths" in short.columns:
         targets = F.array_intersect(targets, "lengths")
-    names = _spread(_with_rest(reps).where(F.col("len") < SHORT_LIMIT)).withColumn("l", F.explode(targets))
-    return _with_variants(names, budget).select(
-        F.xxhash64("block_key", "l", "variant").alias("sig"), *_kept(reps), (F.col("len") == F.col("l")).alias("longest")
-    )
+    variants = _with_variants(short.withColumn("l", F.explode(targets)), budget)
+    return variants.withColumns({"sig": F.xxhash64("block_key", "l", "variant"), "longest": F.col("len") == F.col("l")})
 
 
 def _kept(reps: DataFrame) -> list[str]:
@@ -207,6 +211,33 @@ def _short_pairs(reps: DataFrame) -> DataFrame:
     return met.withColumnRenamed("block_key_a", "block_key").select(*_PAIR)
 
 
+def _short_candidates(reps: DataFrame) -> DataFrame:
+    """(block_key, id_a, id_b): short names that share a signature, each pair once.
+
+    Pairs are not exchanged. Names are dealt over tiles of two slabs of their block, a tile lies
+    in one task, and the signatures are made there, so a pair that shares several is met
+    again in the same task only.
+    """
+    spark = reps.sparkSession
+    short = _with_rest(reps).where(F.col("len") < SHORT_LIMIT)
+    slabs = materialise(short.groupBy("block_key").agg(F.ceil(F.count("*") / SLAB).cast("int").alias("slabs")), "slabs")
+    tiles = slabs.agg(F.sum(F.expr("cast(slabs as long) * (slabs + 1) div 2"))).first()[0] or 0
+    # More tasks than tiles, since hashes bring some tiles together.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * tiles)
+    dealt = short.join(slabs, "block_key").withColumn("own", F.pmod(F.xxhash64("name"), "slabs").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("slabs") - 1))
+    placed = dealt.withColumn("other", other).withColumns({"row": F.least("own", "other"), "column": F.greatest("own", "other")})
+    tile = ["block_key", "row", "column"]
+    signed = _with_signatures(placed.repartition(tasks, *tile))
+    name = F.struct("id", F.xxhash64("rest").alias("told"), "own", "longest")
+    sharing = signed.groupBy(*tile, "sig").agg(F.collect_list(name).alias("names")).where(F.size("names") > 1)
+    met = sharing.withColumn("x", F.explode("names")).withColumn("y", F.explode("names")).where(
+        "x.id < y.id AND (x.longest OR y.longest) AND (row = column OR x.own != y.own)"
+    )
+    pairs = met.select(*tile, F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b"), "x.told", F.col("y.told").alias("told_b"))
+    return pairs.distinct().select("block_key", "id_a", "id_b")
+
+
 def _once(pairs: DataFrame) -> DataFrame:
     """Each pair once; names of one pair of ids are told apart by a hash.
 
@@ -463,12 +494,12 @@ def _long_pairs(names: DataFrame, stored: DataFrame | None = None, near: bool =
 
 
 def candidate_pairs(reps: DataFrame) -> DataFrame:
-    """Distinct pairs of representatives that may reach the threshold, with their names.
+    """(block_key, id_a, id_b): distinct pairs of representatives that may reach the threshold.
 
     Short names share a signature, long ones a segment; those that met in tiles do reach it.
     """
     names = materialise(trimmed(reps), "trimmed")
-    return _once(_short_pairs(names)).unionByName(_long_pairs(names, near=False).select(*_PAIR))
+    return _short_candidates(names).unionByName(_long_pairs(names, near=False).select("block_key", "id_a", "id_b"))
 
 
 def block_candidates(records: DataFrame) -> DataFrame:
@@ -478,8 +509,7 @@ def block_candidates(records: DataFrame) -> DataFrame:
     Records repeating a name stand behind the smallest id that carries it.
     """
     reps = materialise(representatives(records), "names")
-    pairs = candidate_pairs(reps).select("block_key", "id_a", "id_b")
-    return pairs.unionByName(copies(records, reps))
+    return candidate_pairs(reps).unionByName(copies(records, reps))
 
 
 def near_names(reps: DataFrame, once: bool = True) -> DataFrame:

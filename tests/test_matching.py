@@ -312,3 +312,19 @@ def test_most_pairs_are_told_apart_without_a_distance(spark):
     names = materialise(names, "told")
     met = matching._of_side(names, "x").join(matching._of_side(names, "y"), F.expr("id_x < id_y")).where(F.expr(matching._in_order()))
     assert len(brute_force(records)) <= met.count() < 300 * 299 // 2 // 20
+
+
+def test_candidates_are_distinct_without_an_exchange_of_pairs(spark, monkeypatch):
+    records = sample(53, (9, 14, 17, 18), n=25, most_edits=3) + [(1, "abcdefgh", "north"), (1, "abcdefgi", "north"), (None, "abcdefgk", "north")]
+    frame = spark.createDataFrame(records, RECORDS)
+    reps = materialise(matching.trimmed(matching.representatives(frame)), "names")
+    shared = {(r.block_key, r.id_a, r.id_b) for r in matching._short_pairs(reps).collect()}
+    for slab in (10000, 7):
+        monkeypatch.setattr(matching, "SLAB", slab)
+        pairs = matching._short_candidates(reps)
+        got = [tuple(r) for r in pairs.collect()]
+        assert len(got) == len(set(got)) and set(got) == shared and len(got) > 50
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(id" not in plan and "hashpartitioning(block_key" in plan and "sig" not in "".join(
+        line for line in plan.splitlines() if "Exchange" in line
+    )
