@@ -50,6 +50,8 @@ DENSE = 8
 TILE = 2000
 # Ids of one name in a list.
 LIST = 1000
+# Up to so many last words of a block have their distances to each other noted.
+WORDS = 64
 # Short names of a block in one half of a tile.
 SLAB = 10000
 
@@ -95,7 +97,7 @@ def copies(records: DataFrame, reps: DataFrame) -> DataFrame:
 def trimmed(reps: DataFrame) -> DataFrame:
     """``reps`` with ``rest``, the name without what all names of its block begin and end with.
 
-    ``lengths`` are the lengths below SHORT_LIMIT that names of the block have.
+    ``start`` is how many characters they begin with, ``lengths`` are the lengths below SHORT_LIMIT that they have.
     """
 
     def shared(x: str, y: str) -> Column:
@@ -112,7 +114,7 @@ def trimmed(reps: DataFrame) -> DataFrame:
     end = F.least(shared("low_end", "high_end"), F.col("least") - start)
     cut = ends.select("block_key", start.alias("start"), end.alias("end"), "lengths")
     rest = F.substring("name", F.col("start") + 1, F.col("len") - F.col("start") - F.col("end"))
-    return reps.join(cut, "block_key").withColumn("rest", rest).drop("start", "end")
+    return reps.join(cut, "block_key").withColumn("rest", rest).drop("end")
 
 
 def _with_rest(reps: DataFrame) -> DataFrame:
@@ -342,20 +344,37 @@ _CHARACTERS = "abcdefghijklmnopqrstuvwxyz0123456789 "
 
 
 def _described(names: DataFrame) -> DataFrame:
-    """``names`` with ``ones`` and ``twos``, the characters that ``rest`` has once and twice, and ``rest`` cut at its last word.
+    """``names`` with the characters that ``rest`` has once and twice (``ones``, ``twos``), and ``rest`` cut before its last word.
 
-    ``allowed`` is the distance allowed to names that are not longer.
+    ``heads`` (``twice``) and ``words`` are the characters of the two parts, ``allowed`` is the distance
+    allowed to names that are not longer.
     """
 
-    def bits(least: int) -> Column:
-        of = lambda c: F.length("rest") - F.length(F.replace(F.col("rest"), c)) >= least
+    def bits(text: str, least: int) -> Column:
+        of = lambda c: F.length(text) - F.length(F.replace(F.col(text), c)) >= least
         every = F.array(*[F.lit(c) for c in _CHARACTERS])
         return F.aggregate(every, F.lit(0).cast("long"), lambda b, c: b * 2 + of(c).cast("long"))
 
-    word = F.substring_index("rest", " ", -1)
-    head = F.substring("rest", F.lit(1), F.length("rest") - F.length(word))
-    allowed = allowed_distance(F.col("len"))
-    return names.withColumns({"ones": bits(1), "twos": bits(2), "word": word, "head": head, "allowed": allowed})
+    last = F.substring_index("rest", " ", -1)
+    word = F.when(F.length(last) < F.length("rest"), F.concat(F.lit(" "), last)).otherwise(last)
+    cut = names.withColumn("word", word)
+    cut = cut.withColumn("head", F.substring("rest", F.lit(1), F.length("rest") - F.length("word")))
+    told = {"ones": bits("rest", 1), "twos": bits("rest", 2), "heads": bits("head", 1), "twice": bits("head", 2), "words": bits("word", 1)}
+    return cut.withColumns(told | {"allowed": allowed_distance(F.col("len")), "size": F.length("head")})
+
+
+def _with_words(names: DataFrame) -> DataFrame:
+    """Described ``names`` with ``no``, the number of their last word; ``apart`` are its distances to the words of the block.
+
+    ``at`` is the word's own place among these. Blocks of many last words have neither.
+    """
+    words = materialise(names.select("block_key", "word").distinct().withColumn("no", F.monotonically_increasing_id()), "words")
+    few = words.groupBy("block_key").agg(F.count("*").alias("n")).where(F.col("n") <= WORDS).select("block_key")
+    listed = words.join(few, "block_key").groupBy("block_key").agg(F.collect_list("word").alias("listed"))
+    at = (F.array_position("listed", F.col("word")) - 1).cast("int")
+    apart = F.transform("listed", lambda other: F.levenshtein(F.col("word"), other))
+    known = words.join(listed, "block_key", "left").withColumns({"at": at, "apart": apart}).drop("listed")
+    return materialise(names.join(known, ["block_key", "word"]), "described")
 
 
 def _in_places(half: int, around: int) -> Column:
@@ -383,26 +402,37 @@ def _in_order() -> str:
     return f"{both(lacking)} AND ({limit} + abs(len_x - len_y) > 3 OR {both(moved)})"
 
 
-def _tile_distance() -> Column:
-    """Distance of the rests of described names s and t, or -1 beyond the allowed one.
+def _may_be_alike() -> str:
+    """Whether described names s and t, t not shorter, may be as near as allowed.
 
-    A character that only one of them has takes an edit, which tells most pairs apart. A last
-    word that both have changes no distance.
+    A character that only one of them has takes an edit. Where last words have no character of
+    the heads before them, edits of the words do not spare those of the heads: whatever part
+    of one name an alignment puts beside the last word of the other, the part of a head in it
+    is no help, so the distance is that of the words and what a head lacks at least.
     """
-    limit = "cast(floor(len_t * 3 / 20) as int)"
     lacking = "bit_count(ones_{0} & ~ones_{1}) + bit_count(twos_{0} & ~twos_{1})"
-    return F.expr(
-        f"CASE WHEN {lacking.format('s', 't')} > {limit} OR {lacking.format('t', 's')} > {limit} THEN -1 "
-        f"WHEN word_s = word_t THEN levenshtein(head_s, head_t, {limit}) ELSE levenshtein(rest_s, rest_t, {limit}) END"
+    head = "bit_count(heads_{0} & ~heads_{1}) + bit_count(twice_{0} & ~twice_{1})"
+    mixed = "((heads_s | heads_t) & (words_s | words_t)) != 0"
+    heads = f"least({head.format('s', 't')}, {head.format('t', 's')})"
+    return (
+        f"{lacking.format('s', 't')} <= allowed_t AND {lacking.format('t', 's')} <= allowed_t"
+        f" AND ({mixed} OR coalesce(apart_s[at_t], 0) + {heads} <= allowed_t)"
     )
 
 
+# Names that differ before the same last word only, in so few characters that they match.
+_SURE = "(no_s = no_t AND greatest(size_s, size_t) <= allowed_t)"
+# A list of the distance of the rests of names s and t, or NULL beyond the allowed one. A last word that both have changes none.
+_TILE_DISTANCE = f"""CASE WHEN {_SURE} THEN array(levenshtein(head_s, head_t))
+WHEN levenshtein(rest_s, rest_t, allowed_t) >= 0 THEN array(levenshtein(rest_s, rest_t, allowed_t)) END"""
+
+
 def _tiled_pairs(names: DataFrame, lengths: DataFrame) -> DataFrame:
     """All pairs of names of the given lengths, each once, that reach the threshold, with their distance.
 
     Tasks hold some tiles each, whatever the size of the rows, since the work lies in the comparing.
     """
-    names = _described(names)
+    names = _with_words(_described(_spread(names)))
     spark = names.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
     tiles = lambda n: F.ceil(F.col(n) / TILE).cast("int")
@@ -415,8 +445,10 @@ def _tiled_pairs(names: DataFrame, lengths: DataFrame) -> DataFrame:
         both = of_length.join(lengths, keys).withColumn("row", row).withColumn("column", column)
         tile = F.xxhash64("block_key", "len", "l", "row", "column")
         length = F.col("len" if side == "s" else "l")
-        kept = [c for c in _kept(names) if c != "len"] + ["ones", "twos", "word", "head"]
-        rows = both.select(tile.alias("tile"), *kept, length.alias("len"), F.col("l").alias("partner"), F.col("len").alias("other"))
+        kept = [c for c in _kept(names) if c != "len"] + ["head", "at", "apart"]
+        # Never null, which shortens what is generated for each pair.
+        sure = [F.coalesce(c, F.lit(0)).alias(c) for c in ("ones", "twos", "heads", "twice", "words", "allowed", "size", "no")]
+        rows = both.select(tile.alias("tile"), *kept, *sure, length.alias("len"), F.col("l").alias("partner"), F.col("len").alias("other"))
         # By all that the join asks to be equal, or it exchanges once more, into as few tasks as the bytes fill.
         lengths_of_pair = ["len", "partner"] if side == "s" else ["other", "len"]
         return _of_side(rows.repartition(tasks, "tile", "block_key", *lengths_of_pair), side)
@@ -427,8 +459,9 @@ def _tiled_pairs(names: DataFrame, lengths: DataFrame) -> DataFrame:
     further, ordered = F.col("len_s") < F.col("len_t"), F.col("id_s") < F.col("id_t")
 
     def met(s: DataFrame, t: DataFrame, condition: Column) -> DataFrame:
-        both = t.join(s.hint("merge"), same_tile).where((F.col("id_s") != F.col("id_t")) & condition)
-        return both.withColumn("distance", _tile_distance()).where(F.col("distance") >= 0)
+        both = t.join(s.hint("merge"), same_tile).where((F.col("id_s") != F.col("id_t")) & condition & F.expr(_may_be_alike()))
+        # As a filter it would be pushed into the join, which then reads the text of all pairs.
+        return both.withColumn("distance", F.explode(F.expr(_TILE_DISTANCE)))
 
     if "new" in names.columns:
         pairs = met(shorter.where("new_s"), longer, further | ~F.col("new_t") | ordered)
@@ -465,6 +498,26 @@ def _segment_pairs(names: DataFrame, cuts: DataFrame) -> DataFrame:
     return named.where(same_block).withColumnRenamed("block_key_a", "block_key").select(*_PAIR)
 
 
+def _all_alike(names: DataFrame) -> DataFrame:
+    """(block_key, start, end): how many characters all names of a block begin and end with."""
+    end = F.col("len") - F.col("start") - F.length("rest")
+    return names.groupBy("block_key").agg(F.min("start").alias("start"), F.min(end).alias("end"))
+
+
+def _surely_dense() -> Column:
+    """Whether every cut of the names of a length needs a segment that all of them have, whatever the rest."""
+
+    def common(m: int) -> Column:
+        last = F.col("len") - F.col("end")
+        alike = lambda s: (s["start"] + s["size"] - 1 <= F.col("start")) | (s["start"] > last)
+        return F.size(F.filter(_segment_bounds(F.col("len"), allowed_distance(F.col("l")) + m), alike)) >= m
+
+    sure = common(1)
+    for m in range(2, MAX_EXTRA_SEGMENTS + 1):
+        sure = sure & common(m)
+    return sure
+
+
 def _long_pairs(names: DataFrame, stored: DataFrame | None = None, near: bool = True) -> DataFrame:
     """Pairs of trimmed ``names`` whose longer one is long: those that share a segment, or that met in tiles.
 
@@ -472,7 +525,12 @@ def _long_pairs(names: DataFrame, stored: DataFrame | None = None, near: bool =
     segment are compared, too, unless ``near`` is false.
     """
     lengths = _length_pairs(names)
-    many = lengths.where(F.col("n") > FEW)
+    if lengths.where(F.col("n") > FEW).isEmpty():
+        return _tiled_pairs(names, lengths)
+    # Where all names have too much in common, segments need not be counted to know that they tell nothing.
+    told = (F.col("n") > FEW) & ~_surely_dense()
+    counted = materialise(lengths.join(_all_alike(names), "block_key").withColumn("counted", told).drop("start", "end"), "counted")
+    many = counted.where("counted").drop("counted")
     if many.isEmpty():
         return _tiled_pairs(names, lengths)
     # Written down, since the planner's estimate ignores the expansion into segments.
@@ -484,7 +542,7 @@ def _long_pairs(names: DataFrame, stored: DataFrame | None = None, near: bool =
     costs = cuts.groupBy("block_key", "len", "l").agg(F.sum("cost").alias("cost"))
     dense = F.col("cost") * DENSE >= F.col("n") * F.col("n")
     judged = materialise(many.join(costs, ["block_key", "len", "l"]).withColumn("dense", dense), "judged")
-    tiled = lengths.where(F.col("n") <= FEW).unionByName(judged.where("dense").select(*lengths.columns))
+    tiled = counted.where("NOT counted").drop("counted").unionByName(judged.where("dense").select(*lengths.columns))
     sparse = judged.where("NOT dense")
     pairs = _tiled_pairs(names, tiled)
     if sparse.isEmpty():
@@ -535,7 +593,7 @@ def all_near_pairs(reps: DataFrame) -> DataFrame:
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
     sizes = reps.groupBy("block_key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
     places = {"low": _in_places(0, 0), "high": _in_places(1, 0), "low_near": _in_places(0, 1), "high_near": _in_places(1, 1)}
-    told = materialise(_described(trimmed(reps)).withColumns(places), "told")
+    told = materialise(_described(_spread(trimmed(reps))).withColumns(places), "told")
     dealt = told.join(sizes, "block_key").withColumn("own", F.pmod(F.xxhash64("name"), "tiles").cast("int"))
     others = F.sequence(F.lit(0), F.col("tiles") - 1)
     # A tile (row, column) with row <= column holds both ways of a pair, so each pair meets once.

@@ -328,3 +328,37 @@ def test_candidates_are_distinct_without_an_exchange_of_pairs(spark, monkeypatch
     assert "hashpartitioning(id" not in plan and "hashpartitioning(block_key" in plan and "sig" not in "".join(
         line for line in plan.splitlines() if "Exchange" in line
     )
+
+
+def numbered(seed, n):
+    rng = random.Random(seed)
+    words = ["machinery", "building", "furniture", "mac", "b1lding"]
+    names = {f"customer {rng.randrange(10 ** rng.choice([3, 5, 6]))} {rng.choice(words)} trading" for _ in range(n)}
+    return [(i, name, block) for i, (name, block) in enumerate(itertools.product(sorted(names), ["one", "two"]))]
+
+
+@pytest.mark.parametrize("words", [64, 3])
+def test_no_pair_of_numbered_names_is_missed(spark, monkeypatch, words):
+    monkeypatch.setattr(matching, "WORDS", words)
+    monkeypatch.setattr(matching, "FEW", 8)
+    monkeypatch.setattr(matching, "TILE", 40)
+    records = numbered(59, 110)
+    assert found(spark, records) == brute_force(records)
+
+
+def test_last_words_tell_numbered_names_apart(spark):
+    records = [(i, f"{name} house", block) for i, name, block in numbered(61, 100) if "1l" not in name and block == "one"]
+    names = matching._described(matching.trimmed(matching.representatives(spark.createDataFrame(records, RECORDS))))
+    names = matching._with_words(names)
+    met = matching._of_side(names, "s").join(matching._of_side(names, "t"), F.expr("len_s < len_t OR (len_s = len_t AND id_s < id_t)"))
+    met = met.where("word_s != word_t").select(F.expr(matching._may_be_alike()).alias("told"), F.expr("levenshtein(name_s, name_t) <= allowed_t").alias("near")).collect()
+    assert not [r for r in met if r.near and not r.told]
+    assert sum(r.told for r in met) < 2 * sum(r.near for r in met) + len(met) // 10
+
+
+def test_segments_that_all_names_share_are_not_counted(spark, monkeypatch):
+    monkeypatch.setattr(matching, "FEW", 8)
+    monkeypatch.setattr(matching, "_selective_cuts", None)
+    records = [(i, f"customer {i:06d} building trading company", "north") for i in range(40)]
+    reps = matching.representatives(spark.createDataFrame(records, RECORDS))
+    assert matching._long_pairs(matching.trimmed(reps)).count() == 40 * 39 // 2
